@@ -423,3 +423,172 @@ def q_split_counts(spark, sf_dir):
 SPARK_QUERIES["split_counts"] = q_split_counts
 ORACLES["split_counts"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')}
 SELECT split, count(*) AS rows, count(DISTINCT content_hash) AS unique_hashes FROM doc_instr_split GROUP BY split"""
+
+
+# --- evaluation: examples, stand-in generations, scores ------------------------
+from quire.functions.bleu import TOK13A_REGEX  # noqa: E402
+from quire.operators import generate as G  # noqa: E402
+from quire.operators import scoring as S  # noqa: E402
+from quire.plans.evaluate import prompt_reference_frame  # noqa: E402
+
+
+def eval_examples(spark, sf_dir):
+    """(example_id, prompt, reference) of every conv_instr pair."""
+    return prompt_reference_frame(R.render(conversation_instructions(spark, sf_dir), "plain"))
+
+
+def stand_in_predictions(spark, sf_dir):
+    """U2 with deterministic stand-ins: base echoes the prompt's last words,
+    tuned emits the reference's first words; a fixed cost per token."""
+    ex = eval_examples(spark, sf_dir)
+    b = G.batch_generate(ex, G.echo_prompt_tail, "base", GEN_TOKENS, G.fixed_cost)
+    t = G.batch_generate(ex, G.reference_head, "tuned", GEN_TOKENS, G.fixed_cost)
+    return b.unionByName(t), ex
+
+
+def _pairs(spark, sf_dir):
+    """Predictions are generated once and staged, as the evaluation job does."""
+    from quire.session import stage
+    preds, ex = stand_in_predictions(spark, sf_dir)
+    preds = stage(preds, "predictions")
+    return S.pair_predictions(preds, ex), preds
+
+
+def q_generate(spark, sf_dir):
+    """Generated predictions per system."""
+    preds, _ = stand_in_predictions(spark, sf_dir)
+    return preds
+
+
+def q_bleu_counts(spark, sf_dir):
+    """A4 statistics: clipped matches and totals per system and order."""
+    pairs, _ = _pairs(spark, sf_dir)
+    return S.bleu_stats(pairs)
+
+
+def q_bleu_score(spark, sf_dir):
+    """A4: corpus BLEU per system."""
+    pairs, _ = _pairs(spark, sf_dir)
+    return S.corpus_bleu(pairs)
+
+
+def q_compare_bleu(spark, sf_dir):
+    """A6 on BLEU: base vs tuned and the delta of the rounded scores."""
+    pairs, _ = _pairs(spark, sf_dir)
+    return S.compare_systems(S.corpus_bleu(pairs), metrics=("bleu",))
+
+
+def q_throughput(spark, sf_dir):
+    """Tokens, seconds and rates per system."""
+    _, preds = _pairs(spark, sf_dir)
+    return S.throughput(preds)
+
+
+def q_rouge_l(spark, sf_dir):
+    """A5: mean ROUGE-L F x 100 per system (LCS in a pandas UDF)."""
+    pairs, _ = _pairs(spark, sf_dir)
+    return S.rouge_l(pairs)
+
+
+def q_compare_systems(spark, sf_dir):
+    """Full comparison row (BLEU and ROUGE-L)."""
+    pairs, _ = _pairs(spark, sf_dir)
+    return S.compare_systems(S.score_systems(pairs))
+
+
+SPARK_QUERIES.update({
+    "generate": q_generate,
+    "bleu_counts": q_bleu_counts,
+    "bleu_score": q_bleu_score,
+    "compare_bleu": q_compare_bleu,
+    "throughput": q_throughput,
+    "rouge_l": q_rouge_l,
+    "compare_systems": q_compare_systems,
+})
+
+
+def sql_tok13a(e: str) -> str:
+    s = f"regexp_replace(coalesce({e}, ''), '{WS}+$', '')"
+    for a, b in [("'<skipped>'", "''"), (f"'-' || {NL}", "''"), (NL, "' '"),
+                 ("'&quot;'", "'\"'"), ("'&amp;'", "'&'"), ("'&lt;'", "'<'"), ("'&gt;'", "'>'")]:
+        s = f"replace({s}, {a}, {b})"
+    s = f"(' ' || {s} || ' ')"
+    for pat, rep in TOK13A_REGEX:
+        rep2 = rep.replace("$1", "\\1").replace("$2", "\\2")
+        s = f"regexp_replace({s}, '{pat}', '{rep2}', 'g')"
+    s = sql_norm_keepcase(s)
+    return f"(CASE WHEN {s} = '' THEN []::VARCHAR[] ELSE string_split({s}, ' ') END)"
+
+
+def sql_norm_keepcase(e: str) -> str:
+    return f"regexp_replace({sql_strip(e)}, '{WS}+', ' ', 'g')"
+
+
+SQL_EVAL = f"""{SQL_CONV_INSTR}, {sql_clean('conv_instr')},
+ex0 AS (SELECT row_id AS example_id, {sql_plain()} AS t FROM conv_instr_msg),
+ex AS (SELECT example_id, substring(t, 1, {_sql_prompt_ref('t')}) AS prompt,
+              {sql_strip(f"substring(t, {_sql_prompt_ref('t')} + 1)")} AS reference FROM ex0),
+ptok AS (SELECT example_id, {sql_tokens('prompt')} AS pt, {sql_tokens('reference')} AS rt FROM ex),
+preds0 AS (
+  SELECT example_id, 'base' AS system,
+         array_to_string(list_slice(pt, greatest(len(pt) - {GEN_TOKENS - 1}, 1), len(pt)), ' ') AS prediction FROM ptok
+  UNION ALL
+  SELECT example_id, 'tuned' AS system, array_to_string(list_slice(rt, 1, {GEN_TOKENS}), ' ') AS prediction FROM ptok),
+preds AS (SELECT *, CAST(len({sql_tokens('prediction')}) AS INTEGER) AS n_tokens,
+                 0.25 * len({sql_tokens('prediction')}) AS seconds FROM preds0),
+pairs AS (SELECT p.*, ex.reference FROM preds p JOIN ex USING (example_id)),
+tok AS (SELECT system, example_id, {sql_tok13a('prediction')} AS h, {sql_tok13a('reference')} AS r FROM pairs),
+grams AS (
+  SELECT system, example_id, n, array_to_string(list_slice(h, i + 1, i + n), ' ') AS g, 1 AS hc, 0 AS rc
+  FROM tok, (SELECT unnest(range(1, 5)) AS n) ns, LATERAL (SELECT unnest(range(0, len(h) - n + 1)) AS i)
+  UNION ALL
+  SELECT system, example_id, n, array_to_string(list_slice(r, i + 1, i + n), ' ') AS g, 0 AS hc, 1 AS rc
+  FROM tok, (SELECT unnest(range(1, 5)) AS n) ns, LATERAL (SELECT unnest(range(0, len(r) - n + 1)) AS i)),
+cnt AS (SELECT system, example_id, n, g, sum(hc) AS h, sum(rc) AS r FROM grams GROUP BY ALL HAVING sum(hc) > 0),
+st AS (SELECT system, CAST(n AS INTEGER) AS n, CAST(sum(least(h, r)) AS BIGINT) AS correct,
+              CAST(sum(h) AS BIGINT) AS total FROM cnt GROUP BY ALL),
+lens AS (SELECT system, CAST(sum(len(h)) AS BIGINT) AS sys_len, CAST(sum(len(r)) AS BIGINT) AS ref_len,
+                count(*) AS n_examples FROM tok GROUP BY system),
+wide AS (SELECT system,
+  {", ".join(f"coalesce(sum(correct) FILTER (WHERE n = {k}), 0) AS c{k}" for k in range(1, 5))},
+  {", ".join(f"coalesce(sum(total) FILTER (WHERE n = {k}), 0) AS t{k}" for k in range(1, 5))}
+  FROM st GROUP BY system),
+bl AS (
+  SELECT lens.system, sys_len, ref_len, n_examples,
+         coalesce(c1, 0) AS c1, coalesce(c2, 0) AS c2, coalesce(c3, 0) AS c3, coalesce(c4, 0) AS c4,
+         coalesce(t1, 0) AS t1, coalesce(t2, 0) AS t2, coalesce(t3, 0) AS t3, coalesce(t4, 0) AS t4
+  FROM lens LEFT JOIN wide USING (system)),
+bleu AS (
+  SELECT system, sys_len, ref_len, n_examples,
+    round(CASE WHEN (c1 > 0 OR c2 > 0 OR c3 > 0 OR c4 > 0) AND t1 > 0 AND t2 > 0 AND t3 > 0 AND t4 > 0 THEN
+      (CASE WHEN sys_len < ref_len THEN (CASE WHEN sys_len > 0 THEN exp(1.0 - ref_len / sys_len) ELSE 0.0 END) ELSE 1.0 END)
+      * exp((ln(CASE WHEN c1 > 0 THEN 100.0 * c1 / t1 ELSE 100.0 / (pow(2.0, z1) * t1) END)
+           + ln(CASE WHEN c2 > 0 THEN 100.0 * c2 / t2 ELSE 100.0 / (pow(2.0, z2) * t2) END)
+           + ln(CASE WHEN c3 > 0 THEN 100.0 * c3 / t3 ELSE 100.0 / (pow(2.0, z3) * t3) END)
+           + ln(CASE WHEN c4 > 0 THEN 100.0 * c4 / t4 ELSE 100.0 / (pow(2.0, z4) * t4) END)) / 4.0)
+    ELSE 0.0 END, 4) AS bleu
+  FROM (SELECT *, (c1 = 0)::INT AS z1, (c1 = 0)::INT + (c2 = 0)::INT AS z2,
+               (c1 = 0)::INT + (c2 = 0)::INT + (c3 = 0)::INT AS z3,
+               (c1 = 0)::INT + (c2 = 0)::INT + (c3 = 0)::INT + (c4 = 0)::INT AS z4 FROM bl))"""
+
+ORACLES["generate"] = f"""WITH {SQL_EVAL}
+SELECT example_id, system, prediction, n_tokens, seconds FROM preds"""
+
+ORACLES["bleu_counts"] = f"""WITH {SQL_EVAL}
+SELECT system, n, correct, total FROM st"""
+
+ORACLES["bleu_score"] = f"""WITH {SQL_EVAL}
+SELECT system, bleu, sys_len, ref_len, n_examples FROM bleu"""
+
+ORACLES["compare_bleu"] = f"""WITH {SQL_EVAL}
+SELECT max(n_examples) AS num_eval_samples,
+       max(bleu) FILTER (WHERE system = 'base') AS base_bleu,
+       max(bleu) FILTER (WHERE system = 'tuned') AS tuned_bleu,
+       round(max(bleu) FILTER (WHERE system = 'tuned') - max(bleu) FILTER (WHERE system = 'base'), 4) AS delta_bleu
+FROM bleu"""
+
+ORACLES["throughput"] = f"""WITH {SQL_EVAL}
+SELECT system, count(*) AS replies, CAST(sum(n_tokens) AS BIGINT) AS tokens, round(sum(seconds), 2) AS seconds,
+       round(avg(CASE WHEN seconds > 0 THEN n_tokens / seconds ELSE 0.0 END), 4) AS mean_tok_per_sec,
+       round(CASE WHEN sum(seconds) > 0 THEN sum(n_tokens) / sum(seconds) ELSE 0.0 END, 4) AS tok_per_sec
+FROM preds GROUP BY system"""
