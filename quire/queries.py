@@ -592,3 +592,139 @@ SELECT system, count(*) AS replies, CAST(sum(n_tokens) AS BIGINT) AS tokens, rou
        round(avg(CASE WHEN seconds > 0 THEN n_tokens / seconds ELSE 0.0 END), 4) AS mean_tok_per_sec,
        round(CASE WHEN sum(seconds) > 0 THEN sum(n_tokens) / sum(seconds) ELSE 0.0 END, 4) AS tok_per_sec
 FROM preds GROUP BY system"""
+
+
+# --- chat history, sweep, stream, stores ----------------------------------------
+from quire.operators.history import DEFAULT_SYSTEM, assemble_history  # noqa: E402
+from quire.operators import sweep as W  # noqa: E402
+from quire.operators.split import cut_split  # noqa: E402
+
+GRID = {"ranks": [8, 16, 32], "learning_rates": [0.0001, 0.0002],
+        "schedulers": ["cosine", "linear", "constant", "constant_with_warmup"]}
+SMOKE_GRID = {"ranks": [8, 16], "learning_rates": [0.0002], "schedulers": ["cosine", "constant"]}
+SWEEP = {"subset_size": 2000, "eval_subset_size": 200, "batch_size": 8, "grad_accum": 2, "max_steps": 300,
+         "holdout": 100, "train_size": 50000}
+
+
+def q_chat_history(spark, sf_dir):
+    """System message + turns in order, as message rows."""
+    return assemble_history(table(spark, sf_dir, "conversations"), DEFAULT_SYSTEM)
+
+
+def labelled_split(spark, sf_dir, holdout=SWEEP["holdout"], size=SWEEP["train_size"]):
+    """documents joined with labels; keep-first dedupe; exact seeded cut."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"),
+                                                F.col("quality").cast("double").alias("label"))
+    j = R.with_content_hash(d.join(lab, "row_id"))
+    ranked = dedupe_keep_first(j, "content_hash", ("row_id",)).withColumn("split_rank", seeded_rank(SEED, "content_hash"))
+    splits, info = cut_split(ranked, holdout, size)
+    return splits, info
+
+
+def q_sweep_plan(spark, sf_dir):
+    """E1 + P12 + P13 with each cell's data budget from the labelled split."""
+    _, info = labelled_split(spark, sf_dir)
+    g = W.param_grid(spark, **GRID)
+    return W.sweep_plan(g, info["train_n"], info["eval_n"], SWEEP["subset_size"], SWEEP["eval_subset_size"],
+                        SWEEP["batch_size"], SWEEP["grad_accum"], SWEEP["max_steps"])
+
+
+def _sweep_results(spark, sf_dir):
+    splits, _ = labelled_split(spark, sf_dir)
+    tr = take_first(splits.filter(F.col("split") == "train"), 40)
+    ev = take_first(splits.filter(F.col("split") == "eval"), 20)
+    g = W.param_grid(spark, **SMOKE_GRID)
+    return W.run_sweep(spark, g, tr, ev, lambda a, b, p: W.default_cell(a, b, p, max_steps=3))
+
+
+def q_sweep(spark, sf_dir):
+    """The smoke grid (2 x 1 x 2 cells), each fitted on Spark."""
+    return _sweep_results(spark, sf_dir)
+
+
+def q_select_best(spark, sf_dir):
+    """E3 over the sweep results."""
+    return W.select_best(_sweep_results(spark, sf_dir)).select("cell_no", "rank", "eval_loss")
+
+
+def q_comparison_table(spark, sf_dir):
+    """E4 over the sweep results."""
+    return W.comparison_table(_sweep_results(spark, sf_dir)).drop("runtime_seconds")
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """Incremental dedupe of documents via Structured Streaming; the
+    kept hash set read back from the sink."""
+    from quire.session import scratch_path
+    from quire.streaming.incremental import prepare_stream
+    base = scratch_path(spark, "stream")
+    prepare_stream(spark, sf_dir, f"{base}/sink", f"{base}/checkpoint", glob="documents.parquet")
+    return spark.read.parquet(f"{base}/sink").select("content_hash")
+
+
+def q_size_report(spark, sf_dir):
+    """Bytes of every parquet file of the tables (binaryFile, length only)."""
+    from quire.sources.store import size_report
+    return size_report(spark, sf_dir, "*.parquet")
+
+
+def q_load_splits(spark, sf_dir):
+    """Publish the doc_instr split with its manifest, then load both
+    sides back (partition-pruned scans)."""
+    from quire.plans.prepare import load_splits, prepare_dataset
+    from quire.session import scratch_path
+    root = scratch_path(spark, "prepared")
+    cfg = PrepConfig(seed=SEED, eval_holdout_size=HOLDOUT, subsample_size=SUBSAMPLE)
+    m = prepare_dataset(spark, doc_instructions(spark, sf_dir), root, cfg)
+    assert m["disjointness"]["intersection"] == 0
+    again = prepare_dataset(spark, doc_instructions(spark, sf_dir), root, cfg)
+    assert again["cache_hit"] is True
+    tr, ev = load_splits(spark, root, cfg)
+    return tr.unionByName(ev).select("row_id", "content_hash", "split")
+
+
+SPARK_QUERIES.update({
+    "chat_history": q_chat_history,
+    "sweep_plan": q_sweep_plan,
+    "sweep": q_sweep,
+    "select_best": q_select_best,
+    "comparison_table": q_comparison_table,
+    "stream_dedupe": q_stream_dedupe,
+    "size_report": q_size_report,
+    "load_splits": q_load_splits,
+})
+
+ORACLES["chat_history"] = f"""SELECT conv_id, CAST(0 AS BIGINT) AS pos, 'system' AS role, '{DEFAULT_SYSTEM}' AS content
+FROM (SELECT DISTINCT conv_id FROM conversations)
+UNION ALL SELECT conv_id, turn + 1 AS pos, role, text AS content FROM conversations"""
+
+
+def _grid_values() -> str:
+    rows, k = [], 0
+    for r in GRID["ranks"]:
+        for lr in GRID["learning_rates"]:
+            for s in GRID["schedulers"]:
+                rows.append(f"({k}, {r}, {float(lr)!r}, '{s}', {r * 2}, 'r{r}_lr{float(lr)!r}_{s}')")
+                k += 1
+    return ", ".join(rows)
+
+
+ORACLES["sweep_plan"] = f"""WITH lab AS (
+  SELECT d.doc_id, {sql_hash('d.text')} AS content_hash FROM documents d JOIN labels l USING (doc_id)),
+n AS (SELECT count(DISTINCT content_hash) AS n FROM lab),
+sz AS (SELECT n, least({SWEEP['holdout']}, greatest(1, n // 5), n) AS eval_n FROM n),
+sz2 AS (SELECT eval_n, least({SWEEP['train_size']}, n - eval_n) AS train_n FROM sz),
+g(cell_no, rank, learning_rate, scheduler, lora_alpha, run_tag) AS (VALUES {_grid_values()})
+SELECT CAST(cell_no AS INTEGER) AS cell_no, CAST(rank AS INTEGER) AS rank, CAST(learning_rate AS DOUBLE) AS learning_rate,
+       scheduler, CAST(lora_alpha AS INTEGER) AS lora_alpha, run_tag,
+       CAST(least(train_n, {SWEEP['subset_size']}) AS BIGINT) AS train_rows,
+       CAST(least(eval_n, {SWEEP['eval_subset_size']}) AS BIGINT) AS eval_rows,
+       {SWEEP['batch_size'] * SWEEP['grad_accum']} AS effective_batch, {SWEEP['max_steps']} AS steps
+FROM g, sz2"""
+
+ORACLES["stream_dedupe"] = f"""WITH {SQL_DOC_INSTR}, {sql_rendered('doc_instr')}
+SELECT DISTINCT {sql_hash('text')} AS content_hash FROM doc_instr_text"""
+
+ORACLES["load_splits"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')}
+SELECT row_id, content_hash, split FROM doc_instr_split"""

@@ -5,7 +5,7 @@ Layout of a prepared dataset::
 
     <root>/<fingerprint>/v<k>/data/split=train/...   parquet
     <root>/<fingerprint>/v<k>/data/split=eval/...
-    <root>/<fingerprint>/v<k>/_manifest.json          written last = commit
+    <root>/<fingerprint>/v<k>/manifest.json           written last = commit
 
 A version counts only once its manifest exists, so a crashed or concurrent
 writer never exposes a half-written split; ``force`` writes a new version
@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "_manifest.json"
+MANIFEST = "manifest.json"  # not "_"-prefixed: Spark skips such files on read
 
 
 # --- Hadoop FileSystem access (works for local, HDFS, object stores) --------
