@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS_RUN, _c, py_rstrip, py_strip
+from quire.functions.text import _c, fold_ws, py_rstrip, squeeze_spaces
 
 # --- fixed values: mteval-13a tokeniser ----------------------------------
 # language-independent replacements, applied in this order
@@ -32,7 +32,7 @@ def tokenize_13a(col) -> Column:
     s = F.concat(F.lit(" "), s, F.lit(" "))
     for pat, rep in TOK13A_REGEX:
         s = F.regexp_replace(s, pat, rep)
-    return F.regexp_replace(py_strip(s), WS_RUN, " ")
+    return squeeze_spaces(fold_ws(s))
 
 
 def split_tokens(tokenized) -> Column:

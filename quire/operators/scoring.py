@@ -26,6 +26,19 @@ def pair_predictions(preds: DataFrame, refs: DataFrame, check: bool = False) ->
     return pairs
 
 
+def by_pair(pairs: DataFrame) -> DataFrame:
+    """Hash-partition the compact pairs on ``(system, example_id)``.
+
+    Each pair expands to ~8x its tokens in n-gram rows; with this
+    partitioning the n-gram aggregation keyed by ``(system, example_id, n,
+    gram)`` is already satisfied (its keys are a superset), so the expanded
+    rows never cross the network and the expansion runs in
+    ``spark.sql.shuffle.partitions`` tasks whatever the input's file layout.
+    """
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, "system", "example_id")
+
+
 # --- BLEU ---------------------------------------------------------------------
 _TAG = "array<struct<n:int,g:string,hc:int,rc:int>>"
 
@@ -39,7 +52,7 @@ def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER) -> DataFrame:
     n, gram)`` - near-unique, so frequent grams spread over reducers, and
     combined map-side - then a tiny aggregation per ``(system, n)``.
     """
-    t = pairs.select("system", "example_id",
+    t = by_pair(pairs).select("system", "example_id",
                      split_tokens(tokenize_13a("prediction")).alias("h"),
                      split_tokens(tokenize_13a("reference")).alias("r"))
     tagged = F.concat(
@@ -138,7 +151,7 @@ def _stem_lcs(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
 
 def rouge_l_rows(pairs: DataFrame) -> DataFrame:
     """Per pair: LCS, token counts and the ROUGE-L F-measure (stemmed)."""
-    s = pairs.select("system", "example_id",
+    s = by_pair(pairs).select("system", "example_id",
                      _stem_lcs(rouge_tokens("prediction"), rouge_tokens("reference")).alias("s"))
     p = F.col("s.lcs") / F.col("s.n_pred")
     r = F.col("s.lcs") / F.col("s.n_ref")

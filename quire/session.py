@@ -18,6 +18,11 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+    # JVM case mapping: ~7x faster lower() than ICU; both differ from Python's
+    # str.lower() only on a few dozen supplementary code points (newer Unicode).
+    "spark.sql.icu.caseMappings.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -8,8 +8,26 @@ from pyspark.sql import functions as F
 INSTRUCTION_COLUMNS = ("instruction", "input", "output", "response")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def widen(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan that yields fewer partitions than the cluster
+    has cores (a few small files, one row group each) so per-row text work
+    runs in parallel. A large input already has enough splits and is left
+    untouched (no shuffle at scale); when it fires the input is small by
+    construction (fewer splits than cores)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par, *keys) if keys else df.repartition(par)
+    return df
+
+
+# keys used to widen small table scans
+TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"), "labels": ("doc_id",),
+              "benchmark": ("item_id",)}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, widen_small: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return widen(df, *TABLE_KEYS.get(name, ())) if widen_small else df
 
 
 def read_instructions(spark: SparkSession, path: str, fmt: str = "parquet",
