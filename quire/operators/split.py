@@ -45,7 +45,8 @@ def bucket_counts(df: DataFrame, key: str, prefix: str = "", width: int = PREFIX
 
 
 def keys_at_positions(df: DataFrame, key: str, positions, width: int = PREFIX_WIDTH,
-                      max_collect: int = MAX_COLLECT) -> dict[int, str | None]:
+                      max_collect: int = MAX_COLLECT,
+                      top_counts: list[tuple[str, int]] | None = None) -> dict[int, str | None]:
     """The key at each 1-based position of the ascending order of ``key``.
 
     ``key`` must be unique hex (e.g. a SHA-256). Exact; the driver never
@@ -57,7 +58,8 @@ def keys_at_positions(df: DataFrame, key: str, positions, width: int = PREFIX_WI
     while pending:
         prefix, offset, poss = pending.pop()
         cum = offset
-        for b, c in bucket_counts(df, key, prefix, width):
+        counts = top_counts if (not prefix and top_counts is not None) else bucket_counts(df, key, prefix, width)
+        for b, c in counts:
             inside = [p for p in poss if cum < p <= cum + c]
             if inside:
                 if c <= max_collect or len(b) >= 64:
@@ -74,20 +76,21 @@ def cut_split(df: DataFrame, holdout: int, size: int, key: str = "split_rank",
               n: int | None = None) -> tuple[DataFrame, dict]:
     """D3 + D4: label rows ``eval`` (first ``eval_n`` keys) and ``train``
     (next ``train_n`` keys); the rest is dropped. Returns the labelled frame
-    (plain range filters over ``key``) and the sizes/cut keys."""
-    if n is None:
-        n = sum(c for _, c in bucket_counts(df, key))
+    and the sizes/cut keys. The frame is a plain range filter
+    ``key <= last cut`` (pushed to the parquet scan) plus a label."""
+    top = bucket_counts(df, key)
+    n = sum(c for _, c in top) if n is None else n
     eval_n, train_n = split_sizes(n, holdout, size)
-    cuts = keys_at_positions(df, key, [eval_n, eval_n + train_n])
+    cuts = keys_at_positions(df, key, [eval_n, eval_n + train_n], top_counts=top)
     cut1 = cuts.get(eval_n) if eval_n > 0 else None
     cut2 = cuts.get(eval_n + train_n) if train_n > 0 else None
     k = F.col(key)
-    label = F.lit(None).cast("string")
-    if cut2 is not None:
-        label = F.when(k <= F.lit(cut2), F.lit("train")).otherwise(label)
-    if cut1 is not None:
-        label = F.when(k <= F.lit(cut1), F.lit("eval")).otherwise(label)
-    out = df.withColumn("split", label).filter(F.col("split").isNotNull())
+    last = cut2 if cut2 is not None else cut1
+    if last is None:
+        out = df.filter(F.lit(False)).withColumn("split", F.lit(None).cast("string"))
+    else:
+        label = F.lit("train") if cut1 is None else F.when(k <= F.lit(cut1), F.lit("eval")).otherwise(F.lit("train"))
+        out = df.filter(k <= F.lit(last)).withColumn("split", label)
     info = {"n": n, "eval_n": eval_n, "train_n": train_n, "cut_eval": cut1, "cut_train": cut2}
     return out, info
 

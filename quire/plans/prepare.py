@@ -52,7 +52,11 @@ class PrepConfig:
 def dedupe_stage(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> DataFrame:
     """Render, drop blank, hash, keep first, add ``split_rank``; staged to
     parquet under the shared checkpoint folder so the cut passes scan one
-    narrow column and recovery restarts from the staged files."""
+    narrow column and recovery restarts from the staged files.
+
+    Each staged file is sorted by ``split_rank`` (a local sort after the
+    dedupe exchange, no extra shuffle): row-group min/max statistics then
+    let the ``split_rank <= cut`` filters skip everything past the cut."""
     rendered = render(instr, cfg.template, keep=tuple(order_cols))
     hashed = with_content_hash(drop_blank(rendered))
     deduped = dedupe_keep_first(hashed, "content_hash", order_cols)
@@ -62,7 +66,7 @@ def dedupe_stage(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> D
         ranked = deduped.withColumn("split_rank", seeded_rank(cfg.seed, "prompt_hash"))
     else:
         ranked = deduped.withColumn("split_rank", seeded_rank(cfg.seed, "content_hash"))
-    return stage(ranked, "dedupe")
+    return stage(ranked.sortWithinPartitions("split_rank"), "dedupe")
 
 
 def cut(staged: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, dict]:
@@ -77,12 +81,12 @@ def cut(staged: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, dict]:
     c1 = cuts.get(eval_n) if eval_n else None
     c2 = cuts.get(eval_n + train_n) if train_n else None
     k = F.col("split_rank")
-    label = F.lit(None).cast("string")
-    if c2 is not None:
-        label = F.when(k <= c2, "train").otherwise(label)
-    if c1 is not None:
-        label = F.when(k <= c1, "eval").otherwise(label)
-    out = staged.withColumn("split", label).filter(F.col("split").isNotNull())
+    last = c2 if c2 is not None else c1
+    if last is None:
+        out = staged.filter(F.lit(False)).withColumn("split", F.lit(None).cast("string"))
+    else:
+        label = F.lit("train") if c1 is None else F.when(k <= c1, "eval").otherwise("train")
+        out = staged.filter(k <= last).withColumn("split", label)
     return out, {"n": n, "eval_n": eval_n, "train_n": train_n, "cut_eval": c1, "cut_train": c2}
 
 
@@ -114,7 +118,7 @@ def prepare_dataset(spark: SparkSession, instr: DataFrame, root: str, cfg: PrepC
         return {"dataset_id": cfg.dataset_id, "domain": cfg.domain,
                 "model_for_template": cfg.model_for_template or cfg.template,
                 "smoke_test": cfg.smoke_test, "seed": cfg.seed,
-                "fingerprint": cfg.fingerprint(), "input_rows": None,
+                "fingerprint": cfg.fingerprint(), "input_rows": int(instr.count()),
                 **counts, "cache_hit": False}
 
     vdir, manifest = store.publish_splits(splits.select(*out_cols), manifest_fn, base)

@@ -56,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) on a cluster")
             d = tempfile.mkdtemp(prefix="quire-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -93,3 +93,14 @@ def test_templates_have_markers(spark):
         assert marker in t
         p, r = py_prompt_ref(t)
         assert "hello" in p and r.startswith("world")
+
+
+def test_user_tokenizer_truncation(spark):
+    from quire.functions.tokens import truncate_with_tokenizer
+
+    def make():
+        return (lambda s: [ord(c) for c in s]), (lambda ids: "".join(map(chr, ids)))
+
+    df = spark.createDataFrame([("hello world",), ("hi",)], "t string")
+    rows = df.select(truncate_with_tokenizer(F.col("t"), make, 5).alias("x")).collect()
+    assert [(r.x.text, r.x.n_tokens, r.x.was_truncated) for r in rows] == [("hello", 11, True), ("hi", 2, False)]
