@@ -56,15 +56,24 @@ def disjointness_audit(train: DataFrame, eval_: DataFrame, key: str = "content_h
 
 
 def prompt_leakage(train: DataFrame, eval_: DataFrame, text_col: str = "text",
-                   id_col: str = "content_hash") -> DataFrame:
+                   id_col: str = "content_hash", eval_rows_bound: int | None = None) -> DataFrame:
     """Eval rows whose *prompt* (P8) also occurs in train, possibly with
     another answer. The whole-text hash split allows this; the documented
-    intent (disjoint by instruction) does not. Returns the leaking eval rows."""
+    intent (disjoint by instruction) does not. Returns the leaking eval rows.
+
+    With a proven bound on the eval size (the holdout), the eval prompt
+    hashes are broadcast and train is only scanned (semi-join map-side, no
+    shuffle of train); otherwise both sides are shuffled on the hash."""
     def ph(df):
         return df.select(id_col, content_hash(split_prompt_reference(text_col)["prompt"]).alias("prompt_hash"))
-    tr = ph(train).select("prompt_hash").distinct()
     ev = ph(eval_)
-    return ev.join(tr, "prompt_hash", "left_semi")
+    small = eval_rows_bound is not None and eval_rows_bound <= BROADCAST_MAX_ROWS
+    if small:
+        hit = (ph(train).select("prompt_hash")
+               .join(F.broadcast(ev.select("prompt_hash").distinct()), "prompt_hash", "left_semi")
+               .distinct())
+        return ev.join(F.broadcast(hit), "prompt_hash", "left_semi")
+    return ev.join(ph(train).select("prompt_hash").distinct(), "prompt_hash", "left_semi")
 
 
 def split_profile(splits: DataFrame, key: str = "content_hash") -> DataFrame:

@@ -208,7 +208,8 @@ def q_prompt_leakage(spark, sf_dir):
     """Eval rows of the conv split whose prompt is also in train."""
     cfg = PrepConfig(seed=SEED, eval_holdout_size=HOLDOUT, subsample_size=SUBSAMPLE)
     splits, _, _ = build_splits(conversation_instructions(spark, sf_dir), cfg)
-    leaks = prompt_leakage(splits.filter(F.col("split") == "train"), splits.filter(F.col("split") == "eval"))
+    leaks = prompt_leakage(splits.filter(F.col("split") == "train"), splits.filter(F.col("split") == "eval"),
+                           eval_rows_bound=HOLDOUT)
     return leaks.select("content_hash", "prompt_hash")
 
 

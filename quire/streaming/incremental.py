@@ -41,17 +41,26 @@ def prepare_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpo
                    schema: str = DOCUMENT_SCHEMA, glob: str | None = None,
                    to_instructions: Callable[[DataFrame], DataFrame] = documents_as_instructions,
                    template: str = "plain", max_files_per_trigger: int | None = None,
-                   wait: bool = True):
+                   wait: bool = True, event_time_col: str | None = None, watermark: str | None = None):
     """Run the incremental prepare with ``trigger(availableNow=True)``:
-    process every file present now, in bounded micro-batches, then stop."""
+    process every file present now, in bounded micro-batches, then stop.
+
+    Without an event time, dedupe state keeps every hash seen (exact across
+    all history). With ``event_time_col`` and ``watermark`` the state is
+    bounded: ``dropDuplicatesWithinWatermark`` forgets hashes older than the
+    watermark (copies further apart than that are no longer caught)."""
     r = spark.readStream.schema(schema).format("parquet")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     src = r.load(source_dir)
-    rows = with_content_hash(drop_blank(render(to_instructions(src), template, keep=("row_id",))))
-    dedup = rows.dropDuplicates(["content_hash"])
+    keep = ("row_id", event_time_col) if event_time_col else ("row_id",)
+    rows = with_content_hash(drop_blank(render(to_instructions(src), template, keep=keep)))
+    if event_time_col and watermark:
+        dedup = rows.withWatermark(event_time_col, watermark).dropDuplicatesWithinWatermark(["content_hash"])
+    else:
+        dedup = rows.dropDuplicates(["content_hash"])
     q = (dedup.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint)
               .trigger(availableNow=True)
@@ -65,5 +74,5 @@ def rank_fraction_split(df: DataFrame, eval_fraction: float, key: str = "split_r
     """Streaming holdout: a row is ``eval`` when its seeded rank falls in the
     first ``eval_fraction`` of the hash space. Stable for every row, but the
     eval size is a fraction, not an exact count."""
-    cut = format(int(eval_fraction * (1 << 32)), "08x")
+    cut = format(min(int(eval_fraction * (1 << 32)), (1 << 32) - 1), "08x")
     return df.withColumn("split", F.when(F.substring(F.col(key), 1, 8) < F.lit(cut), "eval").otherwise("train"))
