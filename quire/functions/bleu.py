@@ -36,9 +36,9 @@ def tokenize_13a(col) -> Column:
 
 
 def split_tokens(tokenized) -> Column:
-    """Space-joined tokens -> array (empty text -> empty array)."""
-    t = _c(tokenized)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    """Space-joined tokens -> array (empty text -> empty array). The text is
+    referenced once, so the tokeniser chain is evaluated once per row."""
+    return F.array_remove(F.split(_c(tokenized), " "), "")
 
 
 def ngrams(tokens, max_order: int = MAX_ORDER) -> Column:

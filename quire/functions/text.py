@@ -44,7 +44,7 @@ def blank_to_empty(col) -> Column:
 def ws_tokens(col) -> Column:
     """``s.split()`` as ``array<string>`` (empty array for blank text)."""
     s = F.trim(fold_ws(F.coalesce(_c(col), F.lit(""))))
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, " +"))
+    return F.array_remove(F.split(s, " +"), "")
 
 
 def fold_ws(col) -> Column:

@@ -26,62 +26,92 @@ def pair_predictions(preds: DataFrame, refs: DataFrame, check: bool = False) ->
     return pairs
 
 
-def by_pair(pairs: DataFrame) -> DataFrame:
-    """Hash-partition the compact pairs on ``(system, example_id)``.
-
-    Each pair expands to ~8x its tokens in n-gram rows; with this
-    partitioning the n-gram aggregation keyed by ``(system, example_id, n,
-    gram)`` is already satisfied (its keys are a superset), so the expanded
-    rows never cross the network and the expansion runs in
-    ``spark.sql.shuffle.partitions`` tasks whatever the input's file layout.
+def systems_of(pairs: DataFrame) -> list[str]:
+    """The distinct system names (a handful of rows)."""
+    return sorted(r[0] for r in pairs.select("system").distinct().collect())
+
+
+def per_example(pairs: DataFrame, systems: list[str]) -> DataFrame:
+    """One row per example: the reference once and one prediction column per
+    system (``p0, p1, ...``; null when that system has no prediction).
+
+    The aggregation hash-partitions on ``example_id``; every later
+    aggregation keyed by ``(example_id, ...)`` is satisfied by it, so the
+    expanded n-gram rows never cross the network, and each reference is
+    tokenised and expanded once however many systems are compared.
     """
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.repartition(n, "system", "example_id")
+    # an explicit partition count: the pairs are compact, their expansion is
+    # not, so AQE must not coalesce this shuffle into a few tasks
+    return pairs.repartition(n, "example_id").groupBy("example_id").agg(
+        F.first("reference", ignorenulls=True).alias("reference"),
+        *[F.max(F.when(F.col("system") == s, F.col("prediction"))).alias(f"p{i}") for i, s in enumerate(systems)])
 
 
 # --- BLEU ---------------------------------------------------------------------
-_TAG = "array<struct<n:int,g:string,hc:int,rc:int>>"
+_TAG = "array<struct<n:int,g:string,sys:int,w:bigint>>"
 
 
-def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER) -> DataFrame:
+def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str] | None = None) -> DataFrame:
     """Per ``(system, n)``: clipped matches, hypothesis and reference n-gram
-    totals; order ``n = 0`` counts the pairs.
-
-    One pass: each pair explodes a single tagged array of its hypothesis
-    and reference n-grams; one aggregation keyed by ``(system, example_id,
-    n, gram)`` - near-unique, so frequent grams spread over reducers, and
-    combined map-side - then a tiny aggregation per ``(system, n)``.
+    totals; order ``n = 0`` counts the examples each system predicted.
+
+    Each example explodes one tagged array - its reference n-grams once
+    (``sys = -1``), each system's hypothesis n-grams (``sys = i``) and one
+    order-0 mark per predicting system weighted by the reference length -
+    and one hash aggregation keyed by ``(example_id, n, gram)`` counts them
+    per system. The key is near-unique (frequent grams spread by example)
+    and co-partitioned with :func:`per_example`, so no exchange sits between
+    the explode and the counts; a small aggregation per ``n`` follows.
     """
-    t = by_pair(pairs).select("system", "example_id",
-                     split_tokens(tokenize_13a("prediction")).alias("h"),
-                     split_tokens(tokenize_13a("reference")).alias("r"))
-    tagged = F.concat(
-        F.transform(ngrams("h", max_order), lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"),
-                                                               F.lit(1).alias("hc"), F.lit(0).alias("rc"))),
-        F.transform(ngrams("r", max_order), lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"),
-                                                               F.lit(0).alias("hc"), F.lit(1).alias("rc"))),
-        F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(0).alias("hc"), F.lit(0).alias("rc"))))
-    e = t.select("system", "example_id", F.inline(tagged))
-    counts = e.groupBy("system", "example_id", "n", "g").agg(F.sum("hc").alias("h"), F.sum("rc").alias("r"))
-    return counts.groupBy("system", "n").agg(
-        F.coalesce(F.sum(F.when(F.col("h") > 0, F.least("h", "r"))), F.lit(0)).cast("long").alias("correct"),
-        F.sum("h").cast("long").alias("total"),
-        F.sum("r").cast("long").alias("ref_total"),
-        F.count(F.lit(1)).alias("groups"))
-
-
-def bleu_stats(pairs: DataFrame, max_order: int = MAX_ORDER) -> DataFrame:
+    systems = systems or systems_of(pairs)
+    k = len(systems)
+    wide = per_example(pairs, systems)
+    s13a = wide.select("example_id", tokenize_13a("reference").alias("rs"),
+                       *[F.when(F.col(f"p{i}").isNotNull(), tokenize_13a(f"p{i}")).alias(f"hs{i}") for i in range(k)])
+    toks = s13a.select("example_id", split_tokens("rs").alias("r"),
+                       *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
+
+    def tag(arr, sys_idx):
+        return F.transform(ngrams(arr, max_order),
+                           lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"), F.lit(sys_idx).alias("sys"),
+                                              F.lit(1).cast("bigint").alias("w")))
+
+    marks = [F.when(F.col(f"h{i}").isNotNull(),
+                    F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(i).alias("sys"),
+                                     F.size("r").cast("bigint").alias("w"))))
+              .otherwise(F.array().cast(_TAG)) for i in range(k)]
+    tagged = F.concat(tag(F.col("r"), -1),
+                      *[F.coalesce(tag(F.col(f"h{i}"), i), F.array().cast(_TAG)) for i in range(k)], *marks)
+    e = toks.select("example_id", F.inline(tagged))
+    counts = e.groupBy("example_id", "n", "g").agg(
+        F.count_if(F.col("sys") == -1).alias("r"),
+        *[F.count_if(F.col("sys") == i).alias(f"h{i}") for i in range(k)],
+        *[F.sum(F.when(F.col("sys") == i, F.col("w")).otherwise(0)).alias(f"w{i}") for i in range(k)])
+    # order 0: h_i counts the examples system i predicted, w_i sums their reference lengths
+    per_n = counts.groupBy("n").agg(
+        *[F.sum(F.least(f"h{i}", "r")).cast("long").alias(f"c{i}") for i in range(k)],
+        *[F.sum(f"h{i}").cast("long").alias(f"t{i}") for i in range(k)],
+        *[F.sum(f"w{i}").cast("long").alias(f"rl{i}") for i in range(k)])
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("system"), F.col(f"c{i}").alias("correct"),
+                                        F.col(f"t{i}").alias("total"), F.col(f"rl{i}").alias("ref_len"))
+                               for i, s in enumerate(systems)]))
+    return per_n.select("n", rows.alias("x")).select("x.system", "n", "x.correct", "x.total", "x.ref_len")
+
+
+def bleu_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str] | None = None) -> DataFrame:
     """Per ``(system, n)`` with at least one hypothesis n-gram: clipped
     matches ``correct`` and hypothesis n-gram count ``total``."""
-    st = _gram_stats(pairs, max_order)
+    st = _gram_stats(pairs, max_order, systems)
     return st.filter((F.col("n") > 0) & (F.col("total") > 0)).select("system", "n", "correct", "total")
 
 
-def corpus_bleu(pairs: DataFrame, max_order: int = MAX_ORDER, decimals: int = 4) -> DataFrame:
+def corpus_bleu(pairs: DataFrame, max_order: int = MAX_ORDER, decimals: int = 4,
+                systems: list[str] | None = None) -> DataFrame:
     """A4: corpus BLEU per system (not an average of sentence scores):
     ``system, bleu, sys_len, ref_len, n_examples``. Lengths are the unigram
     totals, so no second pass over the texts."""
-    st = _gram_stats(pairs, max_order)
+    st = _gram_stats(pairs, max_order, systems)
 
     def at(k, c):
         return F.coalesce(F.sum(F.when(F.col("n") == k, F.col(c))), F.lit(0)).cast("long")
@@ -89,8 +119,8 @@ def corpus_bleu(pairs: DataFrame, max_order: int = MAX_ORDER, decimals: int = 4)
     wide = st.groupBy("system").agg(
         *[at(k, "correct").alias(f"c{k}") for k in range(1, max_order + 1)],
         *[at(k, "total").alias(f"t{k}") for k in range(1, max_order + 1)],
-        at(1, "total").alias("sys_len"), at(1, "ref_total").alias("ref_len"),
-        at(0, "groups").alias("n_examples"))
+        at(1, "total").alias("sys_len"), at(0, "ref_len").alias("ref_len"),
+        at(0, "total").alias("n_examples"))
     c = [F.col(f"c{k}") for k in range(1, max_order + 1)]
     t = [F.col(f"t{k}") for k in range(1, max_order + 1)]
     score = bleu_from_stats(c, t, F.col("sys_len"), F.col("ref_len"))
@@ -132,27 +162,41 @@ _LCS_TYPE = T.StructType([T.StructField("lcs", T.IntegerType()), T.StructField("
                           T.StructField("n_ref", T.IntegerType())])
 
 
-@pandas_udf(_LCS_TYPE)
-def _stem_lcs(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+_LCS_ARRAY = T.ArrayType(_LCS_TYPE)
+
+
+@pandas_udf(_LCS_ARRAY)
+def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
+    """Per example: the reference stemmed once, then per system the LCS
+    (null entry when the system has no prediction)."""
     from quire.functions.porter import stem
 
     def prep(toks):
         return [stem(x) if len(x) > 3 else x for x in toks]
 
-    lcs, npred, nref = [], [], []
-    for p, r in zip(pred, ref):
-        p = prep(p if p is not None else [])
-        r = prep(r if r is not None else [])
-        npred.append(len(p))
-        nref.append(len(r))
-        lcs.append(lcs_length(p, r) if p and r else 0)
-    return pd.DataFrame({"lcs": lcs, "n_pred": npred, "n_ref": nref})
-
-
-def rouge_l_rows(pairs: DataFrame) -> DataFrame:
+    out = []
+    for r, ps in zip(ref, preds):
+        rt = prep(r if r is not None else [])
+        row = []
+        for p in ps:
+            if p is None:
+                row.append(None)
+                continue
+            pt = prep(p)
+            row.append({"lcs": lcs_length(pt, rt) if pt and rt else 0, "n_pred": len(pt), "n_ref": len(rt)})
+        out.append(row)
+    return pd.Series(out)
+
+
+def rouge_l_rows(pairs: DataFrame, systems: list[str] | None = None) -> DataFrame:
     """Per pair: LCS, token counts and the ROUGE-L F-measure (stemmed)."""
-    s = by_pair(pairs).select("system", "example_id",
-                     _stem_lcs(rouge_tokens("prediction"), rouge_tokens("reference")).alias("s"))
+    systems = systems or systems_of(pairs)
+    k = len(systems)
+    wide = per_example(pairs, systems)
+    preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_tokens(f"p{i}")) for i in range(k)])
+    s = wide.select("example_id", F.posexplode(_stem_lcs(rouge_tokens("reference"), preds)).alias("i", "s"))
+    s = s.filter(F.col("s").isNotNull()).withColumn(
+        "system", F.element_at(F.array(*[F.lit(x) for x in systems]), F.col("i") + 1))
     p = F.col("s.lcs") / F.col("s.n_pred")
     r = F.col("s.lcs") / F.col("s.n_ref")
     f = F.when((F.col("s.n_pred") == 0) | (F.col("s.n_ref") == 0) | (F.col("s.lcs") == 0), F.lit(0.0)) \
@@ -161,18 +205,19 @@ def rouge_l_rows(pairs: DataFrame) -> DataFrame:
                     F.col("s.n_ref").alias("n_ref"), f.alias("rouge_l_f"))
 
 
-def rouge_l(pairs: DataFrame, decimals: int = 4) -> DataFrame:
+def rouge_l(pairs: DataFrame, decimals: int = 4, systems: list[str] | None = None) -> DataFrame:
     """A5: mean ROUGE-L F x 100 per system (no rows -> no system row)."""
-    return rouge_l_rows(pairs).groupBy("system").agg(
+    return rouge_l_rows(pairs, systems).groupBy("system").agg(
         F.round(F.coalesce(F.avg("rouge_l_f"), F.lit(0.0)) * 100.0, decimals).alias("rouge_l"))
 
 
 # --- comparison and throughput -------------------------------------------------
-def score_systems(pairs: DataFrame, with_rouge: bool = True) -> DataFrame:
+def score_systems(pairs: DataFrame, with_rouge: bool = True, systems: list[str] | None = None) -> DataFrame:
     """BLEU (and ROUGE-L) per system."""
-    b = corpus_bleu(pairs)
+    systems = systems or systems_of(pairs)
+    b = corpus_bleu(pairs, systems=systems)
     if with_rouge:
-        b = b.join(rouge_l(pairs), "system", "left")
+        b = b.join(rouge_l(pairs, systems=systems), "system", "left")
     return b
 
 

@@ -101,7 +101,7 @@ def take_first(df: DataFrame, n: int, order_col: str = "split_rank") -> DataFram
 
 
 def with_positions(df: DataFrame, key: str = "split_rank", pos_col: str = "pos",
-                   width: int | None = None) -> DataFrame:
+                   width: int | None = None, counts: list[tuple[str, int]] | None = None) -> DataFrame:
     """Exact 0-based global position in ``key`` order without a global sort.
 
     Bucket offsets come from prefix counts (at most ``16**width`` rows, so
@@ -109,7 +109,7 @@ def with_positions(df: DataFrame, key: str = "split_rank", pos_col: str = "pos",
     ``row_number`` orders the keys. Buckets are hash prefixes of unique keys,
     so no bucket is hot.
     """
-    counts = bucket_counts(df, key, "", width or PREFIX_WIDTH)
+    counts = counts if counts is not None else bucket_counts(df, key, "", width or PREFIX_WIDTH)
     n = sum(c for _, c in counts)
     if width is None:
         # aim at <= ~1M rows per bucket; at most 16**6 offset rows
@@ -139,10 +139,11 @@ def batch_plan(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epochs:
     ``ceil(n / effective)``; ``max_steps > 0`` overrides the epoch count.
     """
     eff = batch_size * grad_accum
-    p = with_positions(df, key)
+    counts = bucket_counts(df, key)
+    n = sum(c for _, c in counts)
+    p = with_positions(df, key, counts=counts if n <= 16 ** PREFIX_WIDTH * 1_000_000 else None)
     out = (p.withColumn("micro_batch", F.floor(F.col("pos") / batch_size))
              .withColumn("step", F.floor(F.col("pos") / eff)))
-    n = df.count()
     steps_per_epoch = math.ceil(n / eff) if n else 0
     total = max_steps if max_steps and max_steps > 0 else steps_per_epoch * epochs
     return out, {"rows": n, "effective_batch": eff, "steps_per_epoch": steps_per_epoch, "total_steps": total}

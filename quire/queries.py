@@ -492,9 +492,11 @@ def q_rouge_l(spark, sf_dir):
 
 
 def q_compare_systems(spark, sf_dir):
-    """Full comparison row (BLEU and ROUGE-L)."""
+    """Full comparison row (BLEU and ROUGE-L); the pairs are staged once
+    and both metrics read them."""
+    from quire.session import stage
     pairs, _ = _pairs(spark, sf_dir)
-    return S.compare_systems(S.score_systems(pairs))
+    return S.compare_systems(S.score_systems(stage(pairs, "pairs")))
 
 
 SPARK_QUERIES.update({
@@ -619,7 +621,8 @@ def labelled_split(spark, sf_dir, holdout=SWEEP["holdout"], size=SWEEP["train_si
                                                 F.col("quality").cast("double").alias("label"))
     j = R.with_content_hash(d.join(lab, "row_id"))
     ranked = dedupe_keep_first(j, "content_hash", ("row_id",)).withColumn("split_rank", seeded_rank(SEED, "content_hash"))
-    splits, info = cut_split(ranked, holdout, size)
+    from quire.session import stage
+    splits, info = cut_split(stage(ranked.sortWithinPartitions("split_rank"), "labelled"), holdout, size)
     return splits, info
 
 

@@ -114,7 +114,8 @@ def test_bleu_aggregation_needs_no_exchange_after_explode(spark):
     df = spark.createDataFrame([(1, "s", "a b c", "a b d")],
                                "example_id long, system string, prediction string, reference string")
     plan = _plan(_gram_stats(df))
-    gen = plan.index("Generate")
-    # between the explode and the per-gram aggregation there is no exchange
-    below_first_exchange = plan[:gen]
-    assert below_first_exchange.count("Exchange") == 1   # only the tiny (system, n) exchange above it
+    gen = plan.index("Generate inline")
+    # above the explode (earlier in the top-down text) only the tiny per-order exchange remains;
+    # below it, the pairs are hash-partitioned once on example_id
+    assert plan[:gen].count("Exchange") == 1 and "Exchange hashpartitioning(n#" in plan[:gen]
+    assert "Exchange hashpartitioning(example_id" in plan[gen:]
