@@ -732,3 +732,20 @@ SELECT DISTINCT {sql_hash('text')} AS content_hash FROM doc_instr_text"""
 
 ORACLES["load_splits"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')}
 SELECT row_id, content_hash, split FROM doc_instr_split"""
+
+
+def q_benchmark_disjointness(spark, sf_dir):
+    """D5 against the fixed evaluation side: normalised-hash overlap between
+    the corpus documents and the benchmark items (whole texts)."""
+    docs = table(spark, sf_dir, "documents").select(content_hash("text").alias("content_hash"))
+    bench = table(spark, sf_dir, "benchmark").select(content_hash("text").alias("content_hash"))
+    return disjointness_audit(docs, bench, fail=False).select(
+        F.col("train_unique_hashes").alias("corpus_unique_hashes"),
+        F.col("eval_unique_hashes").alias("benchmark_unique_hashes"), "intersection")
+
+
+SPARK_QUERIES["benchmark_disjointness"] = q_benchmark_disjointness
+ORACLES["benchmark_disjointness"] = f"""WITH d AS (SELECT DISTINCT {sql_hash('text')} AS h FROM documents),
+b AS (SELECT DISTINCT {sql_hash('text')} AS h FROM benchmark)
+SELECT (SELECT count(*) FROM d) AS corpus_unique_hashes, (SELECT count(*) FROM b) AS benchmark_unique_hashes,
+       (SELECT count(*) FROM d JOIN b USING (h)) AS intersection"""
