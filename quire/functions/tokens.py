@@ -27,6 +27,9 @@ def truncate_with_tokenizer(col: Column, make_tokenizer: Callable[[], tuple[Call
     ``(encode(str) -> list[int], decode(list[int]) -> str)``. No packing:
     each text is cut on its own."""
 
+    from quire.session import ship_package
+    ship_package()
+
     @pandas_udf(TRUNC_TYPE)
     def trunc(s: pd.Series) -> pd.DataFrame:
         key = id(make_tokenizer)

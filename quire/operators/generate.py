@@ -12,6 +12,8 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from quire.session import ship_package
+
 PRED_SCHEMA = "example_id long, system string, prediction string, n_tokens int, seconds double"
 
 
@@ -19,6 +21,7 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFram
     """Apply ``fn(row_dict) -> dict`` to every row; the output has only
     ``schema``'s columns (input columns are dropped). Prefer Column
     expressions when they can say the same thing."""
+    ship_package(df.sparkSession)
     names = [f.strip().split(" ")[0] for f in schema.split(",")]
 
     def run(batches):
@@ -44,6 +47,7 @@ def batch_generate(df: DataFrame, make_generator: Callable[[], Callable[[pd.Data
     for reproducible tests). Write the result once (parquet) before scoring
     so scoring never generates again.
     """
+    ship_package(df.sparkSession)
 
     def run(batches):
         gen = make_generator()

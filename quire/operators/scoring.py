@@ -12,6 +12,7 @@ from pyspark.sql.functions import pandas_udf
 
 from quire.functions.bleu import MAX_ORDER, bleu_from_stats, ngrams, split_tokens, tokenize_13a
 from quire.functions.text import _c
+from quire.session import ship_package
 
 
 def pair_predictions(preds: DataFrame, refs: DataFrame, check: bool = False) -> DataFrame:
@@ -191,6 +192,7 @@ def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
 def rouge_l_rows(pairs: DataFrame, systems: list[str] | None = None) -> DataFrame:
     """Per pair: LCS, token counts and the ROUGE-L F-measure (stemmed)."""
     systems = systems or systems_of(pairs)
+    ship_package(pairs.sparkSession)
     k = len(systems)
     wide = per_example(pairs, systems)
     preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_tokens(f"p{i}")) for i in range(k)])

@@ -81,3 +81,35 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``quire`` importable in Python workers (pandas UDFs and
+    ``mapInPandas`` functions are pickled by module reference).
+
+    The package is zipped once per driver process and added with
+    ``addPyFile``, which distributes it to every executor; a no-op when the
+    package is already importable there because it is installed.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    zf.write(p, os.path.relpath(p, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
