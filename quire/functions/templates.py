@@ -71,12 +71,14 @@ def render_chat(messages, template: str = "plain") -> Column:
     return fn(messages)
 
 
-def split_prompt_reference(text) -> Column:
+def split_prompt_reference(text, strip_suffixes: tuple[str, ...] = ()) -> Column:
     """struct(prompt, reference).
 
     Cut right after the first occurrence of the first marker (in priority
     order) that occurs in the text; the reference is stripped, the prompt is
     not. Without any marker the text is cut at ``len // 2`` code points.
+    ``strip_suffixes`` (e.g. ``("</s>",)``) removes a template's end token
+    from the reference (off by default: the plain split keeps it).
     """
     t = _c(text)
     cut = F.floor(F.length(t) / 2).cast("int")  # fallback: len // 2
@@ -85,4 +87,7 @@ def split_prompt_reference(text) -> Column:
         cut = F.when(pos > 0, pos + F.lit(len(m)) - 1).otherwise(cut)
     prompt = F.substring(t, F.lit(1), cut)
     reference = py_strip(F.substring(t, cut + 1, F.lit(2147483647)))
+    for suf in strip_suffixes:
+        cut_ref = py_strip(F.substring(reference, F.lit(1), F.length(reference) - len(suf)))
+        reference = F.when(reference.endswith(suf), cut_ref).otherwise(reference)
     return F.struct(prompt.alias("prompt"), reference.alias("reference"))

@@ -112,3 +112,18 @@ def test_size_report(spark, tmpdir_path):
     r = store.size_report(spark, tmpdir_path).first()
     assert (r.files, r.bytes, r.mb) == (2, 1000 + (3 << 20), round((1000 + (3 << 20)) / 2 ** 20, 2))
     assert store.compression_ratio(13.5, 4.07) == 3.32
+
+
+def test_prompt_keyed_split_keeps_prompts_on_one_side(spark):
+    # 40 prompts, each with 3 different answers
+    rows = [(p * 10 + a, f"question {p}", "", f"answer {a} to {p}") for p in range(40) for a in range(3)]
+    df = spark.createDataFrame(rows, "row_id long, instruction string, input string, output string")
+    cfg = PrepConfig(seed=1, eval_holdout_size=5, subsample_size=1000, split_key="prompt")
+    splits, _, info = build_splits(df, cfg)
+    got = splits.select("row_id", "split").collect()
+    sides = {}
+    for r in got:
+        sides.setdefault(r.row_id // 10, set()).add(r.split)
+    assert all(len(s) == 1 for s in sides.values())
+    assert info["n"] == 40 and info["eval_n"] == 5 and info["train_n"] == 35
+    assert sum(1 for s in sides.values() if s == {"eval"}) == 5 and len(got) == 120

@@ -104,3 +104,13 @@ def test_user_tokenizer_truncation(spark):
     df = spark.createDataFrame([("hello world",), ("hi",)], "t string")
     rows = df.select(truncate_with_tokenizer(F.col("t"), make, 5).alias("x")).collect()
     assert [(r.x.text, r.x.n_tokens, r.x.was_truncated) for r in rows] == [("hello", 11, True), ("hi", 2, False)]
+
+
+def test_strip_suffixes_and_report_writer(spark, tmpdir_path):
+    df = spark.createDataFrame([("<s>[INST] q [/INST] answer </s>",), ("<|user|>\nq</s>\n<|assistant|>\na</s>\n",)],
+                               "t string")
+    rows = df.select(split_prompt_reference("t", ("</s>",)).alias("pr")).collect()
+    assert [r.pr.reference for r in rows] == ["answer", "a"]
+    from quire.sources.store import write_report
+    write_report(df, f"{tmpdir_path}/rep")
+    assert spark.read.json(f"{tmpdir_path}/rep").count() == 2
