@@ -62,6 +62,12 @@ def render_role_header(messages) -> Column:
 TEMPLATES = {"plain": render_plain, "inst": render_inst, "role_header": render_role_header}
 
 
+def register_template(name: str, fn) -> None:
+    """Add a chat template: ``fn(messages Column) -> text Column`` (build it
+    from Column functions, e.g. ``transform`` over the message array)."""
+    TEMPLATES[name] = fn
+
+
 def render_chat(messages, template: str = "plain") -> Column:
     """P5: apply a registered template (unknown name -> error)."""
     try:

@@ -82,34 +82,47 @@ def default_cell(train: DataFrame, eval_: DataFrame, params: dict, max_steps: in
 
 def run_sweep(spark: SparkSession, grid: DataFrame, train: DataFrame, eval_: DataFrame,
               cell_fn: Callable[[DataFrame, DataFrame, dict], float] = default_cell,
-              results_path: str | None = None) -> DataFrame:
-    """Run every cell (a driver loop, as cells are whole Spark jobs);
-    the two subsets are persisted once for all cells. With ``results_path``
-    each finished cell is written at once and a re-run skips finished cells."""
+              results_path: str | None = None, max_concurrent_cells: int = 1) -> DataFrame:
+    """Run every cell; the two subsets are persisted once for all cells.
+
+    Cells are whole Spark jobs submitted from the driver (the grid is a small
+    parameter table). ``max_concurrent_cells > 1`` submits several cells at
+    once from a thread pool - on a large cluster one small fit does not fill
+    it. With ``results_path`` each finished cell is written at once and a
+    re-run skips finished cells; a failing cell fails the sweep but keeps
+    the finished ones.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from quire.sources.store import exists
 
-    cells = [r.asDict() for r in grid.orderBy("cell_no").collect()]   # the grid is a small parameter table
+    cells = [r.asDict() for r in grid.orderBy("cell_no").collect()]
     train, eval_ = train.persist(), eval_.persist()
-    rows = []
+
+    def run_one(cell):
+        part = f"{results_path}/cell_no={cell['cell_no']}" if results_path else None
+        if part and exists(spark, f"{part}/_SUCCESS"):
+            return None
+        t0 = time.perf_counter()
+        loss = cell_fn(train, eval_, cell)
+        row = {**cell, "eval_loss": float(loss), "runtime_seconds": round(time.perf_counter() - t0, 2)}
+        if part:
+            spark.createDataFrame([row], RESULT_SCHEMA).drop("cell_no").coalesce(1) \
+                 .write.mode("overwrite").parquet(part)
+        return row
+
     try:
-        for cell in cells:
-            part = f"{results_path}/cell_no={cell['cell_no']}" if results_path else None
-            if part and exists(spark, f"{part}/_SUCCESS"):
-                continue
-            t0 = time.perf_counter()
-            loss = cell_fn(train, eval_, cell)
-            row = {**cell, "eval_loss": float(loss), "runtime_seconds": round(time.perf_counter() - t0, 2)}
-            if part:
-                one = spark.createDataFrame([row], RESULT_SCHEMA).drop("cell_no")
-                one.coalesce(1).write.mode("overwrite").parquet(part)
-            else:
-                rows.append(row)
+        if max_concurrent_cells > 1:
+            with ThreadPoolExecutor(max_workers=max_concurrent_cells) as pool:
+                rows = list(pool.map(run_one, cells))
+        else:
+            rows = [run_one(c) for c in cells]
     finally:
         train.unpersist()
         eval_.unpersist()
     if results_path:
         return spark.read.parquet(results_path).select(*[c.split(" ")[0] for c in RESULT_SCHEMA.split(", ")])
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return spark.createDataFrame([r for r in rows if r is not None], RESULT_SCHEMA)
 
 
 def select_best(results: DataFrame, metric: str = "eval_loss", mode: str = "min") -> DataFrame:
@@ -128,7 +141,8 @@ def comparison_table(results: DataFrame, metric: str = "eval_loss", mode: str =
     row per cell, so the ranking window is small by construction."""
     best = select_best(results, metric, mode).select(F.col("cell_no").alias("_best"))
     m = F.col(metric).asc_nulls_last() if mode == "min" else F.col(metric).desc_nulls_last()
-    w = Window.orderBy(m, F.col("rank").asc(), F.col("cell_no").asc())
+    nan_last = F.coalesce(F.isnan(F.col(metric)), F.lit(True)).asc()   # NaN/null after every number
+    w = Window.orderBy(nan_last, m, F.col("rank").asc(), F.col("cell_no").asc())
     return (results.join(F.broadcast(best), F.col("cell_no") == F.col("_best"), "left")
                    .select(F.row_number().over(w).alias("position"), "cell_no", "rank", "learning_rate", "scheduler",
                            F.format_string("%.4f", F.col(metric)).alias(f"{metric}_text"),

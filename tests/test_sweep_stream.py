@@ -43,6 +43,8 @@ def test_sweep_select_table_and_resume(spark, tmpdir_path):
     assert calls == []            # every cell already finished
     top = W.select_best(res, mode="max").first()
     assert top.eval_loss == 0.5   # NaN never wins
+    tab_max = W.comparison_table(res, mode="max").orderBy("position").collect()
+    assert tab_max[0].selected and tab_max[0].eval_loss_text == "0.5000" and tab_max[-1].eval_loss_text == "NaN"
 
 
 def test_default_cell_runs_on_spark(spark):
@@ -91,3 +93,22 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmpdir_path):
     assert n == 927
     prepare_stream(spark, SF01, sink, ck, glob="documents.parquet")
     assert spark.read.parquet(sink).count() == n
+
+
+def test_concurrent_cells_equal_sequential(spark):
+    g = W.param_grid(spark, **SMOKE)
+    d = spark.range(10).select(F.col("id").alias("row_id"))
+    a = W.run_sweep(spark, g, d, d, _fake_cell)
+    b = W.run_sweep(spark, g, d, d, _fake_cell, max_concurrent_cells=4)
+    key = lambda r: r.cell_no
+    strip = lambda rows: [(r.cell_no, r.run_tag, r.eval_loss if r.eval_loss == r.eval_loss else "nan")
+                          for r in sorted(rows, key=key)]
+    assert strip(a.collect()) == strip(b.collect())
+
+
+def test_register_template(spark):
+    from quire.functions.templates import register_template
+    from quire.operators.render import render
+    register_template("tagged", lambda m: F.concat(F.lit("Q: "), m[0]["content"], F.lit(" A: "), m[1]["content"]))
+    df = spark.createDataFrame([(1, "hi", "", "yo")], "row_id int, instruction string, input string, output string")
+    assert render(df, "tagged").first().text == "Q: hi A: yo"
