@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.templates import render_chat, to_messages
-from quire.functions.text import blank_to_empty, content_hash, is_blank, py_strip
+from quire.functions.text import blank_to_empty, content_hash, is_blank
 
 
 def _col_or_null(df: DataFrame, name: str):
@@ -64,5 +64,3 @@ def with_content_hash(df: DataFrame, col: str = "text", out: str = "content_hash
     return df.withColumn(out, content_hash(col))
 
 
-def strip_col(col: str):
-    return py_strip(col)

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.templates import render_chat, split_prompt_reference, to_messages
-from quire.functions.text import (content_hash, normalize_text, seeded_rank, text_preview,
-                                  truncate_ws_tokens, ws_tokens)
+from quire.functions.text import (WS_CLASS, content_hash, normalize_text, seeded_rank, text_preview,
+                                  truncate_ws_tokens)
 from quire.operators import render as R
 from quire.operators.audit import disjointness_audit, dry_run_report, prompt_leakage
 from quire.operators.dedupe import dedupe_keep_first
@@ -33,8 +33,8 @@ TRUNC_TOKENS = 64      # P10 token budget
 PREVIEW_N = 200        # S3/A2 preview size
 GEN_TOKENS = 16        # stand-in generators: words per prediction
 
-# Python-exact whitespace class for DuckDB (RE2) regexes.
-WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Python-exact whitespace class, valid in DuckDB (RE2) regexes as well.
+WS = WS_CLASS
 
 
 def sql_strip(e: str) -> str:
