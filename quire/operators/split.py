@@ -147,3 +147,11 @@ def batch_plan(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epochs:
     steps_per_epoch = math.ceil(n / eff) if n else 0
     total = max_steps if max_steps and max_steps > 0 else steps_per_epoch * epochs
     return out, {"rows": n, "effective_batch": eff, "steps_per_epoch": steps_per_epoch, "total_steps": total}
+
+
+def write_shards(plan: DataFrame, path: str, rows_per_shard: int, pos_col: str = "pos") -> None:
+    """D8 export: ``shard = pos // rows_per_shard``, written with
+    ``partitionBy("shard")``. Positions are contiguous inside each hash-prefix
+    bucket, so a task writes to only a few shard folders."""
+    (plan.withColumn("shard", F.floor(F.col(pos_col) / int(rows_per_shard)).cast("long"))
+         .write.mode("error").partitionBy("shard").parquet(path))

@@ -21,6 +21,8 @@ LOCAL_CONF = {
     # JVM case mapping: ~7x faster lower() than ICU; both differ from Python's
     # str.lower() only on a few dozen supplementary code points (newer Unicode).
     "spark.sql.icu.caseMappings.enabled": "false",
+    # documents can be long: keep Arrow batches for pandas UDFs / mapInPandas small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

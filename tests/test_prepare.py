@@ -127,3 +127,20 @@ def test_prompt_keyed_split_keeps_prompts_on_one_side(spark):
     assert all(len(s) == 1 for s in sides.values())
     assert info["n"] == 40 and info["eval_n"] == 5 and info["train_n"] == 35
     assert sum(1 for s in sides.values() if s == {"eval"}) == 5 and len(got) == 120
+
+
+def test_batch_plan_and_shards(spark, tmpdir_path):
+    from quire.operators.split import batch_plan, write_shards
+    raw = synthetic_instructions(spark, 600, 42)
+    splits, _, _ = build_splits(raw, SMOKE)
+    train = splits.filter(F.col("split") == "train")
+    plan, info = batch_plan(train, batch_size=8, grad_accum=4, epochs=1)
+    assert info == {"rows": 200, "effective_batch": 32, "steps_per_epoch": 7, "total_steps": 7}
+    rows = sorted(plan.collect(), key=lambda r: r.pos)
+    assert [r.pos for r in rows] == list(range(200))
+    assert [r.split_rank for r in rows] == sorted(r.split_rank for r in rows)
+    assert rows[-1].micro_batch == 24 and rows[-1].step == 6
+    assert batch_plan(train, 8, 4, max_steps=3)[1]["total_steps"] == 3
+    write_shards(plan, f"{tmpdir_path}/shards", 64)
+    got = spark.read.parquet(f"{tmpdir_path}/shards").groupBy("shard").count().orderBy("shard").collect()
+    assert [(r.shard, r["count"]) for r in got] == [(0, 64), (1, 64), (2, 64), (3, 8)]
