@@ -59,14 +59,18 @@ def dedupe_stage(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> D
     let the ``split_rank <= cut`` filters skip everything past the cut."""
     rendered = render(instr, cfg.template, keep=tuple(order_cols))
     hashed = with_content_hash(drop_blank(rendered))
-    deduped = dedupe_keep_first(hashed, "content_hash", order_cols)
     if cfg.split_key == "prompt":
+        deduped = dedupe_keep_first(hashed, "content_hash", order_cols)
         deduped = deduped.withColumn(
             "prompt_hash", content_hash(split_prompt_reference("text")["prompt"]))
         ranked = deduped.withColumn("split_rank", seeded_rank(cfg.seed, "prompt_hash"))
-    else:
-        ranked = deduped.withColumn("split_rank", seeded_rank(cfg.seed, "content_hash"))
-    return stage(ranked.sortWithinPartitions("split_rank"), "dedupe")
+        return stage(ranked.sortWithinPartitions("split_rank"), "dedupe")
+    # split_rank = sha256(seed:hash) is a bijection of content_hash, so grouping
+    # by it is the same dedupe; the aggregation's output is then already sorted
+    # by split_rank and the staged files need no second sort of the wide rows
+    ranked = hashed.withColumn("split_rank", seeded_rank(cfg.seed, "content_hash"))
+    deduped = dedupe_keep_first(ranked, "split_rank", order_cols)
+    return stage(deduped.sortWithinPartitions("split_rank"), "dedupe")
 
 
 def cut(staged: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, dict]:

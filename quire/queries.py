@@ -257,7 +257,8 @@ def q_preview(spark, sf_dir):
 
 def q_dry_run_report(spark, sf_dir):
     """A2 on the first PREVIEW_N doc_instr rows."""
-    return dry_run_report(doc_instructions(spark, sf_dir), PREVIEW_N).drop("columns")
+    r = dry_run_report(doc_instructions(spark, sf_dir), PREVIEW_N)
+    return r.withColumn("columns", F.array_join("columns", ","))
 
 
 def q_conv_pairs(spark, sf_dir):
@@ -401,7 +402,8 @@ ORACLES["dry_run_report"] = f"""WITH {SQL_DOC_INSTR}, s0 AS (SELECT * FROM doc_i
 {sql_clean('s0')},
 h AS (SELECT row_id, {sql_plain()} AS text, {sql_strip("coalesce(input, '')")} = '' AS empty_input FROM s0_msg),
 h2 AS (SELECT *, {sql_strip('text')} <> '' AS non_empty, {sql_hash('text')} AS content_hash FROM h)
-SELECT count(*) AS rows_streamed, true AS instruction_present, true AS input_present, true AS output_present,
+SELECT count(*) AS rows_streamed, 'input,instruction,output' AS columns,
+       true AS instruction_present, true AS input_present, true AS output_present,
        count(*) FILTER (WHERE empty_input) AS empty_input_rows_in_slice,
        coalesce(arg_min(non_empty, row_id) FILTER (WHERE empty_input), true) AS empty_input_handled,
        coalesce(bool_and(non_empty), true) AS all_formatted_non_empty,
