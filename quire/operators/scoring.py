@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from quire.functions.bleu import MAX_ORDER, bleu_from_stats, ngrams, split_tokens, tokenize_13a
+from quire.functions.bleu import MAX_ORDER, bleu_from_stats, ngrams_sql, split_tokens, tokenize_13a
 from quire.functions.text import _c
 from quire.session import ship_package
 
@@ -73,17 +73,15 @@ def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str]
     toks = s13a.select("example_id", split_tokens("rs").alias("r"),
                        *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
 
-    def tag(arr, sys_idx):
-        return F.transform(ngrams(arr, max_order),
-                           lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"), F.lit(sys_idx).alias("sys"),
-                                              F.lit(1).cast("bigint").alias("w")))
-
-    marks = [F.when(F.col(f"h{i}").isNotNull(),
-                    F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(i).alias("sys"),
-                                     F.size("r").cast("bigint").alias("w"))))
-              .otherwise(F.array().cast(_TAG)) for i in range(k)]
-    tagged = F.concat(tag(F.col("r"), -1),
-                      *[F.coalesce(tag(F.col(f"h{i}"), i), F.array().cast(_TAG)) for i in range(k)], *marks)
+    def tag(arr: str, sys_idx: int) -> str:
+        return ngrams_sql(arr, max_order, f", 'sys', {sys_idx}, 'w', CAST(1 AS BIGINT)")
+
+    empty = f"CAST(array() AS {_TAG})"
+    hyps = [f"coalesce({tag(f'h{i}', i)}, {empty})" for i in range(k)]
+    # order 0 marks: one per predicting system, weighted by the reference length
+    marks = [f"IF(h{i} IS NULL, {empty}, array(named_struct('n', 0, 'g', '', 'sys', {i}, "
+             f"'w', CAST(size(r) AS BIGINT))))" for i in range(k)]
+    tagged = F.expr("concat(" + ", ".join([f"coalesce({tag('r', -1)}, {empty})", *hyps, *marks]) + ")")
     e = toks.select("example_id", F.inline(tagged))
     counts = e.groupBy("example_id", "n", "g").agg(
         F.count_if(F.col("sys") == -1).alias("r"),
