@@ -58,17 +58,18 @@ def ngrams(tokens, max_order: int = MAX_ORDER) -> Column:
     return F.concat(*parts)
 
 
-def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "") -> str:
+def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "", elem_type: str = NGRAM_TYPE) -> str:
     """The same n-grams as :func:`ngrams`, as one SQL expression over the
     array column ``arr`` (parsed JVM-side in one call instead of one Python
     round trip per node). ``extra`` appends fields to each struct, e.g.
-    ``", 'sys', 0"``."""
+    ``", 'sys', 0"``; ``elem_type`` is the resulting array type."""
+    empty = f"CAST(array() AS {elem_type})"
     parts = []
     for n in range(1, max_order + 1):
         parts.append(
             f"IF(size({arr}) >= {n}, transform(sequence(0, size({arr}) - {n}), "
-            f"i -> named_struct('n', {n}, 'g', array_join(slice({arr}, i + 1, {n}), ' '){extra})), NULL)")
-    return "flatten(filter(array(" + ", ".join(parts) + "), x -> x IS NOT NULL))"
+            f"i -> named_struct('n', {n}, 'g', array_join(slice({arr}, i + 1, {n}), ' '){extra})), {empty})")
+    return "concat(" + ", ".join(parts) + ")"
 
 
 def bleu_from_stats(c: list, t: list, sys_len, ref_len) -> Column:

@@ -74,7 +74,7 @@ def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str]
                        *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
 
     def tag(arr: str, sys_idx: int) -> str:
-        return ngrams_sql(arr, max_order, f", 'sys', {sys_idx}, 'w', CAST(1 AS BIGINT)")
+        return ngrams_sql(arr, max_order, f", 'sys', {sys_idx}, 'w', CAST(1 AS BIGINT)", _TAG)
 
     empty = f"CAST(array() AS {_TAG})"
     hyps = [f"coalesce({tag(f'h{i}', i)}, {empty})" for i in range(k)]

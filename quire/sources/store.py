@@ -54,7 +54,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    """Read one small file (manifest) through the Hadoop FS, without a job."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8")
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
