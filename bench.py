@@ -45,11 +45,18 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    pairs = 2 * Q.SPARK_QUERIES["conv_pairs"](spark, sf_dir).count()     # two systems scored
+
+    def rate(rows, name):
+        return round(rows / times[name], 1) if times.get(name) else None
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     total = round(sum(times.values()), 3)
     out = {"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
            "sf": float(m.group(1)) if m else None, "cpus": cpus,
-           "prepare_rows_per_sec": round(docs / times["load_splits"], 1) if times.get("load_splits") else None}
+           "prepare_rows_per_sec": rate(docs, "load_splits"),
+           "bleu_pairs_per_sec": rate(pairs, "bleu_score"),
+           "rouge_pairs_per_sec": rate(pairs, "rouge_l")}
     print(json.dumps(out))
     spark.stop()
 
