@@ -49,11 +49,39 @@ def per_example(pairs: DataFrame, systems: list[str]) -> DataFrame:
         *[F.max(F.when(F.col("system") == s, F.col("prediction"))).alias(f"p{i}") for i, s in enumerate(systems)])
 
 
+def per_example_from(preds: DataFrame, refs: DataFrame, systems: list[str], check: bool = False) -> DataFrame:
+    """The :func:`per_example` frame built directly from predictions
+    ``(example_id, system, prediction)`` and references ``(example_id,
+    reference)``: one shuffle of their union on ``example_id`` instead of a
+    join followed by a re-partition, so each reference crosses the network
+    once and is never duplicated per system. Inner-join semantics: examples
+    without a reference or without any prediction are dropped; with
+    ``check`` a prediction without a reference raises."""
+    n = int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    u = (preds.select("example_id", "system", F.col("prediction").alias("t"))
+         .unionByName(refs.select("example_id", F.lit(None).cast("string").alias("system"),
+                                  F.col("reference").alias("t"))))
+    g = u.repartition(n, "example_id").groupBy("example_id").agg(
+        F.max(F.when(F.col("system").isNull(), F.col("t"))).alias("reference"),
+        F.max(F.col("system").isNull().cast("int")).alias("_has_ref"),
+        *[F.max(F.when(F.col("system") == s, F.col("t"))).alias(f"p{i}") for i, s in enumerate(systems)],
+        *[F.max((F.col("system") == s).cast("int")).alias(f"_has{i}") for i, s in enumerate(systems)])
+    has_pred = F.greatest(*[F.coalesce(F.col(f"_has{i}"), F.lit(0)) for i in range(len(systems))]) \
+        if len(systems) > 1 else F.coalesce(F.col("_has0"), F.lit(0))
+    if check:
+        orphans = g.filter((F.col("_has_ref") == 0) & (has_pred == 1)).count()
+        if orphans:
+            raise ValueError(f"{orphans} examples have predictions but no reference")
+    return g.filter((F.col("_has_ref") == 1) & (has_pred == 1)).select("example_id", "reference",
+                                                                        *[f"p{i}" for i in range(len(systems))])
+
+
 # --- BLEU ---------------------------------------------------------------------
 _TAG = "array<struct<n:int,g:string,sys:int,w:bigint>>"
 
 
-def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str] | None = None) -> DataFrame:
+def _gram_stats(pairs: DataFrame | None, max_order: int = MAX_ORDER, systems: list[str] | None = None,
+                wide: DataFrame | None = None) -> DataFrame:
     """Per ``(system, n)``: clipped matches, hypothesis and reference n-gram
     totals; order ``n = 0`` counts the examples each system predicted.
 
@@ -67,7 +95,7 @@ def _gram_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str]
     """
     systems = systems or systems_of(pairs)
     k = len(systems)
-    wide = per_example(pairs, systems)
+    wide = wide if wide is not None else per_example(pairs, systems)
     s13a = wide.select("example_id", tokenize_13a("reference").alias("rs"),
                        *[F.when(F.col(f"p{i}").isNotNull(), tokenize_13a(f"p{i}")).alias(f"hs{i}") for i in range(k)])
     toks = s13a.select("example_id", split_tokens("rs").alias("r"),
@@ -105,12 +133,12 @@ def bleu_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str]
     return st.filter((F.col("n") > 0) & (F.col("total") > 0)).select("system", "n", "correct", "total")
 
 
-def corpus_bleu(pairs: DataFrame, max_order: int = MAX_ORDER, decimals: int = 4,
-                systems: list[str] | None = None) -> DataFrame:
+def corpus_bleu(pairs: DataFrame | None, max_order: int = MAX_ORDER, decimals: int = 4,
+                systems: list[str] | None = None, wide: DataFrame | None = None) -> DataFrame:
     """A4: corpus BLEU per system (not an average of sentence scores):
     ``system, bleu, sys_len, ref_len, n_examples``. Lengths are the unigram
     totals, so no second pass over the texts."""
-    st = _gram_stats(pairs, max_order, systems)
+    st = _gram_stats(pairs, max_order, systems, wide)
 
     def at(k, c):
         return F.coalesce(F.sum(F.when(F.col("n") == k, F.col(c))), F.lit(0)).cast("long")
@@ -187,12 +215,13 @@ def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def rouge_l_rows(pairs: DataFrame, systems: list[str] | None = None) -> DataFrame:
+def rouge_l_rows(pairs: DataFrame | None, systems: list[str] | None = None,
+                 wide: DataFrame | None = None) -> DataFrame:
     """Per pair: LCS, token counts and the ROUGE-L F-measure (stemmed)."""
     systems = systems or systems_of(pairs)
-    ship_package(pairs.sparkSession)
+    wide = wide if wide is not None else per_example(pairs, systems)
+    ship_package(wide.sparkSession)
     k = len(systems)
-    wide = per_example(pairs, systems)
     preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_tokens(f"p{i}")) for i in range(k)])
     s = wide.select("example_id", F.posexplode(_stem_lcs(rouge_tokens("reference"), preds)).alias("i", "s"))
     s = s.filter(F.col("s").isNotNull()).withColumn(
@@ -205,22 +234,33 @@ def rouge_l_rows(pairs: DataFrame, systems: list[str] | None = None) -> DataFram
                     F.col("s.n_ref").alias("n_ref"), f.alias("rouge_l_f"))
 
 
-def rouge_l(pairs: DataFrame, decimals: int = 4, systems: list[str] | None = None) -> DataFrame:
+def rouge_l(pairs: DataFrame | None, decimals: int = 4, systems: list[str] | None = None,
+            wide: DataFrame | None = None) -> DataFrame:
     """A5: mean ROUGE-L F x 100 per system (no rows -> no system row)."""
-    return rouge_l_rows(pairs, systems).groupBy("system").agg(
+    return rouge_l_rows(pairs, systems, wide).groupBy("system").agg(
         F.round(F.coalesce(F.avg("rouge_l_f"), F.lit(0.0)) * 100.0, decimals).alias("rouge_l"))
 
 
 # --- comparison and throughput -------------------------------------------------
-def score_systems(pairs: DataFrame, with_rouge: bool = True, systems: list[str] | None = None) -> DataFrame:
-    """BLEU (and ROUGE-L) per system."""
+def score_systems(pairs: DataFrame | None, with_rouge: bool = True, systems: list[str] | None = None,
+                  wide: DataFrame | None = None) -> DataFrame:
+    """BLEU (and ROUGE-L) per system, from pairs or a prebuilt per-example frame."""
     systems = systems or systems_of(pairs)
-    b = corpus_bleu(pairs, systems=systems)
+    b = corpus_bleu(pairs, systems=systems, wide=wide)
     if with_rouge:
-        b = b.join(rouge_l(pairs, systems=systems), "system", "left")
+        b = b.join(rouge_l(pairs, systems=systems, wide=wide), "system", "left")
     return b
 
 
+def score_predictions(preds: DataFrame, refs: DataFrame, systems: list[str] | None = None,
+                      with_rouge: bool = True, check: bool = False) -> DataFrame:
+    """BLEU (and ROUGE-L) per system straight from predictions and
+    references (see :func:`per_example_from`)."""
+    systems = systems or systems_of(preds)
+    wide = per_example_from(preds, refs, systems, check)
+    return score_systems(None, with_rouge, systems, wide)
+
+
 def compare_systems(scores: DataFrame, base: str = "base", tuned: str = "tuned",
                     metrics=("bleu", "rouge_l")) -> DataFrame:
     """One row with each system's (already rounded) scores and

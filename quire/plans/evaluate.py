@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.templates import split_prompt_reference
 from quire.operators.generate import batch_generate
-from quire.operators.scoring import compare_systems, pair_predictions, score_systems, throughput
+from quire.operators.scoring import compare_systems, score_predictions, throughput
 from quire.operators.split import take_first
 from quire.session import stage
 
@@ -44,8 +44,7 @@ def evaluate(spark: SparkSession, eval_df: DataFrame, systems: dict, max_eval_sa
         eval_df = take_first(eval_df, max_eval_samples)
     ex = prompt_reference_frame(eval_df)
     preds = generate_systems(ex, systems, max_new_tokens, seconds_fn)
-    pairs = pair_predictions(preds, ex, check=True)
-    scores = score_systems(pairs)
+    scores = score_predictions(preds, ex, sorted(systems), check=True)
     cmp = compare_systems(scores, base, tuned).first().asDict()
     th = {r["system"]: r["seconds"] for r in throughput(preds).collect()}
     metrics = {

@@ -463,6 +463,18 @@ def q_generate(spark, sf_dir):
     return preds
 
 
+SYSTEMS = ["base", "tuned"]
+
+
+def _wide(spark, sf_dir):
+    """Per-example frame (reference once, one prediction column per system)
+    from the staged predictions and the references: one shuffle."""
+    from quire.session import stage
+    preds, ex = stand_in_predictions(spark, sf_dir)
+    preds = stage(preds, "predictions")
+    return S.per_example_from(preds, ex, SYSTEMS), preds
+
+
 def q_bleu_counts(spark, sf_dir):
     """A4 statistics: clipped matches and totals per system and order."""
     pairs, _ = _pairs(spark, sf_dir)
@@ -470,9 +482,9 @@ def q_bleu_counts(spark, sf_dir):
 
 
 def q_bleu_score(spark, sf_dir):
-    """A4: corpus BLEU per system."""
-    pairs, _ = _pairs(spark, sf_dir)
-    return S.corpus_bleu(pairs)
+    """A4: corpus BLEU per system (predictions and references unioned per example)."""
+    wide, _ = _wide(spark, sf_dir)
+    return S.corpus_bleu(None, systems=SYSTEMS, wide=wide)
 
 
 def q_compare_bleu(spark, sf_dir):
@@ -489,16 +501,16 @@ def q_throughput(spark, sf_dir):
 
 def q_rouge_l(spark, sf_dir):
     """A5: mean ROUGE-L F x 100 per system (LCS in a pandas UDF)."""
-    pairs, _ = _pairs(spark, sf_dir)
-    return S.rouge_l(pairs)
+    wide, _ = _wide(spark, sf_dir)
+    return S.rouge_l(None, systems=SYSTEMS, wide=wide)
 
 
 def q_compare_systems(spark, sf_dir):
-    """Full comparison row (BLEU and ROUGE-L); the pairs are staged once
-    and both metrics read them."""
+    """Full comparison row (BLEU and ROUGE-L); the per-example frame is
+    staged once and both metrics read it."""
     from quire.session import stage
-    pairs, _ = _pairs(spark, sf_dir)
-    return S.compare_systems(S.score_systems(stage(pairs, "pairs")))
+    wide, _ = _wide(spark, sf_dir)
+    return S.compare_systems(S.score_systems(None, systems=SYSTEMS, wide=stage(wide, "per_example")))
 
 
 SPARK_QUERIES.update({

@@ -156,3 +156,21 @@ def test_throughput_zero_elapsed(spark):
                                "example_id long, system string, prediction string, n_tokens int, seconds double")
     r = throughput(df).first()
     assert (r.tokens, r.seconds, r.mean_tok_per_sec, r.tok_per_sec) == (3, 0.5, 1.0, 6.0)
+
+
+def test_predictions_and_references_union_path(spark):
+    from quire.operators.scoring import per_example_from, score_predictions
+    rnd = random.Random(9)
+    refs = [rand_text(rnd, rnd.randint(3, 20)) for _ in range(6)]
+    ha = [rand_text(rnd, rnd.randint(1, 10)) for _ in range(5)]     # system a: examples 0..4
+    hb = [rand_text(rnd, rnd.randint(1, 10)) for _ in range(3)]     # system b: examples 0..2
+    preds = spark.createDataFrame([(i, "a", h) for i, h in enumerate(ha)] + [(i, "b", h) for i, h in enumerate(hb)],
+                                  "example_id long, system string, prediction string")
+    rdf = spark.createDataFrame(list(enumerate(refs)), "example_id long, reference string")   # example 5: no prediction
+    got = {r.system: r for r in score_predictions(preds, rdf, ["a", "b"]).collect()}
+    assert got["a"].bleu == brute_bleu(ha, refs[:5]) and got["a"].n_examples == 5
+    assert got["b"].bleu == brute_bleu(hb, refs[:3]) and got["b"].n_examples == 3
+    assert got["a"].rouge_l == brute_rouge(ha, refs[:5]) and got["b"].rouge_l == brute_rouge(hb, refs[:3])
+    orphan = preds.unionByName(spark.createDataFrame([(9, "a", "x y")], "example_id long, system string, prediction string"))
+    with pytest.raises(ValueError):
+        per_example_from(orphan, rdf, ["a", "b"], check=True)
