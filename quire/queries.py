@@ -12,16 +12,21 @@ from the tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.templates import render_chat, split_prompt_reference, to_messages
+from quire.functions.bleu import TOK13A_REGEX
+from quire.functions.templates import render_chat, split_prompt_reference
 from quire.functions.text import (WS_CLASS, content_hash, normalize_text, seeded_rank, text_preview,
                                   truncate_ws_tokens)
+from quire.operators import generate as G
 from quire.operators import render as R
+from quire.operators import scoring as S
+from quire.operators import sweep as W
 from quire.operators.audit import disjointness_audit, dry_run_report, prompt_leakage
 from quire.operators.dedupe import dedupe_keep_first
-from quire.operators.split import batch_plan, take_first
+from quire.operators.history import DEFAULT_SYSTEM, assemble_history
+from quire.operators.split import batch_plan, cut_split, take_first
+from quire.plans.evaluate import prompt_reference_frame
 from quire.plans.prepare import PrepConfig, build_splits
 from quire.sources.readers import conversation_instructions, doc_instructions, table
 
@@ -429,10 +434,6 @@ SELECT split, count(*) AS rows, count(DISTINCT content_hash) AS unique_hashes FR
 
 
 # --- evaluation: examples, stand-in generations, scores ------------------------
-from quire.functions.bleu import TOK13A_REGEX  # noqa: E402
-from quire.operators import generate as G  # noqa: E402
-from quire.operators import scoring as S  # noqa: E402
-from quire.plans.evaluate import prompt_reference_frame  # noqa: E402
 
 
 def eval_examples(spark, sf_dir):
@@ -612,9 +613,6 @@ FROM preds GROUP BY system"""
 
 
 # --- chat history, sweep, stream, stores ----------------------------------------
-from quire.operators.history import DEFAULT_SYSTEM, assemble_history  # noqa: E402
-from quire.operators import sweep as W  # noqa: E402
-from quire.operators.split import cut_split  # noqa: E402
 
 GRID = {"ranks": [8, 16, 32], "learning_rates": [0.0001, 0.0002],
         "schedulers": ["cosine", "linear", "constant", "constant_with_warmup"]}
