@@ -24,14 +24,18 @@ def prompt_reference_frame(eval_df: DataFrame, id_col: str = "row_id", text_col:
 
 def generate_systems(examples: DataFrame, systems: dict, max_new_tokens: int,
                      seconds_fn=None, persist: bool = True) -> DataFrame:
-    """Run each system's generator over the examples, one system at a time;
-    predictions are staged to parquet so scoring never regenerates."""
+    """Run each system's generator over the examples, one system per job
+    (so an executor never holds two models at once, as the reference keeps
+    one model resident); each system's predictions are staged to parquet as
+    soon as they exist, so scoring never regenerates."""
     out = None
     for name, make in systems.items():
         p = batch_generate(examples.select("example_id", "prompt", "reference"), make, name,
                            max_new_tokens, seconds_fn)
+        if persist:
+            p = stage(p, f"predictions-{name}")
         out = p if out is None else out.unionByName(p)
-    return stage(out, "predictions") if persist else out
+    return out
 
 
 def evaluate(spark: SparkSession, eval_df: DataFrame, systems: dict, max_eval_samples: int | None = None,
