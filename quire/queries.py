@@ -450,11 +450,18 @@ def stand_in_predictions(spark, sf_dir):
     return b.unionByName(t), ex
 
 
+STAND_INS = {"base": G.echo_prompt_tail, "tuned": G.reference_head}
+
+
+def _staged_predictions(spark, sf_dir):
+    """Generated once per system and staged, as the evaluation job does."""
+    from quire.plans.evaluate import generate_systems
+    ex = eval_examples(spark, sf_dir)
+    return generate_systems(ex, STAND_INS, GEN_TOKENS, G.fixed_cost), ex
+
+
 def _pairs(spark, sf_dir):
-    """Predictions are generated once and staged, as the evaluation job does."""
-    from quire.session import stage
-    preds, ex = stand_in_predictions(spark, sf_dir)
-    preds = stage(preds, "predictions")
+    preds, ex = _staged_predictions(spark, sf_dir)
     return S.pair_predictions(preds, ex), preds
 
 
@@ -470,9 +477,7 @@ SYSTEMS = ["base", "tuned"]
 def _wide(spark, sf_dir):
     """Per-example frame (reference once, one prediction column per system)
     from the staged predictions and the references: one shuffle."""
-    from quire.session import stage
-    preds, ex = stand_in_predictions(spark, sf_dir)
-    preds = stage(preds, "predictions")
+    preds, ex = _staged_predictions(spark, sf_dir)
     return S.per_example_from(preds, ex, SYSTEMS), preds
 
 
