@@ -18,6 +18,7 @@ HEADLINE = [
     "clean_render_plain", "content_hash", "dedupe_first", "seeded_split", "load_splits", "manifest_counts",
     "disjointness", "prompt_leakage", "batch_plan", "conv_pairs", "chat_history", "truncate_tokens",
     "prompt_reference", "generate", "bleu_score", "rouge_l", "compare_systems", "throughput", "stream_dedupe",
+    "doc_bleu_score", "doc_compare_systems",
 ]
 
 

@@ -72,6 +72,22 @@ def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "", elem_type:
     return "concat(" + ", ".join(parts) + ")"
 
 
+def masked_ngrams_sql(arr: str, mask: str, max_order: int = MAX_ORDER, extra: str = "",
+                      elem_type: str = NGRAM_TYPE) -> str:
+    """Only the n-grams of ``arr`` whose positions are all true in the
+    boolean array ``mask`` (same length), as one SQL expression. With
+    ``mask[i] = arr[i] in hypothesis tokens`` this keeps exactly the
+    reference n-grams that can match some hypothesis n-gram."""
+    empty = f"CAST(array() AS {elem_type})"
+    parts = []
+    for n in range(1, max_order + 1):
+        ok = " AND ".join(f"element_at({mask}, i + {j})" for j in range(1, n + 1))
+        parts.append(
+            f"IF(size({arr}) >= {n}, transform(filter(sequence(0, size({arr}) - {n}), i -> {ok}), "
+            f"i -> named_struct('n', {n}, 'g', array_join(slice({arr}, i + 1, {n}), ' '){extra})), {empty})")
+    return "concat(" + ", ".join(parts) + ")"
+
+
 def bleu_from_stats(c: list, t: list, sys_len, ref_len) -> Column:
     """Corpus BLEU from clipped matches ``c[n]``, hypothesis n-gram totals
     ``t[n]`` and corpus lengths, with exponential smoothing of zero orders.

@@ -766,3 +766,40 @@ ORACLES["benchmark_disjointness"] = f"""WITH d AS (SELECT DISTINCT {sql_hash('te
 b AS (SELECT DISTINCT {sql_hash('text')} AS h FROM benchmark)
 SELECT (SELECT count(*) FROM d) AS corpus_unique_hashes, (SELECT count(*) FROM b) AS benchmark_unique_hashes,
        (SELECT count(*) FROM d JOIN b USING (h)) AS intersection"""
+
+
+# --- scoring over documents: whole document bodies as references -----------------
+def doc_eval_examples(spark, sf_dir):
+    """(example_id, prompt, reference) of every rendered doc_instr text: the
+    reference is the whole document body (up to ~20k words)."""
+    return prompt_reference_frame(R.render(doc_instructions(spark, sf_dir), "plain"))
+
+
+def _doc_wide(spark, sf_dir):
+    from quire.plans.evaluate import generate_systems
+    ex = doc_eval_examples(spark, sf_dir)
+    preds = generate_systems(ex, STAND_INS, GEN_TOKENS, G.fixed_cost)
+    return S.per_example_from(preds, ex, SYSTEMS)
+
+
+def q_doc_bleu_score(spark, sf_dir):
+    """A4 with long references: corpus BLEU of the stand-ins against whole document bodies."""
+    return S.corpus_bleu(None, systems=SYSTEMS, wide=_doc_wide(spark, sf_dir))
+
+
+def q_doc_compare_systems(spark, sf_dir):
+    """A5 + A6 with long references: BLEU and ROUGE-L (bit-parallel LCS) per system."""
+    from quire.session import stage
+    wide = stage(_doc_wide(spark, sf_dir), "doc_per_example")
+    return S.compare_systems(S.score_systems(None, systems=SYSTEMS, wide=wide))
+
+
+SPARK_QUERIES["doc_bleu_score"] = q_doc_bleu_score
+SPARK_QUERIES["doc_compare_systems"] = q_doc_compare_systems
+
+_SQL_DOC_EX = f"""{SQL_DOC_INSTR}, {sql_clean('doc_instr')},
+ex0 AS (SELECT row_id AS example_id, {sql_plain()} AS t FROM doc_instr_msg),"""
+ORACLES["doc_bleu_score"] = ("WITH " + SQL_EVAL.replace(
+    f"""{SQL_CONV_INSTR}, {sql_clean('conv_instr')},
+ex0 AS (SELECT row_id AS example_id, {sql_plain()} AS t FROM conv_instr_msg),""", _SQL_DOC_EX)
+    + "\nSELECT system, bleu, sys_len, ref_len, n_examples FROM bleu")
