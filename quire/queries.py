@@ -558,20 +558,25 @@ preds0 AS (
   UNION ALL
   SELECT example_id, 'tuned' AS system, array_to_string(list_slice(rt, 1, {GEN_TOKENS}), ' ') AS prediction FROM ptok),
 preds AS (SELECT *, CAST(len({sql_tokens('prediction')}) AS INTEGER) AS n_tokens,
-                 0.25 * len({sql_tokens('prediction')}) AS seconds FROM preds0),
+                 CAST(0.25 AS DOUBLE) * len({sql_tokens('prediction')}) AS seconds FROM preds0),
 pairs AS (SELECT p.*, ex.reference FROM preds p JOIN ex USING (example_id)),
-tok AS (SELECT system, example_id, {sql_tok13a('prediction')} AS h, {sql_tok13a('reference')} AS r FROM pairs),
-grams AS (
-  SELECT system, example_id, n, array_to_string(list_slice(h, i + 1, i + n), ' ') AS g, 1 AS hc, 0 AS rc
-  FROM tok, (SELECT unnest(range(1, 5)) AS n) ns, LATERAL (SELECT unnest(range(0, len(h) - n + 1)) AS i)
-  UNION ALL
-  SELECT system, example_id, n, array_to_string(list_slice(r, i + 1, i + n), ' ') AS g, 0 AS hc, 1 AS rc
-  FROM tok, (SELECT unnest(range(1, 5)) AS n) ns, LATERAL (SELECT unnest(range(0, len(r) - n + 1)) AS i)),
-cnt AS (SELECT system, example_id, n, g, sum(hc) AS h, sum(rc) AS r FROM grams GROUP BY ALL HAVING sum(hc) > 0),
-st AS (SELECT system, CAST(n AS INTEGER) AS n, CAST(sum(least(h, r)) AS BIGINT) AS correct,
-              CAST(sum(h) AS BIGINT) AS total FROM cnt GROUP BY ALL),
+rtok AS (SELECT example_id, {sql_tok13a('reference')} AS r FROM ex WHERE example_id IN (SELECT example_id FROM preds)),
+htok AS (SELECT system, example_id, {sql_tok13a('prediction')} AS h FROM pairs),
+rg AS (SELECT example_id, n, g, count(*) AS r FROM (
+         SELECT example_id, 1 AS n, unnest(list_transform(range(0, len(r) - 0), lambda i: r[i + 1])) AS g FROM rtok
+         UNION ALL SELECT example_id, 2 AS n, unnest(list_transform(range(0, len(r) - 1), lambda i: r[i + 1] || ' ' || r[i + 2])) AS g FROM rtok
+         UNION ALL SELECT example_id, 3 AS n, unnest(list_transform(range(0, len(r) - 2), lambda i: r[i + 1] || ' ' || r[i + 2] || ' ' || r[i + 3])) AS g FROM rtok
+         UNION ALL SELECT example_id, 4 AS n, unnest(list_transform(range(0, len(r) - 3), lambda i: r[i + 1] || ' ' || r[i + 2] || ' ' || r[i + 3] || ' ' || r[i + 4])) AS g FROM rtok) GROUP BY ALL),
+hg AS (SELECT system, example_id, n, g, count(*) AS h FROM (
+         SELECT system, example_id, 1 AS n, unnest(list_transform(range(0, len(h) - 0), lambda i: h[i + 1])) AS g FROM htok
+         UNION ALL SELECT system, example_id, 2 AS n, unnest(list_transform(range(0, len(h) - 1), lambda i: h[i + 1] || ' ' || h[i + 2])) AS g FROM htok
+         UNION ALL SELECT system, example_id, 3 AS n, unnest(list_transform(range(0, len(h) - 2), lambda i: h[i + 1] || ' ' || h[i + 2] || ' ' || h[i + 3])) AS g FROM htok
+         UNION ALL SELECT system, example_id, 4 AS n, unnest(list_transform(range(0, len(h) - 3), lambda i: h[i + 1] || ' ' || h[i + 2] || ' ' || h[i + 3] || ' ' || h[i + 4])) AS g FROM htok) GROUP BY ALL),
+st AS (SELECT hg.system, CAST(hg.n AS INTEGER) AS n, CAST(sum(least(hg.h, coalesce(rg.r, 0))) AS BIGINT) AS correct,
+              CAST(sum(hg.h) AS BIGINT) AS total
+       FROM hg LEFT JOIN rg USING (example_id, n, g) GROUP BY ALL),
 lens AS (SELECT system, CAST(sum(len(h)) AS BIGINT) AS sys_len, CAST(sum(len(r)) AS BIGINT) AS ref_len,
-                count(*) AS n_examples FROM tok GROUP BY system),
+                count(*) AS n_examples FROM htok JOIN rtok USING (example_id) GROUP BY system),
 wide AS (SELECT system,
   {", ".join(f"coalesce(sum(correct) FILTER (WHERE n = {k}), 0) AS c{k}" for k in range(1, 5))},
   {", ".join(f"coalesce(sum(total) FILTER (WHERE n = {k}), 0) AS t{k}" for k in range(1, 5))}
