@@ -29,7 +29,10 @@ def main() -> None:
     from quire import queries as Q
     from quire.session import get_spark
 
-    spark = get_spark(cpus=cpus, shuffle_partitions=max(8, cpus * 2))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):      # stage times: scripts/stage_times.py <dir>
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = get_spark(cpus=cpus, shuffle_partitions=max(8, cpus * 2), extra=extra)
     # warm-up on the smallest tables: JVM JIT, codegen, regexes, Python workers
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if not os.path.isdir(warm_dir):
