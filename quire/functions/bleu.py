@@ -72,20 +72,27 @@ def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "", elem_type:
     return "concat(" + ", ".join(parts) + ")"
 
 
-def masked_ngrams_sql(arr: str, mask: str, max_order: int = MAX_ORDER, extra: str = "",
-                      elem_type: str = NGRAM_TYPE) -> str:
-    """Only the n-grams of ``arr`` whose positions are all true in the
-    boolean array ``mask`` (same length), as one SQL expression. With
-    ``mask[i] = arr[i] in hypothesis tokens`` this keeps exactly the
-    reference n-grams that can match some hypothesis n-gram."""
-    empty = f"CAST(array() AS {elem_type})"
-    parts = []
-    for n in range(1, max_order + 1):
-        ok = " AND ".join(f"element_at({mask}, i + {j})" for j in range(1, n + 1))
-        parts.append(
-            f"IF(size({arr}) >= {n}, transform(filter(sequence(0, size({arr}) - {n}), i -> {ok}), "
-            f"i -> named_struct('n', {n}, 'g', array_join(slice({arr}, i + 1, {n}), ' '){extra})), {empty})")
-    return "concat(" + ", ".join(parts) + ")"
+# placeholder for reference tokens outside the hypothesis vocabulary: a tab
+# never occurs inside a 13a token (whitespace is folded away), so it cannot
+# clash with a real token
+OOV = "\t"
+
+
+def oov_pattern(vocab) -> Column:
+    """Per-row regex matching every token of a space-joined token string that
+    is NOT in the array column ``vocab`` (tokens are quoted literally)."""
+    quoted = F.transform(vocab, lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
+                                                   F.lit("\\E")))
+    return F.concat(F.lit("(?<=^| )(?!(?:"), F.array_join(quoted, "|"), F.lit(")(?![^ ]))[^ ]+"))
+
+
+def in_vocab_ngrams(masked, n: int) -> Column:
+    """Overlapping n-grams of a masked token string made only of in-vocabulary
+    tokens (a zero-width lookahead match at every token start)."""
+    body = "[^ \t]+" + "(?: [^ \t]+)" * (n - 1)
+    # token start = start of text or after a space; a negative lookbehind would
+    # also accept a position between the two halves of a surrogate pair
+    return F.regexp_extract_all(_c(masked), F.lit(f"(?<=^| )(?=({body})(?![^ ]))"), F.lit(1))
 
 
 def bleu_from_stats(c: list, t: list, sys_len, ref_len) -> Column:

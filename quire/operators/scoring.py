@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from quire.functions.bleu import (MAX_ORDER, bleu_from_stats, masked_ngrams_sql, ngrams_sql, split_tokens,
-                                  tokenize_13a)
+from quire.functions.bleu import (MAX_ORDER, OOV, bleu_from_stats, in_vocab_ngrams, ngrams_sql, oov_pattern,
+                                  split_tokens, tokenize_13a)
 from quire.functions.text import _c
 from quire.session import ship_package
 
@@ -99,25 +99,31 @@ def _gram_stats(pairs: DataFrame | None, max_order: int = MAX_ORDER, systems: li
     wide = wide if wide is not None else per_example(pairs, systems)
     s13a = wide.select("example_id", tokenize_13a("reference").alias("rs"),
                        *[F.when(F.col(f"p{i}").isNotNull(), tokenize_13a(f"p{i}")).alias(f"hs{i}") for i in range(k)])
-    toks0 = s13a.select("example_id", split_tokens("rs").alias("r"),
-                        *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
-    # mask[j]: the j-th reference token occurs in some hypothesis of this example;
-    # a reference n-gram can only be clipped against a hypothesis n-gram if all its
-    # tokens are unmasked, so only those are generated (reference lengths use size(r))
-    hyp_vocab = F.array_distinct(F.concat(*[F.coalesce(F.col(f"h{i}"), F.array().cast("array<string>"))
-                                            for i in range(k)]))
-    toks = toks0.select("*", F.transform("r", lambda x: F.array_contains(hyp_vocab, x)).alias("m"))
+    toks = s13a.select("example_id", "rs", F.size(split_tokens("rs")).alias("rlen"),
+                       *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
+    # A reference n-gram can only be clipped against a hypothesis n-gram when all its
+    # tokens occur in some hypothesis of the example: reference tokens outside that
+    # vocabulary become a tab (one regex pass), and the surviving n-grams are pulled
+    # with zero-width lookahead matches - no per-token lambda over long references.
+    vocab = F.array_distinct(F.concat(*[F.coalesce(F.col(f"h{i}"), F.array().cast("array<string>"))
+                                        for i in range(k)]))
+    masked = toks.select("*", F.regexp_replace("rs", oov_pattern(vocab), OOV).alias("ms"))
+    def as_ref(n):   # one-argument lambda (a two-argument one receives the index)
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(-1).alias("sys"),
+                                  F.lit(1).cast("bigint").alias("w"))
+
+    ref_grams = F.concat(*[F.transform(in_vocab_ngrams("ms", n), as_ref(n)) for n in range(1, max_order + 1)])
 
     def tag(arr: str, sys_idx: int) -> str:
         return ngrams_sql(arr, max_order, f", 'sys', {sys_idx}, 'w', CAST(1 AS BIGINT)", _TAG)
 
     empty = f"CAST(array() AS {_TAG})"
-    ref = masked_ngrams_sql("r", "m", max_order, ", 'sys', -1, 'w', CAST(1 AS BIGINT)", _TAG)
     hyps = [f"coalesce({tag(f'h{i}', i)}, {empty})" for i in range(k)]
     # order 0 marks: one per predicting system, weighted by the reference length
     marks = [f"IF(h{i} IS NULL, {empty}, array(named_struct('n', 0, 'g', '', 'sys', {i}, "
-             f"'w', CAST(size(r) AS BIGINT))))" for i in range(k)]
-    tagged = F.expr("concat(" + ", ".join([f"coalesce({ref}, {empty})", *hyps, *marks]) + ")")
+             f"'w', CAST(rlen AS BIGINT))))" for i in range(k)]
+    tagged = F.concat(ref_grams, F.expr("concat(" + ", ".join([*hyps, *marks]) + ")"))
+    toks = masked
     e = toks.select("example_id", F.inline(tagged))
     counts = e.groupBy("example_id", "n", "g").agg(
         F.count_if(F.col("sys") == -1).alias("r"),

@@ -79,7 +79,8 @@ def brute_rouge(hyps, refs):
 
 
 WORDS = ["the", "cat", "sat", "on", "mat", "running", "runs", "3.5", "1,000", "well-known", "9-5", "U.S.", "a.",
-         "(x)", "&amp;", "café", "\U0001F600", "it's", "relational", "hopping", "x" * 5, "Cat", "MAT."]
+         "(x)", "&amp;", "café", "\U0001F600", "it's", "relational", "hopping", "x" * 5, "Cat", "MAT.",
+         "a\\Eb", "q\\E", "\\Q", "x|y", "^$", "a*b", "(?", "\x01"]
 
 
 def rand_text(rnd, k):
