@@ -112,3 +112,25 @@ def test_register_template(spark):
     register_template("tagged", lambda m: F.concat(F.lit("Q: "), m[0]["content"], F.lit(" A: "), m[1]["content"]))
     df = spark.createDataFrame([(1, "hi", "", "yo")], "row_id int, instruction string, input string, output string")
     assert render(df, "tagged").first().text == "Q: hi A: yo"
+
+
+def test_stream_dedupe_within_watermark(spark, tmpdir_path):
+    import datetime as dt
+    from quire.streaming.incremental import prepare_stream
+    src = f"{tmpdir_path}/src"
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [(1, "Same text\nbody", t0), (2, "same   TEXT\nbody", t0 + dt.timedelta(minutes=1)),
+            (3, "other\nthing", t0 + dt.timedelta(minutes=2))]
+    spark.createDataFrame(rows, "doc_id long, text string, ts timestamp").write.parquet(src)
+
+    def to_instr(df):
+        nl = F.instr(F.col("text"), "\n")
+        return df.select(F.col("doc_id").alias("row_id"), "ts",
+                         F.substring("text", F.lit(1), nl - 1).alias("instruction"), F.lit("").alias("input"),
+                         F.substring("text", nl + 1, F.lit(10 ** 6)).alias("output"))
+
+    sink = f"{tmpdir_path}/sink"
+    prepare_stream(spark, src, sink, f"{tmpdir_path}/ck", schema="doc_id long, text string, ts timestamp",
+                   to_instructions=to_instr, event_time_col="ts", watermark="1 hour")
+    got = spark.read.parquet(sink)
+    assert got.count() == 2 and "ts" in got.columns
