@@ -40,14 +40,17 @@ def batch_generate(df: DataFrame, make_generator: Callable[[], Callable[[pd.Data
     n_tokens, seconds)``.
 
     ``make_generator()`` runs once per task and returns ``gen(batch,
-    max_new_tokens) -> list[str]`` (``batch`` is a pandas frame of the input
-    columns). ``n_tokens`` counts whitespace tokens of the prediction;
+    max_new_tokens) -> list[str]`` (``batch`` is a pandas frame of the
+    columns listed in ``make_generator.columns``, default ``("prompt",)`` -
+    only those cross into Python). ``n_tokens`` counts whitespace tokens of the prediction;
     ``seconds`` is the batch wall time shared by its rows unless
     ``seconds_fn(n_tokens, wall)`` says otherwise (e.g. a fixed cost model
     for reproducible tests). Write the result once (parquet) before scoring
     so scoring never generates again.
     """
     ship_package(df.sparkSession)
+    cols = [c for c in getattr(make_generator, "columns", ("prompt",)) if c != id_col]
+    df = df.select(id_col, *cols)
 
     def run(batches):
         gen = make_generator()
@@ -81,6 +84,9 @@ def reference_head():
     return gen
 
 
+reference_head.columns = ("reference",)
+
+
 def fixed_cost(n_tokens: int, wall: float) -> float:
     """Reproducible timing: a quarter second per generated token."""
     return 0.25 * n_tokens

@@ -30,8 +30,7 @@ def generate_systems(examples: DataFrame, systems: dict, max_new_tokens: int,
     soon as they exist, so scoring never regenerates."""
     out = None
     for name, make in systems.items():
-        p = batch_generate(examples.select("example_id", "prompt", "reference"), make, name,
-                           max_new_tokens, seconds_fn)
+        p = batch_generate(examples, make, name, max_new_tokens, seconds_fn)
         if persist:
             p = stage(p, f"predictions-{name}")
         out = p if out is None else out.unionByName(p)
