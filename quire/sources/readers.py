@@ -14,8 +14,12 @@ def widen(df: DataFrame, *keys: str) -> DataFrame:
     runs in parallel. A large input already has enough splits and is left
     untouched (no shuffle at scale); when it fires the input is small by
     construction (fewer splits than cores)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if parts < par:
         return df.repartition(par, *keys) if keys else df.repartition(par)
     return df
 

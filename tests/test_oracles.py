@@ -52,3 +52,10 @@ def test_every_query_has_a_callable(spark):
     assert not missing
     for name in sorted(set(qs) - set(E.oracle_sql()) - SLOW):
         assert qs[name](spark, SF001).count() >= 0
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.name for f in a.schema.fields] == ["split", "rows", "unique_hashes"]
+    assert sum(r.rows for r in a.collect()) == sum(r.rows for r in b.collect()) > 0
