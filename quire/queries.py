@@ -808,3 +808,23 @@ ORACLES["doc_bleu_score"] = ("WITH " + SQL_EVAL.replace(
     f"""{SQL_CONV_INSTR}, {sql_clean('conv_instr')},
 ex0 AS (SELECT row_id AS example_id, {sql_plain()} AS t FROM conv_instr_msg),""", _SQL_DOC_EX)
     + "\nSELECT system, bleu, sys_len, ref_len, n_examples FROM bleu")
+
+
+def q_rouge_token_counts(spark, sf_dir):
+    """A5 tokenisation: per (system, example) the ROUGE token counts of the
+    prediction and the reference (stemming never changes a count; the LCS
+    itself is checked by tests against a brute-force DP)."""
+    wide, _ = _wide(spark, sf_dir)
+    return S.rouge_l_rows(None, SYSTEMS, wide).select("system", "example_id", "n_pred", "n_ref")
+
+
+SPARK_QUERIES["rouge_token_counts"] = q_rouge_token_counts
+
+
+def _sql_rouge_count(e: str) -> str:
+    return f"CAST(len(list_filter(string_split(regexp_replace(lower({e}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS INTEGER)"
+
+
+ORACLES["rouge_token_counts"] = f"""WITH {SQL_EVAL}
+SELECT system, example_id, {_sql_rouge_count('prediction')} AS n_pred, {_sql_rouge_count('reference')} AS n_ref
+FROM pairs"""
