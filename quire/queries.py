@@ -828,3 +828,21 @@ def _sql_rouge_count(e: str) -> str:
 ORACLES["rouge_token_counts"] = f"""WITH {SQL_EVAL}
 SELECT system, example_id, {_sql_rouge_count('prediction')} AS n_pred, {_sql_rouge_count('reference')} AS n_ref
 FROM pairs"""
+
+
+def q_prompt_keyed_split(spark, sf_dir):
+    """D7 opt-in: the split keyed by the prompt hash - every answer of a
+    prompt lands on one side; sizes count distinct prompts."""
+    splits, _, _ = _doc_splits(spark, sf_dir, split_key="prompt")
+    return splits.select("row_id", "prompt_hash", "split")
+
+
+SPARK_QUERIES["prompt_keyed_split"] = q_prompt_keyed_split
+ORACLES["prompt_keyed_split"] = f"""WITH {SQL_DOC_INSTR}, {sql_rendered('doc_instr')},
+h AS (SELECT row_id, text, {sql_hash('text')} AS content_hash FROM doc_instr_text),
+d AS (SELECT content_hash, arg_min(row_id, row_id) AS row_id, arg_min(text, row_id) AS text FROM h GROUP BY content_hash),
+p AS (SELECT row_id, {sql_hash(f"substring(text, 1, {_sql_prompt_ref('text')})")} AS prompt_hash FROM d),
+r AS (SELECT *, dense_rank() OVER (ORDER BY sha256('{SEED}:' || prompt_hash)) AS pos FROM p),
+sz AS (SELECT n, least({HOLDOUT}, greatest(1, n // 5), n) AS eval_n FROM (SELECT count(DISTINCT prompt_hash) AS n FROM p))
+SELECT row_id, prompt_hash, CASE WHEN pos <= eval_n THEN 'eval' ELSE 'train' END AS split
+FROM r, sz WHERE pos <= eval_n + least({SUBSAMPLE}, n - eval_n)"""
