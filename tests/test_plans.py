@@ -119,3 +119,15 @@ def test_bleu_aggregation_needs_no_exchange_after_explode(spark):
     # below it, the pairs are hash-partitioned once on example_id
     assert plan[:gen].count("Exchange") == 1 and "Exchange hashpartitioning(n#" in plan[:gen]
     assert "Exchange hashpartitioning(example_id" in plan[gen:]
+
+
+def test_split_has_no_global_sort_and_pushes_the_cut(spark):
+    raw = synthetic_instructions(spark, 600, 42)
+    splits, staged, _ = build_splits(raw, SMOKE)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        splits.explain("formatted")
+    plan = buf.getvalue()
+    assert "rangepartitioning" not in plan.lower()
+    assert "LessThanOrEqual(split_rank" in plan
+    assert "ReadSchema: struct<row_id:bigint,text:string,content_hash:string,split_rank:string,n_copies:bigint>" in plan
