@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.templates import split_prompt_reference
+from quire.functions.templates import render_chat, split_prompt_reference
 from quire.functions.text import content_hash, is_blank, text_preview
-from quire.operators.render import render
+from quire.operators.render import with_messages
 
 # A side whose row count is proven at most this is broadcast; above, the
 # join is left to a shuffle (sort-merge / AQE).
@@ -107,7 +107,9 @@ def dry_run_report(raw: DataFrame, n: int, template: str = "plain", order_col: s
     """
     cols = check_schema(raw.drop(order_col) if order_col in raw.columns else raw)
     sample = raw.orderBy(order_col).limit(n)
-    s = (sample.join(render(sample, template, keep=(order_col,)), order_col)
+    # render the bounded sample in place (no self-join: the top-n runs once)
+    rendered = with_messages(sample).withColumn("text", render_chat(F.col("messages"), template))
+    s = (rendered.select(order_col, "text", *(["input"] if "input" in raw.columns else []))
                .withColumn("empty_input", is_blank("input") if "input" in raw.columns else F.lit(True))
                .withColumn("non_empty", ~is_blank("text"))
                .withColumn("content_hash", content_hash("text")))
