@@ -131,3 +131,15 @@ def test_split_has_no_global_sort_and_pushes_the_cut(spark):
     assert "rangepartitioning" not in plan.lower()
     assert "LessThanOrEqual(split_rank" in plan
     assert "ReadSchema: struct<row_id:bigint,text:string,content_hash:string,split_rank:string,n_copies:bigint>" in plan
+
+
+def test_read_instructions_csv_with_response_alias(spark, tmpdir_path):
+    p = f"{tmpdir_path}/rows.csv"
+    with open(p, "w") as fh:
+        fh.write("id,prompt,ctx,response\n1,Q1,,R1\n2,Q2,C2,R2\n")
+    df = read_instructions(spark, p, "csv", mapping={"instruction": "prompt", "input": "ctx"}, order_col="id",
+                           options={"header": "true"}, schema="id long, prompt string, ctx string, response string")
+    from quire.operators.render import render
+    texts = {r.row_id: r.text for r in render(df).collect()}
+    assert texts == {1: "### Instruction:\nQ1\n\n### Response:\nR1",
+                     2: "### Instruction:\nQ2\n\nC2\n\n### Response:\nR2"}
