@@ -144,3 +144,16 @@ def test_batch_plan_and_shards(spark, tmpdir_path):
     write_shards(plan, f"{tmpdir_path}/shards", 64)
     got = spark.read.parquet(f"{tmpdir_path}/shards").groupBy("shard").count().orderBy("shard").collect()
     assert [(r.shard, r["count"]) for r in got] == [(0, 64), (1, 64), (2, 64), (3, 8)]
+
+
+def test_incomplete_snapshot_is_ignored(spark, tmpdir_path):
+    raw = synthetic_instructions(spark, 60, 42)
+    m = prepare_dataset(spark, raw, f"{tmpdir_path}/prep", SMOKE)
+    snaps = f"{tmpdir_path}/snaps"
+    store.snapshot(spark, m["path"], snaps, 9)
+    # a crashed snapshot: data present, manifest never written
+    spark.read.parquet(f"{m['path']}/data").write.parquet(f"{snaps}/snapshot=12/data")
+    assert store.latest_snapshot(spark, snaps) == 9
+    # and an incomplete published version is never served
+    spark.read.parquet(f"{m['path']}/data").write.parquet(m["path"].rsplit("/", 1)[0] + "/v7/data")
+    assert store.latest_complete(spark, m["path"].rsplit("/", 1)[0]) == m["path"]
