@@ -130,6 +130,8 @@ def select_best(results: DataFrame, metric: str = "eval_loss", mode: str = "min"
     Ties go to the smaller rank, then grid order (for ``max`` too - the
     reference also reverses the tie-break there; we do not). NaN/null
     metrics never win."""
+    if mode not in ("min", "max"):
+        raise ValueError(f"selection mode must be 'min' or 'max', got {mode!r}")
     ok = results.filter(F.col(metric).isNotNull() & ~F.isnan(F.col(metric)))
     m = F.col(metric).asc() if mode == "min" else F.col(metric).desc()
     return ok.orderBy(m, F.col("rank").asc(), F.col("cell_no").asc()).limit(1)

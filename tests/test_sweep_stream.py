@@ -43,6 +43,9 @@ def test_sweep_select_table_and_resume(spark, tmpdir_path):
     assert calls == []            # every cell already finished
     top = W.select_best(res, mode="max").first()
     assert top.eval_loss == 0.5   # NaN never wins
+    import pytest
+    with pytest.raises(ValueError):
+        W.select_best(res, mode="maximum")
     tab_max = W.comparison_table(res, mode="max").orderBy("position").collect()
     assert tab_max[0].selected and tab_max[0].eval_loss_text == "0.5000" and tab_max[-1].eval_loss_text == "NaN"
 
