@@ -34,6 +34,12 @@ class PrepConfig:
     model_for_template: str = ""
     smoke_test: bool = False
 
+    def __post_init__(self):
+        if self.split_key not in ("text", "prompt"):
+            raise ValueError(f"split_key must be 'text' or 'prompt', got {self.split_key!r}")
+        if self.eval_holdout_size < 0 or self.subsample_size < 0:
+            raise ValueError("eval_holdout_size and subsample_size must be >= 0")
+
     @classmethod
     def from_dict(cls, d: dict) -> "PrepConfig":
         names = {f.name for f in dataclasses.fields(cls)}

@@ -157,3 +157,12 @@ def test_incomplete_snapshot_is_ignored(spark, tmpdir_path):
     # and an incomplete published version is never served
     spark.read.parquet(f"{m['path']}/data").write.parquet(m["path"].rsplit("/", 1)[0] + "/v7/data")
     assert store.latest_complete(spark, m["path"].rsplit("/", 1)[0]) == m["path"]
+
+
+def test_config_validation():
+    with pytest.raises(ValueError):
+        PrepConfig(split_key="instruction")
+    with pytest.raises(ValueError):
+        PrepConfig.from_dict({"seed": 1, "unknown_key": 2})
+    assert PrepConfig.from_dict({"seed": 7}).seed == 7
+    assert PrepConfig(seed=1).fingerprint() != PrepConfig(seed=2).fingerprint()
