@@ -30,9 +30,12 @@ def truncate_with_tokenizer(col: Column, make_tokenizer: Callable[[], tuple[Call
     from quire.session import ship_package
     ship_package()
 
+    # a stable key: each task unpickles a new function object, so id() would
+    # rebuild the tokenizer per task and grow the worker-level cache
+    key = (getattr(make_tokenizer, "__module__", ""), getattr(make_tokenizer, "__qualname__", repr(make_tokenizer)))
+
     @pandas_udf(TRUNC_TYPE)
     def trunc(s: pd.Series) -> pd.DataFrame:
-        key = id(make_tokenizer)
         if key not in _TOKENIZERS:
             _TOKENIZERS[key] = make_tokenizer()
         encode, decode = _TOKENIZERS[key]
