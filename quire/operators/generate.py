@@ -16,6 +16,19 @@ from quire.session import ship_package
 
 PRED_SCHEMA = "example_id long, system string, prediction string, n_tokens int, seconds double"
 
+# one generator per Python worker: built on first use, replaced (not added to)
+# when another system's factory arrives, so a worker never holds two models
+_RESIDENT: dict = {"key": None, "gen": None}
+
+
+def _resident_generator(make_generator):
+    key = (getattr(make_generator, "__module__", ""), getattr(make_generator, "__qualname__", repr(make_generator)))
+    if _RESIDENT["key"] != key:
+        _RESIDENT["key"], _RESIDENT["gen"] = None, None    # release the previous model first
+        _RESIDENT["gen"] = make_generator()
+        _RESIDENT["key"] = key
+    return _RESIDENT["gen"]
+
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
     """Apply ``fn(row_dict) -> dict`` to every row; the output has only
@@ -39,7 +52,8 @@ def batch_generate(df: DataFrame, make_generator: Callable[[], Callable[[pd.Data
     """One completion per prompt row, ``(example_id, system, prediction,
     n_tokens, seconds)``.
 
-    ``make_generator()`` runs once per task and returns ``gen(batch,
+    ``make_generator()`` runs once per Python worker (kept while the same
+    factory is used; replaced when another system's arrives) and returns ``gen(batch,
     max_new_tokens) -> list[str]`` (``batch`` is a pandas frame of the
     columns listed in ``make_generator.columns``, default ``("prompt",)`` -
     only those cross into Python). ``n_tokens`` counts whitespace tokens of the prediction;
@@ -53,7 +67,7 @@ def batch_generate(df: DataFrame, make_generator: Callable[[], Callable[[pd.Data
     df = df.select(id_col, *cols)
 
     def run(batches):
-        gen = make_generator()
+        gen = _resident_generator(make_generator)
         for pdf in batches:
             t0 = time.perf_counter()
             preds = list(gen(pdf, max_new_tokens))
