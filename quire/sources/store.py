@@ -157,6 +157,20 @@ def latest_snapshot(spark: SparkSession, root: str) -> int | None:
     return None
 
 
+def latest_snapshot_path(spark: SparkSession, root: str) -> str | None:
+    """The folder of the newest complete snapshot (``None`` when none)."""
+    n = latest_snapshot(spark, root)
+    return None if n is None else f"{root}/snapshot={n}"
+
+
+def load_snapshot(spark: SparkSession, root: str, number: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, eval) of snapshot ``number`` (default: the newest complete one)."""
+    n = latest_snapshot(spark, root) if number is None else int(number)
+    if n is None or not exists(spark, f"{root}/snapshot={n}/{MANIFEST}"):
+        raise FileNotFoundError(f"no complete snapshot under {root}")
+    return load_split_data(spark, f"{root}/snapshot={n}")
+
+
 # --- size report (S10) -----------------------------------------------------
 def size_report(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Recursive byte total of a folder: ``files, bytes, mb`` (MB = bytes /

@@ -95,6 +95,9 @@ def test_snapshots_numeric_order_and_restore(spark, tmpdir_path):
     store.snapshot(spark, vdir, snaps, 9)
     store.snapshot(spark, vdir, snaps, 10)
     assert store.latest_snapshot(spark, snaps) == 10
+    assert store.latest_snapshot_path(spark, snaps).endswith("/snapshot=10")
+    tr10, ev10 = store.load_snapshot(spark, snaps)
+    assert tr10.count() + ev10.count() == spark.read.parquet(f"{vdir}/data").count()
     assert store.snapshot(spark, f"{tmpdir_path}/nothing", snaps, 11) is None   # no manifest: no-op
     target = f"{tmpdir_path}/restored"
     assert store.restore(spark, f"{snaps}/snapshot=10", target) is True
