@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm.common import scratch_path, stage, table
+from quire.llm.common import scratch_path, table
 
 SPARK_QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -15,6 +15,16 @@ def query(f):
     return f
 
 
+@query
+def op1_pii_sanitise(spark, sf_dir):
+    from quire.llm import pii
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.revealing_terms(docs))
+    terms = F.array_join(F.transform("hits", lambda h: F.concat(F.lit("term:"), h["start"], F.lit(":"), h["end"])), ",")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
+                        F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif(terms, F.lit(""))).alias("spans"))
+
+
 @query
 def op2_bitplane_ids(spark, sf_dir):
     from quire.llm.bitplane import roundtrip
@@ -54,6 +64,27 @@ def op4_best_fit(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_syncmers(spark, sf_dir):
+    from quire.llm.syncmers import compare_with_edits
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_impact_topk(spark, sf_dir):
+    from quire.llm.impact import top_k
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op6_impact_topk"] = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
 @query
 def op7_warc(spark, sf_dir):
     from quire.llm.warc import roundtrip
@@ -71,6 +102,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM b"""
 
 
+@query
+def op8_ngram_trie(spark, sf_dir):
+    from quire.llm.ngram_trie import join_documents
+    return join_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_ngram_trie"] = r"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1),
+             lambda i: md5_number_lower(array_to_string(w[i:i + 2], ' ')))) AS s FROM w),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)),
+sym AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM s UNION SELECT reach.doc_id, sym.b FROM reach JOIN sym ON sym.a = reach.r)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+
 @query
 def op9_reply_trees(spark, sf_dir):
     from quire.llm.replytree import format_trees, linear_tree, read_formatted
@@ -97,3 +148,12 @@ g AS (SELECT conv_id, count(*) AS n_turns,
       FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
        sha256(loss) AS loss_sha256, CAST(f AS BIGINT) AS formatted_chars FROM g"""
+
+
+@query
+def op10_compression_langid(spark, sf_dir):
+    from quire.llm.langid import classify, fit, held_out
+    docs = table(spark, sf_dir, "documents")
+    got = classify(docs.select("doc_id", "text"), fit(docs))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                      F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))

@@ -1,0 +1,203 @@
+"""Document fingerprints from closed syncmers.
+
+A k-mer of characters is a closed syncmer when, of its inner substrings of ``s``
+characters, one with the smallest hash stands at its first or last place. Whether
+a k-mer is chosen depends on the k-mer alone, so equal passages have the same
+anchors at the same relative places whatever stands around them.
+
+The fingerprint of a text keeps the ``size`` anchors with the smallest hashes (a
+minimum-wise sample of its anchor set) with their places. Likeness of two
+fingerprints is the estimated Jaccard similarity of the two anchor sets; the
+places give the shift between texts that share a passage.
+
+Defined results: null text is empty; an empty text has the empty fingerprint, and
+two empty ones are alike (1); a text shorter than ``k`` is one anchor, and so is a
+longer one without any syncmer; equal texts have equal fingerprints; documents with one id follow
+each other by a hash of their text; a null id comes after all others; the edited
+text of a lone document borrows from itself; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from functools import partial
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quire.llm.common import range_bucket, range_splits, ship_package, shuffle_parts
+
+K, S, SIZE = 12, 4, 64
+_MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """64-bit finaliser: a bijection that spreads every input bit."""
+    h = h ^ (h >> np.uint64(30))
+    h = h * _MIX1
+    h ^= h >> np.uint64(27)
+    h *= _MIX2
+    h ^= h >> np.uint64(31)
+    return h
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the closed syncmers of ``text``, by place."""
+    c = code_points(text).astype(np.uint64)
+    n = len(c)
+    if n < k:
+        return np.zeros(min(n, 1), np.int64), _whole(c)[:min(n, 1)]
+    sub = c[:n - s + 1].copy()
+    for j in range(1, s):
+        sub *= _STEP
+        sub += c[j:n - s + 1 + j]
+    sub = mix(sub)
+    width = k - s + 1                        # inner substrings of a k-mer
+    low, have = sub, 1
+    while have < width:                      # sliding minimum by doubling
+        step = min(have, width - have)
+        low = np.minimum(low[:-step], low[step:])
+        have += step
+    m = len(low)
+    at = np.flatnonzero((sub[:m] == low) | (sub[width - 1:width - 1 + m] == low))
+    if not len(at):
+        return np.zeros(1, np.int64), _whole(c)
+    h = sub[at]
+    for j in (*range(s, k - s, s), k - s):   # substrings that cover the k-mer
+        h = mix(h * _STEP + sub[at + j])
+    return at, h
+
+
+def _whole(c: np.ndarray) -> np.ndarray:
+    """One hash of a text that has no anchors of its own."""
+    h = np.zeros(1, np.uint64)
+    for x in c.tolist():
+        h = mix(h * _STEP + np.uint64(x + 1))
+    return h
+
+
+def sketch(text: str, k: int = K, s: int = S, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places): the smallest ``size`` different hashes, ascending, each with its first place."""
+    at, h = anchors(text, k, s)
+    if len(h) > 4 * size:                    # only candidates need sorting; doubled hashes may ask for more
+        cut = np.partition(h, 2 * size)[2 * size]
+        few = h <= cut
+        u, first = np.unique(h[few], return_index=True)
+        if len(u) >= size:
+            return u[:size], at[few][first[:size]]
+    u, first = np.unique(h, return_index=True)
+    return u[:size], at[first[:size]]
+
+
+def to_text(fingerprint: tuple[np.ndarray, np.ndarray]) -> str:
+    """``hash@place`` words, by hash."""
+    return " ".join(f"{h:016x}@{p}" for h, p in zip(fingerprint[0].tolist(), fingerprint[1].tolist()))
+
+
+def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
+    """Estimated Jaccard similarity of the anchor sets behind two sketches (exact while both are whole)."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    both = np.union1d(a, b)[:size]
+    shared = np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)
+    return float(shared.sum() / len(both))
+
+
+def shift(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
+    """(shift, anchors that agree on it): the most frequent difference of places of shared anchors; (0, 0) without any."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    if not len(i):
+        return 0, 0
+    d, n = np.unique(b[1][j] - a[1][i], return_counts=True)
+    return int(d[n.argmax()]), int(n.max())
+
+
+def fingerprint(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+    """``docs`` with ``out_col``: the fingerprint of the whole text, as ``hash@place`` words."""
+    ship_package(docs.sparkSession)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([to_text(sketch(t or "", k, s, size)) for t in texts], dtype=object)
+
+    return docs.withColumn(out_col, F.pandas_udf(run, "string")(F.col(text_col)))
+
+
+def edited(text: str, following: str) -> str:
+    """The last half of the code points replaced by the first as many (or all) of the next text."""
+    half = len(text) // 2
+    return text[:len(text) - half] + following[:half]
+
+
+def _compare(batches, k: int, s: int, size: int):
+    """Rows in order, ``own`` ones of a bucket followed by the head of the next bucket."""
+    held, rows = None, []                    # the row that waits for its next one
+
+    def done(row, following, next_sketch):
+        doc, text, mine = row
+        new = edited(text, following)
+        theirs = sketch(new, k, s, size)
+        return (doc, len(text), hashlib.sha256(new.encode()).hexdigest(), to_text(mine), to_text(theirs),
+                likeness(mine[0], theirs[0], size), likeness(mine[0], next_sketch[0], size))
+
+    bucket = None
+    for pdf in batches:
+        for b, own, doc, text in zip(pdf["bucket"], pdf["own"], pdf["doc_id"], pdf["text"]):
+            if b != bucket:
+                held, bucket = None, b       # the bucket before this one ended with its borrowed row
+            text = text or ""
+            mine = sketch(text, k, s, size)
+            if held is not None:
+                rows.append(done(held, text, mine))
+            held = (doc, text, mine) if own else None
+            if len(rows) >= 512:
+                yield _frame(rows)
+                rows = []
+    if rows:
+        yield _frame(rows)
+
+
+COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+def _frame(rows) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=COLUMNS)
+
+
+def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+    """Fingerprints of every text and of its edited text, with likenesses.
+
+    Documents are dealt by ranges of the id, descending; the first document of a
+    range goes to the range before it as well, so every document meets its next
+    one in one pass and texts are shuffled once.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    cut = range_splits(docs, id_col, shuffle_parts(spark))
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    d = d.withColumn("up", range_bucket(F.col("id"), cut)).withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # the id that starts every range (nulls come last): one row a range, and the id column alone
+    heads = d.groupBy("up").agg(F.max(F.struct(F.col("id").isNotNull().alias("has"), "id")).alias("h")).select("up", F.col("h.id").alias("head"))
+    filled = sorted(r["up"] for r in heads.collect())
+    if not filled:
+        return spark.createDataFrame([], f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, "
+                                         "edited_fingerprint string, near_edited double, near_next double")
+    lend = spark.createDataFrame([(b, filled[(i + 1) % len(filled)]) for i, b in enumerate(filled)], "up int, bucket int")
+    rows_at = d.join(F.broadcast(heads.join(F.broadcast(lend), "up")), "up").where(F.col("id").eqNullSafe(F.col("head")))
+    lent = (rows_at.groupBy("up", "bucket").agg(F.max_by(F.struct("id", "text", "tie"), "tie").alias("r"))
+            .select("r.*", "up", F.lit(False).alias("own"), "bucket"))
+    own = d.withColumn("own", F.lit(True)).withColumn("bucket", F.col("up"))
+    rows = own.unionByName(lent)
+    parts = min(len(filled), shuffle_parts(spark))
+    rows = (rows.repartitionByRange(parts, F.col("bucket").desc())
+            .sortWithinPartitions(F.col("bucket").desc(), F.col("own").desc(), F.col("id").desc_nulls_last(), F.col("tie").desc())
+            .select("bucket", "own", F.col("id").cast("string").alias("doc_id"), "text"))
+    got = rows.mapInPandas(partial(_compare, k=k, s=s, size=size),
+                           "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+                           "near_edited double, near_next double")
+    return got.withColumn("doc_id", F.col("doc_id").cast("long")).withColumnRenamed("doc_id", id_col)
