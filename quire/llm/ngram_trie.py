@@ -4,14 +4,15 @@ A document's set holds the hashes of its different word n-grams, in one global
 order (ascending hash). Two documents link when the Jaccard similarity of their
 sets reaches a whole percentage.
 
-Distribution. Documents with equal sets are one class. For a pair above the
-threshold, the symmetric difference is at most ``d`` elements, ``d`` following from
-the sizes; cutting the hash space into more than ``d`` ranges leaves at least one
-range in which both sets are the same. A class therefore announces a signature of
-what it has in every range (for its size class, and for the next if a larger
-partner may be there); linked classes share one, and frequent n-grams alone make
-no signature. Classes that share signatures form candidate groups (connected
-components over a star a signature, never pairs), and only their sets travel.
+Distribution. Documents with equal sets are one class. In the global order, linked
+sets share at least one element of their prefixes, and prefixes longer by ``e``
+share ``1 + e``. Every class announces such a longer prefix and then withdraws the
+elements that most classes announced, as many as still leaves linked classes one
+in common: elements are ranked by a property of their own (how many announced
+them), so of the shared ones the rarest is withdrawn by neither side. Frequent
+n-grams (a common line or passage) group nobody by that, and nothing is lost.
+Classes that share an element form candidate groups (connected components over a
+star an element, never pairs), and only their sets travel.
 
 Join. The sets of a group, in blocks of bounded size, go into a path-compressed
 trie. A set is joined with the whole trie in one traversal: sets with a common
@@ -75,39 +76,17 @@ def digest(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
-def size_bounds(limit: int = 1 << 28, ratio: float = 1.3) -> np.ndarray:
-    """Smallest size of every size class."""
-    out = [1]
-    while out[-1] < limit:
-        out.append(max(out[-1] + 1, int(out[-1] * ratio)))
-    return np.array(out)
-
-
-_BOUNDS = size_bounds()
-
-
-def signatures(h: np.ndarray, percent: int = 90, spare: int = 2) -> np.ndarray:
-    """Hashes of (size class, range, elements there). With ``spare`` more ranges than
-    the difference needs, that many empty ranges need not be announced."""
-    n, out = len(h), []
-    if not n:
-        return np.zeros(0, np.int64)
-    c = int(np.searchsorted(_BOUNDS, n, "right")) - 1
-    body = mix(h + _A[1])
-    while _BOUNDS[c] * percent <= n * 100:                     # a partner of class c may be in reach
-        high = int(_BOUNDS[c + 1]) - 1
-        d = 2 * high * (100 - percent) // (100 + percent)
-        ranges = d + 1 + (spare if d >= 4 else 0)
-        at = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        sums, where = np.add.reduceat(body, first), at[first]
-        empty = ranges - len(first)
-        if empty > (spare if d >= 4 else 0):                   # too many: the empty ones count as well
-            gone = np.setdiff1d(np.arange(ranges, dtype=np.uint64), where)
-            sums, where = np.r_[sums, np.zeros(len(gone), np.uint64)], np.r_[where, gone]
-        out.append(mix(sums + mix(where * _A[2] + np.full(1, c + 1, np.uint64) * _A[0])))
-        c += 1
-    return np.concatenate(out).view(np.int64)
+def spare(n: int, percent: int) -> int:
+    """Elements by which the prefix of a set of ``n`` is longer than it must be; grows with ``n``."""
+    return n * (100 - percent) // 200
+
+
+def prefix(h: np.ndarray, percent: int = 90) -> tuple[np.ndarray, int]:
+    """(announced elements, how many of them may be withdrawn). A partner has at least
+    ``percent`` of the elements, so what its spare allows is what may be withdrawn."""
+    n = len(h)
+    least = -(-n * percent // 100)
+    return h[:n - least + 1 + spare(n, percent)].view(np.int64), spare(least, percent)
 
 
 def _sets(batches, n: int, percent: int):
@@ -115,8 +94,9 @@ def _sets(batches, n: int, percent: int):
         rows = []
         for doc, text in zip(pdf["doc_id"], pdf["text"]):
             h = ngram_set(text, n)
-            rows.append((doc, len(h), digest(h) if len(h) else None, signatures(h, percent)))
-        yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "sigs"])
+            announced, skip = prefix(h, percent)
+            rows.append((doc, len(h), digest(h) if len(h) else None, skip, announced if len(h) else h.view(np.int64)))
+        yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "skip", "prefix"])
 
 
 def _wanted_sets(batches, n: int, wanted):
@@ -249,9 +229,14 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     spark = docs.sparkSession
     ship_package(spark)
     narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage(narrow.mapInPandas(partial(_sets, n=n, percent=percent), "doc_id string, n int, node binary, sigs array<long>"), "ngram_sets")
-    sig = rows.select("node", F.explode("sigs").alias("sig"))
-    star = sig.select("node", F.min("node").over(Window.partitionBy("sig")).alias("hub")).where("node != hub")
+    rows = stage(narrow.mapInPandas(partial(_sets, n=n, percent=percent),
+                                    "doc_id string, n int, node binary, skip int, prefix array<long>"), "ngram_sets")
+    said = (rows.select("node", "skip", F.explode("prefix").alias("g")).repartition("g")
+            .groupBy("g", "node").agg(F.first("skip").alias("skip")))            # copies say it once
+    said = said.withColumn("by", F.count(F.lit(1)).over(Window.partitionBy("g"))).where(F.col("by") > 1)
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("by").desc(), "g"))
+    left = said.withColumn("rank", rank).where(F.col("rank") > F.col("skip")).select("g", "node")
+    star = left.select("node", F.min("node").over(Window.partitionBy("g")).alias("hub")).where("node != hub")
     group = stage(components(star.distinct(), "node", "hub"), "ngram_groups")
     # the sets of grouped classes, made again from the texts the bitmap admits
     members = rows.select("doc_id", "node").join(group.select("node"), "node", "left_semi")

@@ -230,14 +230,14 @@ def edited_texts(seed, bases, copies, length, edits):
     return rows
 
 
-@pytest.mark.parametrize("block", [64, 7])
-def test_join_against_all_pairs(spark, block):
+@pytest.mark.parametrize("block,n,percent", [(64, 3, 90), (7, 3, 90), (16, 5, 80)])
+def test_join_against_all_pairs(spark, block, n, percent):
     rows = edited_texts(1, 5, 30, 100, 4) + [(1000 + i, t) for i, (_, t) in enumerate(edited_texts(2, 4, 8, 19, 1))]
     rows += [(2000, None), (2001, ""), (2002, "one"), (2003, "ONE"), (2004, "one two"), (2005, " one\ttwo\n"), (2006, "ÉA b c"), (2007, "éa b c")]
     rows += [(5, rows[5][1]), (3000, rows[5][1].upper()), (3001, "w " * 60_000), (3002, "w " * 60_001)]
     d = frame(spark, [(i, t, "en") for i, t in rows])
-    got = sorted(tuple(r) for r in T.join_documents(d, block=block, bridges=2).collect())
-    assert got == slow_components(rows)
+    got = sorted(tuple(r) for r in T.join_documents(d, n, percent, block=block, bridges=2).collect())
+    assert got == slow_components(rows, n, percent)
     if block == 7:
         keep = {r.doc_id for r in T.keep_first(d, block=block).collect()}
         assert keep == {c for _, n, c in got if n} | {2000, 2001}
@@ -264,16 +264,18 @@ def test_trie_finds_the_links_of_all_pairs():
                     assert find(i) == find(j)
 
 
-def test_linked_sets_share_a_signature():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_enough_of_their_prefixes(percent):
     rng = np.random.default_rng(5)
     for _ in range(3000):
         n = int(rng.integers(1, 400))
         h = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
-        gone, new = rng.integers(0, n // 10 + 1), rng.integers(0, n // 10 + 1)
+        gone, new = rng.integers(0, n // 8 + 2, 2)
         g = np.unique(np.r_[rng.permutation(h)[gone:], rng.integers(0, 2 ** 64, new, dtype=np.uint64)])
         x = len(np.intersect1d(h, g))
-        if len(g) and 100 * x >= 90 * (len(h) + len(g) - x):
-            assert len(np.intersect1d(T.signatures(h), T.signatures(g)))
+        if len(g) and 100 * x >= percent * (len(h) + len(g) - x):
+            (a, skip_a), (b, skip_b) = T.prefix(h, percent), T.prefix(g, percent)
+            assert len(np.intersect1d(a, b)) > max(skip_a, skip_b)
 
 
 def test_join_of_nothing(spark):
