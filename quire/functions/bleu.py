@@ -41,25 +41,8 @@ def split_tokens(tokenized) -> Column:
     return F.array_remove(F.split(_c(tokenized), " "), "")
 
 
-def ngrams(tokens, max_order: int = MAX_ORDER) -> Column:
-    """All n-grams of orders 1..max_order as ``array<struct<n, g>>``; the
-    gram is its tokens joined by one space (tokens hold no whitespace)."""
-    toks = _c(tokens)
-    parts = []
-    def order(n):
-        # one-argument lambda: transform() passes (element, index) to two-argument ones
-        return F.transform(
-            F.sequence(F.lit(0), F.size(toks) - n),
-            lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(toks, i + 1, n), " ").alias("g")))
-
-    for n in range(1, max_order + 1):
-        grams = order(n)
-        parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast(NGRAM_TYPE)))
-    return F.concat(*parts)
-
-
 def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "", elem_type: str = NGRAM_TYPE) -> str:
-    """The same n-grams as :func:`ngrams`, as one SQL expression over the
+    """All n-grams of orders 1..max_order, as one SQL expression over the
     array column ``arr`` (parsed JVM-side in one call instead of one Python
     round trip per node). ``extra`` appends fields to each struct, e.g.
     ``", 'sys', 0"``; ``elem_type`` is the resulting array type."""

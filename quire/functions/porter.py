@@ -2,7 +2,7 @@
 
 A per-token helper used inside the ROUGE-L pandas UDF (cached per worker).
 Revisions over the 1980 paper: ``bli -> ble``, ``logi -> log``,
-``fulli -> ful``, ``lessli -> less`` in step 2, ``alli`` handled before the
+``fulli -> ful`` in step 2, ``alli`` handled before the
 other step-2 rules, ``ies``/``ied`` on four-letter words keep ``ie``, a final
 ``y`` becomes ``i`` only after a consonant, words of one or two letters and a
 short list of irregular forms are left as they are.
@@ -24,7 +24,7 @@ STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "anc
          ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
          ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
-         ("fulli", "ful"), ("lessli", "less"), ("logi", "log")]
+         ("fulli", "ful"), ("logi", "log")]
 STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
          ("ful", ""), ("ness", "")]
 STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",

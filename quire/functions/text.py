@@ -84,12 +84,16 @@ def text_preview(col, n: int = 300) -> Column:
 
 
 def truncate_ws_tokens(col, max_tokens: int) -> Column:
-    """Whitespace-token truncation (P10): struct(text, n_tokens, was_truncated)."""
-    toks = ws_tokens(col)
+    """Whitespace-token truncation (P10): struct(text, n_tokens, was_truncated).
+    A text within the budget stays as it is; a longer one is cut right after
+    its last token, white space before it untouched."""
+    text = F.coalesce(_c(col), F.lit(""))
+    n = F.size(ws_tokens(col))
+    words = F.regexp_extract_all(text, F.lit(WS_CLASS + "*+[^" + WS_CLASS[1:] + "++"), F.lit(0))
     return F.struct(
-        F.array_join(F.slice(toks, 1, max_tokens), " ").alias("text"),
-        F.size(toks).alias("n_tokens"),
-        (F.size(toks) > max_tokens).alias("was_truncated"),
+        F.when(n > max_tokens, F.array_join(F.slice(words, 1, max_tokens), "")).otherwise(text).alias("text"),
+        n.alias("n_tokens"),
+        (n > max_tokens).alias("was_truncated"),
     )
 
 

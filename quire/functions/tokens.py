@@ -8,6 +8,7 @@ is built once per Python worker from ``make_tokenizer``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -18,7 +19,16 @@ from pyspark.sql.functions import pandas_udf
 TRUNC_TYPE = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_tokens", T.IntegerType()),
                            T.StructField("was_truncated", T.BooleanType())])
 
-_TOKENIZERS: dict = {}
+_RESIDENT: dict = {"key": None, "tokenizer": None}
+
+
+def resident_tokenizer(key: str, make_tokenizer):
+    """The worker's tokenizer: built once per worker and call, one at a time.
+    Workers reach this module by import, so the table is theirs and not a copy
+    that travels with each task."""
+    if _RESIDENT["key"] != key:
+        _RESIDENT["key"], _RESIDENT["tokenizer"] = key, make_tokenizer()
+    return _RESIDENT["tokenizer"]
 
 
 def truncate_with_tokenizer(col: Column, make_tokenizer: Callable[[], tuple[Callable, Callable]],
@@ -29,16 +39,11 @@ def truncate_with_tokenizer(col: Column, make_tokenizer: Callable[[], tuple[Call
 
     from quire.session import ship_package
     ship_package()
-
-    # a stable key: each task unpickles a new function object, so id() would
-    # rebuild the tokenizer per task and grow the worker-level cache
-    key = (getattr(make_tokenizer, "__module__", ""), getattr(make_tokenizer, "__qualname__", repr(make_tokenizer)))
+    key = uuid.uuid4().hex      # names this call: factories of one function share a name
 
     @pandas_udf(TRUNC_TYPE)
     def trunc(s: pd.Series) -> pd.DataFrame:
-        if key not in _TOKENIZERS:
-            _TOKENIZERS[key] = make_tokenizer()
-        encode, decode = _TOKENIZERS[key]
+        encode, decode = resident_tokenizer(key, make_tokenizer)
         texts, counts, cut = [], [], []
         for x in s:
             ids = encode("" if x is None else x)

@@ -9,18 +9,7 @@ from pyspark.sql import functions as F
 from quire.functions.templates import render_chat, split_prompt_reference
 from quire.functions.text import content_hash, is_blank, text_preview
 from quire.operators.render import with_messages
-
-# A side whose row count is proven at most this is broadcast; above, the
-# join is left to a shuffle (sort-merge / AQE).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, rows_bound: int | None) -> DataFrame:
-    """Broadcast ``df`` only behind a proven row bound."""
-    if rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
-
+from quire.session import stage
 
 def check_schema(df: DataFrame, required=("instruction", "output")) -> list[str]:
     """A1: sorted column list; raises before any job when a required column
@@ -56,30 +45,16 @@ def disjointness_audit(train: DataFrame, eval_: DataFrame, key: str = "content_h
 
 
 def prompt_leakage(train: DataFrame, eval_: DataFrame, text_col: str = "text",
-                   id_col: str = "content_hash", eval_rows_bound: int | None = None) -> DataFrame:
+                   id_col: str = "content_hash") -> DataFrame:
     """Eval rows whose *prompt* (P8) also occurs in train, possibly with
     another answer. The whole-text hash split allows this; the documented
     intent (disjoint by instruction) does not. Returns the leaking eval rows.
 
-    With a proven bound on the eval size (the holdout), the eval prompt
-    hashes are broadcast and train is only scanned (semi-join map-side, no
-    shuffle of train); otherwise both sides are shuffled on the hash."""
+    A semi-join on the prompt hash; the engine broadcasts a side only where
+    it measures that side as small."""
     def ph(df):
         return df.select(id_col, content_hash(split_prompt_reference(text_col)["prompt"]).alias("prompt_hash"))
-    ev = ph(eval_)
-    small = eval_rows_bound is not None and eval_rows_bound <= BROADCAST_MAX_ROWS
-    if small:
-        hit = (ph(train).select("prompt_hash")
-               .join(F.broadcast(ev.select("prompt_hash").distinct()), "prompt_hash", "left_semi")
-               .distinct())
-        return ev.join(F.broadcast(hit), "prompt_hash", "left_semi")
-    return ev.join(ph(train).select("prompt_hash").distinct(), "prompt_hash", "left_semi")
-
-
-def split_profile(splits: DataFrame, key: str = "content_hash") -> DataFrame:
-    """Per split: rows and distinct keys (one aggregation)."""
-    return splits.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
-                                       F.countDistinct(key).alias("unique_hashes"))
+    return ph(eval_).join(ph(train).select("prompt_hash").distinct(), "prompt_hash", "left_semi")
 
 
 def manifest_counts(staged: DataFrame, splits: DataFrame, key: str = "content_hash",
@@ -97,17 +72,18 @@ def manifest_counts(staged: DataFrame, splits: DataFrame, key: str = "content_ha
             "disjointness": {k: int(dis[k]) for k in ("train_unique_hashes", "eval_unique_hashes", "intersection")}}
 
 
-def dry_run_report(raw: DataFrame, n: int, template: str = "plain", order_col: str = "row_id") -> DataFrame:
+def dry_run_report(raw: DataFrame, n: int, template: str = "plain", order_col: str = "row_id",
+                   allow_blank: bool = False) -> DataFrame:
     """A2: schema/plumbing report over the first ``n`` rows (in ``order_col``).
 
     ``raw`` holds the source instruction rows (with ``order_col``); only the
-    bounded sample is rendered with ``template``. Dedupe and a
-    ``max(1, n // 5)`` eval slice (first occurrences in input order) run on
-    the bounded sample; their overlap must be 0.
+    bounded sample is rendered with ``template`` and staged, so the top-n runs
+    once. Dedupe and a ``max(1, n // 5)`` eval slice (first occurrences in
+    input order) run on the staged sample; their overlap must be 0. A blank
+    formatted row raises unless ``allow_blank``.
     """
     cols = check_schema(raw.drop(order_col) if order_col in raw.columns else raw)
-    sample = raw.orderBy(order_col).limit(n)
-    # render the bounded sample in place (no self-join: the top-n runs once)
+    sample = stage(raw.orderBy(order_col).limit(n), "dry-run")
     rendered = with_messages(sample).withColumn("text", render_chat(F.col("messages"), template))
     s = (rendered.select(order_col, "text", *(["input"] if "input" in raw.columns else []))
                .withColumn("empty_input", is_blank("input") if "input" in raw.columns else F.lit(True))
@@ -124,6 +100,8 @@ def dry_run_report(raw: DataFrame, n: int, template: str = "plain", order_col: s
     ).first()
     if not agg["rows_streamed"]:
         raise RuntimeError("the source yielded 0 rows")
+    if not agg["all_formatted_non_empty"] and not allow_blank:
+        raise ValueError("a formatted row of the sample is blank")
     # first occurrence of each hash in input order; the first max(1, d // 5) are eval
     firsts = s.groupBy("content_hash").agg(F.min(order_col).alias("first_id"))
     eval_n = max(1, agg["after_dedupe"] // 5)

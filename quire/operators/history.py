@@ -18,27 +18,27 @@ def assemble_history(turns: DataFrame, system_text: str = DEFAULT_SYSTEM, conv_c
 
     Rows, not a per-conversation array: nothing is gathered per group, so a
     conversation with a third of all turns costs no more than its rows; the
-    system rows come from a distinct over ``conv_id`` (combined map-side).
-    Use :func:`to_message_array` when a bounded array per conversation is
-    really needed.
+    system rows come from one combined row per ``conv_id``.
+    Use :func:`to_message_array` when an array per conversation is really
+    needed. A conversation that starts with a system message of its own keeps
+    it and gets no other.
     """
     msgs = turns.select(F.col(conv_col).alias("conv_id"), (F.col(turn_col) + 1).cast("long").alias("pos"),
                         F.col(role_col).alias("role"), F.col(text_col).alias("content"))
-    system = (turns.select(F.col(conv_col).alias("conv_id")).distinct()
+    first = (turns.groupBy(F.col(conv_col).alias("conv_id"))
+             .agg(F.min_by(F.col(role_col), F.col(turn_col)).alias("first_role")))
+    system = (first.where(~F.col("first_role").eqNullSafe(F.lit("system")))
                    .select("conv_id", F.lit(0).cast("long").alias("pos"), F.lit("system").alias("role"),
                            F.lit(system_text).alias("content")))
     return system.unionByName(msgs)
 
 
-def to_message_array(messages: DataFrame, max_messages: int = 512) -> DataFrame:
+def to_message_array(messages: DataFrame) -> DataFrame:
     """``(conv_id, messages array<struct<role, content>>)`` ordered by ``pos``.
 
-    The array is a per-conversation gather, so its size is checked first:
-    a conversation longer than ``max_messages`` raises instead of being cut.
+    One row per conversation is what is asked for, so a conversation must fit
+    one value (2 GB); there is no other limit on its messages.
     """
-    longest = messages.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    if longest > max_messages:
-        raise ValueError(f"a conversation has {longest} messages > max_messages={max_messages}")
     g = messages.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("pos", "role", "content"))).alias("m"))
     return g.select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"),
                                                                    x["content"].alias("content"))).alias("messages"))

@@ -42,12 +42,18 @@ def per_example(pairs: DataFrame, systems: list[str]) -> DataFrame:
     expanded n-gram rows never cross the network, and each reference is
     tokenised and expanded once however many systems are compared.
     """
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an explicit partition count: the pairs are compact, their expansion is
-    # not, so AQE must not coalesce this shuffle into a few tasks
-    return pairs.repartition(n, "example_id").groupBy("example_id").agg(
+    # no partition count: the engine sizes this exchange, and what follows is
+    # satisfied by it
+    return pairs.repartition("example_id").groupBy("example_id").agg(
         F.first("reference", ignorenulls=True).alias("reference"),
-        *[F.max(F.when(F.col("system") == s, F.col("prediction"))).alias(f"p{i}") for i, s in enumerate(systems)])
+        *[_one_of(F.col("system") == s, F.col("prediction")).alias(f"p{i}") for i, s in enumerate(systems)])
+
+
+def _one_of(which: Column, value: Column) -> Column:
+    """The value of the one row of a group that ``which`` picks; two such rows
+    are an error, not a choice."""
+    return F.when(F.count_if(which) > 1, F.raise_error(F.lit("an example has repeated rows of one system or reference"))) \
+            .otherwise(F.max(F.when(which, value)))
 
 
 def per_example_from(preds: DataFrame, refs: DataFrame, systems: list[str], check: bool = False) -> DataFrame:
@@ -58,14 +64,13 @@ def per_example_from(preds: DataFrame, refs: DataFrame, systems: list[str], chec
     once and is never duplicated per system. Inner-join semantics: examples
     without a reference or without any prediction are dropped; with
     ``check`` a prediction without a reference raises."""
-    n = int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     u = (preds.select("example_id", "system", F.col("prediction").alias("t"))
          .unionByName(refs.select("example_id", F.lit(None).cast("string").alias("system"),
                                   F.col("reference").alias("t"))))
-    g = u.repartition(n, "example_id").groupBy("example_id").agg(
-        F.max(F.when(F.col("system").isNull(), F.col("t"))).alias("reference"),
+    g = u.repartition("example_id").groupBy("example_id").agg(
+        _one_of(F.col("system").isNull(), F.col("t")).alias("reference"),
         F.max(F.col("system").isNull().cast("int")).alias("_has_ref"),
-        *[F.max(F.when(F.col("system") == s, F.col("t"))).alias(f"p{i}") for i, s in enumerate(systems)],
+        *[_one_of(F.col("system") == s, F.col("t")).alias(f"p{i}") for i, s in enumerate(systems)],
         *[F.max((F.col("system") == s).cast("int")).alias(f"_has{i}") for i, s in enumerate(systems)])
     has_pred = F.greatest(*[F.coalesce(F.col(f"_has{i}"), F.lit(0)) for i in range(len(systems))]) \
         if len(systems) > 1 else F.coalesce(F.col("_has0"), F.lit(0))
@@ -206,14 +211,13 @@ _LCS_TYPE = T.StructType([T.StructField("lcs", T.IntegerType()), T.StructField("
 _LCS_ARRAY = T.ArrayType(_LCS_TYPE)
 
 
-@pandas_udf(_LCS_ARRAY)
-def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
-    """Per example: the reference stemmed once, then per system the LCS
+def _lcs_rows(ref: pd.Series, preds: pd.Series, stemmed: bool) -> pd.Series:
+    """Per example: the reference prepared once, then per system the LCS
     (null entry when the system has no prediction)."""
     from quire.functions.porter import stem
 
     def prep(toks):
-        return [stem(x) if len(x) > 3 else x for x in toks]
+        return [stem(x) if stemmed and len(x) > 3 else x for x in toks]
 
     out = []
     for r, ps in zip(ref, preds):
@@ -229,15 +233,25 @@ def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+@pandas_udf(_LCS_ARRAY)
+def _stem_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
+    return _lcs_rows(ref, preds, True)
+
+
+@pandas_udf(_LCS_ARRAY)
+def _plain_lcs(ref: pd.Series, preds: pd.Series) -> pd.Series:
+    return _lcs_rows(ref, preds, False)
+
+
 def rouge_l_rows(pairs: DataFrame | None, systems: list[str] | None = None,
-                 wide: DataFrame | None = None) -> DataFrame:
-    """Per pair: LCS, token counts and the ROUGE-L F-measure (stemmed)."""
+                 wide: DataFrame | None = None, stemmed: bool = True) -> DataFrame:
+    """Per pair: LCS, token counts and the ROUGE-L F-measure, of stemmed or plain tokens."""
     systems = systems or systems_of(pairs)
     wide = wide if wide is not None else per_example(pairs, systems)
     ship_package(wide.sparkSession)
     k = len(systems)
     preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_tokens(f"p{i}")) for i in range(k)])
-    s = wide.select("example_id", F.posexplode(_stem_lcs(rouge_tokens("reference"), preds)).alias("i", "s"))
+    s = wide.select("example_id", F.posexplode((_stem_lcs if stemmed else _plain_lcs)(rouge_tokens("reference"), preds)).alias("i", "s"))
     s = s.filter(F.col("s").isNotNull()).withColumn(
         "system", F.element_at(F.array(*[F.lit(x) for x in systems]), F.col("i") + 1))
     p = F.col("s.lcs") / F.col("s.n_pred")
@@ -249,20 +263,20 @@ def rouge_l_rows(pairs: DataFrame | None, systems: list[str] | None = None,
 
 
 def rouge_l(pairs: DataFrame | None, decimals: int = 4, systems: list[str] | None = None,
-            wide: DataFrame | None = None) -> DataFrame:
+            wide: DataFrame | None = None, stemmed: bool = True) -> DataFrame:
     """A5: mean ROUGE-L F x 100 per system (no rows -> no system row)."""
-    return rouge_l_rows(pairs, systems, wide).groupBy("system").agg(
+    return rouge_l_rows(pairs, systems, wide, stemmed).groupBy("system").agg(
         F.round(F.coalesce(F.avg("rouge_l_f"), F.lit(0.0)) * 100.0, decimals).alias("rouge_l"))
 
 
 # --- comparison and throughput -------------------------------------------------
 def score_systems(pairs: DataFrame | None, with_rouge: bool = True, systems: list[str] | None = None,
-                  wide: DataFrame | None = None) -> DataFrame:
+                  wide: DataFrame | None = None, stemmed: bool = True) -> DataFrame:
     """BLEU (and ROUGE-L) per system, from pairs or a prebuilt per-example frame."""
     systems = systems or systems_of(pairs)
     b = corpus_bleu(pairs, systems=systems, wide=wide)
     if with_rouge:
-        b = b.join(rouge_l(pairs, systems=systems, wide=wide), "system", "left")
+        b = b.join(rouge_l(pairs, systems=systems, wide=wide, stemmed=stemmed), "system", "left")
     return b
 
 

@@ -1,11 +1,11 @@
 """Exact, seeded, order-free splits.
 
 The shuffle order is ``split_rank = sha256("{seed}:{content_hash}")``: a total
-order that depends on content and seed only. Positions in that order are
-found without a global sort: hex-prefix bucket counts (at most 16**4 groups,
-map-side combined) locate the bucket holding a position; that bucket is
-refined by the next prefix until it is small, and only its keys are
-collected. Each pass is one narrow aggregation over a single column.
+order that depends on content and seed only. The key at a position is found
+without a global sort: hex-prefix bucket counts (at most 16**4 groups,
+map-side combined) locate the bucket holding it, and that bucket is refined by
+the next prefix until the prefix is the key. Each pass is one narrow
+aggregation over a single column, and at most 16**4 counts reach the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from quire.functions.text import seeded_rank
 
 PREFIX_WIDTH = 4          # hex characters per refinement level (65,536 buckets)
-MAX_COLLECT = 100_000     # a bucket at most this large is sorted on the driver
+KEY_WIDTH = 64            # hex characters of a whole key
 
 
 def split_sizes(n: int, holdout: int, size: int) -> tuple[int, int]:
@@ -30,12 +30,6 @@ def split_sizes(n: int, holdout: int, size: int) -> tuple[int, int]:
     return eval_n, train_n
 
 
-def with_split_rank(df: DataFrame, seed: int, key: str = "content_hash",
-                    out: str = "split_rank") -> DataFrame:
-    """Seeded shuffle key."""
-    return df.withColumn(out, seeded_rank(seed, key))
-
-
 def bucket_counts(df: DataFrame, key: str, prefix: str = "", width: int = PREFIX_WIDTH) -> list[tuple[str, int]]:
     """Counts per next-level hex prefix below ``prefix`` (<= 16**width rows)."""
     sub = df if not prefix else df.filter(F.col(key).startswith(prefix))
@@ -45,12 +39,11 @@ def bucket_counts(df: DataFrame, key: str, prefix: str = "", width: int = PREFIX
 
 
 def keys_at_positions(df: DataFrame, key: str, positions, width: int = PREFIX_WIDTH,
-                      max_collect: int = MAX_COLLECT,
                       top_counts: list[tuple[str, int]] | None = None) -> dict[int, str | None]:
     """The key at each 1-based position of the ascending order of ``key``.
 
-    ``key`` must be unique hex (e.g. a SHA-256). Exact; the driver never
-    holds more than ``16**width`` bucket counts or ``max_collect`` keys.
+    ``key`` is hex of at most ``KEY_WIDTH`` characters and may repeat. Exact;
+    the driver never holds more than ``16**width`` bucket counts.
     """
     wanted = sorted({int(p) for p in positions if p and p >= 1})
     result: dict[int, str | None] = {p: None for p in wanted}
@@ -61,13 +54,10 @@ def keys_at_positions(df: DataFrame, key: str, positions, width: int = PREFIX_WI
         counts = top_counts if (not prefix and top_counts is not None) else bucket_counts(df, key, prefix, width)
         for b, c in counts:
             inside = [p for p in poss if cum < p <= cum + c]
-            if inside:
-                if c <= max_collect or len(b) >= 64:
-                    keys = sorted(r[0] for r in df.filter(F.col(key).startswith(b)).select(key).collect())
-                    for p in inside:
-                        result[p] = keys[p - cum - 1]
-                else:
-                    pending.append((b, cum, inside))
+            if inside and (len(b) >= KEY_WIDTH or b == prefix):       # the whole key: all rows of the bucket share it
+                result.update({p: b for p in inside})
+            elif inside:
+                pending.append((b, cum, inside))
             cum += c
     return result
 
@@ -95,40 +85,41 @@ def cut_split(df: DataFrame, holdout: int, size: int, key: str = "split_rank",
     return out, info
 
 
+def order_columns(df: DataFrame, key: str = "split_rank", tie: str = "content_hash") -> list[str]:
+    """The total order of a split: its rank, then the content hash where answers share a rank."""
+    return [key] + [c for c in (tie,) if c in df.columns and c != key]
+
+
 def take_first(df: DataFrame, n: int, order_col: str = "split_rank") -> DataFrame:
     """First ``min(len, n)`` rows in split order (TakeOrderedAndProject)."""
-    return df.orderBy(order_col).limit(int(n))
+    return df.orderBy(*order_columns(df, order_col)).limit(int(n))
 
 
 def with_positions(df: DataFrame, key: str = "split_rank", pos_col: str = "pos",
-                   width: int | None = None, counts: list[tuple[str, int]] | None = None) -> DataFrame:
-    """Exact 0-based global position in ``key`` order without a global sort.
-
-    Bucket offsets come from prefix counts (at most ``16**width`` rows, so
-    the offset table has a proven bound and is broadcast); inside a bucket
-    ``row_number`` orders the keys. Buckets are hash prefixes of unique keys,
-    so no bucket is hot.
+                   width: int = PREFIX_WIDTH, tie_width: int = 2) -> DataFrame:
+    """Exact 0-based global position in split order without a global sort.
+
+    Two levels of prefix sums: the rows of a cell (one key, one prefix of the
+    tie column) are counted, cells are summed in order within their key-prefix
+    bucket, and buckets - at most ``16**width`` rows - over the whole. A key
+    held by many rows is spread over ``16**tie_width`` cells. Offsets are
+    joined as data; nothing of them passes through the driver.
     """
-    counts = counts if counts is not None else bucket_counts(df, key, "", width or PREFIX_WIDTH)
-    n = sum(c for _, c in counts)
-    if width is None:
-        # aim at <= ~1M rows per bucket; at most 16**6 offset rows
-        width = PREFIX_WIDTH
-        while width < 6 and n > 16 ** width * 1_000_000:
-            width += 1
-        if width != PREFIX_WIDTH:
-            counts = bucket_counts(df, key, "", width)
-    offsets, cum = [], 0
-    for b, c in counts:
-        offsets.append((b, cum))
-        cum += c
-    spark = df.sparkSession
-    off = spark.createDataFrame(offsets, "b string, off long")
-    w = Window.partitionBy("b").orderBy(key)
-    return (df.withColumn("b", F.substring(key, 1, width))
-              .join(F.broadcast(off), "b")
-              .withColumn(pos_col, F.col("off") + F.row_number().over(w) - 1)
-              .drop("b", "off"))
+    order = order_columns(df, key)
+    cell = F.substring(order[1], 1, tie_width) if len(order) > 1 else F.lit("")
+    d = df.withColumn("_cell", cell)
+    cells = d.groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", F.substring(key, 1, width))
+    buckets = cells.groupBy("_b").agg(F.sum("_n").alias("_n"))
+    buckets = buckets.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    inner = Window.partitionBy("_b").orderBy(key, "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (cells.withColumn("_off", F.coalesce(F.sum("_n").over(inner), F.lit(0))).join(buckets, "_b")
+            .select(F.col(key).alias("_k"), F.col("_cell").alias("_c"), (F.col("_base") + F.col("_off")).alias("_off")))
+    w = Window.partitionBy(key, "_cell").orderBy(*order)
+    return (d.withColumn("_rn", F.row_number().over(w))
+             .join(offs, (F.col(key) == F.col("_k")) & (F.col("_cell") == F.col("_c")))
+             .withColumn(pos_col, (F.col("_off") + F.col("_rn") - 1).cast("long"))
+             .drop("_cell", "_rn", "_k", "_c", "_off"))
 
 
 def batch_plan(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epochs: int = 1,
@@ -139,16 +130,28 @@ def batch_plan(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epochs:
     ``ceil(n / effective)``; ``max_steps > 0`` overrides the epoch count.
     """
     eff = batch_size * grad_accum
-    counts = bucket_counts(df, key)
-    n = sum(c for _, c in counts)
-    p = with_positions(df, key, counts=counts if n <= 16 ** PREFIX_WIDTH * 1_000_000 else None)
-    out = (p.withColumn("micro_batch", F.floor(F.col("pos") / batch_size))
-             .withColumn("step", F.floor(F.col("pos") / eff)))
+    n = df.count()
+    out = (with_positions(df, key).withColumn("micro_batch", F.floor(F.col("pos") / batch_size))
+           .withColumn("step", F.floor(F.col("pos") / eff)))
     steps_per_epoch = math.ceil(n / eff) if n else 0
     total = max_steps if max_steps and max_steps > 0 else steps_per_epoch * epochs
     return out, {"rows": n, "effective_batch": eff, "steps_per_epoch": steps_per_epoch, "total_steps": total}
 
 
+def training_steps(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epochs: int = 1, max_steps: int = -1,
+                   key: str = "split_rank") -> DataFrame:
+    """The rows of every optimiser step that is run: the batch plan repeated
+    for each epoch (steps count on), up to ``total_steps``. Epochs come from a
+    sequence column, so the plan is made once."""
+    plan, info = batch_plan(df, batch_size, grad_accum, epochs, max_steps, key)
+    per = max(info["steps_per_epoch"], 1)
+    passes = -(-info["total_steps"] // per) if info["rows"] else 0
+    runs = plan.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))) if passes else \
+        plan.withColumn("epoch", F.lit(0)).where(F.lit(False))
+    out = runs.withColumn("step", (F.col("step") + F.col("epoch") * per).cast("long"))
+    return out.where(F.col("step") < info["total_steps"])
+
+
 def write_shards(plan: DataFrame, path: str, rows_per_shard: int, pos_col: str = "pos") -> None:
     """D8 export: ``shard = pos // rows_per_shard``, written with
     ``partitionBy("shard")``. Positions are contiguous inside each hash-prefix

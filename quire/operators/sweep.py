@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import time
 from collections.abc import Callable
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.functions.text import truncate_ws_tokens
+
 RESULT_SCHEMA = ("cell_no int, rank int, learning_rate double, scheduler string, lora_alpha int, "
                  "run_tag string, eval_loss double, runtime_seconds double")
 
@@ -50,7 +54,8 @@ def sweep_plan(grid: DataFrame, train_rows: int, eval_rows: int, subset_size: in
 
 
 def default_cell(train: DataFrame, eval_: DataFrame, params: dict, max_steps: int = 20, seed: int = 42,
-                 label_col: str = "label", text_col: str = "text") -> float:
+                 label_col: str = "label", text_col: str = "text", n_features: int = 256,
+                 max_tokens: int | None = None) -> float:
     """Default cell: a Spark ML text classifier whose fit runs on Spark.
 
     Hashed token counts -> a one-hidden-layer perceptron trained by
@@ -58,14 +63,16 @@ def default_cell(train: DataFrame, eval_: DataFrame, params: dict, max_steps: in
     step size, ``max_steps`` the iterations. Returns the mean log-loss on
     ``eval_``. The scheduler is recorded but Spark's optimiser has no
     schedule, so cells that differ only in it tie (smaller rank, then grid
-    order, wins).
+    order, wins); ``run_sweep(effective=...)`` fits them once. ``max_tokens``
+    cuts the texts first.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
     from pyspark.ml.feature import HashingTF, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
 
-    n_features = 256
+    if max_tokens is not None:
+        train, eval_ = [d.withColumn(text_col, truncate_ws_tokens(text_col, max_tokens)["text"]) for d in (train, eval_)]
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern="[^a-z0-9]+", toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=n_features),
@@ -80,17 +87,35 @@ def default_cell(train: DataFrame, eval_: DataFrame, params: dict, max_steps: in
     return float("nan") if loss is None else float(loss)
 
 
+def sweep_fingerprint(cells: list[dict], train: DataFrame, eval_: DataFrame, cell_fn, note: str = "") -> str:
+    """Identity of a sweep: its cells, the rows of both subsets (counts and an
+    order-free hash), the cell function's code and ``note`` (settings the
+    function holds)."""
+    def data(d):
+        cols = sorted(d.columns)
+        r = d.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))).first()
+        return [cols, r[0], str(r[1])]
+    def code(c):      # nested functions by their own code: their repr holds an address
+        return [c.co_code.hex(), [code(x) if hasattr(x, "co_code") else repr(x) for x in c.co_consts]]
+    what = [getattr(cell_fn, "__module__", ""), getattr(cell_fn, "__qualname__", repr(type(cell_fn))),
+            code(cell_fn.__code__) if hasattr(cell_fn, "__code__") else ""]
+    return hashlib.sha256(json.dumps([cells, data(train), data(eval_), what, note], sort_keys=True).encode()).hexdigest()[:16]
+
+
 def run_sweep(spark: SparkSession, grid: DataFrame, train: DataFrame, eval_: DataFrame,
               cell_fn: Callable[[DataFrame, DataFrame, dict], float] = default_cell,
-              results_path: str | None = None, max_concurrent_cells: int = 1) -> DataFrame:
+              results_path: str | None = None, max_concurrent_cells: int = 1,
+              effective: tuple[str, ...] | None = None, note: str = "") -> DataFrame:
     """Run every cell; the two subsets are persisted once for all cells.
 
     Cells are whole Spark jobs submitted from the driver (the grid is a small
     parameter table). ``max_concurrent_cells > 1`` submits several cells at
     once from a thread pool - on a large cluster one small fit does not fill
-    it. With ``results_path`` each finished cell is written at once and a
-    re-run skips finished cells; a failing cell fails the sweep but keeps
-    the finished ones.
+    it. ``effective`` names the settings that reach the fit: cells equal in
+    them are fitted once. With ``results_path`` each finished cell is written
+    at once under the sweep's fingerprint and a re-run of the same sweep skips
+    it; another grid, other data or another cell function has a folder of its
+    own. A failing cell fails the sweep but keeps the finished ones.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -98,31 +123,40 @@ def run_sweep(spark: SparkSession, grid: DataFrame, train: DataFrame, eval_: Dat
 
     cells = [r.asDict() for r in grid.orderBy("cell_no").collect()]
     train, eval_ = train.persist(), eval_.persist()
-
-    def run_one(cell):
-        part = f"{results_path}/cell_no={cell['cell_no']}" if results_path else None
-        if part and exists(spark, f"{part}/_SUCCESS"):
-            return None
-        t0 = time.perf_counter()
-        loss = cell_fn(train, eval_, cell)
-        row = {**cell, "eval_loss": float(loss), "runtime_seconds": round(time.perf_counter() - t0, 2)}
-        if part:
-            spark.createDataFrame([row], RESULT_SCHEMA).drop("cell_no").coalesce(1) \
-                 .write.mode("overwrite").parquet(part)
-        return row
-
+    names = [c.split(" ")[0] for c in RESULT_SCHEMA.split(", ")]
     try:
+        base = f"{results_path}/{sweep_fingerprint(cells, train, eval_, cell_fn, note)}" if results_path else None
+        groups: dict = {}
+        for c in cells:
+            groups.setdefault(tuple(c[k] for k in effective) if effective else c["cell_no"], []).append(c)
+
+        def part(cell):
+            return f"{base}/cell_no={cell['cell_no']}"
+
+        def run_group(same):
+            todo = [c for c in same if not (base and exists(spark, f"{part(c)}/_SUCCESS"))]
+            if not todo:
+                return []
+            t0 = time.perf_counter()
+            loss = cell_fn(train, eval_, same[0])
+            took = round(time.perf_counter() - t0, 2)
+            rows = [{**c, "eval_loss": None if loss is None else float(loss), "runtime_seconds": took} for c in todo]
+            if base:
+                for row in rows:
+                    spark.createDataFrame([row], RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(part(row))
+            return rows
+
         if max_concurrent_cells > 1:
             with ThreadPoolExecutor(max_workers=max_concurrent_cells) as pool:
-                rows = list(pool.map(run_one, cells))
+                rows = [r for g in pool.map(run_group, groups.values()) for r in g]
         else:
-            rows = [run_one(c) for c in cells]
+            rows = [r for g in groups.values() for r in run_group(g)]
     finally:
         train.unpersist()
         eval_.unpersist()
-    if results_path:
-        return spark.read.parquet(results_path).select(*[c.split(" ")[0] for c in RESULT_SCHEMA.split(", ")])
-    return spark.createDataFrame([r for r in rows if r is not None], RESULT_SCHEMA)
+    if base:
+        return spark.read.schema(RESULT_SCHEMA).parquet(*[part(c) for c in cells]).select(*names)
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
 def select_best(results: DataFrame, metric: str = "eval_loss", mode: str = "min") -> DataFrame:
@@ -152,11 +186,13 @@ def comparison_table(results: DataFrame, metric: str = "eval_loss", mode: str =
 
 
 def markdown_table(table: DataFrame, metric: str = "eval_loss") -> str:
-    """The ranked table as markdown (the table has one row per cell)."""
-    lines = ["| position | rank | lr | scheduler | " + metric + " | runtime_s |",
-             "|---|---|---|---|---|---|"]
-    for r in table.orderBy("position").collect():
-        star = "  **<-- selected**" if r["selected"] else ""
-        lines.append(f"| {r['position']} | {r['rank']} | {r['learning_rate']} | {r['scheduler']} "
-                     f"| {r[metric + '_text']} | {r['runtime_seconds']}{star} |")
-    return "\n".join(lines) + "\n"
+    """The ranked table as markdown, one line a cell. Lines are built as a
+    column; the winner's position is set in bold."""
+    shown = {"position": F.col("position").cast("string"), "rank": F.col("rank").cast("string"),
+             "learning rate": F.col("learning_rate").cast("string"), "schedule": F.col("scheduler"),
+             metric: F.col(f"{metric}_text"), "seconds": F.col("runtime_seconds").cast("string")}
+    shown["position"] = F.when(F.col("selected"), F.format_string("**%s**", shown["position"])).otherwise(shown["position"])
+    cells = F.concat_ws(" | ", *[F.coalesce(v, F.lit("-")) for v in shown.values()])
+    body = table.select("position", F.format_string("| %s |", cells).alias("line")).orderBy("position")
+    head = [f"| {' | '.join(shown)} |", "|" + " --- |" * len(shown)]
+    return "\n".join(head + [r["line"] for r in body.collect()]) + "\n"

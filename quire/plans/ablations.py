@@ -12,12 +12,15 @@ from quire.operators import sweep as W
 from quire.operators.split import take_first
 from quire.sources.store import write_text
 
+# --- fixed values: the settings a grid file may hold, with their usual values ---
 DEFAULTS = {
     "ranks": [8, 16, 32], "learning_rates": [0.0001, 0.0002],
     "schedulers": ["cosine", "linear", "constant", "constant_with_warmup"],
     "max_steps": 300, "subset_size": 2000, "eval_subset_size": 200, "lora_alpha_multiplier": 2,
+    "per_device_train_batch_size": 8, "gradient_accumulation_steps": 2, "max_seq_length": 1024,
     "selection_metric": "eval_loss", "selection_mode": "min",
 }
+# ----------------------------------------------------------------------------
 
 
 def _clean(v):
@@ -37,8 +40,13 @@ def run_ablations(spark: SparkSession, train: DataFrame, eval_: DataFrame, resul
     grid = W.param_grid(spark, c["ranks"], c["learning_rates"], c["schedulers"], c["lora_alpha_multiplier"])
     tr = take_first(train, c["subset_size"])
     ev = take_first(eval_, c["eval_subset_size"])
-    fn = cell_fn or (lambda a, b, p: W.default_cell(a, b, p, max_steps=c["max_steps"]))
-    results = W.run_sweep(spark, grid, tr, ev, fn, results_path=f"{results_dir}/cells")
+    plan = W.sweep_plan(grid, train.count(), eval_.count(), c["subset_size"], c["eval_subset_size"],
+                        c["per_device_train_batch_size"], c["gradient_accumulation_steps"], c["max_steps"])
+    steps = plan.first()["steps"]
+    fn = cell_fn or (lambda a, b, p: W.default_cell(a, b, p, max_steps=steps, max_tokens=c["max_seq_length"]))
+    note = json.dumps({k: c[k] for k in sorted(c)}, default=str)
+    results = W.run_sweep(spark, grid, tr, ev, fn, results_path=f"{results_dir}/cells", note=note,
+                          effective=None if cell_fn else ("rank", "learning_rate"))
     metric, mode = c["selection_metric"], c["selection_mode"]
     best_rows = W.select_best(results, metric, mode).collect()
     best = {k: _clean(v) for k, v in best_rows[0].asDict().items()} if best_rows else None

@@ -18,7 +18,7 @@ from quire.session import stage
 def prompt_reference_frame(eval_df: DataFrame, id_col: str = "row_id", text_col: str = "text") -> DataFrame:
     """``(example_id, prompt, reference)`` from formatted texts."""
     pr = split_prompt_reference(text_col)
-    return eval_df.select(F.col(id_col).cast("long").alias("example_id"),
+    return eval_df.select(F.col(id_col).alias("example_id"),
                           pr["prompt"].alias("prompt"), pr["reference"].alias("reference"))
 
 

@@ -17,7 +17,7 @@ from quire.operators.audit import manifest_counts
 from quire.operators.dedupe import dedupe_keep_first
 from quire.operators.render import drop_blank, render, with_content_hash
 from quire.operators.split import cut_split, keys_at_positions, split_sizes
-from quire.session import stage
+from quire.session import stage, unstage
 from quire.sources import store
 
 
@@ -48,13 +48,26 @@ class PrepConfig:
             raise ValueError(f"unknown settings: {unknown}")
         return cls(**d)
 
-    def fingerprint(self) -> str:
-        """Settings that change the split; a different one never hits the cache."""
+    def fingerprint(self, source: str = "", order_cols=("row_id",)) -> str:
+        """Settings, source and session case mapping that change the split; a
+        different one never hits the cache."""
         keys = ("seed", "eval_holdout_size", "subsample_size", "template", "split_key", "dataset_id")
-        blob = json.dumps({k: getattr(self, k) for k in keys}, sort_keys=True)
+        blob = json.dumps([{k: getattr(self, k) for k in keys}, source, list(order_cols)], sort_keys=True)
         return hashlib.sha256(blob.encode()).hexdigest()[:16]
 
 
+def source_identity(instr: DataFrame, cfg: PrepConfig) -> str:
+    """What the cache may rely on: the input files with sizes and times, or,
+    for a frame that reads no files, the caller's ``dataset_id``."""
+    spark = instr.sparkSession
+    case = spark.conf.get("spark.sql.icu.caseMappings.enabled", "true")
+    files = sorted(instr.inputFiles())
+    if not files and not cfg.dataset_id:
+        raise ValueError("a frame that reads no files needs a dataset_id to be cached under")
+    seen = [(f, *store.file_status(spark, f)) for f in files]
+    return hashlib.sha256(json.dumps([seen, case]).encode()).hexdigest()
+
+
 def dedupe_stage(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> DataFrame:
     """Render, drop blank, hash, keep first, add ``split_rank``; staged to
     parquet under the shared checkpoint folder so the cut passes scan one
@@ -83,8 +96,8 @@ def cut(staged: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, dict]:
     """Exact eval/train cut on the staged table."""
     if cfg.split_key != "prompt":
         return cut_split(staged, cfg.eval_holdout_size, cfg.subsample_size)
-    # prompts repeat: cut on distinct prompts; sizes are prompt counts
-    keys = staged.select("split_rank").distinct()
+    # prompts repeat: cut on distinct prompts (staged once); sizes are prompt counts
+    keys = stage(staged.select("split_rank").distinct(), "prompt-keys")
     n = keys.count()
     eval_n, train_n = split_sizes(n, cfg.eval_holdout_size, cfg.subsample_size)
     cuts = keys_at_positions(keys, "split_rank", [eval_n, eval_n + train_n])
@@ -107,18 +120,19 @@ def build_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> t
 
 
 def prepare_dataset(spark: SparkSession, instr: DataFrame, root: str, cfg: PrepConfig | None = None,
-                    force: bool = False) -> dict:
+                    force: bool = False, order_cols=("row_id",)) -> dict:
     """Idempotent prepare: returns the manifest; a complete cached version
-    with the same fingerprint is a cache hit (``cache_hit=True``)."""
+    with the same settings and source is a cache hit (``cache_hit=True``)."""
     cfg = cfg or PrepConfig()
-    base = f"{root.rstrip('/')}/{cfg.fingerprint()}"
+    mark = cfg.fingerprint(source_identity(instr, cfg), order_cols)
+    base = f"{root.rstrip('/')}/{mark}"
     if not force:
         v = store.latest_complete(spark, base)
         if v:
             m = store.read_manifest(spark, v)
             m["cache_hit"] = True
             return m
-    splits, staged, info = build_splits(instr, cfg)
+    splits, staged, info = build_splits(instr, cfg, order_cols)
     out_cols = [c for c in ("row_id", "text", "content_hash", "split_rank", "n_copies", "split") if c in splits.columns]
 
     def manifest_fn(published: DataFrame) -> dict:
@@ -128,23 +142,20 @@ def prepare_dataset(spark: SparkSession, instr: DataFrame, root: str, cfg: PrepC
         return {"dataset_id": cfg.dataset_id, "domain": cfg.domain,
                 "model_for_template": cfg.model_for_template or cfg.template,
                 "smoke_test": cfg.smoke_test, "seed": cfg.seed,
-                "fingerprint": cfg.fingerprint(), "input_rows": int(instr.count()),
+                "fingerprint": mark, "input_rows": int(instr.count()),
                 **counts, "cache_hit": False}
 
     vdir, manifest = store.publish_splits(splits.select(*out_cols), manifest_fn, base)
+    unstage(staged)              # what was published does not read it
     manifest["path"] = vdir
     return manifest
 
 
-def load_splits(spark: SparkSession, root: str, cfg: PrepConfig | None = None,
-                instr: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Cached (train, eval); built first when absent and ``instr`` given."""
+def load_splits(spark: SparkSession, root: str, instr: DataFrame, cfg: PrepConfig | None = None,
+                order_cols=("row_id",)) -> tuple[DataFrame, DataFrame]:
+    """(train, eval) of ``instr`` as prepared under ``root``; prepared first where absent."""
     cfg = cfg or PrepConfig()
-    base = f"{root.rstrip('/')}/{cfg.fingerprint()}"
-    v = store.latest_complete(spark, base)
-    if v is None:
-        if instr is None:
-            raise FileNotFoundError(f"no prepared dataset under {base}")
-        prepare_dataset(spark, instr, root, cfg)
-        v = store.latest_complete(spark, base)
-    return store.load_split_data(spark, v)
+    base = f"{root.rstrip('/')}/{cfg.fingerprint(source_identity(instr, cfg), order_cols)}"
+    if not store.cache_exists(spark, base):
+        prepare_dataset(spark, instr, root, cfg, order_cols=order_cols)
+    return store.load_split_data(spark, store.latest_complete(spark, base))

@@ -28,7 +28,8 @@ from quire.operators.history import DEFAULT_SYSTEM, assemble_history
 from quire.operators.split import batch_plan, cut_split, take_first
 from quire.plans.evaluate import prompt_reference_frame
 from quire.plans.prepare import PrepConfig, build_splits
-from quire.sources.readers import conversation_instructions, doc_instructions, table
+from quire.sources.readers import (conversation_instructions, conversation_row_id, doc_instructions,
+                                   documents_as_instructions, read_instructions, table)
 
 SEED = 42
 HOLDOUT = 100          # eval rows wanted (capped at n // 5)
@@ -36,6 +37,7 @@ SUBSAMPLE = 500        # train rows wanted
 TAKE_N = 50            # D6 first-n evaluation slice
 TRUNC_TOKENS = 64      # P10 token budget
 PREVIEW_N = 200        # S3/A2 preview size
+WHOLE = 1 << 40        # holdout and train size of queries where no cut is meant
 GEN_TOKENS = 16        # stand-in generators: words per prediction
 
 # Python-exact whitespace class, valid in DuckDB (RE2) regexes as well.
@@ -80,7 +82,7 @@ SQL_CONV_INSTR = f"""conv_t AS (
          lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text
   FROM conversations),
 conv_instr AS (
-  SELECT conv_id, turn, conv_id * 1000000 + turn AS row_id,
+  SELECT conv_id, turn, conv_id::VARCHAR || ':' || turn::VARCHAR AS row_id,
          text AS instruction,
          CASE WHEN prev_role = 'system' AND prev_turn = turn - 1 THEN prev_text ELSE '' END AS input,
          next_text AS output, CAST(NULL AS VARCHAR) AS response
@@ -133,8 +135,8 @@ def sql_split(src: str, holdout=HOLDOUT, size=SUBSAMPLE, seed=SEED) -> str:
 
 
 # --- Spark helpers ------------------------------------------------------------
-def _doc_splits(spark, sf_dir, split_key="text"):
-    cfg = PrepConfig(seed=SEED, eval_holdout_size=HOLDOUT, subsample_size=SUBSAMPLE, split_key=split_key)
+def _doc_splits(spark, sf_dir, split_key="text", holdout=HOLDOUT, size=SUBSAMPLE):
+    cfg = PrepConfig(seed=SEED, eval_holdout_size=holdout, subsample_size=size, split_key=split_key)
     return build_splits(doc_instructions(spark, sf_dir), cfg)
 
 
@@ -193,8 +195,8 @@ def q_take_first(spark, sf_dir):
 
 
 def q_disjointness(spark, sf_dir):
-    """D5 on the split."""
-    splits, _, _ = _doc_splits(spark, sf_dir)
+    """D5 on the split of the whole table (a fifth held out)."""
+    splits, _, _ = _doc_splits(spark, sf_dir, holdout=WHOLE, size=WHOLE)
     return disjointness_audit(splits.filter(F.col("split") == "train"),
                               splits.filter(F.col("split") == "eval"), fail=True)
 
@@ -210,11 +212,10 @@ def q_manifest_counts(spark, sf_dir):
 
 
 def q_prompt_leakage(spark, sf_dir):
-    """Eval rows of the conv split whose prompt is also in train."""
-    cfg = PrepConfig(seed=SEED, eval_holdout_size=HOLDOUT, subsample_size=SUBSAMPLE)
+    """Eval rows of the whole conv split whose prompt is also in train."""
+    cfg = PrepConfig(seed=SEED, eval_holdout_size=WHOLE, subsample_size=WHOLE)
     splits, _, _ = build_splits(conversation_instructions(spark, sf_dir), cfg)
-    leaks = prompt_leakage(splits.filter(F.col("split") == "train"), splits.filter(F.col("split") == "eval"),
-                           eval_rows_bound=HOLDOUT)
+    leaks = prompt_leakage(splits.filter(F.col("split") == "train"), splits.filter(F.col("split") == "eval"))
     return leaks.select("content_hash", "prompt_hash")
 
 
@@ -234,7 +235,7 @@ def q_prompt_reference(spark, sf_dir):
                             split_prompt_reference(t).alias("pr")))
     # raw turns (no markers in most): exercises the half-length fallback
     raw = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000000 + F.col("turn")).alias("row_id"), F.lit("raw").alias("template"),
+        conversation_row_id().alias("row_id"), F.lit("raw").alias("template"),
         split_prompt_reference("text").alias("pr"))
     u = out[0].unionByName(out[1]).unionByName(out[2]).unionByName(raw)
     return u.select("row_id", "template", F.col("pr.prompt").alias("prompt"), F.col("pr.reference").alias("reference"))
@@ -272,8 +273,8 @@ def q_conv_pairs(spark, sf_dir):
 
 
 def q_batch_plan(spark, sf_dir):
-    """Exact position, micro-batch and step of each train row."""
-    splits, _, _ = _doc_splits(spark, sf_dir)
+    """Exact position, micro-batch and step of each train row of the whole table."""
+    splits, _, _ = _doc_splits(spark, sf_dir, holdout=WHOLE, size=WHOLE)
     plan, _ = batch_plan(splits.filter(F.col("split") == "train"), 8, 4)
     return plan.select("row_id", "pos", "micro_batch", "step")
 
@@ -354,7 +355,7 @@ SELECT row_id, content_hash, split_rank, split FROM doc_instr_split"""
 ORACLES["take_first"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')}
 SELECT row_id, split_rank FROM doc_instr_split WHERE split = 'eval' ORDER BY split_rank LIMIT {TAKE_N}"""
 
-ORACLES["disjointness"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')},
+ORACLES["disjointness"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr', WHOLE, WHOLE)},
 t AS (SELECT DISTINCT content_hash FROM doc_instr_split WHERE split = 'train'),
 e AS (SELECT DISTINCT content_hash FROM doc_instr_split WHERE split = 'eval')
 SELECT (SELECT count(*) FROM t) AS train_unique_hashes,
@@ -367,7 +368,7 @@ SELECT (SELECT CAST(sum(n_copies) AS BIGINT) FROM doc_instr_d) AS raw,
        (SELECT count(*) FROM doc_instr_split WHERE split = 'train') AS train,
        (SELECT count(*) FROM doc_instr_split WHERE split = 'eval') AS eval_holdout"""
 
-ORACLES["prompt_leakage"] = f"""WITH {SQL_CONV_INSTR}, {sql_split('conv_instr')},
+ORACLES["prompt_leakage"] = f"""WITH {SQL_CONV_INSTR}, {sql_split('conv_instr', WHOLE, WHOLE)},
 ph AS (SELECT content_hash, split,
               {sql_hash(f"substring(text, 1, {_sql_prompt_ref('text')})")} AS prompt_hash
        FROM conv_instr_split)
@@ -390,12 +391,13 @@ ORACLES["prompt_reference"] = f"""WITH {SQL_CONV_INSTR}, {sql_clean('conv_instr'
 {_pr_select(sql_plain(), 'plain', 'conv_instr_msg')}
 UNION ALL {_pr_select(_inst_sql(), 'inst', 'conv_instr_msg')}
 UNION ALL {_pr_select(_role_header_sql(), 'role_header', 'conv_instr_msg')}
-UNION ALL {_pr_select('text', 'raw', 'conversations', 'conv_id * 1000000 + turn')}"""
+UNION ALL {_pr_select('text', 'raw', 'conversations', "conv_id::VARCHAR || ':' || turn::VARCHAR")}"""
 
 ORACLES["truncate_tokens"] = f"""WITH {SQL_DOC_INSTR}, {sql_clean('doc_instr')},
-t AS (SELECT row_id, {sql_tokens(sql_plain())} AS toks FROM doc_instr_msg)
-SELECT row_id, array_to_string(toks[1:{TRUNC_TOKENS}], ' ') AS text, CAST(len(toks) AS INTEGER) AS n_tokens,
-       len(toks) > {TRUNC_TOKENS} AS was_truncated FROM t"""
+t AS (SELECT row_id, {sql_plain()} AS t, {sql_tokens(sql_plain())} AS toks FROM doc_instr_msg)
+SELECT row_id, CASE WHEN len(toks) > {TRUNC_TOKENS}
+         THEN array_to_string(regexp_extract_all(t, '{WS}*[^{WS[1:]}+')[1:{TRUNC_TOKENS}], '') ELSE t END AS text,
+       CAST(len(toks) AS INTEGER) AS n_tokens, len(toks) > {TRUNC_TOKENS} AS was_truncated FROM t"""
 
 ORACLES["text_preview"] = f"""WITH {SQL_DOC_INSTR}, {sql_clean('doc_instr')}
 SELECT row_id, substring({sql_plain()}, 1, 300) AS preview FROM doc_instr_msg"""
@@ -416,7 +418,7 @@ SELECT count(*) AS rows_streamed, 'input,instruction,output' AS columns,
        substring(arg_min(text, row_id), 1, 300) AS sample_formatted_text
 FROM h2"""
 
-ORACLES["batch_plan"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')},
+ORACLES["batch_plan"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr', WHOLE, WHOLE)},
 t AS (SELECT row_id, row_number() OVER (ORDER BY split_rank) - 1 AS pos FROM doc_instr_split WHERE split = 'train')
 SELECT row_id, pos, CAST(floor(pos / 8) AS BIGINT) AS micro_batch, CAST(floor(pos / 32) AS BIGINT) AS step FROM t"""
 
@@ -551,7 +553,7 @@ SQL_EVAL = f"""{SQL_CONV_INSTR}, {sql_clean('conv_instr')},
 ex0 AS (SELECT row_id AS example_id, {sql_plain()} AS t FROM conv_instr_msg),
 ex AS (SELECT example_id, substring(t, 1, {_sql_prompt_ref('t')}) AS prompt,
               {sql_strip(f"substring(t, {_sql_prompt_ref('t')} + 1)")} AS reference FROM ex0),
-ptok AS (SELECT example_id, {sql_tokens('prompt')} AS pt, {sql_tokens('reference')} AS rt FROM ex),
+ptok AS (SELECT example_id, {sql_tokens('prompt')}[1:512] AS pt, {sql_tokens('reference')} AS rt FROM ex),
 preds0 AS (
   SELECT example_id, 'base' AS system,
          array_to_string(list_slice(pt, greatest(len(pt) - {GEN_TOKENS - 1}, 1), len(pt)), ' ') AS prediction FROM ptok
@@ -624,11 +626,14 @@ FROM preds GROUP BY system"""
 
 # --- chat history, sweep, stream, stores ----------------------------------------
 
+# --- fixed values: the usual grid, the smoke grid and the usual settings -----------
 GRID = {"ranks": [8, 16, 32], "learning_rates": [0.0001, 0.0002],
         "schedulers": ["cosine", "linear", "constant", "constant_with_warmup"]}
 SMOKE_GRID = {"ranks": [8, 16], "learning_rates": [0.0002], "schedulers": ["cosine", "constant"]}
 SWEEP = {"subset_size": 2000, "eval_subset_size": 200, "batch_size": 8, "grad_accum": 2, "max_steps": 300,
          "holdout": 100, "train_size": 50000}
+# ---------------------------------------------------------------------------------
+FIT_ROWS, FIT_STEPS = 40, 3      # bounded sample and steps of the ML cells' fit
 
 
 def q_chat_history(spark, sf_dir):
@@ -656,27 +661,38 @@ def q_sweep_plan(spark, sf_dir):
                         SWEEP["batch_size"], SWEEP["grad_accum"], SWEEP["max_steps"])
 
 
-def _sweep_results(spark, sf_dir):
-    splits, _ = labelled_split(spark, sf_dir)
-    tr = take_first(splits.filter(F.col("split") == "train"), 40)
-    ev = take_first(splits.filter(F.col("split") == "eval"), 20)
-    g = W.param_grid(spark, **SMOKE_GRID)
-    return W.run_sweep(spark, g, tr, ev, lambda a, b, p: W.default_cell(a, b, p, max_steps=3))
+def q_sweep(spark, sf_dir):
+    """The smoke grid, fitted on a bounded sample of FIT_ROWS train rows and
+    evaluated on every held-out labelled row (a fifth of them)."""
+    splits, _ = labelled_split(spark, sf_dir, WHOLE, WHOLE)
+    fit = take_first(splits.filter(F.col("split") == "train"), FIT_ROWS)
+    return W.run_sweep(spark, W.param_grid(spark, **SMOKE_GRID), fit, splits.filter(F.col("split") == "eval"),
+                       lambda a, b, p: W.default_cell(a, b, p, max_steps=FIT_STEPS), effective=("rank", "learning_rate"))
 
 
-def q_sweep(spark, sf_dir):
-    """The smoke grid (2 x 1 x 2 cells), each fitted on Spark."""
-    return _sweep_results(spark, sf_dir)
+def formula_cell(train, eval_, p):
+    """A cell whose loss is a closed formula of the held-out rows: ranks and
+    schedules tie, and one schedule has no loss."""
+    if p["scheduler"] == "constant_with_warmup":
+        return None
+    base = eval_.agg(F.avg(F.abs(F.col("label") - F.pmod(F.length("text"), F.lit(10)) / 10.0))).first()[0]
+    return round(base + 1000 * p["learning_rate"] + (0.5 if p["rank"] > 16 else 0.0), 6)
+
+
+def _formula_results(spark, sf_dir):
+    splits, _ = labelled_split(spark, sf_dir, WHOLE, WHOLE)
+    return W.run_sweep(spark, W.param_grid(spark, **GRID), splits.filter(F.col("split") == "train"),
+                       splits.filter(F.col("split") == "eval"), formula_cell)
 
 
 def q_select_best(spark, sf_dir):
-    """E3 over the sweep results."""
-    return W.select_best(_sweep_results(spark, sf_dir)).select("cell_no", "rank", "eval_loss")
+    """E3 over the whole grid, with ties and missing losses."""
+    return W.select_best(_formula_results(spark, sf_dir)).select("cell_no", "rank", "eval_loss")
 
 
 def q_comparison_table(spark, sf_dir):
-    """E4 over the sweep results."""
-    return W.comparison_table(_sweep_results(spark, sf_dir)).drop("runtime_seconds")
+    """E4 over the whole grid, with ties and missing losses."""
+    return W.comparison_table(_formula_results(spark, sf_dir)).drop("runtime_seconds")
 
 
 def q_stream_dedupe(spark, sf_dir):
@@ -685,7 +701,7 @@ def q_stream_dedupe(spark, sf_dir):
     from quire.session import scratch_path
     from quire.streaming.incremental import prepare_stream
     base = scratch_path(spark, "stream")
-    prepare_stream(spark, sf_dir, f"{base}/sink", f"{base}/checkpoint", glob="documents.parquet")
+    prepare_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet", f"{base}/sink", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/sink").select("content_hash")
 
 
@@ -706,7 +722,7 @@ def q_load_splits(spark, sf_dir):
     assert m["disjointness"]["intersection"] == 0
     again = prepare_dataset(spark, doc_instructions(spark, sf_dir), root, cfg)
     assert again["cache_hit"] is True
-    tr, ev = load_splits(spark, root, cfg)
+    tr, ev = load_splits(spark, root, doc_instructions(spark, sf_dir), cfg)
     return tr.unionByName(ev).select("row_id", "content_hash", "split")
 
 
@@ -722,7 +738,8 @@ SPARK_QUERIES.update({
 })
 
 ORACLES["chat_history"] = f"""SELECT conv_id, CAST(0 AS BIGINT) AS pos, 'system' AS role, '{DEFAULT_SYSTEM}' AS content
-FROM (SELECT DISTINCT conv_id FROM conversations)
+FROM (SELECT conv_id, arg_min(role, turn) AS first_role FROM conversations GROUP BY conv_id)
+WHERE first_role IS DISTINCT FROM 'system'
 UNION ALL SELECT conv_id, turn + 1 AS pos, role, text AS content FROM conversations"""
 
 
@@ -846,3 +863,194 @@ r AS (SELECT *, dense_rank() OVER (ORDER BY sha256('{SEED}:' || prompt_hash)) AS
 sz AS (SELECT n, least({HOLDOUT}, greatest(1, n // 5), n) AS eval_n FROM (SELECT count(DISTINCT prompt_hash) AS n FROM p))
 SELECT row_id, prompt_hash, CASE WHEN pos <= eval_n THEN 'eval' ELSE 'train' END AS split
 FROM r, sz WHERE pos <= eval_n + least({SUBSAMPLE}, n - eval_n)"""
+
+
+# --- further entries: sources, user functions, stores, scores ---------------------------
+_SQL_LABELLED = f"""lab0 AS (
+  SELECT d.doc_id, d.text, CAST(l.quality AS DOUBLE) AS label, {sql_hash('d.text')} AS content_hash
+  FROM documents d JOIN labels l USING (doc_id)),
+lab1 AS (SELECT content_hash, min(doc_id) AS doc_id, arg_min(text, doc_id) AS text, arg_min(label, doc_id) AS label
+         FROM lab0 GROUP BY content_hash),
+lab2 AS (SELECT *, row_number() OVER (ORDER BY sha256('{SEED}:' || content_hash)) AS pos, count(*) OVER () AS n FROM lab1),
+held AS (SELECT text, label FROM lab2 WHERE pos <= least(greatest(1, n // 5), n)),
+base AS (SELECT avg(abs(label - (length(text) % 10) / 10.0::DOUBLE)) AS b FROM held),
+g(cell_no, rank, learning_rate, scheduler, lora_alpha, run_tag) AS (VALUES {_grid_values()}),
+cells AS (SELECT CAST(cell_no AS INTEGER) AS cell_no, CAST(rank AS INTEGER) AS rank, CAST(learning_rate AS DOUBLE) AS learning_rate, scheduler,
+    CASE WHEN scheduler <> 'constant_with_warmup'
+         THEN round(b + 1000 * CAST(learning_rate AS DOUBLE) + CASE WHEN rank > 16 THEN 0.5 ELSE 0.0 END, 6) END AS eval_loss
+  FROM g, base),
+ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY eval_loss NULLS LAST, rank, cell_no) AS INTEGER) AS position FROM cells)"""
+
+ORACLES["select_best"] = f"""WITH {_SQL_LABELLED}
+SELECT cell_no, rank, eval_loss FROM ranked WHERE position = 1 AND eval_loss IS NOT NULL"""
+
+ORACLES["comparison_table"] = f"""WITH {_SQL_LABELLED}
+SELECT position, cell_no, rank, learning_rate, scheduler, coalesce(printf('%.4f', eval_loss), 'null') AS eval_loss_text,
+       position = 1 AND eval_loss IS NOT NULL AS selected FROM ranked"""
+
+
+def q_read_instructions(spark, sf_dir):
+    """Documents loaded by path with a column mapping."""
+    return read_instructions(spark, f"{sf_dir.rstrip('/')}/documents.parquet",
+                             mapping={"instruction": "source", "input": "lang", "response": "text"}, order_col="doc_id")
+
+
+ORACLES["read_instructions"] = """SELECT doc_id AS row_id, source AS instruction, lang AS input,
+       CAST(NULL AS VARCHAR) AS output, text AS response FROM documents"""
+
+
+def _word_stats(row):
+    words = row["text"].split(" ")
+    return {"doc_id": row["doc_id"], "n_words": len(words), "longest": max(map(len, words))}
+
+
+def q_map_rows(spark, sf_dir):
+    """A user's Python function over every document."""
+    return G.map_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), _word_stats,
+                      "doc_id long, n_words long, longest long")
+
+
+ORACLES["map_rows"] = """SELECT doc_id, CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words,
+       CAST(list_max(list_transform(string_split(text, ' '), lambda x: length(x))) AS BIGINT) AS longest FROM documents"""
+
+
+def q_message_array(spark, sf_dir):
+    """P9 as one array per conversation, read back as text."""
+    from quire.operators.history import to_message_array
+    m = to_message_array(assemble_history(table(spark, sf_dir, "conversations"), DEFAULT_SYSTEM))
+    return m.select("conv_id", F.size("messages").cast("long").alias("n_messages"),
+                    F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").alias("said"))
+
+
+ORACLES["message_array"] = f"""WITH h AS ({ORACLES['chat_history']})
+SELECT conv_id, count(*) AS n_messages, string_agg(role || '=' || content, '|' ORDER BY pos) AS said FROM h GROUP BY conv_id"""
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    """Prepare the whole table, snapshot it twice, restore the newest one and read it."""
+    from quire.plans.prepare import prepare_dataset
+    from quire.session import scratch_path
+    from quire.sources import store
+    root = scratch_path(spark, "snapshots")
+    cfg = PrepConfig(seed=SEED, eval_holdout_size=WHOLE, subsample_size=WHOLE)
+    vdir = prepare_dataset(spark, doc_instructions(spark, sf_dir), f"{root}/prepared", cfg)["path"]
+    for k in (9, 10):
+        store.snapshot(spark, vdir, f"{root}/snaps", k)
+    assert store.latest_snapshot(spark, f"{root}/snaps") == 10
+    assert store.restore(spark, store.latest_snapshot_path(spark, f"{root}/snaps"), f"{root}/back")
+    tr, ev = store.load_split_data(spark, f"{root}/back")
+    return tr.unionByName(ev).select("row_id", "content_hash", "n_copies", "split")
+
+
+ORACLES["snapshot_roundtrip"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr', WHOLE, WHOLE)}
+SELECT row_id, content_hash, n_copies, split FROM doc_instr_split"""
+
+
+def q_write_report(spark, sf_dir):
+    """Document counts by source and language as a JSON report, read back."""
+    from quire.session import scratch_path
+    from quire.sources.store import write_report
+    path = scratch_path(spark, "report")
+    write_report(table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")), path)
+    return spark.read.schema("source string, lang string, n long").json(path)
+
+
+ORACLES["write_report"] = "SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL"
+
+
+def q_training_steps(spark, sf_dir):
+    """Rows of every step of two epochs over the whole table, cut at a number of steps that ends inside the second."""
+    splits, _, _ = _doc_splits(spark, sf_dir, holdout=WHOLE, size=WHOLE)
+    train = splits.filter(F.col("split") == "train")
+    from quire.operators.split import batch_plan as plan, training_steps
+    per = plan(train, 8, 4)[1]["steps_per_epoch"]
+    return training_steps(train, 8, 4, max_steps=per + per // 2).select("row_id", "epoch", "step")
+
+
+ORACLES["training_steps"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr', WHOLE, WHOLE)},
+t AS (SELECT row_id, row_number() OVER (ORDER BY split_rank) - 1 AS pos, count(*) OVER () AS n FROM doc_instr_split WHERE split = 'train'),
+u AS (SELECT row_id, pos // 32 AS s, (n + 31) // 32 AS per FROM t),
+v AS (SELECT row_id, CAST(e AS INTEGER) AS epoch, CAST(s + e * per AS BIGINT) AS step, per FROM u, (VALUES (0), (1)) AS x(e))
+SELECT row_id, epoch, step FROM v WHERE step < per + per // 2"""
+
+
+def q_copied_prompts(spark, sf_dir):
+    """D7 where prompts do repeat: documents of every third id against the others, not deduplicated."""
+    t = R.with_content_hash(R.render(documents_as_instructions(table(spark, sf_dir, "documents")), "plain"))
+    side = F.col("row_id") % 3 == 0
+    return prompt_leakage(t.where(~side), t.where(side), id_col="row_id")
+
+
+ORACLES["copied_prompts"] = f"""WITH {SQL_DOC_INSTR}, {sql_rendered('doc_instr')},
+p AS (SELECT row_id, {sql_hash(f"substring(text, 1, {_sql_prompt_ref('text')})")} AS prompt_hash FROM doc_instr_text)
+SELECT row_id, prompt_hash FROM p WHERE row_id % 3 = 0 AND prompt_hash IN (SELECT prompt_hash FROM p WHERE row_id % 3 <> 0)"""
+
+
+def _sentences(df, text_col="text"):
+    """Normalised sentences of at least 20 characters, one row each."""
+    one = df.select(F.explode(F.split(text_col, "[.\n]")).alias("s")).select(normalize_text("s").alias("s"))
+    return one.where(F.length("s") >= 20).select(F.sha2("s", 256).alias("content_hash"))
+
+
+def q_benchmark_sentences(spark, sf_dir):
+    """D5 on sentences: those of the benchmark that the corpus repeats."""
+    out = disjointness_audit(_sentences(table(spark, sf_dir, "documents")), _sentences(table(spark, sf_dir, "benchmark")), fail=False)
+    return out.select(F.col("train_unique_hashes").alias("corpus_sentences"),
+                      F.col("eval_unique_hashes").alias("benchmark_sentences"), "intersection")
+
+
+def _sql_sentences(src: str) -> str:
+    return (f"SELECT DISTINCT s FROM (SELECT {sql_norm('s')} AS s FROM "
+            f"(SELECT unnest(string_split_regex(text, '[.\n]')) AS s FROM {src})) WHERE length(s) >= 20")
+
+
+ORACLES["benchmark_sentences"] = f"""WITH d AS ({_sql_sentences('documents')}), b AS ({_sql_sentences('benchmark')})
+SELECT (SELECT count(*) FROM d) AS corpus_sentences, (SELECT count(*) FROM b) AS benchmark_sentences,
+       (SELECT count(*) FROM d JOIN b USING (s)) AS intersection"""
+
+
+def q_rouge_lcs(spark, sf_dir):
+    """A5 per pair, plain tokens: LCS, lengths and F."""
+    wide, _ = _wide(spark, sf_dir)
+    return S.rouge_l_rows(None, SYSTEMS, wide, stemmed=False).withColumn("rouge_l_f", F.round("rouge_l_f", 9))
+
+
+def q_compare_rouge(spark, sf_dir):
+    """A6 on BLEU and plain ROUGE-L."""
+    from quire.session import stage
+    wide, _ = _wide(spark, sf_dir)
+    return S.compare_systems(S.score_systems(None, systems=SYSTEMS, wide=stage(wide, "per_example"), stemmed=False))
+
+
+_RT = "list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
+_SQL_LCS = SQL_EVAL + f""",
+tk AS (SELECT system, example_id, {_RT.format('prediction')} AS p, {_RT.format('reference')} AS r FROM pairs),
+dp(system, example_id, i, row) AS (
+  SELECT system, example_id, 0, list_transform(range(0, len(r) + 1), lambda x: 0) FROM tk
+  UNION ALL
+  SELECT dp.system, dp.example_id, i + 1,
+         list_transform(range(0, len(r) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE
+           list_max(list_transform(range(1, j + 1), lambda k: CASE WHEN p[i + 1] = r[k] THEN row[k] + 1 ELSE row[k + 1] END)) END)
+  FROM dp JOIN tk ON tk.system = dp.system AND tk.example_id = dp.example_id WHERE i < len(p)),
+lc AS (SELECT system, example_id, max(row[len(row)]) AS lcs FROM dp GROUP BY ALL),
+rl AS (SELECT system, example_id, CAST(lcs AS INTEGER) AS lcs, CAST(len(p) AS INTEGER) AS n_pred, CAST(len(r) AS INTEGER) AS n_ref,
+              CASE WHEN lcs = 0 THEN 0.0 ELSE 2.0 * lcs::DOUBLE / (len(p) + len(r)) END AS f FROM lc JOIN tk USING (system, example_id))"""
+
+ORACLES["rouge_lcs"] = f"""WITH RECURSIVE {_SQL_LCS}
+SELECT system, example_id, lcs, n_pred, n_ref, round(f, 9) AS rouge_l_f FROM rl"""
+
+ORACLES["compare_rouge"] = f"""WITH RECURSIVE {_SQL_LCS},
+ro AS (SELECT system, round(avg(f) * 100.0, 4) AS rouge_l FROM rl GROUP BY system)
+SELECT max(n_examples) AS num_eval_samples,
+       max(bleu) FILTER (WHERE system = 'base') AS base_bleu, max(rouge_l) FILTER (WHERE system = 'base') AS base_rouge_l,
+       max(bleu) FILTER (WHERE system = 'tuned') AS tuned_bleu, max(rouge_l) FILTER (WHERE system = 'tuned') AS tuned_rouge_l,
+       round(max(bleu) FILTER (WHERE system = 'tuned') - max(bleu) FILTER (WHERE system = 'base'), 4) AS delta_bleu,
+       round(max(rouge_l) FILTER (WHERE system = 'tuned') - max(rouge_l) FILTER (WHERE system = 'base'), 4) AS delta_rouge_l
+FROM bleu JOIN ro USING (system)"""
+
+SPARK_QUERIES.update({
+    "read_instructions": q_read_instructions, "map_rows": q_map_rows, "message_array": q_message_array,
+    "snapshot_roundtrip": q_snapshot_roundtrip, "write_report": q_write_report, "training_steps": q_training_steps,
+    "copied_prompts": q_copied_prompts, "benchmark_sentences": q_benchmark_sentences, "rouge_lcs": q_rouge_lcs,
+    "compare_rouge": q_compare_rouge,
+})

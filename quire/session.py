@@ -85,6 +85,18 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the staged copy ``df`` reads (a frame :func:`stage` returned), once
+    nothing reads it any more. Only folders under the staging root are touched."""
+    spark = df.sparkSession
+    root = f"{checkpoint_root(spark)}/quire/"
+    inner = root.split(":", 1)[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.split(":", 1)[-1].lstrip("/").startswith(inner):
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _SHIPPED: set = set()
 
 

@@ -5,33 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INSTRUCTION_COLUMNS = ("instruction", "input", "output", "response")
-
+from quire.session import stage
 
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan that yields fewer partitions than the cluster
-    has cores (a few small files, one row group each) so per-row text work
-    runs in parallel. A large input already has enough splits and is left
-    untouched (no shuffle at scale); when it fires the input is small by
-    construction (fewer splits than cores)."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if parts < par:
-        return df.repartition(par, *keys) if keys else df.repartition(par)
-    return df
+INSTRUCTION_COLUMNS = ("instruction", "input", "output", "response")
 
 
-# keys used to widen small table scans
-TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"), "labels": ("doc_id",),
-              "benchmark": ("item_id",)}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, widen_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return widen(df, *TABLE_KEYS.get(name, ())) if widen_small else df
+def conversation_row_id(conv_col: str = "conv_id", turn_col: str = "turn"):
+    """``"<conv_id>:<turn>"``: one id a turn, however many turns a conversation has."""
+    return F.concat_ws(":", F.col(conv_col).cast("string"), F.col(turn_col).cast("string"))
 
 
 def read_instructions(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -64,12 +50,11 @@ def read_instructions(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*extra, *cols)
 
 
-def doc_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as instruction rows: the first line is the instruction,
-    the rest of the text is the output, the input is empty; ``row_id = doc_id``."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+def documents_as_instructions(docs: DataFrame) -> DataFrame:
+    """The first line is the instruction, the rest of the text is the output, the
+    input is empty; ``row_id = doc_id``. Batch and streaming frames alike."""
     nl = F.instr(F.col("text"), "\n")
-    return d.select(
+    return docs.select(
         F.col("doc_id").alias("row_id"),
         F.when(nl > 0, F.substring(F.col("text"), F.lit(1), nl - 1)).otherwise(F.col("text")).alias("instruction"),
         F.lit("").alias("input"),
@@ -77,10 +62,15 @@ def doc_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as instruction rows."""
+    return documents_as_instructions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def conversation_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as instruction rows: a user turn, the directly
     following assistant turn as output, the directly preceding system turn
-    (or "") as input; ``row_id = (conv_id, turn)`` of the user turn.
+    (or "") as input; ``row_id`` names conversation and user turn.
 
     Every turn is sent to the anchor of the pair it may belong to (user:
     own turn, assistant: turn-1, system: turn+1) and one aggregation on
@@ -104,27 +94,15 @@ def conversation_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.max(F.when(F.col("role") == "assistant", F.lit(True))).alias("has_asst")))
     return g.filter(F.col("has_user") & F.col("has_asst")).select(
         F.col("conv_id"), F.col("anchor").alias("turn"),
-        (F.col("conv_id") * F.lit(1_000_000) + F.col("anchor")).alias("row_id"),
+        conversation_row_id("conv_id", "anchor").alias("row_id"),
         "instruction", F.coalesce(F.col("sys"), F.lit("")).alias("input"), "output",
     )
 
 
-# --- fixed values: the synthetic smoke-test topics (our own texts) ----------
-SYNTHETIC_TOPICS = [
-    ("What does a balance sheet show?",
-     "A balance sheet lists what a company owns, what it owes and the owners' equity at one date."),
-    ("Explain inflation.",
-     "Inflation is the rate at which the general level of prices rises over time."),
-    ("What is a dividend?",
-     "A dividend is a share of profit that a company pays out to its shareholders."),
-    ("Define market capitalisation.",
-     "Market capitalisation is the share price multiplied by the number of shares outstanding."),
-    ("What is an index fund?",
-     "An index fund holds the securities of a market index to match its return."),
-    ("Explain an emergency fund.",
-     "An emergency fund is cash kept aside to cover several months of essential costs."),
-]
-# ----------------------------------------------------------------------------
+# our own smoke-test topics, one template over unit conversions
+_UNITS = [("kilometre", "metres", 1000), ("hour", "seconds", 3600), ("tonne", "kilograms", 1000),
+          ("dozen", "pieces", 12), ("fortnight", "days", 14), ("litre", "millilitres", 1000)]
+SYNTHETIC_TOPICS = [(f"How many {many} make one {one}?", f"One {one} is {n} {many}.") for one, many, n in _UNITS]
 
 
 def synthetic_instructions(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
@@ -148,7 +126,7 @@ def synthetic_instructions(spark: SparkSession, n: int, seed: int = 42) -> DataF
 def preview(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
     """S3: the first ``n`` rows in input order (a bounded top-n, the limit is
     the feature). Raises when the source yields no rows."""
-    out = df.orderBy(order_col).limit(n)
-    if not out.take(1):
+    out = stage(df.orderBy(order_col).limit(n), "preview")
+    if out.isEmpty():
         raise RuntimeError("the source yielded 0 rows")
     return out

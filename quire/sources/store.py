@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def file_status(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, modification time) of a file."""
+    fs, p = _fs(spark, path)
+    s = fs.getFileStatus(p)
+    return int(s.getLen()), int(s.getModificationTime())
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -64,12 +70,6 @@ def read_text(spark: SparkSession, path: str) -> str:
     return bytes(data).decode("utf-8")
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, p = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
-
-
 # --- versioned publish (S4-S6) ----------------------------------------------
 def _versions(spark: SparkSession, base: str) -> list[int]:
     vs = [int(m.group(1)) for d in list_dirs(spark, base) if (m := re.fullmatch(r"v(\d+)", d))]
@@ -115,25 +115,25 @@ def load_split_data(spark: SparkSession, vdir: str) -> tuple[DataFrame, DataFram
 
 # --- reports (S7) ----------------------------------------------------------
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Small result frames (metrics, sweep results) as one JSON/CSV file set."""
-    df.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    """Result frames (metrics, sweep results) as a JSON/CSV file set; the engine
+    sizes the files, so a large frame is not one task."""
+    df.hint("rebalance").write.mode("overwrite").format(fmt).save(path)
 
 
 # --- snapshots (S8, S9) ----------------------------------------------------
 def snapshot(spark: SparkSession, vdir: str, dest_root: str, number: int) -> str | None:
     """Copy a published version to ``dest_root/snapshot=<number>``.
 
-    No-op without a manifest. Data goes to a staging folder first and is
-    renamed into place; the manifest is copied last, so a snapshot without
-    its manifest is never taken as complete.
+    No-op without a manifest. A number that already holds a complete snapshot
+    raises; what an interrupted copy left is written over. The manifest is
+    copied last and is the commit, so nothing needs to be renamed.
     """
     if not exists(spark, f"{vdir}/{MANIFEST}"):
         return None
     target = f"{dest_root}/snapshot={int(number)}"
-    staging = f"{dest_root}/_staging-{uuid.uuid4().hex[:12]}"
-    spark.read.parquet(f"{vdir}/data").write.mode("error").partitionBy("split").parquet(f"{staging}/data")
-    if not rename(spark, staging, target):
-        raise RuntimeError(f"could not move {staging} to {target}")
+    if exists(spark, f"{target}/{MANIFEST}"):
+        raise FileExistsError(f"{target} is a complete snapshot")
+    spark.read.parquet(f"{vdir}/data").write.mode("overwrite").partitionBy("split").parquet(f"{target}/data")
     write_text(spark, f"{target}/{MANIFEST}", read_text(spark, f"{vdir}/{MANIFEST}"))
     return target
 

@@ -21,22 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.render import drop_blank, render, with_content_hash
+from quire.sources.readers import documents_as_instructions
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def documents_as_instructions(df: DataFrame) -> DataFrame:
-    """Streaming-safe version of the ``documents`` mapping (first line /
-    rest of the text)."""
-    nl = F.instr(F.col("text"), "\n")
-    return df.select(
-        F.col("doc_id").alias("row_id"),
-        F.when(nl > 0, F.substring(F.col("text"), F.lit(1), nl - 1)).otherwise(F.col("text")).alias("instruction"),
-        F.lit("").alias("input"),
-        F.when(nl > 0, F.substring(F.col("text"), nl + 1, F.lit(2147483647))).otherwise(F.lit("")).alias("output"),
-    )
-
-
 def prepare_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
                    schema: str = DOCUMENT_SCHEMA, glob: str | None = None,
                    to_instructions: Callable[[DataFrame], DataFrame] = documents_as_instructions,
@@ -54,7 +43,9 @@ def prepare_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpo
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    src = r.load(source_dir)
+    # a pattern that matches this path alone: it may be one file or a folder of parts
+    path = source_dir.rstrip("/")
+    src = r.load(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
     keep = ("row_id", event_time_col) if event_time_col else ("row_id",)
     rows = with_content_hash(drop_blank(render(to_instructions(src), template, keep=keep)))
     if event_time_col and watermark:

@@ -15,7 +15,7 @@ from quire.plans.evaluate import evaluate
 from quire.plans.prepare import PrepConfig, build_splits, load_splits, prepare_dataset
 from quire.sources.readers import read_instructions, synthetic_instructions, conversation_instructions
 
-SMOKE = PrepConfig(seed=42, eval_holdout_size=40, subsample_size=200, smoke_test=True)
+SMOKE = PrepConfig(seed=42, eval_holdout_size=40, subsample_size=200, smoke_test=True, dataset_id="synthetic")
 
 
 def _plan(df):
@@ -28,7 +28,7 @@ def _plan(df):
 def test_evaluate_writes_metrics(spark, tmpdir_path):
     raw = synthetic_instructions(spark, 600, 42)
     prepare_dataset(spark, raw, f"{tmpdir_path}/prep", SMOKE)
-    _, ev = load_splits(spark, f"{tmpdir_path}/prep", SMOKE)
+    _, ev = load_splits(spark, f"{tmpdir_path}/prep", raw, SMOKE)
     out = f"{tmpdir_path}/metrics.json"
     m = evaluate(spark, ev, {"base": echo_prompt_tail, "tuned": reference_head}, max_eval_samples=4,
                  max_new_tokens=8, out_path=out, seconds_fn=fixed_cost)
@@ -40,7 +40,7 @@ def test_evaluate_writes_metrics(spark, tmpdir_path):
     assert m["fine_tuned"]["rouge_l"] > m["base"]["rouge_l"]
 
 
-def test_ablations_artefacts_and_resume(spark, tmpdir_path):
+def test_ablations_artefacts_and_resume(spark, tmpdir_path, monkeypatch):
     rows = [(i, ("good clear answer text " if i % 3 else "spam junk spam ") * 2, float(i % 3 > 0)) for i in range(90)]
     df = spark.createDataFrame(rows, "row_id long, text string, label double")
     d = df.withColumn("split_rank", F.sha2(F.col("row_id").cast("string"), 256))
@@ -51,8 +51,13 @@ def test_ablations_artefacts_and_resume(spark, tmpdir_path):
     assert len(out["results"]) == 4 and "eval_loss" in out["best"]
     for f in ("ablation_results.json", "best_config.json", "comparison_table.md"):
         assert os.path.exists(f"{tmpdir_path}/abl/{f}")
-    again = run_ablations(spark, tr, ev, f"{tmpdir_path}/abl", cfg, cell_fn=lambda *a: 1 / 0)
+    from quire.operators import sweep
+    monkeypatch.setattr(sweep, "default_cell", lambda *a, **k: 1 / 0)
+    again = run_ablations(spark, tr, ev, f"{tmpdir_path}/abl", cfg)
     assert again["best"] == out["best"]     # finished cells are not re-run
+    import pytest
+    with pytest.raises(ZeroDivisionError):  # other settings are another sweep
+        run_ablations(spark, tr, ev, f"{tmpdir_path}/abl", {**cfg, "per_device_train_batch_size": 4})
 
 
 def test_read_instructions_mapping_and_alias(spark, tmpdir_path):
@@ -79,6 +84,13 @@ def test_conversation_pairs_edge_cases(spark, tmpdir_path):
     assert got == {(1, 1): ("u1", "S", "a1"), (2, 1): ("y", "", "z")}
 
 
+def test_ids_of_very_long_conversations_stay_apart(spark, tmpdir_path):
+    rows = [(0, 1_000_000, "user", "a"), (0, 1_000_001, "assistant", "b"), (1, 0, "user", "c"), (1, 1, "assistant", "d")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmpdir_path}/conversations.parquet")
+    ids = [r.row_id for r in conversation_instructions(spark, tmpdir_path).collect()]
+    assert sorted(ids) == ["0:1000000", "1:0"]
+
+
 def test_hot_group_of_copies(spark):
     # one text holds a third of all rows; first in input order must win
     n = 3000

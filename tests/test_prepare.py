@@ -11,7 +11,7 @@ from quire.plans.prepare import PrepConfig, build_splits, load_splits, prepare_d
 from quire.sources import store
 from quire.sources.readers import synthetic_instructions
 
-SMOKE = PrepConfig(seed=42, eval_holdout_size=40, subsample_size=200, smoke_test=True)
+SMOKE = PrepConfig(seed=42, eval_holdout_size=40, subsample_size=200, smoke_test=True, dataset_id="synthetic")
 
 
 def test_synthetic_golden_counts_and_idempotence(spark, tmpdir_path):
@@ -22,14 +22,22 @@ def test_synthetic_golden_counts_and_idempotence(spark, tmpdir_path):
     assert m1["disjointness"] == {"train_unique_hashes": 200, "eval_unique_hashes": 40, "intersection": 0}
     m2 = prepare_dataset(spark, raw, tmpdir_path, SMOKE)
     assert m2["cache_hit"] is True and m2["counts"] == m1["counts"]
-    tr, ev = load_splits(spark, tmpdir_path, SMOKE)
+    tr, ev = load_splits(spark, tmpdir_path, raw, SMOKE)
     assert tr.count() == 200 and ev.count() == 40
     # a changed setting is a different fingerprint, never the old cache
-    m3 = prepare_dataset(spark, raw, tmpdir_path, PrepConfig(seed=7, eval_holdout_size=40, subsample_size=200))
+    m3 = prepare_dataset(spark, raw, tmpdir_path, PrepConfig(seed=7, eval_holdout_size=40, subsample_size=200, dataset_id="synthetic"))
     assert m3["cache_hit"] is False
     # force writes a new version; the newest complete one is served
     m4 = prepare_dataset(spark, raw, tmpdir_path, SMOKE, force=True)
     assert m4["path"].endswith("/v2")
+    # a frame that reads no files must say what it is; files say it themselves
+    with pytest.raises(ValueError):
+        prepare_dataset(spark, raw, tmpdir_path, PrepConfig())
+    from quire.sources.readers import documents_as_instructions
+    for k, n in enumerate((50, 30)):
+        spark.range(n).selectExpr("id AS doc_id", f"concat('t{k} ', id) AS text").write.parquet(f"{tmpdir_path}/in{k}")
+        m = prepare_dataset(spark, documents_as_instructions(spark.read.parquet(f"{tmpdir_path}/in{k}")), tmpdir_path, PrepConfig())
+        assert m["cache_hit"] is False and m["counts"]["raw"] == n
 
 
 def _split_ids(spark, df, seed, holdout, size):
@@ -80,7 +88,7 @@ def test_keys_at_positions_refines_exactly(spark):
     keys = sorted({hashlib.sha256(str(rnd.random()).encode()).hexdigest() for _ in range(3000)})
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     pos = [1, 17, 1500, 2999, 3000, 3001]
-    got = keys_at_positions(df, "k", pos, width=1, max_collect=5)
+    got = keys_at_positions(df, "k", pos, width=1)
     assert got == {p: (keys[p - 1] if p <= len(keys) else None) for p in pos}
     p = {r.k: r.pos for r in with_positions(df, "k", width=2).collect()}
     assert all(p[k] == i for i, k in enumerate(keys))
@@ -95,6 +103,8 @@ def test_snapshots_numeric_order_and_restore(spark, tmpdir_path):
     store.snapshot(spark, vdir, snaps, 9)
     store.snapshot(spark, vdir, snaps, 10)
     assert store.latest_snapshot(spark, snaps) == 10
+    with pytest.raises(FileExistsError):           # a number is never reused
+        store.snapshot(spark, vdir, snaps, 10)
     assert store.latest_snapshot_path(spark, snaps).endswith("/snapshot=10")
     tr10, ev10 = store.load_snapshot(spark, snaps)
     assert tr10.count() + ev10.count() == spark.read.parquet(f"{vdir}/data").count()
@@ -149,6 +159,22 @@ def test_batch_plan_and_shards(spark, tmpdir_path):
     assert [(r.shard, r["count"]) for r in got] == [(0, 64), (1, 64), (2, 64), (3, 8)]
 
 
+def test_positions_do_not_depend_on_partitioning(spark):
+    """A prompt with many answers: ranks tie, the content hash orders them."""
+    from quire.operators.split import take_first, training_steps
+    rows = [(f"{p:064x}", hashlib.sha256(f"{p}/{a}".encode()).hexdigest()) for p in range(6) for a in range(400 if p == 3 else 5)]
+    want = {h: i for i, (_, h) in enumerate(sorted(rows))}
+    for parts in (1, 5):
+        d = spark.createDataFrame(rows, "split_rank string, content_hash string").repartition(parts)
+        assert {r.content_hash: r.pos for r in with_positions(d).collect()} == want
+        assert [r.content_hash for r in take_first(d, 50).collect()] == [h for h, i in sorted(want.items(), key=lambda x: x[1])[:50]]
+        pos = keys_at_positions(d, "split_rank", [1, 16, 300, len(rows)])
+        assert pos == {k: sorted(rows)[k - 1][0] for k in (1, 16, 300, len(rows))}
+    steps = training_steps(d, 8, 4, epochs=2).collect()
+    assert len(steps) == 2 * len(rows) and max(r.step for r in steps) == 2 * -(-len(rows) // 32) - 1
+    assert max(r.step for r in training_steps(d, 8, 4, max_steps=3).collect()) == 2
+
+
 def test_incomplete_snapshot_is_ignored(spark, tmpdir_path):
     raw = synthetic_instructions(spark, 60, 42)
     m = prepare_dataset(spark, raw, f"{tmpdir_path}/prep", SMOKE)

@@ -20,7 +20,11 @@ def test_grid_order_tags_alpha(spark):
     assert all(r.lora_alpha == 2 * r.rank for r in g)
 
 
+CALLS = []
+
+
 def _fake_cell(train, eval_, p):
+    CALLS.append(p["cell_no"])
     # deterministic: tie between rank 8 and 16 on 'constant'; NaN for rank 16 cosine
     return {("cosine", 8): 0.5, ("constant", 8): 0.25, ("constant", 16): 0.25, ("cosine", 16): float("nan")}[
         (p["scheduler"], p["rank"])]
@@ -37,10 +41,17 @@ def test_sweep_select_table_and_resume(spark, tmpdir_path):
     assert [t.selected for t in tab] == [True, False, False, False]
     assert tab[0].eval_loss_text == "0.2500" and tab[-1].eval_loss_text == "NaN"
     md = W.markdown_table(W.comparison_table(res))
-    assert "**<-- selected**" in md
-    calls = []
-    W.run_sweep(spark, g, d, d, lambda a, b, p: calls.append(p) or 0.0, results_path=f"{tmpdir_path}/res")
-    assert calls == []            # every cell already finished
+    assert md.count("| **1** |") == 1 and md.splitlines()[2].startswith("| **1** | 8 |")
+    CALLS.clear()
+    again = W.run_sweep(spark, g, d, d, _fake_cell, results_path=f"{tmpdir_path}/res")
+    assert CALLS == [] and again.count() == 4           # every cell already finished
+    # another grid, other data or another function in the same folder is another sweep
+    other = W.run_sweep(spark, W.param_grid(spark, [64], [2e-4], ["linear"]), d, d, lambda a, b, p: 1.0, results_path=f"{tmpdir_path}/res")
+    assert [(r.rank, r.scheduler, r.eval_loss) for r in other.collect()] == [(64, "linear", 1.0)]
+    W.run_sweep(spark, g, d, d.limit(9), _fake_cell, results_path=f"{tmpdir_path}/res")
+    assert sorted(CALLS) == [0, 1, 2, 3]
+    shared = W.run_sweep(spark, g, d, d, lambda a, b, p: CALLS.append("x") or 2.0, effective=("rank", "learning_rate"))
+    assert CALLS.count("x") == 2 and {r.eval_loss for r in shared.collect()} == {2.0}
     top = W.select_best(res, mode="max").first()
     assert top.eval_loss == 0.5   # NaN never wins
     import pytest
@@ -68,6 +79,30 @@ def test_generate_and_map_rows(spark):
     assert sorted((r.id, r.n) for r in m) == [(1, 9), (2, 0)]
 
 
+def test_closures_of_one_function_are_two_systems(spark):
+    def make(word):
+        def factory():
+            return lambda batch, k: [word for _ in batch["prompt"]]
+        return factory
+
+    ex = spark.createDataFrame([(str(i), "p " * 600, "r") for i in range(6)], "example_id string, prompt string, reference string").coalesce(1)
+    from quire.plans.evaluate import generate_systems
+    got = {(r.system, r.prediction) for r in generate_systems(ex, {"base": make("one"), "tuned": make("two")}, 4, fixed_cost).collect()}
+    assert got == {("base", "one"), ("tuned", "two")}
+    seen = batch_generate(ex, lambda: lambda b, k: [str(len(p.split())) for p in b["prompt"]], "s", 4, fixed_cost)
+    assert {(r.example_id, r.prediction) for r in seen.collect()} == {(str(i), "512") for i in range(6)}
+
+
+def test_repeated_predictions_are_an_error(spark):
+    import pytest
+    from quire.operators.scoring import score_predictions
+    preds = spark.createDataFrame([("a", "s", "x"), ("a", "s", "y")], "example_id string, system string, prediction string")
+    refs = spark.createDataFrame([("a", "x")], "example_id string, reference string")
+    with pytest.raises(Exception, match="repeated rows"):
+        score_predictions(preds, refs, ["s"]).collect()
+    assert score_predictions(preds.limit(1), refs, ["s"]).count() == 1
+
+
 def test_history_rows_and_array(spark):
     turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (1, 2, "user", "more"),
                                    (2, 0, "user", "solo")], "conv_id long, turn long, role string, text string")
@@ -75,9 +110,11 @@ def test_history_rows_and_array(spark):
     arr = {r.conv_id: [(m.role, m.content) for m in r.messages] for r in to_message_array(h).collect()}
     assert arr[1] == [("system", "SYS"), ("user", "hi"), ("assistant", "hello"), ("user", "more")]
     assert arr[2] == [("system", "SYS"), ("user", "solo")]
-    import pytest
-    with pytest.raises(ValueError):
-        to_message_array(h, max_messages=3)
+    own = spark.createDataFrame([(3, 0, "system", "OWN"), (3, 1, "user", "q")], "conv_id long, turn long, role string, text string")
+    arr = to_message_array(assemble_history(own, "SYS")).first().messages
+    assert [(m.role, m.content) for m in arr] == [("system", "OWN"), ("user", "q")]
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("x").alias("text"))
+    assert len(to_message_array(assemble_history(many)).first().messages) == 5001
 
 
 def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmpdir_path):
@@ -96,6 +133,11 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmpdir_path):
     assert n == 927
     prepare_stream(spark, SF01, sink, ck, glob="documents.parquet")
     assert spark.read.parquet(sink).count() == n
+    # the table by its own path, as one file and as a folder of parts
+    spark.read.parquet(f"{SF01}/documents.parquet").repartition(3).write.parquet(f"{tmpdir_path}/documents.parquet")
+    for k, path in enumerate((f"{SF01}/documents.parquet", f"{tmpdir_path}/documents.parquet")):
+        prepare_stream(spark, path, f"{tmpdir_path}/s{k}", f"{tmpdir_path}/c{k}")
+        assert spark.read.parquet(f"{tmpdir_path}/s{k}").count() == n
 
 
 def test_concurrent_cells_equal_sequential(spark):

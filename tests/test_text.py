@@ -67,8 +67,12 @@ def test_prompt_reference_rule(spark):
 def test_truncate_tokens(spark):
     df = spark.createDataFrame([("a b  c\td e",), ("",), ("x",)], "t string")
     rows = df.select(truncate_ws_tokens("t", 3).alias("x")).collect()
-    assert [(r.x.text, r.x.n_tokens, r.x.was_truncated) for r in rows] == [("a b c", 5, True), ("", 0, False),
+    assert [(r.x.text, r.x.n_tokens, r.x.was_truncated) for r in rows] == [("a b  c", 5, True), ("", 0, False),
                                                                           ("x", 1, False)]
+    # a rendered text within the budget keeps its line breaks, and its marker is still found
+    whole = "### Instruction:\nhi there\n\n### Response:\nanswer  here"
+    d = spark.createDataFrame([(whole,)], "t string").select(truncate_ws_tokens("t", 64)["text"].alias("t"))
+    assert d.first().t == whole and d.select(split_prompt_reference("t").alias("p")).first().p.reference == "answer  here"
 
 
 def test_null_rule_and_output_fallback(spark):
