@@ -20,6 +20,8 @@ formatted conversation is one row, so its length is bounded by Spark's 2 GB a va
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,25 +75,26 @@ def tree_paths(nodes: DataFrame, branches: int | None = None, max_rounds: int =
     smaller leaf; ``branches`` keeps that many of each tree (None: all).
     """
     ids = nodes.select(F.col("node").alias("up"))
-    n = stage(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-              .join(ids, F.col("parent") == F.col("up"), "left")
-              .select("tree", "node", F.col("up").alias("parent"), "score"), "tree_nodes")
-    # climb: (node, anc 2**k steps up, steps made, score collected)
-    climb = n.select("node", F.col("parent").alias("anc"), F.lit(1).cast("long").alias("steps"), "score")
-    jumps = []
+    n = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    held = n.where("parent is not null").join(ids, F.col("parent") == F.col("up"), "left")
+    n = stage(held.select("tree", "node", F.col("up").alias("parent"), "score").unionByName(n.where("parent is null")), "tree_nodes")
+    # climb: (node, anc 2**k steps up, steps made, score collected); a row that reached its root rests
+    part = n.select("node", F.col("parent").alias("anc"), F.lit(1).cast("long").alias("steps"), "score")
+    done, jumps = [], []
     for _ in range(max_rounds):
-        climb = stage(climb, "tree_climb")
-        open_ = climb.where("anc is not null").select("node", "anc")
-        if open_.isEmpty():
+        part = stage(part, "tree_climb")
+        done.append(part.where("anc is null"))
+        going = part.where("anc is not null")
+        if going.isEmpty():
             break
-        jumps.append(open_)
-        up = climb.select(F.col("node").alias("anc"), F.col("anc").alias("anc2"), F.col("steps").alias("steps2"),
-                          F.col("score").alias("score2"))
-        climb = (climb.join(up, "anc", "left")
-                 .select("node", F.col("anc2").alias("anc"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-                         (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")))
+        jumps.append(going.select("node", "anc"))
+        up = reduce(DataFrame.unionByName, done, going).select(
+            F.col("node").alias("anc"), F.col("anc").alias("anc2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
+        part = going.join(up, "anc").select("node", F.col("anc2").alias("anc"), (F.col("steps") + F.col("steps2")).alias("steps"),
+                                            (F.col("score") + F.col("score2")).alias("score"))
     else:
         raise ValueError("the parents of some messages form a circle, or a path is too long")
+    climb = reduce(DataFrame.unionByName, done)
     depth = climb.select("node", (F.col("steps") - 1).alias("depth"), F.col("score").alias("path_score"))
     leaves = (n.join(n.where("parent is not null").select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
               .select("tree", "node").join(depth.select("node", "path_score"), "node"))
