@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-TABLES = "documents conversations labels benchmark".split()
+TABLES = "documents conversations labels benchmark embeddings pages".split()
 SLOW = {"sweep", "select_best", "comparison_table"}
 
 
