@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.session import scratch_path, ship_package, stage
 
 __all__ = ["BitMap", "bitmap_of", "components", "open_input", "open_output", "range_bucket", "range_splits", "rename",
-           "running_totals", "scratch_path", "ship_package", "shuffle_parts", "stage", "table"]
+           "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,8 +175,9 @@ def bitmap_of(df: DataFrame, hash_col: str, bits: int = 23) -> BitMap:
     return BitMap(words, bits)
 
 
-def grouped(batches: Iterator, key: str):
-    """Rows of sorted pandas batches as dictionaries, one at a time."""
-    for pdf in batches:
-        cols = list(pdf.columns)
-        yield from (dict(zip(cols, r)) for r in zip(*[pdf[c] for c in cols]))
+def slices(batches: Iterator, rows: int = 256):
+    """Short stretches of Arrow batches: the texts of one stretch are all that is
+    unpacked in Python at a time, however long a batch is."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -19,11 +19,11 @@ import zlib
 from collections import defaultdict
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import ship_package, stage
+from quire.llm.common import ship_package, slices, stage
 from quire.llm.tokens import END_ID, default_vocabulary, encoder
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -31,9 +31,11 @@ PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 def _cut(batches, vocabulary: str, capacity: int, with_ids: bool):
     enc, end = encoder(vocabulary), END_ID.to_bytes(4, "little")
-    for pdf in batches:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * with_ids
+    for batch in slices(batches):
         rows = []
-        for doc, text in zip(pdf["doc_id"], pdf["text"]):
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             ids = enc.ids(text) + end
             n = len(ids) // 4
             at, piece, size = 0, 0, n % capacity or min(n, capacity)
@@ -42,9 +44,7 @@ def _cut(batches, vocabulary: str, capacity: int, with_ids: bool):
                 row = (doc, piece, at, size, zlib.crc32(part))
                 rows.append(row + (part,) if with_ids else row)
                 at, piece, size = at + size, piece + 1, capacity
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
-        out["doc_id"] = pd.to_numeric(out["doc_id"]).astype("Int64") if len(out) else out["doc_id"]
-        yield out
+        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, id_col: str = "doc_id",
@@ -52,8 +52,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024,
     """(doc_id, piece, start, length, ids_crc32, [ids]): whole documents, and longer
     ones in pieces of ``capacity`` ids of which the first may be shorter."""
     ship_package(docs.sparkSession)
-    d = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return d.mapInPandas(partial(_cut, vocabulary=vocabulary or default_vocabulary(), capacity=capacity, with_ids=with_ids),
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return d.mapInArrow(partial(_cut, vocabulary=vocabulary or default_vocabulary(), capacity=capacity, with_ids=with_ids),
                          PIECE + (", ids binary" if with_ids else ""))
 
 
