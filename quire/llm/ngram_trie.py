@@ -11,8 +11,8 @@ elements that most classes announced, as many as still leaves linked classes one
 in common: elements are ranked by a property of their own (how many announced
 them), so of the shared ones the rarest is withdrawn by neither side. Frequent
 n-grams (a common line or passage) group nobody by that, and nothing is lost.
-Classes that share an element form candidate groups (connected components over a
-star an element, never pairs), and only their sets travel.
+Classes that share an element and are near in size form candidate groups (connected
+components over one chain an element, never pairs), and only their sets travel.
 
 Join. The sets of a group, in blocks of bounded size, go into a path-compressed
 trie. A set is joined with the whole trie in one traversal: sets with a common
@@ -37,10 +37,11 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, components, ship_package, shuffle_parts, stage
+from quire.llm.common import bitmap_of, components, ship_package, shuffle_parts, slices, stage
 from quire.llm.syncmers import mix
 
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -50,7 +51,7 @@ class _Words(dict):
     """Word -> 64-bit hash; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -77,8 +78,9 @@ def digest(h: np.ndarray) -> bytes:
 
 
 def spare(n: int, percent: int) -> int:
-    """Elements by which the prefix of a set of ``n`` is longer than it must be; grows with ``n``."""
-    return n * (100 - percent) // 200
+    """Elements by which the prefix of a set of ``n`` is longer than it must be; never
+    falls as ``n`` grows. Small sets get more, as few frequent n-grams fill them."""
+    return max(n * (100 - percent) // 200, min(16, n // 2))
 
 
 def prefix(h: np.ndarray, percent: int = 90) -> tuple[np.ndarray, int]:
@@ -90,18 +92,19 @@ def prefix(h: np.ndarray, percent: int = 90) -> tuple[np.ndarray, int]:
 
 
 def _sets(batches, n: int, percent: int):
-    for pdf in batches:
+    for batch in slices(batches):
         rows = []
-        for doc, text in zip(pdf["doc_id"], pdf["text"]):
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             h = ngram_set(text, n)
             announced, skip = prefix(h, percent)
-            rows.append((doc, len(h), digest(h) if len(h) else None, skip, announced if len(h) else h.view(np.int64)))
-        yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "skip", "prefix"])
+            rows.append((doc, len(h), digest(h) if len(h) else None, skip, announced if len(h) else announced[:0]))
+        types = [pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
+        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "n", "node", "skip", "prefix"])
+    _WORDS.clear()                                       # the worker goes on to other tasks
 
 
 def _wanted_sets(batches, n: int, wanted):
-    import pyarrow as pa
-    for batch in batches:
+    for batch in slices(batches):
         keep = wanted.admits(batch.column("h").to_numpy(zero_copy_only=False))
         nodes, sets = [], []
         for text in batch.filter(pa.array(keep)).column("text").to_pylist():
@@ -110,6 +113,7 @@ def _wanted_sets(batches, n: int, wanted):
                 nodes.append(digest(h))
                 sets.append(h.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], ["node", "set"])
+    _WORDS.clear()
 
 
 # --- the trie -------------------------------------------------------------------------
@@ -158,67 +162,83 @@ def reachable(overlap: int, depth: int, rest: int, size: int, least: int, most:
     return (100 + percent) * (overlap + min(best - depth, rest)) >= percent * (size + best)
 
 
-def trie_links(sets: list[np.ndarray], labels: list | None = None, percent: int = 90, step: int = 64):
+def trie_links(sets: list[np.ndarray], labels: list | None = None, percent: int = 90, asked: list[int] | None = None):
     """Pairs (i, j) of linked sets, enough to connect all that are linked; sets with equal
-    ``labels`` count as connected already."""
+    ``labels`` count as connected already. With ``asked``, only those sets are joined with the
+    others (which make up the trie), not the others among themselves."""
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    ordered = [sets[i] for i in order]
+    kept = order if asked is None else [i for i in order if i not in set(asked)]
+    trie = [sets[i] for i in kept]
     if labels is None:
-        comp = np.arange(len(sets))
-    else:
-        comp = np.unique(np.array([labels[i] for i in order], dtype=object), return_inverse=True)[1]
-    roots = build(ordered)
-    for at, q in enumerate(ordered):
-        size = len(q)
+        labels = list(range(len(sets)))
+    number = {x: k for k, x in enumerate(dict.fromkeys(labels))}
+    comp = np.array([number[labels[i]] for i in kept], dtype=np.int64)
+    mine = [number[x] for x in labels]
+    # elements as numbers in their order, so that a set is a mask and an overlap is a lookup
+    every = np.unique(np.concatenate(trie)) if trie else np.zeros(0, np.uint64)
+    roots = build([np.searchsorted(every, x) for x in trie])
+    mask = np.zeros(len(every), dtype=bool)
+    for at, i in enumerate(order if asked is None else asked):
+        q = sets[i]
+        size, after = len(q), at + 1 if asked is None else 0
+        here = np.searchsorted(every, q)
+        inside = here < len(every)
+        here = here[inside][every[here[inside]] == q[inside]]
+        mask[here] = True
+        me = mine[i] if asked is not None else comp[at]
         stack = [(r, 0) for r in roots]
         while stack:
             node, overlap = stack.pop()
-            lo = max(node.lo, at + 1)
-            if lo >= node.hi or (comp[lo:node.hi] == comp[at]).all():
+            lo = max(node.lo, after)
+            if lo >= node.hi or node.least * percent > 100 * size or node.most * 100 < percent * size:
                 continue
-            depth, alive = node.depth, True
-            for c in range(0, len(node.edge), step):
-                part = node.edge[c:c + step]
-                where = np.searchsorted(q, part)
-                inside = where < size
-                overlap += int((q[where[inside]] == part[inside]).sum())
-                depth += len(part)
-                passed = int(np.searchsorted(q, part[-1], "right"))
-                if not reachable(overlap, depth, size - passed, size, node.least, node.most, percent):
-                    alive = False
-                    break
-            if not alive:
+            if (comp[lo] == me) if node.hi - lo == 1 else (comp[lo:node.hi] == me).all():
                 continue
-            if node.ends is not None and node.ends > at and comp[node.ends] != comp[at]:
-                if (100 + percent) * overlap >= percent * (size + len(ordered[node.ends])):
-                    yield order[at], order[node.ends]
-                    comp[comp == comp[node.ends]] = comp[at]
-            stack.extend((child, overlap) for child in node.children)
+            overlap += int(np.count_nonzero(mask[node.edge]))
+            depth = node.depth + len(node.edge)
+            if node.children:
+                passed = int(np.searchsorted(q, every[node.edge[-1]], "right"))
+                if not reachable(overlap, depth, size - passed, size, node.least, node.most, percent):
+                    continue
+                stack.extend((child, overlap) for child in node.children)
+            if node.ends is not None and node.ends >= after and comp[node.ends] != me:
+                if (100 + percent) * overlap >= percent * (size + depth):
+                    yield i, kept[node.ends]
+                    old = comp[node.ends]
+                    comp[comp == old] = me
+                    if asked is not None:
+                        mine = [me if x == old else x for x in mine]
+        mask[here] = False
 
 
 def _join(batches, percent: int):
-    """Rows sorted by task: one trie a task; memory: the sets of one task."""
-    task, nodes, sets, labels = None, [], [], []
+    """Rows sorted by task: one trie a task; memory: the sets of one task. Rows marked
+    ``ask`` are joined with the task's other rows only."""
+    task, nodes, sets, labels, asks = None, [], [], [], []
 
     def links():
-        return [(nodes[i], nodes[j]) for i, j in trie_links(sets, labels, percent)] if len(sets) > 1 else []
+        if len(sets) < 2:
+            return []
+        asked = [i for i, a in enumerate(asks) if a] or None
+        return [(nodes[i], nodes[j]) for i, j in trie_links(sets, labels, percent, asked)]
 
     for pdf in batches:
         rows = []
-        for t, node, data, label in zip(pdf["task"], pdf["node"], pdf["set"], pdf["label"]):
+        for t, node, data, label, ask in zip(pdf["task"], pdf["node"], pdf["set"], pdf["label"], pdf["ask"]):
             if t != task:
                 rows += links()
-                task, nodes, sets, labels = t, [], [], []
-            if not nodes or nodes[-1] != node:           # sorted: the same set twice stands together
+                task, nodes, sets, labels, asks = t, [], [], [], []
+            if not nodes or nodes[-1] != node or asks[-1] != ask:    # sorted: the same set twice stands together
                 nodes.append(node)
                 sets.append(np.frombuffer(data, np.uint64))
                 labels.append(label)
+                asks.append(ask)
         yield pd.DataFrame(rows, columns=["a", "b"])
     yield pd.DataFrame(links(), columns=["a", "b"])
 
 
 def _run(rows: DataFrame, percent: int) -> DataFrame:
-    dealt = rows.repartition(shuffle_parts(rows.sparkSession), "task").sortWithinPartitions("task", "node")
+    dealt = rows.repartition(shuffle_parts(rows.sparkSession), "task").sortWithinPartitions("task", "ask", "node")
     return stage(dealt.mapInPandas(partial(_join, percent=percent), "a binary, b binary"), "trie_links")
 
 
@@ -229,29 +249,31 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     spark = docs.sparkSession
     ship_package(spark)
     narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage(narrow.mapInPandas(partial(_sets, n=n, percent=percent),
-                                    "doc_id string, n int, node binary, skip int, prefix array<long>"), "ngram_sets")
-    said = (rows.select("node", "skip", F.explode("prefix").alias("g")).repartition("g")
-            .groupBy("g", "node").agg(F.first("skip").alias("skip")))            # copies say it once
+    rows = stage(narrow.mapInArrow(partial(_sets, n=n, percent=percent),
+                                   "doc_id string, n int, node binary, skip int, prefix array<long>"), "ngram_sets")
+    said = rows.select("node", "n", "skip", F.explode("prefix").alias("g")).repartition("g").distinct()   # copies say it once
     said = said.withColumn("by", F.count(F.lit(1)).over(Window.partitionBy("g"))).where(F.col("by") > 1)
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("by").desc(), "g"))
-    left = said.withColumn("rank", rank).where(F.col("rank") > F.col("skip")).select("g", "node")
-    star = left.select("node", F.min("node").over(Window.partitionBy("g")).alias("hub")).where("node != hub")
-    group = stage(components(star.distinct(), "node", "hub"), "ngram_groups")
-    # the sets of grouped classes, made again from the texts the bitmap admits
-    members = rows.select("doc_id", "node").join(group.select("node"), "node", "left_semi")
-    some = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = bitmap_of(some.select(F.xxhash64(F.coalesce("doc_id", F.lit(""))).alias("h")), "h")
-    texts = narrow.select(F.xxhash64(F.coalesce("doc_id", F.lit(""))).alias("h"), "text")
-    sets = texts.mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "node binary, set binary")
-    sets = stage(sets.join(group, "node").groupBy("node").agg(F.first("root").alias("root"), F.first("set").alias("set")), "ngram_group_sets")
-    of = sets.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    sized = sets.join(of, "root").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = said.withColumn("rank", rank).where(F.col("rank") > F.col("skip")).select("g", "node", "n")
+    # by size, each class and the one before it: a chain that breaks where no partner can be
+    chain = Window.partitionBy("g").orderBy("n", "node")
+    near = left.select("node", "n", F.lag("node").over(chain).alias("prev"), F.lag("n").over(chain).alias("prev_n"))
+    near = near.where(F.col("prev_n") * 100 >= F.col("n") * percent).select("node", "prev").distinct()
+    group = stage(components(near, "node", "prev"), "ngram_groups")
+    # every grouped class with its blocks, and the sets made again from the texts the bitmap admits
+    of = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    placed = group.join(of, "root").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = stage(placed, "ngram_blocks")
+    some = rows.select("doc_id", "node").join(placed.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    key = F.xxhash64(F.coalesce("doc_id", F.lit("")))
+    wanted = bitmap_of(some.select(key.alias("h")), "h")
+    sets = narrow.select(key.alias("h"), "text").mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "node binary, set binary")
+    sized = stage(sets.join(placed, "node"), "ngram_group_sets")      # a class may come twice; tasks drop the second
     bridge = F.pmod(F.xxhash64("node", F.lit(7)), F.col("members")) < bridges
     places = F.when((F.col("blocks") > 1) & bridge, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = sized.withColumn("to", F.explode(places)).select(
-        F.concat(F.hex("root"), F.lit(":"), F.col("to")).alias("task"), "node", "set", F.hex("node").alias("label"))
+        F.concat(F.hex("root"), F.lit(":"), F.col("to")).alias("task"), "node", "set", F.hex("node").alias("label"), F.lit(False).alias("ask"))
     links = _run(first, percent)
     # groups of several blocks that are not one component yet: the sets outside the largest meet all blocks
     many = sized.where("blocks > 1")
@@ -262,14 +284,17 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     sizes = split.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("root").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"),
                                      F.max("size").alias("top")).where("all > top")
-    split = split.join(main, "root")
-    spots = F.ceil((F.col("all") - F.col("top")) / block).cast("int")
+    wide = 2 * block                     # two sides of this size meet in a task
+    split = split.join(main, "root").withColumn("blocks", F.ceil(F.col("all") / wide).cast("int"))
+    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spots = F.ceil((F.col("all") - F.col("top")) / wide).cast("int")
     spot = F.pmod(F.xxhash64("node", F.lit(11)), spots).cast("int")
-    everyone = split.select("root", "node", "set", "comp", "block", F.explode(F.sequence(F.lit(0), spots - 1)).alias("spot"))
-    outside = split.where(F.col("comp") != F.col("main")).select("root", "node", "set", "comp",
-                                                                 F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), spot.alias("spot"))
+    lone = F.col("comp") != F.col("main")
+    everyone = split.select("root", "node", "set", "comp", "block", F.explode(F.sequence(F.lit(0), spots - 1)).alias("spot"), F.lit(False).alias("ask"))
+    outside = split.where(lone).select("root", "node", "set", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                                       spot.alias("spot"), F.lit(True).alias("ask"))
     second = everyone.unionByName(outside).select(F.concat(F.hex("root"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")).alias("task"),
-                                                  "node", "set", F.hex("comp").alias("label"))
+                                                  "node", "set", F.hex("comp").alias("label"), "ask")
     return rows, stage(links.unionByName(_run(second, percent)), "ngram_links")
 
 
