@@ -57,7 +57,7 @@ class Encoder:
     """One per Python worker (:func:`encoder`). ``ids(text)`` gives the bytes of
     the text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, vocabulary: str, limit: int = 200_000):
+    def __init__(self, vocabulary: str, limit: int = 100_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(vocabulary)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
