@@ -6,10 +6,15 @@ how strongly a term reveals one of them. A context is the ``window`` terms on
 either side of a mention; with ``N`` contexts' worth of terms in the corpus, a
 term ``t`` discloses the share ``PMI(t; c) / IC(c)`` of an entity ``c``, where
 ``PMI = log(N n(t,c) / (n(t) n(c)))`` and ``IC = log(N / n(c))``: 1 for a term that
-occurs with ``c`` only. Terms at ``generalise_at`` or above are generalised, at
-``remove_at`` or above removed, wherever they occur. A pair counts only with
-``min_contexts`` different contexts in different texts, so copies of one text
-prove nothing.
+occurs with ``c`` only. ``c`` is a single value, and also each kind as a whole (any
+email address, any phone number, ...), so a name beside values that occur once
+each is found by their kind. Terms at ``generalise_at`` or above for a value or a
+kind are generalised, at ``remove_at`` or above removed, wherever they occur.
+
+A pair is estimated from ``min_contexts`` different texts on: copies of one text
+prove nothing, the same signature in different texts does. A value's pair with
+fewer texts has no estimate of its own, but its mentions count for the pair of its
+kind; a kind's pair with fewer texts leaves the term as it is.
 
 All counts cover the whole corpus. What a pass over the texts looks for is sent
 as a bitmap of fixed size (false positives fall out in the exact join that
@@ -107,6 +112,8 @@ def context(text: str, start: int, end: int, spans, window: int) -> list[str]:
 
 
 def _contexts(batches, window: int):
+    """(entity, term, whole, n): mentions of an entity or kind in a text with the term in their context; a null term counts all."""
+    columns = ["entity", "term", "whole", "n"]
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
@@ -114,11 +121,15 @@ def _contexts(batches, window: int):
             if not spans:
                 continue
             whole = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+            seen: Counter = Counter()
             for k, a, b in spans:
-                terms = context(text, a, b, spans, window)
-                ctx = hashlib.blake2b(" ".join(terms).encode(), digest_size=8).digest()
-                rows.append((entity(k, text[a:b]), int.from_bytes(ctx, "little", signed=True), whole, sorted(set(terms))))
-        yield pd.DataFrame(rows, columns=["entity", "ctx", "whole", "terms"])
+                terms = [None, *set(context(text, a, b, spans, window))]
+                seen.update((c, t) for c in (entity(k, text[a:b]), KINDS[k]) for t in terms)
+            rows += [(c, t, whole, n) for (c, t), n in seen.items()]
+            if len(rows) >= 50_000:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def _count(batches, wanted):
@@ -142,14 +153,15 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, mi
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(text_col).alias("text"))
-    seen = texts.mapInPandas(partial(_contexts, window=window), "entity string, ctx long, whole long, terms array<string>")
-    # one row for each entity and different context, with its number of mentions
-    ctx = stage(seen.groupBy("entity", "ctx").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("w1"),
-                                                  F.max("whole").alias("w2"), F.first("terms").alias("terms")), "pii_contexts")
-    pairs = (ctx.select("entity", "m", "w1", "w2", F.explode("terms").alias("term")).groupBy("entity", "term")
-             .agg(F.sum("m").alias("n_tc"), F.count(F.lit(1)).alias("contexts"), F.min("w1").alias("w1"), F.max("w2").alias("w2"))
-             .where((F.col("contexts") >= min_contexts) & (F.col("w1") != F.col("w2"))))
-    pairs = stage(pairs.join(ctx.groupBy("entity").agg(F.sum("m").alias("n_c")), "entity"), "pii_pairs")
+    seen = texts.mapInPandas(partial(_contexts, window=window), "entity string, term string, whole long, n long")
+    # different texts are counted in two combinable steps, so a kind's terms are never in one task
+    by_text = seen.groupBy("entity", "term", "whole").agg(F.sum("n").alias("n"))
+    met = stage(by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_tc"), F.count(F.lit(1)).alias("texts")), "pii_contexts")
+    known = met.where("term is null").select("entity", F.col("n_tc").alias("n_c"))
+    enough = met.where(F.col("term").isNotNull() & (F.col("texts") >= min_contexts)).select("entity", "term", "n_tc")
+    of_kind = F.col("entity").isin(*KINDS)
+    pairs = stage(enough.where(~of_kind).join(known.where(~of_kind), "entity")
+                  .unionByName(enough.where(of_kind).join(F.broadcast(known.where(of_kind)), "entity")), "pii_pairs")   # one row a kind
     none = "term string, disclosure double, action string"
     if pairs.isEmpty():
         return spark.createDataFrame([], none)

@@ -93,6 +93,27 @@ def test_terms_that_reveal_an_entity(spark):
     assert P.sanitise(none).count() == 0 and P.find(none, P.revealing_terms(none)).count() == 0
 
 
+def test_terms_in_signatures_and_beside_single_values(spark):
+    rng = random.Random(5)
+    words = ["w" + "".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, f"{fill(40)} xx yy zz q1 q2 q3 Signaturo sign@corp.example.com aa bb cc dd ee ff gg hh", "en") for i in range(4)]       # one window
+    rows += [(20 + i, f"{fill(40)} Onceonly +1 743 555 38{i:02} {fill(40)}", "en") for i in range(5)]                                # five values
+    rows += [(40 + i, f"{fill(40)} Twicely 10.0.0.{i // 2} {fill(40)}", "en") for i in range(2)]                                      # two texts
+    rows += [(60, f"{fill(40)} Copyname once@copy.example.org {fill(40)}", "en")] * 5
+    rows += [(100 + i, fill(200), "en") for i in range(60)]
+    docs = frame(spark, rows)
+    terms = {r.term: r.disclosure for r in P.revealing_terms(docs).collect()}
+    assert set(terms) == {"signaturo", "onceonly"} and terms["signaturo"] == terms["onceonly"] == pytest.approx(1)
+    assert "twicely" in {r.term for r in P.revealing_terms(docs, min_contexts=2).collect()}
+    text = {r.doc_id: r.text.lower() for r in P.sanitise(docs).collect()}
+    assert not any("signaturo" in text[i] for i in range(4)) and not any("onceonly" in text[20 + i] for i in range(5))
+    assert "twicely [ip]" in text[40] and "copyname [email]" in text[60]
+    kinds = [(i, f"{fill(40)} Manynamed {v} {fill(40)}", "en") for i, v in enumerate(["k0@one.example.org", "k1@two.example.org", "k1@two.example.org"])]
+    kinds = frame(spark, kinds + [(100 + i, fill(200), "en") for i in range(60)])
+    assert {r.term for r in P.revealing_terms(kinds).collect()} == {"manynamed"}          # low support of values counts for the kind
+
+
 # --- fingerprints ------------------------------------------------------------------
 def slow_anchors(text, k=S.K, s=S.S):
     """Place by place, with the module's hash of the inner substrings."""
