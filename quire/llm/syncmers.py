@@ -5,10 +5,12 @@ characters, one with the smallest hash stands at its first or last place. Whethe
 a k-mer is chosen depends on the k-mer alone, so equal passages have the same
 anchors at the same relative places whatever stands around them.
 
-The fingerprint of a text keeps the ``size`` anchors with the smallest hashes (a
-minimum-wise sample of its anchor set) with their places. Likeness of two
-fingerprints is the estimated Jaccard similarity of the two anchor sets; the
-places give the shift between texts that share a passage.
+The fingerprint of a text is its whole anchor set, each anchor with its first
+place, so it grows with the text; a ``size`` given by the caller keeps only the
+smallest hashes. Likeness of two fingerprints is the Jaccard similarity of the two
+anchor sets. The shared anchors are also matched by place: those that agree on the
+most frequent shift belong to one passage, and their share of the two sets is the
+aligned likeness.
 
 Defined results: null text is empty; an empty text has the empty fingerprint, and
 two empty ones are alike (1); a text shorter than ``k`` is one anchor, and so is a
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import range_bucket, range_splits, ship_package, shuffle_parts
 
-K, S, SIZE = 12, 4, 64
+K, S = 12, 4
+SIZE = 1 << 62      # all anchors
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,20 +100,24 @@ def sketch(text: str, k: int = K, s: int = S, size: int = SIZE) -> tuple[np.ndar
 
 def to_text(fingerprint: tuple[np.ndarray, np.ndarray]) -> str:
     """``hash@place`` words, by hash."""
-    return " ".join(f"{h:016x}@{p}" for h, p in zip(fingerprint[0].tolist(), fingerprint[1].tolist()))
+    return " ".join(["%016x@%d" % x for x in zip(fingerprint[0].tolist(), fingerprint[1].tolist())])
 
 
 def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
-    """Estimated Jaccard similarity of the anchor sets behind two sketches (exact while both are whole)."""
+    """Jaccard similarity of the anchor sets behind two sketches (an estimate if ``size`` cuts them)."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    if len(a) + len(b) <= size:
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return shared / (len(a) + len(b) - shared)
     both = np.union1d(a, b)[:size]
     shared = np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)
     return float(shared.sum() / len(both))
 
 
 def shift(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
-    """(shift, anchors that agree on it): the most frequent difference of places of shared anchors; (0, 0) without any."""
+    """(shift, anchors that agree on it): the most frequent difference of places of shared anchors (the
+    smallest of equals); (0, 0) without any."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(i):
         return 0, 0
@@ -118,6 +125,14 @@ def shift(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) ->
     return int(d[n.argmax()]), int(n.max())
 
 
+def aligned(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, float]:
+    """(shift, share of both anchor sets that agrees on it); two empty ones are alike."""
+    if not len(a[0]) or not len(b[0]):
+        return 0, float(len(a[0]) == len(b[0]))
+    d, n = shift(a, b)
+    return d, n / (len(a[0]) + len(b[0]) - n)
+
+
 def fingerprint(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
     """``docs`` with ``out_col``: the fingerprint of the whole text, as ``hash@place`` words."""
     ship_package(docs.sparkSession)
@@ -136,14 +151,15 @@ def edited(text: str, following: str) -> str:
 
 def _compare(batches, k: int, s: int, size: int):
     """Rows in order, ``own`` ones of a bucket followed by the head of the next bucket."""
-    held, rows = None, []                    # the row that waits for its next one
+    held, rows, chars = None, [], 0          # the row that waits for its next one
 
     def done(row, following, next_sketch):
         doc, text, mine = row
         new = edited(text, following)
         theirs = sketch(new, k, s, size)
         return (doc, len(text), hashlib.sha256(new.encode()).hexdigest(), to_text(mine), to_text(theirs),
-                likeness(mine[0], theirs[0], size), likeness(mine[0], next_sketch[0], size))
+                likeness(mine[0], theirs[0], size), likeness(mine[0], next_sketch[0], size),
+                *aligned(mine, theirs), *aligned(mine, next_sketch))
 
     bucket = None
     for pdf in batches:
@@ -154,15 +170,19 @@ def _compare(batches, k: int, s: int, size: int):
             mine = sketch(text, k, s, size)
             if held is not None:
                 rows.append(done(held, text, mine))
+                chars += rows[-1][1]
             held = (doc, text, mine) if own else None
-            if len(rows) >= 512:
+            if len(rows) >= 512 or chars >= 1 << 21:     # fingerprints are several times as long as the texts
                 yield _frame(rows)
-                rows = []
+                rows, chars = [], 0
     if rows:
         yield _frame(rows)
 
 
-COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+           "shift_edited", "aligned_edited", "shift_next", "aligned_next"]
+SCHEMA = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+          "near_next double, shift_edited long, aligned_edited double, shift_next long, aligned_next double")
 
 
 def _frame(rows) -> pd.DataFrame:
@@ -170,7 +190,7 @@ def _frame(rows) -> pd.DataFrame:
 
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
-    """Fingerprints of every text and of its edited text, with likenesses.
+    """Fingerprints of every text and of its edited text, with likenesses, shifts and aligned likenesses.
 
     Documents are dealt by ranges of the id, descending; the first document of a
     range goes to the range before it as well, so every document meets its next
@@ -185,8 +205,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heads = d.groupBy("up").agg(F.max(F.struct(F.col("id").isNotNull().alias("has"), "id")).alias("h")).select("up", F.col("h.id").alias("head"))
     filled = sorted(r["up"] for r in heads.collect())
     if not filled:
-        return spark.createDataFrame([], f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, "
-                                         "edited_fingerprint string, near_edited double, near_next double")
+        return spark.createDataFrame([], SCHEMA.replace("doc_id string", f"{id_col} long", 1))
     lend = spark.createDataFrame([(b, filled[(i + 1) % len(filled)]) for i, b in enumerate(filled)], "up int, bucket int")
     rows_at = d.join(F.broadcast(heads.join(F.broadcast(lend), "up")), "up").where(F.col("id").eqNullSafe(F.col("head")))
     lent = (rows_at.groupBy("up", "bucket").agg(F.max_by(F.struct("id", "text", "tie"), "tie").alias("r"))
@@ -197,7 +216,5 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = (rows.repartitionByRange(parts, F.col("bucket").desc())
             .sortWithinPartitions(F.col("bucket").desc(), F.col("own").desc(), F.col("id").desc_nulls_last(), F.col("tie").desc())
             .select("bucket", "own", F.col("id").cast("string").alias("doc_id"), "text"))
-    got = rows.mapInPandas(partial(_compare, k=k, s=s, size=size),
-                           "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                           "near_edited double, near_next double")
+    got = rows.mapInPandas(partial(_compare, k=k, s=s, size=size), SCHEMA)
     return got.withColumn("doc_id", F.col("doc_id").cast("long")).withColumnRenamed("doc_id", id_col)

@@ -189,6 +189,23 @@ def test_fingerprints_of_odd_rows(spark):
     assert S.compare_with_edits(frame(spark, [])).count() == 0
 
 
+def test_long_texts_keep_all_anchors_and_match_by_place(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8)))
+    fill = lambda n: " ".join(word() for _ in range(n))
+    passage, heads = fill(50), [fill(12_000), fill(3_000)]
+    texts = [f"{h} {passage} {fill(20_000 - n)}" for h, n in zip(heads, (12_000, 3_000))]
+    for t in texts:
+        assert len(S.sketch(t)[0]) == len(np.unique(S.anchors(t)[1])) > 10_000
+    got = {r.doc_id: r for r in S.compare_with_edits(frame(spark, [(2, texts[0], "en"), (1, texts[1], "en")])).collect()}
+    d, n = S.shift(S.sketch(texts[0]), S.sketch(texts[1]))
+    assert got[2].shift_next == d == len(heads[1]) - len(heads[0]) and got[1].shift_next == -d and n > 40
+    assert got[2].aligned_next == n / (len(got[2].fingerprint.split()) + len(got[1].fingerprint.split()) - n)
+    assert got[2].shift_edited == 0 and got[2].aligned_edited > 0.3
+    turned = S.compare_with_edits(frame(spark, [(2, fill(20) + " " + passage, "en"), (1, passage + " " + fill(20), "en")])).collect()
+    assert all(0 < r.aligned_next <= r.near_next for r in turned)
+
+
 # --- language ------------------------------------------------------------------------
 def test_op10_query_held_out_accuracy(spark):
     rows = SPARK_QUERIES["op10_compression_langid"](spark, "/root/testdata/sf0.01").collect()
