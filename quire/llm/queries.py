@@ -157,3 +157,12 @@ def op10_compression_langid(spark, sf_dir):
     got = classify(docs.select("doc_id", "text"), fit(docs))
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
                       F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
+
+
+@query
+def op12_bpe(spark, sf_dir):
+    from quire.llm.bpe import decode, encode
+    both = decode(encode(table(spark, sf_dir, "documents")))
+    said = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
