@@ -27,6 +27,8 @@ import gc
 import heapq
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import chain
@@ -44,6 +46,8 @@ _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _END = "\0"                   # stands for the end-of-word suffix; no byte letter
 _NEVER = np.iinfo(np.int64).max
+if sys.byteorder != "little" or array("i").itemsize != 4:
+    raise ImportError("ids are kept as little-endian 32-bit integers")
 STRETCH = 1 << 20             # characters of a long text that are unpacked at a time
 
 
@@ -174,7 +178,7 @@ class MergeTable:
 class WordBpe:
     """The encoder of one task. ``ids`` takes texts to ids as little-endian int32 bytes."""
 
-    def __init__(self, vocabulary: str, limit: int = 400_000):
+    def __init__(self, vocabulary: str, limit: int = 600_000):
         from tokenizers import Tokenizer
         with open(vocabulary, encoding="utf-8") as f:
             spec = json.load(f)
@@ -196,9 +200,9 @@ class WordBpe:
             return t[:-len(glued)] + _END if glued and t.endswith(glued) and len(t) > len(glued) else t
 
         self.token = {inner(t): i for t, i in vocab.items() if self.table.whole[i]}
-        self.longest: dict[str, int] = {}            # by the first two letters
+        self.longest: dict[str, int] = {}            # by the first three letters
         for t in self.token:
-            self.longest[t[:2]] = max(len(t), self.longest.get(t[:2], 0))
+            self.longest[t[:3]] = max(len(t), self.longest.get(t[:3], 2))
         self.limit = limit
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -209,7 +213,7 @@ class WordBpe:
         out, at, n, get, longest = [], 0, len(word), self.token.get, self.longest.get
         loose = n - 1 if word.endswith(_END) else -1
         while at < n:
-            to = min(n, at + longest(word[at:at + 2], 1))
+            to = min(n, at + longest(word[at:at + 3], 2))
             t = None if to == loose else get(word[at:to])
             while t is None:
                 to -= 1
@@ -237,7 +241,7 @@ class WordBpe:
         at = np.concatenate([[0], np.cumsum(length)]) * 4
         raw = flat.tobytes()
         for i, (w, a, b) in enumerate(zip(words, at[:-1].tolist(), at[1:].tolist())):
-            self.words[w] = raw[a:b] if not wrong[i] else np.array(self.table.merge(self._symbols(w)), "<i4").tobytes()
+            self.words[w] = raw[a:b] if not wrong[i] else array("i", self.table.merge(self._symbols(w))).tobytes()
         self.proposed += len(words)
         self.failed += int(wrong.sum())
 
@@ -251,9 +255,9 @@ class WordBpe:
         # special tokens are cut out of the text before anything else is done with it
         if self._special and self._special.search(" ".join(new)):
             cuts = [[p for p in self._special.split(c) if p] for c in new]
+            plain = [p for parts in cuts for p in parts if p not in self.special]
         else:
-            cuts = [[c] for c in new]
-        plain = [p for parts in cuts for p in parts if p not in self.special]
+            cuts, plain = None, new
         norm = self.normalise(" ".join(plain))
         starts = np.flatnonzero(np.frombuffer(norm.encode("utf-32-le"), "<u4") == 32) if norm else np.zeros(0, int)
         pieces = self.split_words(norm) if norm else []
@@ -263,16 +267,21 @@ class WordBpe:
         fresh = [w for w in set(said) if w not in self.words]
         if fresh:
             self._learn_words(fresh)
-        got, at, k = list(map(self.words.__getitem__, said)), 0, 0
+        got = list(map(self.words.__getitem__, said))
+        spans = zip([0, *ends], ends)
+        if cuts is None:
+            for c, (a, b) in zip(new, spans):
+                self.known[c] = got[a] if b - a == 1 else b"".join(got[a:b])
+            return
         for c, parts in zip(new, cuts):
             ids = []
             for p in parts:
                 if p in self.special:
                     ids.append(self.special[p])
                 else:
-                    ids += got[at:ends[k]]
-                    at, k = ends[k], k + 1
-            self.known[c] = ids[0] if len(ids) == 1 else b"".join(ids)
+                    a, b = next(spans)
+                    ids += got[a:b]
+            self.known[c] = b"".join(ids)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian int32 ids of every text. Nothing here makes reference cycles,
@@ -314,7 +323,7 @@ def _encode(batches, vocabulary: str, limit: int):
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-           limit: int = 400_000) -> DataFrame:
+           limit: int = 600_000) -> DataFrame:
     """(doc_id, ids): the token ids of every whole text. ``limit`` bounds the chunks a task remembers."""
     ship_package(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
