@@ -166,3 +166,71 @@ def op12_bpe(spark, sf_dir):
     said = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_laesa_codes(spark, sf_dir):
+    from quire.llm.laesa import compress
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest() if books else None).alias("codebooks_sha256"))
+
+
+def _codes_sql() -> str:
+    """Codebooks of 16 parts of 4 components, unrolled: start, two rounds, codes."""
+    def assigned(book):
+        return (f"SELECT vec_id, part, any_value(p.x) AS x, min(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + entry) "
+                f"AS m FROM p JOIN {book} b USING (part) GROUP BY vec_id, part")
+
+    def moved(book, a):
+        means = ", ".join(f"CAST(floor(CAST(sum(x[{i}]) AS DOUBLE) / count(*)) AS HUGEINT)" for i in range(1, 5))
+        return (f"SELECT part, entry, coalesce(n.x, b.x) AS x FROM {book} b LEFT JOIN "
+                f"(SELECT part, CAST(m % 64 AS BIGINT) AS entry, [{means}] AS x FROM {a} GROUP BY 1, 2) n USING (part, entry)")
+
+    return f"""WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS x FROM v, range(16) AS r(part)),
+b0 AS (SELECT part, entry, x FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < 64),
+a0 AS MATERIALIZED ({assigned('b0')}), b1 AS MATERIALIZED ({moved('b0', 'a0')}),
+a1 AS MATERIALIZED ({assigned('b1')}), b2 AS MATERIALIZED ({moved('b1', 'a1')}),
+a2 AS MATERIALIZED ({assigned('b2')}),
+c AS (SELECT vec_id, string_agg(printf('%02x', CAST(m % 64 AS BIGINT)), '' ORDER BY part) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM c JOIN v USING (vec_id)"""
+
+
+ORACLES["op11_laesa_codes"] = _codes_sql()
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    from quire.llm.filter_audit import audit
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+      FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, CAST(mask AS INTEGER) AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, CAST(1 << (ascii(substring(filter_order, step, 1)) - 65) AS INTEGER) AS bit,
+             CAST(coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substring(filter_order, i, 1)) - 65))), 0) AS INTEGER) AS before
+      FROM o, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step))
+SELECT c.part, filter_order, step,
+       CAST(coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit <> 0), 0) AS BIGINT) AS shapley
+FROM c, s GROUP BY c.part, filter_order, step"""
