@@ -2,13 +2,13 @@
 
 Words are the longest runs without ASCII white space, as they stand. A task numbers
 the words of a stretch of documents for itself and writes a shard: row ends, word
-numbers and counts as arrays, and its own words in order of number. Only a shard's
-different words then travel, not the words of every document: they are dealt by a hash
-of the word into buckets, ranked inside the bucket, and rank and bucket make a number
-that is the same for a word in every shard. The numbers travel back to their shard,
-whose columns are renumbered. A shard has a limited number of words (a longer single
-text is a shard of its own), so no task holds more; a word that stands in every text
-is one row a shard.
+numbers and counts as arrays, and its own words, dealt into buckets by a hash of the
+word. Only a shard's different words then travel, a bucket of them at a time and never
+the words of every document: the task that has a bucket numbers its different words, and
+number and bucket make one that is the same for a word in every shard. The numbers
+travel back to their shard, whose columns are renumbered. A shard has a limited number of
+words (a longer single text is a shard of its own), so no task holds more; a word that
+stands in every text is one word a shard.
 
 Arrays are little-endian and compressed with zstandard: ``indptr`` 64-bit row ends
 from 0 on, ``terms`` 64-bit word numbers (32-bit before they are global), ``counts``
@@ -22,12 +22,13 @@ whatever their names; an empty table gives no shards.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import ship_package, shuffle_parts, slices, stage
@@ -38,7 +39,7 @@ _INSIDE = bytes(range(0x80, 0xC0))        # UTF-8 bytes that do not start a code
 STRETCH = 1 << 22                         # bytes of a long text that are cut into words at a time
 
 DOC = "doc_id: bigint, part: string, chars: bigint, upper: bigint, symbol: boolean, digest: binary"
-LOCAL = f"shard long, docs array<struct<{DOC}>>, indptr binary, terms binary, counts binary, words array<binary>"
+LOCAL = f"shard long, docs array<struct<{DOC}>>, indptr binary, terms binary, counts binary, words array<binary>"      # words of bucket 0, 1, ..., joined by line breaks
 SHARD = f"shard long, docs array<struct<{DOC}>>, indptr binary, terms binary, counts binary"
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("chars", pa.int64()), ("upper", pa.int64()),
                             ("symbol", pa.bool_()), ("digest", pa.binary())]))
@@ -81,17 +82,24 @@ def _facts(raw: bytes, symbols: bytes) -> tuple[int, int, bool, bytes]:
             len(raw.translate(None, symbols)) < len(raw), hashlib.sha256(raw).digest())
 
 
-def _build(batches, max_words: int, symbols: bytes):
+def _build(batches, max_words: int, symbols: bytes, buckets: int):
     task, seq = TaskContext.get().partitionId(), 0
     local, docs, rows, counts, size = _Numbers(), [], [], [], 0
 
     def shard():
-        ends = np.cumsum([0] + [len(r) for r in rows], dtype="<i8")
-        terms = np.concatenate(rows) if rows else np.zeros(0, "<i4")
-        many = np.concatenate(counts) if counts else np.zeros(0, "<i4")
-        return pa.record_batch([pa.array([(task << 32) + seq], pa.int64()), pa.array([docs], _DOCS), pa.array([_squeeze(ends)], pa.binary()),
-                                pa.array([_squeeze(terms)], pa.binary()), pa.array([_squeeze(many)], pa.binary()),
-                                pa.array([list(local)], pa.list_(pa.binary()))], ["shard", "docs", "indptr", "terms", "counts", "words"])
+        words = list(local)
+        of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        order = np.argsort(of, kind="stable")
+        number = np.empty(len(words), "<i4")
+        number[order] = np.arange(len(words), dtype="<i4")            # a word's place among the buckets' words
+        ends = np.searchsorted(of[order], np.arange(buckets), "right").tolist()
+        dealt = [words[i] for i in order.tolist()]
+        joined = [b"\n".join(dealt[a:b]) for a, b in zip([0, *ends], ends)]
+        terms = number[np.concatenate(rows)]
+        last = np.cumsum([0] + [len(r) for r in rows], dtype="<i8")
+        return pa.record_batch([pa.array([(task << 32) + seq], pa.int64()), pa.array([docs], _DOCS), pa.array([_squeeze(last)], pa.binary()),
+                                pa.array([_squeeze(terms)], pa.binary()), pa.array([_squeeze(np.concatenate(counts))], pa.binary()),
+                                pa.array([joined], pa.list_(pa.binary()))], ["shard", "docs", "indptr", "terms", "counts", "words"])
 
     for batch in slices(batches, 64):
         for doc, part, raw in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("text").to_pylist()):
@@ -110,31 +118,39 @@ def _build(batches, max_words: int, symbols: bytes):
         yield shard()
 
 
-def _renumber(batches):
-    """Rows sorted by shard: its words' global numbers in order of local number, then the shard."""
+def _number(batches, buckets: int, words: bool):
+    """Rows sorted by bucket: numbers for its different words in order of appearance, for
+    every shard in the order of its words - or, with ``words``, the words themselves once."""
+    bucket, known = None, _Numbers()
+    for batch in batches:
+        out = []
+        for shard, b, raw in zip(*[batch.column(c).to_pylist() for c in ("shard", "bucket", "words")]):
+            if b != bucket:
+                bucket, known = b, _Numbers()
+            before, said = len(known), raw.split(b"\n")
+            number = np.fromiter(map(known.__getitem__, said), np.int64, len(said))
+            if words:
+                out += [(n * buckets + b, w) for n, w in zip(number.tolist(), said) if n >= before]
+            else:
+                out.append((shard, b, _squeeze(number.astype("<i4"))))
+        names = [("term", pa.int64()), ("word", pa.binary())] if words else [("shard", pa.int64()), ("bucket", pa.int32()), ("numbers", pa.binary())]
+        yield pa.record_batch([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(names)], [n for n, _ in names])
+
+
+def _renumber(batches, buckets: int):
+    """Rows sorted by shard and bucket: its words' numbers, then the shard (behind the last bucket)."""
     held: list[np.ndarray] = []
     for batch in batches:
-        kind = batch.column("kind").to_numpy()
-        at = 0
-        for stop in [*np.flatnonzero(kind == 1).tolist(), len(kind)]:
-            held.append(batch.column("term").slice(at, stop - at).to_numpy(zero_copy_only=False).astype("<i8"))
-            if stop < len(kind):
-                number = np.concatenate(held)
-                held = []
-                row = batch.slice(stop, 1)
-                terms = number[unsqueeze(row.column("terms")[0].as_py(), "<i4")]
-                yield pa.record_batch([row.column("shard"), row.column("docs"), row.column("indptr"), pa.array([_squeeze(terms)], pa.binary()),
-                                       row.column("counts")], ["shard", "docs", "indptr", "terms", "counts"])
-            at = stop + 1
-
-
-def _numbered(local: DataFrame) -> DataFrame:
-    """(shard, at, word, term): a number for every word, the same in every shard."""
-    buckets = 4 * shuffle_parts(local.sparkSession)
-    pairs = local.select("shard", F.posexplode("words").alias("at", "word"))
-    dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
-    return dealt.select("shard", "at", "word", ((rank.cast("long") - 1) * buckets + F.col("bucket")).alias("term"))
+        for i, (bucket, raw) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("numbers").to_pylist())):
+            if bucket < buckets:
+                held.append(unsqueeze(raw, "<i4").astype("<i8") * buckets + bucket)
+                continue
+            row = batch.slice(i, 1)
+            number = np.concatenate([np.zeros(0, "<i8"), *held])
+            held = []
+            terms = number[unsqueeze(row.column("terms")[0].as_py(), "<i4")]
+            yield pa.record_batch([row.column("shard"), row.column("docs"), row.column("indptr"), pa.array([_squeeze(terms)], pa.binary()),
+                                   row.column("counts")], ["shard", "docs", "indptr", "terms", "counts"])
 
 
 def term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
@@ -146,15 +162,17 @@ def term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship_package(spark)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(part_col).cast("string").alias("part"),
                     F.col(text_col).cast("string").cast("binary").alias("text"))
-    local = stage(d.mapInArrow(partial(_build, max_words=max_words, symbols=symbols.encode("ascii")), LOCAL), "local_shards")
-    numbered = _numbered(local)
-    none = {c: F.lit(None).cast(t) for c, t in (f.split(" ", 1) for f in ("indptr binary", "terms binary", "counts binary"))}
-    words = numbered.select("shard", F.lit(0).alias("kind"), "at", "term", F.lit(None).cast(f"array<struct<{DOC}>>").alias("docs"),
-                            *[c.alias(k) for k, c in none.items()])
-    shards = local.select("shard", F.lit(1).alias("kind"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("term"), "docs", *none)
-    met = words.unionByName(shards).repartition(shuffle_parts(spark), "shard").sortWithinPartitions("shard", "kind", "at")
-    out = stage(met.mapInArrow(_renumber, SHARD), "term_matrix")
-    return out, numbered.groupBy("term").agg(F.min(F.col("word").cast("string")).alias("word"))
+    parts = shuffle_parts(spark)
+    buckets = 4 * parts
+    local = stage(d.mapInArrow(partial(_build, max_words=max_words, symbols=symbols.encode("ascii"), buckets=buckets), LOCAL), "local_shards")
+    words = (local.select("shard", F.posexplode("words").alias("bucket", "words")).where(F.length("words") > 0)
+             .repartition(parts, "bucket").sortWithinPartitions("bucket", "shard"))
+    numbers = words.mapInArrow(partial(_number, buckets=buckets, words=False), "shard long, bucket int, numbers binary")
+    shards = local.select("shard", F.lit(buckets).alias("bucket"), F.lit(None).cast("binary").alias("numbers"), "docs", "indptr", "terms", "counts")
+    met = shards.unionByName(numbers, allowMissingColumns=True).repartition(parts, "shard").sortWithinPartitions("shard", "bucket")
+    out = stage(met.mapInArrow(partial(_renumber, buckets=buckets), SHARD), "term_matrix")
+    dictionary = words.mapInArrow(partial(_number, buckets=buckets, words=True), "term long, word binary")
+    return out, dictionary.select("term", F.col("word").cast("string").alias("word"))
 
 
 def _totals(batches):
