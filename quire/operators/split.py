@@ -2,10 +2,11 @@
 
 The shuffle order is ``split_rank = sha256("{seed}:{content_hash}")``: a total
 order that depends on content and seed only. The key at a position is found
-without a global sort: hex-prefix bucket counts (at most 16**4 groups,
-map-side combined) locate the bucket holding it, and that bucket is refined by
-the next prefix until the prefix is the key. Each pass is one narrow
-aggregation over a single column, and at most 16**4 counts reach the driver.
+without a global sort: hex-prefix buckets (at most 16**4 groups a wanted key,
+map-side combined) carry their count, smallest and largest key. A position that
+is the first or last of its bucket, or whose bucket holds one key, is found; the
+buckets of all others are refined together by the next prefix. Each level is one
+narrow aggregation over a single column for all positions at once.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql.window import Window
 from quire.functions.text import seeded_rank
 
 PREFIX_WIDTH = 4          # hex characters per refinement level (65,536 buckets)
-KEY_WIDTH = 64            # hex characters of a whole key
 
 
 def split_sizes(n: int, holdout: int, size: int) -> tuple[int, int]:
@@ -30,59 +30,81 @@ def split_sizes(n: int, holdout: int, size: int) -> tuple[int, int]:
     return eval_n, train_n
 
 
-def bucket_counts(df: DataFrame, key: str, prefix: str = "", width: int = PREFIX_WIDTH) -> list[tuple[str, int]]:
-    """Counts per next-level hex prefix below ``prefix`` (<= 16**width rows)."""
-    sub = df if not prefix else df.filter(F.col(key).startswith(prefix))
-    plen = len(prefix) + width
-    rows = sub.groupBy(F.substring(key, 1, plen).alias("b")).count().collect()
-    return sorted((r["b"], r["count"]) for r in rows)
+def bucket_stats(df: DataFrame, key: str, prefixes: list[str], width: int = PREFIX_WIDTH) -> list[tuple[str, int, str, str]]:
+    """(bucket, rows, smallest key, largest key) in order, for the next-level hex
+    buckets below ``prefixes`` (all of one length): one aggregation, at most
+    ``16**width`` rows a prefix."""
+    plen = len(prefixes[0]) + width
+    sub = df
+    if prefixes[0]:
+        below = F.lit(False)
+        for p in prefixes:
+            below = below | F.col(key).startswith(p)
+        sub = df.filter(below)
+    rows = sub.groupBy(F.substring(key, 1, plen).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+    return sorted((r["b"], r["n"], r["lo"], r["hi"]) for r in rows if r["b"] is not None)
 
 
 def keys_at_positions(df: DataFrame, key: str, positions, width: int = PREFIX_WIDTH,
-                      top_counts: list[tuple[str, int]] | None = None) -> dict[int, str | None]:
+                      top: list[tuple[str, int, str, str]] | None = None) -> dict[int, str | None]:
     """The key at each 1-based position of the ascending order of ``key``.
 
-    ``key`` is hex of at most ``KEY_WIDTH`` characters and may repeat. Exact;
-    the driver never holds more than ``16**width`` bucket counts.
+    ``key`` is hex and may repeat; rows without a key have no position. Exact;
+    the driver never holds more than ``16**width`` buckets a position. ``top``
+    are the buckets of the whole table where they are known already.
     """
     wanted = sorted({int(p) for p in positions if p and p >= 1})
     result: dict[int, str | None] = {p: None for p in wanted}
     pending = [("", 0, wanted)] if wanted else []
     while pending:
-        prefix, offset, poss = pending.pop()
-        cum = offset
-        counts = top_counts if (not prefix and top_counts is not None) else bucket_counts(df, key, prefix, width)
-        for b, c in counts:
-            inside = [p for p in poss if cum < p <= cum + c]
-            if inside and (len(b) >= KEY_WIDTH or b == prefix):       # the whole key: all rows of the bucket share it
-                result.update({p: b for p in inside})
-            elif inside:
-                pending.append((b, cum, inside))
-            cum += c
+        prefixes = [p for p, _, _ in pending]
+        stats = top if prefixes == [""] and top is not None else bucket_stats(df, key, prefixes, width)
+        deeper = []
+        for prefix, before, poss in pending:
+            for b, n, lo, hi in stats:
+                if not b.startswith(prefix):
+                    continue
+                inside = [p for p in poss if before < p <= before + n]
+                result.update({p: lo for p in inside if p == before + 1 or lo == hi})
+                result.update({p: hi for p in inside if p == before + n})
+                left = [p for p in inside if result[p] is None]
+                if left:
+                    deeper.append((b, before, left))
+                before += n
+        pending = deeper
     return result
 
 
-def cut_split(df: DataFrame, holdout: int, size: int, key: str = "split_rank",
-              n: int | None = None) -> tuple[DataFrame, dict]:
-    """D3 + D4: label rows ``eval`` (first ``eval_n`` keys) and ``train``
-    (next ``train_n`` keys); the rest is dropped. Returns the labelled frame
-    and the sizes/cut keys. The frame is a plain range filter
-    ``key <= last cut`` (pushed to the parquet scan) plus a label."""
-    top = bucket_counts(df, key)
-    n = sum(c for _, c in top) if n is None else n
+def find_cut(df: DataFrame, holdout: int, size: int, key: str = "split_rank") -> dict:
+    """D3 + D4: the number of keys, the sizes of both sides and the last key of each
+    (``None`` for an empty side), from one pass over the keys and the refinement
+    of the two positions."""
+    top = bucket_stats(df, key, [""])
+    n = sum(b[1] for b in top)
     eval_n, train_n = split_sizes(n, holdout, size)
-    cuts = keys_at_positions(df, key, [eval_n, eval_n + train_n], top_counts=top)
-    cut1 = cuts.get(eval_n) if eval_n > 0 else None
-    cut2 = cuts.get(eval_n + train_n) if train_n > 0 else None
-    k = F.col(key)
+    cuts = keys_at_positions(df, key, [eval_n, eval_n + train_n], top=top)
+    return {"n": n, "eval_n": eval_n, "train_n": train_n, "cut_eval": cuts.get(eval_n) if eval_n else None,
+            "cut_train": cuts.get(eval_n + train_n) if train_n else None}
+
+
+def label_split(df: DataFrame, info: dict, key: str = "split_rank") -> DataFrame:
+    """The rows up to the last key of :func:`find_cut`, labelled ``eval`` or ``train``:
+    a plain range filter (pushed to the parquet scan) and a comparison."""
+    cut1, cut2 = info["cut_eval"], info["cut_train"]
     last = cut2 if cut2 is not None else cut1
     if last is None:
-        out = df.filter(F.lit(False)).withColumn("split", F.lit(None).cast("string"))
-    else:
-        label = F.lit("train") if cut1 is None else F.when(k <= F.lit(cut1), F.lit("eval")).otherwise(F.lit("train"))
-        out = df.filter(k <= F.lit(last)).withColumn("split", label)
-    info = {"n": n, "eval_n": eval_n, "train_n": train_n, "cut_eval": cut1, "cut_train": cut2}
-    return out, info
+        return df.filter(F.lit(False)).withColumn("split", F.lit(None).cast("string"))
+    k = F.col(key)
+    label = F.lit("train") if cut1 is None else F.when(k <= F.lit(cut1), F.lit("eval")).otherwise(F.lit("train"))
+    return df.filter(k <= F.lit(last)).withColumn("split", label)
+
+
+def cut_split(df: DataFrame, holdout: int, size: int, key: str = "split_rank") -> tuple[DataFrame, dict]:
+    """D3 + D4: label rows ``eval`` (first ``eval_n`` keys) and ``train``
+    (next ``train_n`` keys); the rest is dropped. Returns the labelled frame
+    and the sizes and cut keys."""
+    info = find_cut(df, holdout, size, key)
+    return label_split(df, info, key), info
 
 
 def order_columns(df: DataFrame, key: str = "split_rank", tie: str = "content_hash") -> list[str]:
