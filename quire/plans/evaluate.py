@@ -12,7 +12,7 @@ from quire.functions.templates import split_prompt_reference
 from quire.operators.generate import batch_generate
 from quire.operators.scoring import compare_systems, score_predictions, throughput
 from quire.operators.split import take_first
-from quire.session import stage
+from quire.session import stage, staging
 
 
 def prompt_reference_frame(eval_df: DataFrame, id_col: str = "row_id", text_col: str = "text") -> DataFrame:
@@ -43,6 +43,15 @@ def evaluate(spark: SparkSession, eval_df: DataFrame, systems: dict, max_eval_sa
     """Metrics dict like the reference's: sample count, per-system BLEU and
     ROUGE-L, deltas and generation seconds. ``eval_df`` holds
     ``(row_id, text, split_rank)`` rows of the eval split."""
+    with staging(spark):
+        metrics = _measure(eval_df, systems, max_eval_samples, max_new_tokens, seconds_fn, base, tuned)
+    if out_path:
+        from quire.sources.store import write_text
+        write_text(spark, out_path, json.dumps(metrics, indent=2))
+    return metrics
+
+
+def _measure(eval_df, systems, max_eval_samples, max_new_tokens, seconds_fn, base, tuned) -> dict:
     if max_eval_samples:
         eval_df = take_first(eval_df, max_eval_samples)
     ex = prompt_reference_frame(eval_df)
@@ -50,14 +59,11 @@ def evaluate(spark: SparkSession, eval_df: DataFrame, systems: dict, max_eval_sa
     scores = score_predictions(preds, ex, sorted(systems), check=True)
     cmp = compare_systems(scores, base, tuned).first().asDict()
     th = {r["system"]: r["seconds"] for r in throughput(preds).collect()}
-    metrics = {
+    # --- fixed values: the metrics' field names
+    return {
         "num_eval_samples": int(cmp["num_eval_samples"] or 0),
         "base": {"bleu": cmp["base_bleu"], "rouge_l": cmp["base_rouge_l"]},
         "fine_tuned": {"bleu": cmp["tuned_bleu"], "rouge_l": cmp["tuned_rouge_l"]},
         "delta": {"bleu": cmp["delta_bleu"], "rouge_l": cmp["delta_rouge_l"]},
         "generation_seconds": {"base": th.get(base), "fine_tuned": th.get(tuned)},
     }
-    if out_path:
-        from quire.sources.store import write_text
-        write_text(spark, out_path, json.dumps(metrics, indent=2))
-    return metrics

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,9 +68,57 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCOPES: contextvars.ContextVar[tuple] = contextvars.ContextVar("quire-staging", default=())
+
+
+class staging:
+    """A scope that owns what is staged in it: every scratch path made inside is
+    removed when the scope ends, with or without an error. Results are written
+    inside the scope, to paths made outside it (or given to :meth:`keep`)::
+
+        with staging(spark):
+            query(spark, sf_dir).write.parquet(out)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "staging":
+        self._token = _SCOPES.set((*_SCOPES.get(), self))
+        return self
+
+    def keep(self, path: str) -> None:
+        """Hand a path over to the scope around this one (to nobody, if there is none)."""
+        if path in self.paths:
+            self.paths.remove(path)
+            around = _SCOPES.get()[:-1]
+            if around:
+                around[-1].paths.append(path)
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.reset(self._token)
+        for path in self.paths:
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_result(spark: SparkSession, query: Callable[[], DataFrame], path: str, fmt: str = "parquet") -> None:
+    """Write what ``query`` returns to ``path`` and remove all it staged on the way."""
+    with staging(spark):
+        query().write.format(fmt).save(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/quire/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, owned by the
+    innermost :class:`staging` scope."""
+    path = f"{checkpoint_root(spark)}/quire/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES.get():
+        _SCOPES.get()[-1].paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -93,8 +143,14 @@ def unstage(df: DataFrame) -> None:
     inner = root.split(":", 1)[-1].lstrip("/")
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if folder.split(":", 1)[-1].lstrip("/").startswith(inner):
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, folder)
+
+
+def size_in_bytes(setting: str) -> int:
+    """A size as settings spell it: ``10485760``, ``10485760b``, ``256k``, ``10MB``, ``-1``."""
+    text = setting.strip().lower().removesuffix("b")
+    unit = " kmgt".find(text[-1:]) if text[-1:] in "kmgt" else 0
+    return int(text.rstrip("kmgt")) << (10 * unit)
 
 
 _SHIPPED: set = set()
