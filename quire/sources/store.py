@@ -14,11 +14,22 @@ instead of overwriting in place.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import uuid
+from functools import partial
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from quire.session import ship_package
+
+COPY_BLOCK = 8 << 20        # bytes a copying task holds
+COPY_TASKS = 1000           # files are dealt to at most so many copying tasks
 
 MANIFEST = "manifest.json"  # not "_"-prefixed: Spark skips such files on read
 
@@ -35,11 +46,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def file_status(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(bytes, modification time) of a file."""
-    fs, p = _fs(spark, path)
-    s = fs.getFileStatus(p)
-    return int(s.getLen()), int(s.getModificationTime())
+def listing(spark: SparkSession, folders: list[str], glob: str | None = None) -> DataFrame:
+    """(path, length, modificationTime) of every file below ``folders``. The engine
+    lists many folders in tasks; contents are never read."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(folders).select("path", "length", "modificationTime")
+
+
+def _plain(path: str) -> str:
+    """One spelling of a path: decoded, ``file:`` with one slash."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
+def files_digest(spark: SparkSession, files: list[str]) -> str:
+    """Identity of a set of files: paths, lengths and times folded into one row by
+    the listing of their folders. Where names in the listing differ from those given,
+    everything in the folders counts."""
+    seen = listing(spark, sorted({unquote(f).rsplit("/", 1)[0] for f in files}))
+    mine = spark.createDataFrame([(_plain(f),) for f in set(files)], "path string")
+    fold = [F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")),
+            F.bit_xor(F.xxhash64(F.lit(1), "modificationTime", "length", "path"))]
+    got = seen.join(mine, "path", "left_semi").agg(*fold).first()
+    if got[0] != len(set(files)):
+        got = seen.agg(*fold).first()
+    return hashlib.sha256(json.dumps([str(x) for x in got]).encode()).hexdigest()
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
@@ -96,8 +128,8 @@ def publish_splits(splits: DataFrame, manifest_fn, base: str) -> tuple[str, dict
     vs = _versions(spark, base)
     vdir = f"{base}/v{(vs[-1] + 1) if vs else 1}"
     splits.write.mode("error").partitionBy("split").parquet(f"{vdir}/data")
-    published = spark.read.parquet(f"{vdir}/data")
-    manifest = manifest_fn(published)
+    published = spark.read.schema(splits.schema).parquet(f"{vdir}/data")      # a split without rows has no files
+    manifest = {**manifest_fn(published), "schema": json.loads(splits.schema.json())}
     write_text(spark, f"{vdir}/{MANIFEST}", json.dumps(manifest, indent=2))
     return vdir, manifest
 
@@ -109,7 +141,8 @@ def read_manifest(spark: SparkSession, vdir: str) -> dict:
 def load_split_data(spark: SparkSession, vdir: str) -> tuple[DataFrame, DataFrame]:
     """(train, eval) of a published version; partition pruning keeps
     each side's scan to its own directory."""
-    d = spark.read.parquet(f"{vdir}/data")
+    schema = read_manifest(spark, vdir).get("schema")
+    d = (spark.read.schema(StructType.fromJson(schema)) if schema else spark.read).parquet(f"{vdir}/data")
     return d.filter(F.col("split") == "train"), d.filter(F.col("split") == "eval")
 
 
@@ -121,30 +154,88 @@ def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 # --- snapshots (S8, S9) ----------------------------------------------------
+def _file_system(path: str):
+    """The file system of a path for the use of a task, and the path in it."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def _copy(batches, target: str):
+    """Files byte by byte: under a name of the attempt first (hidden from readers), its
+    length checked, then renamed. A repeated task writes the same files again."""
+    from pyarrow import fs
+    for rows in batches:
+        done = []
+        for path, length, inner in zip(rows["path"], rows["length"], rows["inner"]):
+            src, a = _file_system(path)
+            dst, b = _file_system(f"{target}/{inner}")
+            folder, name = b.rsplit("/", 1)
+            part = f"{folder}/.{name}.{uuid.uuid4().hex[:12]}"
+            dst.create_dir(folder, recursive=True)
+            n = 0
+            with src.open_input_stream(a, compression=None) as i, dst.open_output_stream(part, compression=None) as o:
+                while block := i.read(COPY_BLOCK):
+                    n += o.write(block)
+            if n != length or dst.get_file_info(part).size != length:
+                raise IOError(f"{path}: {n} of {length} bytes copied")
+            if dst.get_file_info(b).type != fs.FileType.NotFound:
+                dst.delete_file(b)
+            dst.move(part, b)
+            done.append((inner, n))
+        yield pd.DataFrame(done, columns=["inner", "bytes"])
+
+
+def copy_files(spark: SparkSession, source: str, target: str) -> int:
+    """Every data file below ``source`` to the same place below ``target``, as it is,
+    by tasks; the number of files. What was below ``target`` is removed first."""
+    ship_package(spark)
+    fs, p = _fs(spark, source)
+    root = fs.makeQualified(p).toString()
+    tfs, t = _fs(spark, target)
+    tfs.delete(t, True)
+    tfs.mkdirs(t)
+    target = tfs.makeQualified(t).toString()
+    files = listing(spark, [root]).select("path", "length", F.expr(f"substring(path, {len(root) + 2})").alias("inner"))
+    n, total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    if n:
+        parts = max(1, min(n, COPY_TASKS))
+        got = (files.repartition(parts).mapInPandas(partial(_copy, target=target), "inner string, bytes long")
+               .agg(F.count(F.lit(1)), F.sum("bytes")).first())
+        if tuple(got) != (n, total):
+            raise IOError(f"{got[0]} files, {got[1]} bytes copied of {n} files, {total} bytes")
+    return n
+
+
+def _copy_published(spark: SparkSession, source: str, target: str) -> None:
+    """The data files, then the manifest, which makes the copy count."""
+    copy_files(spark, f"{source}/data", f"{target}/data")
+    write_text(spark, f"{target}/{MANIFEST}", read_text(spark, f"{source}/{MANIFEST}"))
+
+
 def snapshot(spark: SparkSession, vdir: str, dest_root: str, number: int) -> str | None:
-    """Copy a published version to ``dest_root/snapshot=<number>``.
+    """Copy a published version, file by file, to ``dest_root/snapshot=<number>``.
 
     No-op without a manifest. A number that already holds a complete snapshot
-    raises; what an interrupted copy left is written over. The manifest is
-    copied last and is the commit, so nothing needs to be renamed.
+    raises; what an interrupted copy left is removed. The manifest is
+    copied last and is the commit.
     """
     if not exists(spark, f"{vdir}/{MANIFEST}"):
         return None
     target = f"{dest_root}/snapshot={int(number)}"
     if exists(spark, f"{target}/{MANIFEST}"):
         raise FileExistsError(f"{target} is a complete snapshot")
-    spark.read.parquet(f"{vdir}/data").write.mode("overwrite").partitionBy("split").parquet(f"{target}/data")
-    write_text(spark, f"{target}/{MANIFEST}", read_text(spark, f"{vdir}/{MANIFEST}"))
+    _copy_published(spark, vdir, target)
     return target
 
 
 def restore(spark: SparkSession, snapshot_dir: str, vdir: str) -> bool:
-    """Bring a snapshot back; no-op when the target already has a
+    """Bring a snapshot back, file by file; no-op when the target already has a
     manifest or the snapshot is missing/incomplete."""
     if exists(spark, f"{vdir}/{MANIFEST}") or not exists(spark, f"{snapshot_dir}/{MANIFEST}"):
         return False
-    spark.read.parquet(f"{snapshot_dir}/data").write.mode("overwrite").partitionBy("split").parquet(f"{vdir}/data")
-    write_text(spark, f"{vdir}/{MANIFEST}", read_text(spark, f"{snapshot_dir}/{MANIFEST}"))
+    _copy_published(spark, snapshot_dir, vdir)
     return True
 
 
@@ -176,10 +267,7 @@ def size_report(spark: SparkSession, path: str, glob: str | None = None) -> Data
     """Recursive byte total of a folder: ``files, bytes, mb`` (MB = bytes /
     2**20 rounded to 2). The binaryFile scan reads only the ``length``
     column, never the file contents."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    files = r.load(path).select("length")
+    files = listing(spark, [path], glob)
     return files.agg(F.count(F.lit(1)).alias("files"),
                      F.sum("length").cast("long").alias("bytes")) \
                 .withColumn("mb", F.round(F.col("bytes") / F.lit(1 << 20), 2))
