@@ -8,18 +8,20 @@ import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.templates import split_prompt_reference
 from quire.functions.text import content_hash, seeded_rank
 from quire.operators.audit import manifest_counts
-from quire.operators.dedupe import dedupe_keep_first
+from quire.operators.dedupe import first_rows, rows_of, with_pick
 from quire.operators.render import drop_blank, render, with_content_hash
-from quire.operators.split import cut_split, keys_at_positions, split_sizes
-from quire.session import stage, unstage
+from quire.operators.split import find_cut, label_split
+from quire.session import size_in_bytes, stage, staging, unstage
 from quire.sources import store
 
+KEY_ROW_BYTES = 400              # a row of keys (two hashes, order, counts) in a hash table, generously
+
 
 @dataclass(frozen=True)
 class PrepConfig:
@@ -61,64 +63,71 @@ def source_identity(instr: DataFrame, cfg: PrepConfig) -> str:
     for a frame that reads no files, the caller's ``dataset_id``."""
     spark = instr.sparkSession
     case = spark.conf.get("spark.sql.icu.caseMappings.enabled", "true")
-    files = sorted(instr.inputFiles())
+    files = instr.inputFiles()
     if not files and not cfg.dataset_id:
         raise ValueError("a frame that reads no files needs a dataset_id to be cached under")
-    seen = [(f, *store.file_status(spark, f)) for f in files]
+    seen = store.files_digest(spark, files) if files else ""
     return hashlib.sha256(json.dumps([seen, case]).encode()).hexdigest()
 
 
+def _hashed(instr: DataFrame, cfg: PrepConfig, order_cols) -> DataFrame:
+    """Rendered rows with their content hash, blank ones dropped."""
+    return with_pick(with_content_hash(drop_blank(render(instr, cfg.template, keep=tuple(order_cols)))), ["text"])
+
+
 def dedupe_stage(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> DataFrame:
-    """Render, drop blank, hash, keep first, add ``split_rank``; staged to
-    parquet under the shared checkpoint folder so the cut passes scan one
-    narrow column and recovery restarts from the staged files.
-
-    Each staged file is sorted by ``split_rank`` (a local sort after the
-    dedupe exchange, no extra shuffle): row-group min/max statistics then
-    let the ``split_rank <= cut`` filters skip everything past the cut."""
-    rendered = render(instr, cfg.template, keep=tuple(order_cols))
-    hashed = with_content_hash(drop_blank(rendered))
+    """The first row of every text by its keys alone: order columns, ``content_hash``,
+    ``n_copies``, ``split_rank`` (and ``prompt_hash`` where it makes the rank), staged
+    under the shared checkpoint folder. No text is moved or written.
+
+    Each staged file is sorted by ``split_rank``: row-group statistics then let the
+    ``split_rank <= cut`` filters skip everything past the cut."""
+    order_cols = list(order_cols)
+    rows = _hashed(instr, cfg, order_cols)
     if cfg.split_key == "prompt":
-        deduped = dedupe_keep_first(hashed, "content_hash", order_cols)
-        deduped = deduped.withColumn(
-            "prompt_hash", content_hash(split_prompt_reference("text")["prompt"]))
-        ranked = deduped.withColumn("split_rank", seeded_rank(cfg.seed, "prompt_hash"))
-        return stage(ranked.sortWithinPartitions("split_rank"), "dedupe")
-    # split_rank = sha256(seed:hash) is a bijection of content_hash, so grouping
-    # by it is the same dedupe; the aggregation's output is then already sorted
-    # by split_rank and the staged files need no second sort of the wide rows
-    ranked = hashed.withColumn("split_rank", seeded_rank(cfg.seed, "content_hash"))
-    deduped = dedupe_keep_first(ranked, "split_rank", order_cols)
-    return stage(deduped.sortWithinPartitions("split_rank"), "dedupe")
+        rows = rows.withColumn("prompt_hash", content_hash(split_prompt_reference("text")["prompt"]))
+    rows = rows.drop("text")
+    first = first_rows(rows, "content_hash", order_cols)
+    if cfg.split_key == "prompt":
+        first = rows_of(rows, first, "content_hash", order_cols)
+    ranked = first.withColumn("split_rank", seeded_rank(cfg.seed, "prompt_hash" if cfg.split_key == "prompt" else "content_hash"))
+    return stage(ranked.sortWithinPartitions("split_rank"), "dedupe")
 
 
 def cut(staged: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, dict]:
-    """Exact eval/train cut on the staged table."""
-    if cfg.split_key != "prompt":
-        return cut_split(staged, cfg.eval_holdout_size, cfg.subsample_size)
-    # prompts repeat: cut on distinct prompts (staged once); sizes are prompt counts
-    keys = stage(staged.select("split_rank").distinct(), "prompt-keys")
-    n = keys.count()
-    eval_n, train_n = split_sizes(n, cfg.eval_holdout_size, cfg.subsample_size)
-    cuts = keys_at_positions(keys, "split_rank", [eval_n, eval_n + train_n])
-    c1 = cuts.get(eval_n) if eval_n else None
-    c2 = cuts.get(eval_n + train_n) if train_n else None
-    k = F.col("split_rank")
-    last = c2 if c2 is not None else c1
-    if last is None:
-        out = staged.filter(F.lit(False)).withColumn("split", F.lit(None).cast("string"))
-    else:
-        label = F.lit("train") if c1 is None else F.when(k <= c1, "eval").otherwise("train")
-        out = staged.filter(k <= last).withColumn("split", label)
-    return out, {"n": n, "eval_n": eval_n, "train_n": train_n, "cut_eval": c1, "cut_train": c2}
+    """Exact eval/train cut on the staged table; with prompts, which repeat, on the
+    distinct prompts (staged once), so sizes are prompt counts."""
+    keys = staged
+    if cfg.split_key == "prompt":
+        keys = stage(staged.select("split_rank").distinct(), "prompt-keys")
+    info = find_cut(keys, cfg.eval_holdout_size, cfg.subsample_size)
+    if keys is not staged:
+        unstage(keys)
+    return label_split(staged, info), info
 
 
-def build_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> tuple[DataFrame, DataFrame, dict]:
+def plan_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> tuple[DataFrame, DataFrame, dict]:
+    """(splits, staged, info) by keys alone: who is in which split, without texts."""
     staged = dedupe_stage(instr, cfg, order_cols)
     splits, info = cut(staged, cfg)
     return splits, staged, info
 
 
+def with_text(instr: DataFrame, splits: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> DataFrame:
+    """The rows of :func:`plan_splits` with their texts: those rows of the source are
+    rendered again, all others are left where they are. The keys of a split that the
+    engine's broadcast limit holds are broadcast, so no text is shuffled; more are
+    hashed partition by partition."""
+    n = splits.count()
+    small = n * KEY_ROW_BYTES <= size_in_bytes(instr.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return rows_of(_hashed(instr, cfg, order_cols), splits, "content_hash", list(order_cols), small)
+
+
+def build_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> tuple[DataFrame, DataFrame, dict]:
+    splits, staged, info = plan_splits(instr, cfg, order_cols)
+    return with_text(instr, splits, cfg, order_cols), staged, info
+
+
 def prepare_dataset(spark: SparkSession, instr: DataFrame, root: str, cfg: PrepConfig | None = None,
                     force: bool = False, order_cols=("row_id",)) -> dict:
     """Idempotent prepare: returns the manifest; a complete cached version
@@ -132,21 +141,26 @@ def prepare_dataset(spark: SparkSession, instr: DataFrame, root: str, cfg: PrepC
             m = store.read_manifest(spark, v)
             m["cache_hit"] = True
             return m
-    splits, staged, info = build_splits(instr, cfg, order_cols)
-    out_cols = [c for c in ("row_id", "text", "content_hash", "split_rank", "n_copies", "split") if c in splits.columns]
-
-    def manifest_fn(published: DataFrame) -> dict:
-        counts = manifest_counts(staged, published)
-        if counts["disjointness"]["intersection"]:
-            raise AssertionError(f"train/eval overlap: {counts['disjointness']['intersection']}")
-        return {"dataset_id": cfg.dataset_id, "domain": cfg.domain,
-                "model_for_template": cfg.model_for_template or cfg.template,
-                "smoke_test": cfg.smoke_test, "seed": cfg.seed,
-                "fingerprint": mark, "input_rows": int(instr.count()),
-                **counts, "cache_hit": False}
-
-    vdir, manifest = store.publish_splits(splits.select(*out_cols), manifest_fn, base)
-    unstage(staged)              # what was published does not read it
+    with staging(spark):              # what was published reads nothing of it
+        source = Observation("source")            # counted by the pass that finds the winners
+        splits, staged, _ = plan_splits(instr.observe(source, F.count(F.lit(1)).alias("input_rows")), cfg, order_cols)
+        # nothing kept: a frame known to be empty is not run at all and observes nothing
+        input_rows = int(instr.count() if staged.isEmpty() else source.get["input_rows"])
+        splits = with_text(instr, splits, cfg, order_cols)
+        out_cols = [c for c in ("row_id", "text", "content_hash", "split_rank", "n_copies", "split") if c in splits.columns]
+
+        def manifest_fn(published: DataFrame) -> dict:
+            counts = manifest_counts(staged, published)
+            if counts["disjointness"]["intersection"]:
+                raise AssertionError(f"train/eval overlap: {counts['disjointness']['intersection']}")
+            # --- fixed values: the manifest's field names
+            return {"dataset_id": cfg.dataset_id, "domain": cfg.domain,
+                    "model_for_template": cfg.model_for_template or cfg.template,
+                    "smoke_test": cfg.smoke_test, "seed": cfg.seed,
+                    "fingerprint": mark, "input_rows": input_rows,
+                    **counts, "cache_hit": False}
+
+        vdir, manifest = store.publish_splits(splits.select(*out_cols), manifest_fn, base)
     manifest["path"] = vdir
     return manifest
 
