@@ -10,6 +10,8 @@ from quire.functions.templates import render_chat, split_prompt_reference
 from quire.functions.text import content_hash, is_blank, text_preview
 from quire.operators.render import with_messages
 from quire.session import stage
+from quire.sources.readers import first_in_order
+
 
 def check_schema(df: DataFrame, required=("instruction", "output")) -> list[str]:
     """A1: sorted column list; raises before any job when a required column
@@ -83,7 +85,7 @@ def dry_run_report(raw: DataFrame, n: int, template: str = "plain", order_col: s
     formatted row raises unless ``allow_blank``.
     """
     cols = check_schema(raw.drop(order_col) if order_col in raw.columns else raw)
-    sample = stage(raw.orderBy(order_col).limit(n), "dry-run")
+    sample = stage(first_in_order(raw, n, order_col), "dry-run")
     rendered = with_messages(sample).withColumn("text", render_chat(F.col("messages"), template))
     s = (rendered.select(order_col, "text", *(["input"] if "input" in raw.columns else []))
                .withColumn("empty_input", is_blank("input") if "input" in raw.columns else F.lit(True))

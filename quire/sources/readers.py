@@ -107,14 +107,14 @@ SYNTHETIC_TOPICS = [(f"How many {many} make one {one}?", f"One {one} is {n} {man
 
 def synthetic_instructions(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows over 6 topics; topic = i mod 6; rows with i mod 6 = 0 get
-    no suffix (exact duplicates), the others get a unique ``" (case i)"``.
+    no suffix (exact duplicates), the others get a unique ``" [case i]"``.
     ``row_id`` is a seeded shuffle of ``i`` (a hash order, not Python's RNG)."""
     k = len(SYNTHETIC_TOPICS)
     instr = F.array(*[F.lit(a) for a, _ in SYNTHETIC_TOPICS])
     outs = F.array(*[F.lit(b) for _, b in SYNTHETIC_TOPICS])
     i = F.col("id")
     topic = (i % k + 1).cast("int")
-    suffix = F.when(i % k == 0, F.lit("")).otherwise(F.concat(F.lit(" (case "), i.cast("string"), F.lit(")")))
+    suffix = F.when(i % k == 0, F.lit("")).otherwise(F.concat(F.lit(" [case "), i.cast("string"), F.lit("]")))
     return spark.range(n).select(
         F.xxhash64(F.lit(int(seed)), i).alias("row_id"),
         F.concat(F.element_at(instr, topic), suffix).alias("instruction"),
@@ -123,10 +123,20 @@ def synthetic_instructions(spark: SparkSession, n: int, seed: int = 42) -> DataF
     )
 
 
+def first_in_order(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
+    """The first ``n`` rows by ``order_col`` (nulls first). The n-th smallest key is
+    found from the order column alone; wide columns are then read under a filter on
+    it, which file sources skip row groups by."""
+    cut = df.select(order_col).orderBy(order_col).limit(n).agg(F.max(order_col)).first()[0]
+    k = F.col(order_col)
+    near = df.where(k.isNull()) if cut is None else df.where(k.isNull() | (k <= F.lit(cut)))
+    return near.orderBy(order_col).limit(n)
+
+
 def preview(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
     """S3: the first ``n`` rows in input order (a bounded top-n, the limit is
     the feature). Raises when the source yields no rows."""
-    out = stage(df.orderBy(order_col).limit(n), "preview")
+    out = stage(first_in_order(df, n, order_col), "preview")
     if out.isEmpty():
         raise RuntimeError("the source yielded 0 rows")
     return out
