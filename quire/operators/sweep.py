@@ -3,12 +3,15 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import math
 import time
+import types
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -87,19 +90,51 @@ def default_cell(train: DataFrame, eval_: DataFrame, params: dict, max_steps: in
     return float("nan") if loss is None else float(loss)
 
 
+def cell_identity(fn, _seen: tuple = ()) -> list:
+    """What a cell function does and holds, as plain lists: code, defaults, closure,
+    bound arguments, and the functions of its own package that its code names; of any
+    other object the digest of its pickled state."""
+    def of(x):
+        return cell_identity(x, (*_seen, id(fn)))
+
+    if id(fn) in _seen:
+        return ["again", getattr(fn, "__qualname__", "")]
+    if fn is None or isinstance(fn, (bool, int, float, complex, str, bytes)):
+        return [type(fn).__name__, repr(fn)]
+    if isinstance(fn, (list, tuple)):
+        return [type(fn).__name__, *map(of, fn)]
+    if isinstance(fn, (set, frozenset)):
+        return ["set", *sorted(map(of, fn), key=repr)]
+    if isinstance(fn, dict):
+        return ["dict", *sorted(([of(k), of(v)] for k, v in fn.items()), key=repr)]
+    if isinstance(fn, functools.partial):
+        return ["partial", of(fn.func), of(fn.args), of(fn.keywords)]
+    if isinstance(fn, types.MethodType):
+        return ["method", of(fn.__func__), of(fn.__self__)]
+    if isinstance(fn, types.ModuleType):
+        return ["module", fn.__name__]
+    if isinstance(fn, types.CodeType):      # names and constants with it; a nested function's code is a constant
+        return ["code", fn.co_code.hex(), list(fn.co_names), *map(of, fn.co_consts)]
+    if isinstance(fn, types.FunctionType):
+        own = fn.__module__.split(".")[0]
+        named = [fn.__globals__.get(n) for n in fn.__code__.co_names]
+        near = [g for g in named if isinstance(g, types.FunctionType) and g.__module__.split(".")[0] == own]
+        cells = [c.cell_contents for c in fn.__closure__ or ()]
+        return ["function", fn.__module__, fn.__qualname__, of(fn.__code__), of(fn.__defaults__), of(fn.__kwdefaults__), *map(of, cells), *map(of, near)]
+    if isinstance(fn, type) or isinstance(fn, types.BuiltinFunctionType):
+        return ["name", getattr(fn, "__module__", "") or "", fn.__qualname__]
+    return ["object", hashlib.sha256(cloudpickle.dumps(fn)).hexdigest()]
+
+
 def sweep_fingerprint(cells: list[dict], train: DataFrame, eval_: DataFrame, cell_fn, note: str = "") -> str:
     """Identity of a sweep: its cells, the rows of both subsets (counts and an
-    order-free hash), the cell function's code and ``note`` (settings the
-    function holds)."""
+    order-free hash), what the cell function does and holds (:func:`cell_identity`)
+    and ``note``."""
     def data(d):
         cols = sorted(d.columns)
         r = d.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))).first()
         return [cols, r[0], str(r[1])]
-    def code(c):      # nested functions by their own code: their repr holds an address
-        return [c.co_code.hex(), [code(x) if hasattr(x, "co_code") else repr(x) for x in c.co_consts]]
-    what = [getattr(cell_fn, "__module__", ""), getattr(cell_fn, "__qualname__", repr(type(cell_fn))),
-            code(cell_fn.__code__) if hasattr(cell_fn, "__code__") else ""]
-    return hashlib.sha256(json.dumps([cells, data(train), data(eval_), what, note], sort_keys=True).encode()).hexdigest()[:16]
+    return hashlib.sha256(json.dumps([cells, data(train), data(eval_), cell_identity(cell_fn), note], sort_keys=True).encode()).hexdigest()[:16]
 
 
 def run_sweep(spark: SparkSession, grid: DataFrame, train: DataFrame, eval_: DataFrame,

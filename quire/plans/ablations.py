@@ -56,5 +56,5 @@ def run_ablations(spark: SparkSession, train: DataFrame, eval_: DataFrame, resul
                json.dumps({"results": rows, "best": best, "grid_size": len(rows)}, indent=2))
     write_text(spark, f"{results_dir}/best_config.json", json.dumps(best, indent=2))
     write_text(spark, f"{results_dir}/comparison_table.md",
-               "# Ablation comparison\n\nRanked by " + metric + ".\n\n" + W.markdown_table(table, metric))
+               "# Sweep results, best cell first\n\nOrder: " + metric + ".\n\n" + W.markdown_table(table, metric))
     return {"results": rows, "best": best, "results_dir": results_dir}
