@@ -83,15 +83,24 @@ def text_preview(col, n: int = 300) -> Column:
     return F.substring(_c(col), 1, n)
 
 
+def count_ws_tokens(col) -> Column:
+    """``len(s.split())``: every token becomes one letter, white space goes, and the
+    letters are counted - no array of tokens is made."""
+    marks = F.regexp_replace(fold_ws(F.coalesce(_c(col), F.lit(""))), "[^ ]++", "x")
+    return F.length(F.translate(marks, " ", ""))
+
+
 def truncate_ws_tokens(col, max_tokens: int) -> Column:
     """Whitespace-token truncation (P10): struct(text, n_tokens, was_truncated).
     A text within the budget stays as it is; a longer one is cut right after
-    its last token, white space before it untouched."""
+    its last token, white space before it untouched, by one anchored match that
+    reads no further than the cut."""
     text = F.coalesce(_c(col), F.lit(""))
-    n = F.size(ws_tokens(col))
-    words = F.regexp_extract_all(text, F.lit(WS_CLASS + "*+[^" + WS_CLASS[1:] + "++"), F.lit(0))
+    n = count_ws_tokens(col)
+    token = WS_CLASS + "*+[^" + WS_CLASS[1:] + "++"
+    head = F.regexp_extract(text, f"\\A(?:{token}){{1,{max_tokens}}}+", 0) if max_tokens > 0 else F.lit("")
     return F.struct(
-        F.when(n > max_tokens, F.array_join(F.slice(words, 1, max_tokens), "")).otherwise(text).alias("text"),
+        F.when(n > max_tokens, head).otherwise(text).alias("text"),
         n.alias("n_tokens"),
         (n > max_tokens).alias("was_truncated"),
     )
