@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.bleu import TOK13A_REGEX
+from quire.functions.porter_sql import stem_chain, stem_table
 from quire.functions.templates import render_chat, split_prompt_reference
 from quire.functions.text import (WS_CLASS, content_hash, normalize_text, seeded_rank, text_preview,
                                   truncate_ws_tokens)
@@ -27,7 +28,7 @@ from quire.operators.dedupe import dedupe_keep_first
 from quire.operators.history import DEFAULT_SYSTEM, assemble_history
 from quire.operators.split import batch_plan, cut_split, take_first
 from quire.plans.evaluate import prompt_reference_frame
-from quire.plans.prepare import PrepConfig, build_splits
+from quire.plans.prepare import PrepConfig, build_splits, plan_splits
 from quire.sources.readers import (conversation_instructions, conversation_row_id, doc_instructions,
                                    documents_as_instructions, read_instructions, table)
 
@@ -136,8 +137,9 @@ def sql_split(src: str, holdout=HOLDOUT, size=SUBSAMPLE, seed=SEED) -> str:
 
 # --- Spark helpers ------------------------------------------------------------
 def _doc_splits(spark, sf_dir, split_key="text", holdout=HOLDOUT, size=SUBSAMPLE):
+    """The split of ``doc_instr`` by its keys (no texts)."""
     cfg = PrepConfig(seed=SEED, eval_holdout_size=holdout, subsample_size=size, split_key=split_key)
-    return build_splits(doc_instructions(spark, sf_dir), cfg)
+    return plan_splits(doc_instructions(spark, sf_dir), cfg)
 
 
 # --- queries ------------------------------------------------------------------
@@ -179,7 +181,7 @@ def q_content_hash(spark, sf_dir):
 def q_dedupe_first(spark, sf_dir):
     """Keep-first per normalised hash of the rendered doc_instr text."""
     t = R.with_content_hash(R.drop_blank(R.render(doc_instructions(spark, sf_dir), "plain")))
-    return dedupe_keep_first(t, "content_hash", ("row_id",)).select("row_id", "content_hash", "n_copies")
+    return dedupe_keep_first(t.select("row_id", "content_hash"), "content_hash", ("row_id",))
 
 
 def q_seeded_split(spark, sf_dir):
@@ -706,9 +708,13 @@ def q_stream_dedupe(spark, sf_dir):
 
 
 def q_size_report(spark, sf_dir):
-    """Bytes of every parquet file of the tables (binaryFile, length only)."""
+    """Bytes of the text lines written for every document (binaryFile, length
+    only): the lines' octets and line ends, whatever the number of files."""
+    from quire.session import scratch_path
     from quire.sources.store import size_report
-    return size_report(spark, sf_dir, "*.parquet")
+    path = scratch_path(spark, "lines")
+    table(spark, sf_dir, "documents").select(F.coalesce(text_preview("text", 300), F.lit(""))).write.text(path)
+    return size_report(spark, path, "*.txt").select("bytes", "mb")
 
 
 def q_load_splits(spark, sf_dir):
@@ -769,6 +775,9 @@ FROM g, sz2"""
 ORACLES["stream_dedupe"] = f"""WITH {SQL_DOC_INSTR}, {sql_rendered('doc_instr')}
 SELECT DISTINCT {sql_hash('text')} AS content_hash FROM doc_instr_text"""
 
+ORACLES["size_report"] = """WITH s AS (SELECT CAST(sum(strlen(substring(coalesce(text, ''), 1, 300)) + 1) AS BIGINT) AS bytes FROM documents)
+SELECT bytes, round(bytes / 1048576.0::DOUBLE, 2) AS mb FROM s"""
+
 ORACLES["load_splits"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr')}
 SELECT row_id, content_hash, split FROM doc_instr_split"""
 
@@ -1054,3 +1063,66 @@ SPARK_QUERIES.update({
     "copied_prompts": q_copied_prompts, "benchmark_sentences": q_benchmark_sentences, "rouge_lcs": q_rouge_lcs,
     "compare_rouge": q_compare_rouge,
 })
+
+
+# --- A5 with stems: the Porter rules as SQL over the distinct tokens, joined back --------
+_LAST = 1 << 40          # past any position
+_SQL_STEMMED = f"""pt AS MATERIALIZED (SELECT system, example_id, {_RT.format('prediction')} AS p FROM pairs),
+rt AS MATERIALIZED (SELECT example_id, {_RT.format('reference')} AS r FROM ex WHERE example_id IN (SELECT example_id FROM preds)),
+toks AS MATERIALIZED (SELECT DISTINCT token FROM (SELECT unnest(p) AS token FROM pt UNION ALL SELECT unnest(r) FROM rt) WHERE length(token) > 3),
+{stem_chain('toks')},
+stem_of AS MATERIALIZED (SELECT * FROM stems),
+ps AS (SELECT system, example_id, list(coalesce(stem, token) ORDER BY i) AS p FROM
+       (SELECT system, example_id, unnest(p) AS token, generate_subscripts(p, 1) AS i FROM pt) LEFT JOIN stem_of USING (token) GROUP BY ALL),
+rs AS (SELECT example_id, list(coalesce(stem, token) ORDER BY i) AS r FROM
+       (SELECT example_id, unnest(r) AS token, generate_subscripts(r, 1) AS i FROM rt) LEFT JOIN stem_of USING (token) GROUP BY ALL),
+sk AS MATERIALIZED (SELECT pt.system, pt.example_id, coalesce(ps.p, []) AS p, coalesce(rs.r, []) AS r FROM pt
+                    LEFT JOIN ps ON ps.system = pt.system AND ps.example_id = pt.example_id LEFT JOIN rs ON rs.example_id = pt.example_id),
+-- ends[k + 1]: where the earliest common subsequence of k tokens ends
+dp(system, example_id, i, ends) AS (
+  SELECT system, example_id, 0, [CAST(0 AS BIGINT)] FROM sk
+  UNION ALL
+  SELECT system, example_id, i + 1,
+         list_filter(list_transform(range(1, len(ends) + 2), lambda k: CASE WHEN k = 1 THEN 0 ELSE
+           least(coalesce(ends[k], {_LAST}), coalesce(list_min(list_filter(here, lambda q: q > ends[k - 1])), {_LAST})) END), lambda x: x < {_LAST})
+  FROM (SELECT dp.*, list_filter(range(1, len(sk.r) + 1), lambda q: sk.r[q] = sk.p[dp.i + 1]) AS here
+        FROM dp JOIN sk ON dp.system = sk.system AND dp.example_id = sk.example_id WHERE dp.i < len(sk.p))),
+lc AS (SELECT system, example_id, max(len(ends)) - 1 AS lcs FROM dp GROUP BY ALL),
+rl AS (SELECT system, example_id, CASE WHEN lcs = 0 THEN 0.0 ELSE 2.0 * lcs::DOUBLE / (len(p) + len(r)) END AS f FROM lc JOIN sk USING (system, example_id)),
+ro AS (SELECT system, round(avg(f) * 100.0, 4) AS rouge_l FROM rl GROUP BY system)"""
+
+_SQL_COMPARED = ORACLES["compare_rouge"][ORACLES["compare_rouge"].index("SELECT max(n_examples)"):]
+_SQL_DOC_EVAL = ORACLES["doc_bleu_score"].removeprefix("WITH ").rsplit("\nSELECT system, bleu", 1)[0]
+
+ORACLES["rouge_l"] = f"WITH RECURSIVE {SQL_EVAL},\n{_SQL_STEMMED}\nSELECT system, rouge_l FROM ro"
+ORACLES["compare_systems"] = f"WITH RECURSIVE {SQL_EVAL},\n{_SQL_STEMMED}\n{_SQL_COMPARED}"
+ORACLES["doc_compare_systems"] = f"WITH RECURSIVE {_SQL_DOC_EVAL},\n{_SQL_STEMMED}\n{_SQL_COMPARED}"
+
+
+def q_stem_table(spark, sf_dir):
+    """A5's stems: every distinct ROUGE token of the documents with its Porter stem, by the chain of SQL rules."""
+    t = table(spark, sf_dir, "documents").select(F.explode(S.rouge_tokens("text")).alias("token"))
+    return stem_table(t)
+
+
+SPARK_QUERIES["stem_table"] = q_stem_table
+ORACLES["stem_table"] = f"""WITH toks AS (SELECT DISTINCT unnest({_RT.format('text')}) AS token FROM documents),
+{stem_chain('toks')}
+SELECT token, stem FROM stems"""
+
+
+def q_shard_export(spark, sf_dir):
+    """D8 export: the train rows of the whole table in shards of 128 consecutive positions, read back."""
+    from quire.operators.split import write_shards
+    from quire.session import scratch_path
+    splits, _, _ = _doc_splits(spark, sf_dir, holdout=WHOLE, size=WHOLE)
+    plan, _ = batch_plan(splits.filter(F.col("split") == "train"), 8, 4)
+    path = scratch_path(spark, "shards")
+    write_shards(plan.select("row_id", "pos"), path, 128)
+    return spark.read.parquet(path).select("row_id", "pos", F.col("shard").cast("long").alias("shard"))
+
+
+SPARK_QUERIES["shard_export"] = q_shard_export
+ORACLES["shard_export"] = f"""WITH {SQL_DOC_INSTR}, {sql_split('doc_instr', WHOLE, WHOLE)},
+t AS (SELECT row_id, row_number() OVER (ORDER BY split_rank) - 1 AS pos FROM doc_instr_split WHERE split = 'train')
+SELECT row_id, pos, CAST(pos // 128 AS BIGINT) AS shard FROM t"""
