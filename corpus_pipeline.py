@@ -15,6 +15,7 @@ from quire.llm.mixing import mixed_documents
 from quire.llm.ngram_trie import keep_first
 from quire.llm.packing import pack_documents
 from quire.llm.pii import sanitise
+from quire.session import staging
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,6 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):                    # what a stage staged goes when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
