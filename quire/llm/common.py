@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.session import scratch_path, ship_package, stage
+from quire.session import scratch_path, ship_package, stage, unstage
 
 __all__ = ["BitMap", "bitmap_of", "components", "open_input", "open_output", "range_bucket", "range_splits", "rename",
            "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table"]
@@ -139,8 +139,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low2, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-        cur = stage(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
+        before, cur = cur, stage(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
         now = sign(cur)
+        unstage(before)                         # the last round is all that is read again
         if now == last:
             break
         last = now
