@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 import hashlib
 import json
 from dataclasses import dataclass
@@ -115,12 +116,16 @@ def plan_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> tu
 
 def with_text(instr: DataFrame, splits: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> DataFrame:
     """The rows of :func:`plan_splits` with their texts: those rows of the source are
-    rendered again, all others are left where they are. The keys of a split that the
-    engine's broadcast limit holds are broadcast, so no text is shuffled; more are
-    hashed partition by partition."""
-    n = splits.count()
+    rendered again. The keys of a split that the engine's broadcast limit holds are
+    broadcast: rows with other orders are left before anything is rendered, and no text
+    is shuffled. More keys are hashed partition by partition."""
+    order_cols, n = list(order_cols), splits.count()
     small = n * KEY_ROW_BYTES <= size_in_bytes(instr.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    return rows_of(_hashed(instr, cfg, order_cols), splits, "content_hash", list(order_cols), small)
+    if small:
+        keys = splits.select(*[F.col(c).alias(f"_k_{c}") for c in order_cols])
+        wanted = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in order_cols]
+        instr = instr.join(F.broadcast(keys), functools.reduce(lambda a, b: a & b, wanted), "left_semi")
+    return rows_of(_hashed(instr, cfg, order_cols), splits, "content_hash", order_cols, small)
 
 
 def build_splits(instr: DataFrame, cfg: PrepConfig, order_cols=("row_id",)) -> tuple[DataFrame, DataFrame, dict]:

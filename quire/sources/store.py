@@ -56,21 +56,27 @@ def listing(spark: SparkSession, folders: list[str], glob: str | None = None) ->
 
 
 def _plain(path: str) -> str:
-    """One spelling of a path: decoded, ``file:`` with one slash."""
-    return re.sub(r"^file:/+", "file:/", unquote(path))
+    """One spelling of a path: ``file:`` with one slash."""
+    return re.sub(r"^file:/+", "file:/", path)
 
 
 def files_digest(spark: SparkSession, files: list[str]) -> str:
     """Identity of a set of files: paths, lengths and times folded into one row by
-    the listing of their folders. Where names in the listing differ from those given,
-    everything in the folders counts."""
-    seen = listing(spark, sorted({unquote(f).rsplit("/", 1)[0] for f in files}))
-    mine = spark.createDataFrame([(_plain(f),) for f in set(files)], "path string")
+    the listing of their folders (of the file, where a folder gives one alone). Files
+    in these folders that are not in the set are joined away; where names in the listing
+    differ from those given, everything listed counts."""
+    by_folder: dict[str, list[str]] = {}
+    for f in {unquote(f) for f in files}:
+        by_folder.setdefault(f.rsplit("/", 1)[0], []).append(f)
+    n = sum(map(len, by_folder.values()))
+    seen = listing(spark, [fs[0] if len(fs) == 1 else folder for folder, fs in sorted(by_folder.items())])
     fold = [F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")),
             F.bit_xor(F.xxhash64(F.lit(1), "modificationTime", "length", "path"))]
-    got = seen.join(mine, "path", "left_semi").agg(*fold).first()
-    if got[0] != len(set(files)):
-        got = seen.agg(*fold).first()
+    got = seen.agg(*fold).first()
+    if got[0] > n:
+        mine = spark.createDataFrame([(_plain(f),) for fs in by_folder.values() for f in fs], "path string")
+        own = seen.join(mine, "path", "left_semi").agg(*fold).first()
+        got = own if own[0] == n else got
     return hashlib.sha256(json.dumps([str(x) for x in got]).encode()).hexdigest()
 
 
