@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.session import scratch_path, ship_package, stage, unstage
 
 __all__ = ["BitMap", "bitmap_of", "components", "open_input", "open_output", "range_bucket", "range_splits", "rename",
-           "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table"]
+           "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table", "unstage"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

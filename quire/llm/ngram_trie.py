@@ -4,15 +4,17 @@ A document's set holds the hashes of its different word n-grams, in one global
 order (ascending hash). Two documents link when the Jaccard similarity of their
 sets reaches a whole percentage.
 
-Distribution. Documents with equal sets are one class. In the global order, linked
-sets share at least one element of their prefixes, and prefixes longer by ``e``
-share ``1 + e``. Every class announces such a longer prefix and then withdraws the
-elements that most classes announced, as many as still leaves linked classes one
-in common: elements are ranked by a property of their own (how many announced
-them), so of the shared ones the rarest is withdrawn by neither side. Frequent
-n-grams (a common line or passage) group nobody by that, and nothing is lost.
-Classes that share an element and are near in size form candidate groups (connected
-components over one chain an element, never pairs), and only their sets travel.
+Distribution. Documents with equal sets are one class. The sizes of linked sets bound how
+many elements only one of them has; a set is dealt by element hash into more parts than that,
+so linked sets hold at least ``1 + z`` equal parts, where ``z`` is what the parts exceed the
+bound by. Every class announces its parts by their digests, but for the ``z`` that come last
+in an order by number of elements and digest: of the equal parts the first is left out by
+neither side. So linked classes announce a part in common, and it is one of several
+elements that unlinked classes seldom share whole: a common line or passage groups
+nobody. The number of parts follows from a band of sizes; a set whose partners may be in
+the next band announces itself there too. What a part's classes have in common is one
+combinable minimum, however many they are; classes of one minimum form candidate groups
+(connected components of stars, never pairs), and only their sets travel.
 
 Join. The sets of a group, in blocks of bounded size, go into a path-compressed
 trie. A set is joined with the whole trie in one traversal: sets with a common
@@ -38,10 +40,10 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, components, ship_package, shuffle_parts, slices, stage
+from quire.llm.common import bitmap_of, components, ship_package, shuffle_parts, slices, stage, unstage
 from quire.llm.syncmers import mix
 
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -77,42 +79,84 @@ def digest(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
-def spare(n: int, percent: int) -> int:
-    """Elements by which the prefix of a set of ``n`` is longer than it must be; never
-    falls as ``n`` grows. Small sets get more, as few frequent n-grams fill them."""
-    return max(n * (100 - percent) // 200, min(16, n // 2))
-
-
-def prefix(h: np.ndarray, percent: int = 90) -> tuple[np.ndarray, int]:
-    """(announced elements, how many of them may be withdrawn). A partner has at least
-    ``percent`` of the elements, so what its spare allows is what may be withdrawn."""
-    n = len(h)
-    least = -(-n * percent // 100)
-    return h[:n - least + 1 + spare(n, percent)].view(np.int64), spare(least, percent)
+def number(node: bytes) -> int:
+    """The first eight bytes of a class's digest: groups are formed on these. Two
+    classes with one number are only ever candidates more."""
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
+def bands(n: int, percent: int) -> list[int]:
+    """The largest sizes of the bands in which a set of ``n`` meets partners at least as large."""
+    out, top = [], 1
+    while top < n:
+        top = max(top + 1, top * 3 // 2)
+    while True:
+        out.append(top)
+        if top >= 100 * n // percent:
+            return out
+        top = max(top + 1, top * 3 // 2)
+
+
+def parts(h: np.ndarray, percent: int = 90) -> np.ndarray:
+    """Digests of the announced parts of a set. Linked sets of at most ``top`` elements
+    differ in at most ``apart`` elements, so in as many parts; without any they are equal
+    and need no partner."""
+    out = []
+    for top in bands(len(h), percent):
+        apart = 2 * top * (100 - percent) // (100 + percent)
+        if not apart:
+            continue
+        spare = max(4, (apart + 1) // 3)
+        many = apart + 1 + spare
+        of = (h % np.uint64(many)).astype(np.int64)
+        said = np.zeros(many, np.uint64)
+        np.add.at(said, of, mix(h))
+        band = np.uint64(top * int(_A[1]) & 0xFFFFFFFFFFFFFFFF)
+        said = mix(said + np.arange(many, dtype=np.uint64) * _A[0] + band)
+        out.append(said[np.lexsort((said, np.bincount(of, minlength=many)))[spare:]])
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
 def _sets(batches, n: int, percent: int):
+    """A row's class (``node``, and its first eight bytes as a number); a task announces a class once."""
+    said: set[bytes] = set()
     for batch in slices(batches):
         rows = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc, key, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "key", "text")]):
             h = ngram_set(text, n)
-            announced, skip = prefix(h, percent)
-            rows.append((doc, len(h), digest(h) if len(h) else None, skip, announced if len(h) else announced[:0]))
-        types = [pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
-        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "n", "node", "skip", "prefix"])
+            node = digest(h) if len(h) else None
+            announced = parts(h, percent) if node is not None and node not in said else None
+            if node is not None:
+                said.add(node)
+            rows.append((doc, key, len(h), node, number(node) if node else None, announced))
+        if len(said) > 200_000:
+            said.clear()
+        types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "key", "n", "node", "h", "parts"])
     _WORDS.clear()                                       # the worker goes on to other tasks
 
 
+def _shared(batches, wanted):
+    """(h, g): the announced parts that the bitmap admits."""
+    for batch in batches:
+        lists = batch.column("parts")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        h = np.repeat(batch.column("h").to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        keep = wanted.admits(flat) if len(flat) else np.zeros(0, bool)
+        yield pa.record_batch([pa.array(h[keep].astype(np.int64)), pa.array(flat[keep])], ["h", "g"])
+
+
 def _wanted_sets(batches, n: int, wanted):
     for batch in slices(batches):
-        keep = wanted.admits(batch.column("h").to_numpy(zero_copy_only=False))
+        keep = wanted.admits(batch.column("row").to_numpy(zero_copy_only=False))
         nodes, sets = [], []
         for text in batch.filter(pa.array(keep)).column("text").to_pylist():
             h = ngram_set(text, n)
             if len(h):
                 nodes.append(digest(h))
                 sets.append(h.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], ["node", "set"])
+        yield pa.RecordBatch.from_arrays([pa.array(map(number, nodes), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())],
+                                         ["h", "node", "set"])
     _WORDS.clear()
 
 
@@ -244,32 +288,33 @@ def _run(rows: DataFrame, percent: int) -> DataFrame:
 
 def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64, bridges: int = 8, id_col: str = "doc_id",
                  text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, links): per row (doc_id as text, n, node), where ``node`` names the class of
-    its set; and pairs (a, b) of linked classes that connect every component."""
+    """(rows, links): per row (doc_id as text, key of its text, n, node), where ``node`` names
+    the class of its set; and pairs (a, b) of linked classes that connect every component."""
     spark = docs.sparkSession
     ship_package(spark)
-    narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     rows = stage(narrow.mapInArrow(partial(_sets, n=n, percent=percent),
-                                   "doc_id string, n int, node binary, skip int, prefix array<long>"), "ngram_sets")
-    said = rows.select("node", "n", "skip", F.explode("prefix").alias("g")).repartition("g").distinct()   # copies say it once
-    said = said.withColumn("by", F.count(F.lit(1)).over(Window.partitionBy("g"))).where(F.col("by") > 1)
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("by").desc(), "g"))
-    left = said.withColumn("rank", rank).where(F.col("rank") > F.col("skip")).select("g", "node", "n")
-    # by size, each class and the one before it: a chain that breaks where no partner can be
-    chain = Window.partitionBy("g").orderBy("n", "node")
-    near = left.select("node", "n", F.lag("node").over(chain).alias("prev"), F.lag("n").over(chain).alias("prev_n"))
-    near = near.where(F.col("prev_n") * 100 >= F.col("n") * percent).select("node", "prev").distinct()
-    group = stage(components(near, "node", "prev"), "ngram_groups")
+                                   "doc_id string, key long, n int, node binary, h long, parts array<long>"), "ngram_sets")
+    hubs = (rows.select("h", F.explode("parts").alias("g")).groupBy("g").agg(F.min("h").alias("hub"), F.max("h").alias("other"))
+            .where("hub <> other").select("g", "hub"))
+    hubs = stage(hubs, "ngram_hubs")
+    shared = rows.where(F.size("parts") > 0).select("h", "parts").mapInArrow(
+        partial(_shared, wanted=bitmap_of(hubs.select(F.col("g").alias("h")), "h", 24)), "h long, g long")
+    near = shared.join(hubs, "g").where("h <> hub").select("h", "hub").distinct()
+    group = stage(components(near, "h", "hub").select(F.col("node").alias("h"), "root"), "ngram_groups")
     # every grouped class with its blocks, and the sets made again from the texts the bitmap admits
-    of = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    placed = group.join(of, "root").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = stage(group.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > block), "ngram_large")
+    placed = group.join(large, "root", "left").fillna(1, ["members"]).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
     placed = stage(placed, "ngram_blocks")
-    some = rows.select("doc_id", "node").join(placed.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    key = F.xxhash64(F.coalesce("doc_id", F.lit("")))
-    wanted = bitmap_of(some.select(key.alias("h")), "h")
-    sets = narrow.select(key.alias("h"), "text").mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "node binary, set binary")
-    sized = stage(sets.join(placed, "node"), "ngram_group_sets")      # a class may come twice; tasks drop the second
+    row = F.xxhash64("doc_id", "key")
+    some = rows.select("h", "node", row.alias("row")).join(placed.select("h"), "h", "left_semi").groupBy("node").agg(F.min("row").alias("h"))
+    wanted = bitmap_of(some, "h")
+    sets = narrow.select(row.alias("row"), "text").mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "h long, node binary, set binary")
+    sized = sets.join(placed, "h").drop("h")
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sized = stage(sized, "ngram_group_sets")      # a class may come twice; tasks drop the second
+    for done in (hubs, group, large, placed):
+        unstage(done)
     bridge = F.pmod(F.xxhash64("node", F.lit(7)), F.col("members")) < bridges
     places = F.when((F.col("blocks") > 1) & bridge, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = sized.withColumn("to", F.explode(places)).select(
@@ -278,14 +323,15 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     # groups of several blocks that are not one component yet: the sets outside the largest meet all blocks
     many = sized.where("blocks > 1")
     if many.isEmpty():
+        unstage(sized)
         return rows, links
     comp = components(links, "a", "b").select("node", F.col("root").alias("comp"))
-    split = stage(many.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "ngram_split")
-    sizes = split.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("size"))
+    inside = stage(many.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "ngram_split")
+    sizes = inside.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("root").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"),
                                      F.max("size").alias("top")).where("all > top")
     wide = 2 * block                     # two sides of this size meet in a task
-    split = split.join(main, "root").withColumn("blocks", F.ceil(F.col("all") / wide).cast("int"))
+    split = inside.join(main, "root").withColumn("blocks", F.ceil(F.col("all") / wide).cast("int"))
     split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spots = F.ceil((F.col("all") - F.col("top")) / wide).cast("int")
     spot = F.pmod(F.xxhash64("node", F.lit(11)), spots).cast("int")
@@ -295,27 +341,40 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
                                        spot.alias("spot"), F.lit(True).alias("ask"))
     second = everyone.unionByName(outside).select(F.concat(F.hex("root"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")).alias("task"),
                                                   "node", "set", F.hex("comp").alias("label"), "ask")
-    return rows, stage(links.unionByName(_run(second, percent)), "ngram_links")
+    more = _run(second, percent)
+    for done in (sized, inside):
+        unstage(done)
+    return rows, links.unionByName(more)
 
 
-def join_documents(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(id, n_shingles, component_id) per row."""
+def _found(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, **options) -> DataFrame:
+    """(doc_id, key, n, node, component_id) of every row."""
     rows, links = link_classes(docs, n, percent, id_col=id_col, text_col=text_col, **options)
-    kind = docs.schema[id_col].dataType
-    rows = rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "n", "node")
+    rows = rows.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias("doc_id"), "key", "n", "node")
     comp = components(links, "a", "b").select("node", F.col("root").alias("comp"))
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     low = stage(low.join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "low"), "ngram_classes")
     least = low.groupBy("comp").agg(F.min("low").alias("component_id"))
     label = low.join(least, "comp").select("node", "component_id")
-    return (rows.join(label, "node", "left")
-            .select(F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return rows.join(label, "node", "left")
+
+
+def join_documents(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, n_shingles, component_id) per row."""
+    found = _found(docs, n, percent, id_col, text_col, **options)
+    return found.select(F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+                        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of every component of ``docs`` stays, the one with the smallest id;
-    rows that repeat an id are one document, and rows without words or id all stay."""
-    found = join_documents(docs, n, percent, id_col, text_col, **options)
-    gone = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_id"), "left_anti")
+    """One document of every component of ``docs`` stays, the one with the smallest id.
+    Rows are judged each by its own text: of two rows with one id, only the one whose
+    component has a smaller id goes. A row without an id goes where its component has
+    one; repeated rows of the document that stays, rows without words, and components
+    without any id stay. Columns of any name pass through."""
+    found = _found(docs, n, percent, id_col, text_col, **options)
+    apart = F.col("component_id").isNotNull() & ~F.col("component_id").eqNullSafe(F.col("doc_id"))
+    taken = {c.lower() for c in docs.columns}
+    i, k = (next(x for x in (f"{c}_{j}" for j in range(len(taken) + 1)) if x not in taken) for c in ("gone_id", "gone_key"))
+    gone = found.where(apart).select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), "left_anti")

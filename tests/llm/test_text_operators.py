@@ -304,18 +304,42 @@ def test_trie_finds_the_links_of_all_pairs():
                     assert find(i) == find(j)
 
 
-@pytest.mark.parametrize("percent", [80, 90])
-def test_linked_sets_share_enough_of_their_prefixes(percent):
+@pytest.mark.parametrize("percent", [50, 80, 90, 99])
+def test_linked_sets_announce_a_part_in_common(percent):
     rng = np.random.default_rng(5)
-    for _ in range(3000):
-        n = int(rng.integers(1, 400))
+    met = 0
+    for _ in range(4000):
+        n = int(rng.integers(1, 400 if rng.random() < 0.5 else 30))
         h = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
-        gone, new = rng.integers(0, n // 8 + 2, 2)
+        gone, new = rng.integers(0, n * (100 - percent) // 80 + 2, 2)
         g = np.unique(np.r_[rng.permutation(h)[gone:], rng.integers(0, 2 ** 64, new, dtype=np.uint64)])
         x = len(np.intersect1d(h, g))
-        if len(g) and 100 * x >= percent * (len(h) + len(g) - x):
-            (a, skip_a), (b, skip_b) = T.prefix(h, percent), T.prefix(g, percent)
-            assert len(np.intersect1d(a, b)) > max(skip_a, skip_b)
+        if len(g) and 100 * x >= percent * (len(h) + len(g) - x) and x < max(len(h), len(g)):
+            met += 1
+            assert len(np.intersect1d(T.parts(h, percent), T.parts(g, percent)))
+    assert met > 100
+
+
+def test_rows_go_by_their_own_text(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (2, a), (2, b), (3, b + " tail"), (None, a), (None, c), (None, c), (4, None), (4, "")]
+    d = spark.createDataFrame([(i, t, "x", "y", "z", "w") for i, t in rows], "doc_id long, text string, gone_id string, GONE_KEY string, _id string, key string")
+    kept = sorted(((r.doc_id, r.text) for r in T.keep_first(d).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (None, c), (None, c), (4, None), (4, "")], key=str)
+
+
+def test_words_of_few_kinds_group_nobody(spark):
+    """Texts that share many n-grams and do not link: what travels grows with the texts."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(30)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(100)), "en") for i in range(600)]
+    _, links = T.link_classes(frame(spark, rows))
+    assert links.count() == 0
+    shared = [len(np.unique(T.parts(T.ngram_set(t)))) for _, t, _ in rows]
+    every = np.concatenate([np.unique(T.parts(T.ngram_set(t))) for _, t, _ in rows])
+    assert len(every) - len(np.unique(every)) < 0.02 * sum(shared)
 
 
 def test_join_of_nothing(spark):
