@@ -27,17 +27,19 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import open_input, open_output, scratch_path, ship_package, shuffle_parts, temp_name
+from quire.llm.common import open_input, open_output, scratch_path, ship_package, shuffle_parts, slices, temp_name
 from quire.llm.tokens import END_ID, default_vocabulary, encoder
 
 MAGIC, TAIL = b"QBP1", b"QBPE"
 FOOTER = struct.Struct("<QQQQIIIB3x")
 MANIFEST = "shard int, file string, n_docs long, n_ids long, n_bytes long"
+_MANIFEST = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
 
 
 def split_planes(ids: np.ndarray, unit: str) -> list[bytes]:
@@ -160,15 +162,16 @@ class ShardReader:
 def _write_shard(batches, out: str, vocabulary: str, unit: str, block: int, level: int):
     enc, end = encoder(vocabulary), np.array([END_ID], dtype="<u4").tobytes()
     shard, w, name = TaskContext.get().partitionId(), None, None
-    for pdf in batches:
-        for doc, text in zip(pdf["id"], pdf["text"]):
+    for batch in slices(batches):
+        for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
             if w is None:
                 name = temp_name(f"{out}/shard-{shard:06d}.qbp")
                 w = ShardWriter(open_output(name), unit, block, level)
-            w.add(None if doc is None or doc != doc else int(doc), enc.ids(text) + end)
+            w.add(doc, enc.ids(text) + end)
+    enc.forget()
     if w is not None:
         w.close()
-        yield pd.DataFrame({"shard": [shard], "file": [name], "n_docs": [len(w.docs)], "n_ids": [w.n_ids], "n_bytes": [w.at]})
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "file": name, "n_docs": len(w.docs), "n_ids": w.n_ids, "n_bytes": w.at}], _MANIFEST)
 
 
 def write_ids(docs: DataFrame, out: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -180,9 +183,7 @@ def write_ids(docs: DataFrame, out: str, vocabulary: str | None = None, id_col:
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     d = (d.repartitionByRange(parts or shuffle_parts(spark), "id").withColumn("tie", F.xxhash64("text"))
           .sortWithinPartitions("id", "tie", "text").select("id", "text"))
-    # nullable ids keep their type through pandas as objects
-    d = d.withColumn("id", F.col("id").cast("string"))
-    rows = d.mapInPandas(partial(_write_shard, out=out, vocabulary=vocabulary or default_vocabulary(), unit=unit,
+    rows = d.mapInArrow(partial(_write_shard, out=out, vocabulary=vocabulary or default_vocabulary(), unit=unit,
                                  block=block, level=level), MANIFEST)
     path = f"{out}/_manifest"
     rows.write.mode("error").parquet(path)

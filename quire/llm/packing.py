@@ -45,6 +45,7 @@ def _cut(batches, vocabulary: str, capacity: int, with_ids: bool):
                 rows.append(row + (part,) if with_ids else row)
                 at, piece, size = at + size, piece + 1, capacity
         yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+    enc.forget()
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, id_col: str = "doc_id",

@@ -16,6 +16,7 @@ from array import array
 _SPANS_BLANK = re.compile(r"\s (?:\s|\Z)")
 _MARKS = ".,;:!?"
 END_ID = 2
+LONG = 64                     # characters of a chunk that is not remembered
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit integers")
 
@@ -46,6 +47,8 @@ class _Chunks(dict):
         ids = self.old.get(chunk)
         if ids is None:
             ids = self.encode(chunk)
+        if len(chunk) > LONG:                       # seldom met again, and of any size
+            return ids
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -57,7 +60,7 @@ class Encoder:
     """One per Python worker (:func:`encoder`). ``ids(text)`` gives the bytes of
     the text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, vocabulary: str, limit: int = 100_000):
+    def __init__(self, vocabulary: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(vocabulary)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
@@ -84,6 +87,12 @@ class Encoder:
             return self.after[word] + self.bare[chunk[len(word):]]
         return self._raw(" " + chunk)
 
+    def forget(self) -> None:
+        """Give the remembered chunks back: at the end of a task the worker goes on to others."""
+        for chunks in (self.bare, self.after):
+            chunks.clear()
+            chunks.old = {}
+
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
