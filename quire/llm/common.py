@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.session import scratch_path, ship_package, stage, unstage
 
-__all__ = ["BitMap", "bitmap_of", "components", "open_input", "open_output", "range_bucket", "range_splits", "rename",
+__all__ = ["BitMap", "bitmap_of", "components", "free_name", "open_input", "open_output", "range_bucket", "range_splits", "rename",
            "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table", "unstage"]
 
 
@@ -176,6 +176,14 @@ def bitmap_of(df: DataFrame, hash_col: str, bits: int = 23) -> BitMap:
     return BitMap(words, bits)
 
 
+def free_name(taken, name: str) -> str:
+    """``name``, or ``name`` with as many underscores as make it differ from the columns ``taken``."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator, rows: int = 256):
     """Short stretches of Arrow batches: the texts of one stretch are all that is
     unpacked in Python at a time, however long a batch is."""

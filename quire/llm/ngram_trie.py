@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, components, ship_package, shuffle_parts, slices, stage, unstage
+from quire.llm.common import bitmap_of, components, free_name, ship_package, shuffle_parts, slices, stage, unstage
 from quire.llm.syncmers import mix
 
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -374,7 +374,6 @@ def keep_first(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "do
     without any id stay. Columns of any name pass through."""
     found = _found(docs, n, percent, id_col, text_col, **options)
     apart = F.col("component_id").isNotNull() & ~F.col("component_id").eqNullSafe(F.col("doc_id"))
-    taken = {c.lower() for c in docs.columns}
-    i, k = (next(x for x in (f"{c}_{j}" for j in range(len(taken) + 1)) if x not in taken) for c in ("gone_id", "gone_key"))
+    i, k = free_name(docs.columns, "gone_id"), free_name(docs.columns, "gone_key")
     gone = found.where(apart).select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct()
     return docs.join(gone, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), "left_anti")
