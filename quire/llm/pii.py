@@ -6,9 +6,10 @@ how strongly a term reveals one of them. A context is the ``window`` terms on
 either side of a mention; with ``N`` contexts' worth of terms in the corpus, a
 term ``t`` discloses the share ``PMI(t; c) / IC(c)`` of an entity ``c``, where
 ``PMI = log(N n(t,c) / (n(t) n(c)))`` and ``IC = log(N / n(c))``: 1 for a term that
-occurs with ``c`` only. ``c`` is a single value, and also each kind as a whole (any
-email address, any phone number, ...), so a name beside values that occur once
-each is found by their kind. Terms at ``generalise_at`` or above for a value or a
+occurs with ``c`` only. Terms are runs of letters and digits, of three or more, or
+shorter where they hold a letter outside ASCII. ``c`` is a single value, and also each
+kind as a whole (any email address, any phone number, ...), so a name beside values
+that occur once each is found by their kind. Terms at ``generalise_at`` or above for a value or a
 kind are generalised, at ``remove_at`` or above removed, wherever they occur.
 
 A pair is estimated from ``min_contexts`` different texts on: copies of one text
@@ -30,19 +31,21 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, ship_package, stage
+from quire.llm.common import bitmap_of, free_name, ship_package, slices, stage
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
-TERM = re.compile(r"[^\W_]{3,}")
+TERM = re.compile(r"[^\W_]{3,}|[^\W_a-zA-Z0-9][^\W_]?|[^\W_][^\W_a-zA-Z0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # possessive and anchored forms of the patterns: the same matches in linear time
@@ -101,41 +104,61 @@ def entity(kind: int, raw: str) -> str:
     return KINDS[kind] + ":" + (raw.lower() if kind == 0 else raw if kind == 1 else _NOT_DIGIT.sub("", raw))
 
 
-def context(text: str, start: int, end: int, spans, window: int) -> list[str]:
-    """Lower-cased terms around a mention, outside all spans; words that the searched stretch cuts are left out."""
-    reach = 48 * window
-    lo, hi = max(0, start - reach), min(len(text), end + reach)
-    free = lambda a, b: not any(a < y and x < b for _, x, y in spans)
-    left = [m for m in TERM.finditer(text, lo, start) if (m.start() > lo or lo == 0) and free(*m.span())][-window:]
-    right = [m for m in TERM.finditer(text, end, hi) if (m.end() < hi or hi == len(text)) and free(*m.span())][:window]
-    return [m.group().lower() for m in left + right]
+def free_terms(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int], list[str]]:
+    """Starts, ends and lower-cased forms of the terms outside all spans: one walk
+    over the terms and the sorted spans, however many there are of either."""
+    taken = sorted((a, b) for _, a, b in spans)
+    starts, ends, terms, i, upto = [], [], [], 0, -1
+    for m in TERM.finditer(text):
+        a, b = m.span()
+        while i < len(taken) and taken[i][0] < b:
+            upto = max(upto, taken[i][1])
+            i += 1
+        # of the spans that start before the term's end, none reaches into it
+        if upto <= a:
+            starts.append(a)
+            ends.append(b)
+            terms.append(m.group().lower())
+    return starts, ends, terms
+
+
+def context(free: tuple[list[int], list[int], list[str]], start: int, end: int, window: int) -> list[str]:
+    """The ``window`` free terms nearest to a mention on either side, however far away they stand."""
+    starts, ends, terms = free
+    i, j = bisect_right(ends, start), bisect_left(starts, end)
+    return terms[max(0, i - window):i] + terms[j:j + window]
 
 
 def _contexts(batches, window: int):
     """(entity, term, whole, n): mentions of an entity or kind in a text with the term in their context; a null term counts all."""
-    columns = ["entity", "term", "whole", "n"]
-    for pdf in batches:
+    def out(rows):
+        return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                               ["entity", "term", "whole", "n"])
+
+    for batch in slices(batches):
         rows = []
-        for text in pdf["text"]:
+        for text in batch.column("text").to_pylist():
             spans = base_spans(text) if text else []
             if not spans:
                 continue
             whole = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+            free = free_terms(text, spans)
             seen: Counter = Counter()
             for k, a, b in spans:
-                terms = [None, *set(context(text, a, b, spans, window))]
+                terms = [None, *set(context(free, a, b, window))]
                 seen.update((c, t) for c in (entity(k, text[a:b]), KINDS[k]) for t in terms)
             rows += [(c, t, whole, n) for (c, t), n in seen.items()]
             if len(rows) >= 50_000:
-                yield pd.DataFrame(rows, columns=columns)
+                yield out(rows)
                 rows = []
-        yield pd.DataFrame(rows, columns=columns)
+        yield out(rows)
 
 
 def _count(batches, wanted):
-    for pdf in batches:
+    """(term, n) of the terms that the bitmap admits; a null term counts all."""
+    for batch in slices(batches, 1024):
         seen: Counter = Counter()
-        for text in pdf["text"]:
+        for text in batch.column("text").to_pylist():
             if text:
                 seen.update(TERM.findall(text))
         rows = Counter()
@@ -144,7 +167,7 @@ def _count(batches, wanted):
         terms = list(rows)
         hit = wanted.admits(np.fromiter((zlib.crc32(t.encode()) for t in terms), np.int64, len(terms)))
         out = [(t, rows[t]) for t, ok in zip(terms, hit) if ok] + [(None, sum(rows.values()))]
-        yield pd.DataFrame(out, columns=["term", "n"])
+        yield pa.record_batch([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64())], ["term", "n"])
 
 
 def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, min_contexts: int = 3,
@@ -153,7 +176,7 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, mi
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(text_col).alias("text"))
-    seen = texts.mapInPandas(partial(_contexts, window=window), "entity string, term string, whole long, n long")
+    seen = texts.mapInArrow(partial(_contexts, window=window), "entity string, term string, whole long, n long")
     # different texts are counted in two combinable steps, so a kind's terms are never in one task
     by_text = seen.groupBy("entity", "term", "whole").agg(F.sum("n").alias("n"))
     met = stage(by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_tc"), F.count(F.lit(1)).alias("texts")), "pii_contexts")
@@ -166,7 +189,7 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, mi
     if pairs.isEmpty():
         return spark.createDataFrame([], none)
     wanted = bitmap_of(pairs.select(F.crc32(F.col("term").cast("binary")).alias("h")), "h")
-    counts = stage(texts.mapInPandas(partial(_count, wanted=wanted), "term string, n long")
+    counts = stage(texts.mapInArrow(partial(_count, wanted=wanted), "term string, n long")
                    .groupBy("term").agg(F.sum("n").alias("n_t")), "pii_counts")
     total = counts.where("term is null").first()["n_t"]
     n = F.lit(float(total) / (2 * window))
@@ -179,23 +202,25 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, mi
 
 
 def _find(batches, wanted):
-    for pdf in batches:
+    for batch in slices(batches):
         rows = []
-        for doc, key, text in zip(pdf["doc_id"], pdf["key"], pdf["text"]):
+        for doc, key, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "key", "text")]):
             text = text or ""
             spans = base_spans(text)
             terms = []
             if wanted is not None and text:
                 words = list(set(TERM.findall(text)))
                 hit = wanted.admits(np.fromiter((zlib.crc32(w.lower().encode()) for w in words), np.int64, len(words)))
-                some = {w for w, ok in zip(words, hit) if ok}
+                some = {w.lower() for w, ok in zip(words, hit) if ok}
                 if some:
-                    terms = [(m.group().lower(), m.start(), m.end()) for m in TERM.finditer(text) if m.group() in some
-                             and not any(m.start() < b and a < m.end() for _, a, b in spans)]
+                    terms = [{"term": t, "start": a, "end": b} for a, b, t in zip(*free_terms(text, spans)) if t in some]
             named = ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
             n = Counter(k for k, _, _ in spans)
             rows.append((doc, key, n[0], n[1], n[2], n[3], hashlib.sha256(named.encode()).hexdigest(), named, terms))
-        yield pd.DataFrame(rows, columns=["doc_id", "key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "cand"])
+        types = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.string(),
+                 pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))]
+        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
+                              ["doc_id", "key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "cand"])
 
 
 FOUND = ("doc_id string, key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
@@ -218,7 +243,7 @@ def find(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: st
     pattern spans as ``kind:start:end`` and the revealing terms as (start, end, action)."""
     ship_package(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    found = stage(narrow.mapInPandas(partial(_find, wanted=_wanted(terms)), FOUND), "pii_found")
+    found = stage(narrow.mapInArrow(partial(_find, wanted=_wanted(terms)), FOUND), "pii_found")
     hits = _term_hits(found, terms)
     out = found.drop("cand").join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left").drop("d", "k", "key")
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType)).withColumnRenamed("doc_id", id_col)
@@ -239,15 +264,20 @@ def clean_text(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def _clean(texts: pd.Series, hits: pd.Series) -> pd.Series:
-    out = []
-    for text, h in zip(texts, hits):
-        if text:
-            spans = [(a, b, LABELS[KINDS[k]]) for k, a, b in base_spans(text)]
-            spans += [(x["start"], x["end"], LABELS[x["action"]]) for x in (h if h is not None else ())]
-            text = clean_text(text, spans) if spans else text
-        out.append(text)
-    return pd.Series(out, dtype=object)
+def _clean(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Texts with their spans replaced, unpacked a stretch at a time."""
+    for texts, hits in columns:
+        done = []
+        for at in range(0, len(texts), 256):
+            out = []
+            for text, h in zip(texts.slice(at, 256).to_pylist(), hits.slice(at, 256).to_pylist()):
+                if text:
+                    spans = [(a, b, LABELS[KINDS[k]]) for k, a, b in base_spans(text)]
+                    spans += [(x["start"], x["end"], LABELS[x["action"]]) for x in (h or ())]
+                    text = clean_text(text, spans) if spans else text
+                out.append(text)
+            done.append(pa.array(out, pa.string()))
+        yield pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
@@ -257,16 +287,16 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ch
     ship_package(docs.sparkSession)
     wanted = _wanted(terms)
     cols = docs.columns
+    i, k, hits_col, clean_col = (free_name(cols, x) for x in ("hit_id", "hit_key", "hit_spans", "clean_text"))
     if wanted is None:
-        joined = docs.withColumn("_hits", F.lit(None).cast("array<struct<start:int,end:int,action:string>>"))
+        joined = docs.withColumn(hits_col, F.lit(None).cast("array<struct<start:int,end:int,action:string>>"))
     else:
         narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-        found = narrow.mapInPandas(partial(_find, wanted=wanted), FOUND).where(F.size("cand") > 0).select("doc_id", "key", "cand")
-        hits = stage(_term_hits(found, terms), "pii_hits").select(F.col("d").alias("_d"), F.col("k").alias("_k"), F.col("hits").alias("_hits"))
-        joined = docs.join(hits, docs[id_col].cast("string").eqNullSafe(F.col("_d")) & (F.xxhash64(docs[text_col]) == F.col("_k")), "left")
-    text = F.pandas_udf(_clean, "string")(F.col(text_col), F.col("_hits"))
-    joined = joined.withColumn("_clean", text)
-    out = {c: F.col(c) for c in cols} | {text_col: F.col("_clean")}
+        found = narrow.mapInArrow(partial(_find, wanted=wanted), FOUND).where(F.size("cand") > 0).select("doc_id", "key", "cand")
+        hits = stage(_term_hits(found, terms), "pii_hits").select(F.col("d").alias(i), F.col("k").alias(k), F.col("hits").alias(hits_col))
+        joined = docs.join(hits, docs[id_col].cast("string").eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), "left")
+    joined = joined.withColumn(clean_col, F.arrow_udf(_clean, "string")(F.col(text_col), F.col(hits_col)))
+    out = {c: F.col(c) for c in cols} | {text_col: F.col(clean_col)}
     if chars_col in cols:
-        out[chars_col] = F.length("_clean").cast("long")
-    return joined.select(*[v.alias(k) for k, v in out.items()])
+        out[chars_col] = F.length(clean_col).cast("long")
+    return joined.select(*[v.alias(c) for c, v in out.items()])
