@@ -19,8 +19,10 @@ the query blocks stream past it. A part's best k a query are merged by rank.
 Defined results: vectors that are null, hold null or non-finite components, or have
 no id take no part; shorter vectors are filled up with zeros; of rows with one id
 the smallest vector stands for it; ties go to the smaller id; an empty table or
-no query gives an empty result. Components must stay below 2**20 in size after
-scaling, so that sums are exact; a larger one raises an error.
+no query gives an empty result; other columns are not read. Vectors with a component
+of 2**20 or more after scaling are kept beside the index and scored in whole numbers of
+any length, and so are all vectors for a query of that kind: ranks are exact at any size.
+A score that a long cannot hold is null; its rank is right.
 """
 
 from __future__ import annotations
@@ -34,21 +36,41 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import ship_package, shuffle_parts, stage
 
-HIT = "query_id long, vec_id long, score long"
+HIT = "query_id long, vec_id long, place string, score long"
+LONG = 1 << 63
+LARGE = float(1 << 20)        # components from here on are scored without the index
+
+
+def place(score: int) -> str:
+    """A score as text that sorts like the number."""
+    digits = str(abs(score))
+    said = f"{len(digits):04d}{digits}"
+    return "1" + said if score >= 0 else "0" + said.translate(_TURNED)
+
+
+_TURNED = str.maketrans("0123456789", "9876543210")
+
+
+def _exact_scores(query: np.ndarray, rows: np.ndarray) -> list[int]:
+    """Inner products in whole numbers of any length."""
+    q = [int(x) for x in query.tolist()]
+    return [sum(int(x) * y for x, y in zip(r, q)) for r in rows.tolist()]
 
 
 class ImpactIndex:
     """Posting segments of one block of integer vectors."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, bands: int = 20):
+        """``rows``: whole numbers as float64."""
         order = np.lexsort((*rows.T[::-1], ids))             # by id, then by components
         ids, rows = ids[order], rows[order]
         first = np.r_[True, ids[1:] != ids[:-1]] if len(ids) else np.zeros(0, bool)
-        self.ids, self.rows = ids[first], rows[first]
+        ids, rows = ids[first], rows[first]
+        large = np.abs(rows).max(axis=1, initial=0) >= LARGE
+        self.large_ids, self.large = ids[large], rows[large]
+        self.ids, self.rows = ids[~large], rows[~large].astype(np.int64)
         size = np.abs(self.rows)
         top = int(size.max(initial=0))
-        if top >= 1 << 20:
-            raise ValueError("components are too large for exact sums")
         self.step = max(1, -(-(top + 1) // bands))
         band = size // self.step
         rest = self.rows.astype(np.float64)
@@ -67,7 +89,18 @@ class ImpactIndex:
             self.levels.append((segments, np.sqrt((rest * rest).sum(axis=1))))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int = 8):
-        """(query id, vector id, score) of every query's ``k`` best vectors other than its own."""
+        """(query id, vector id, score) of vectors other than the query's own, every
+        query's ``k`` best among them."""
+        large = np.abs(queries).max(axis=1, initial=0) >= LARGE
+        for qi, q, big in zip(query_ids.tolist(), queries, large.tolist()):
+            sides = [(self.large_ids, self.large)] + ([(self.ids, self.rows)] if big else [])
+            for ids, rows in sides:
+                got = sorted((-s, i) for i, s in zip(ids.tolist(), _exact_scores(q, rows)) if i != qi) if len(ids) else []
+                for s, i in got[:k]:
+                    yield qi, i, -s
+        yield from self._indexed(query_ids[~large], queries[~large].astype(np.int64), k, few)
+
+    def _indexed(self, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int):
         n = len(self.ids)
         if not n or not len(queries):
             return
@@ -102,7 +135,7 @@ def _pack(batches, block: int):
 
     def out(part, kind, rows):
         width = max(len(v) for _, v in rows)
-        m = np.zeros((len(rows), width), dtype="<i8")
+        m = np.zeros((len(rows), width), dtype="<f8")
         for i, (_, v) in enumerate(rows):
             m[i, :len(v)] = v
         return (part, kind, len(rows), width, np.array([r[0] for r in rows], dtype="<i8").tobytes(), m.tobytes())
@@ -122,7 +155,7 @@ BLOCK = "part int, kind int, n int, width int, ids binary, rows binary"
 
 
 def _unpack(n, width, ids, rows, to: int = 0):
-    m = np.frombuffer(rows, "<i8").reshape(n, width)
+    m = np.frombuffer(rows, "<f8").reshape(n, width)
     return np.frombuffer(ids, "<i8"), np.pad(m, ((0, 0), (0, max(0, to - width))))
 
 
@@ -144,15 +177,22 @@ def _search(batches, k: int, bands: int):
                 index = ImpactIndex(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), bands)
             wide = index.rows.shape[1]
             qi, q = _unpack(n, width, ids, rows, to=wide)
-            yield pd.DataFrame(list(index.search(qi, q[:, :wide], k)), columns=["query_id", "vec_id", "score"])
+            hits = [(a, b, place(s), s if -LONG <= s < LONG else None) for a, b, s in index.search(qi, q[:, :wide], k)]
+            out = pd.DataFrame(hits, columns=["query_id", "vec_id", "place", "score"])
+            yield out.astype({"score": "Int64"})
 
 
 def integer_vectors(embeddings: DataFrame, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, v): floor(scale * x) of every component, of the vectors that take part."""
+    """(id, v): floor(scale * x) of every component as a double, which holds it exactly,
+    of the vectors that take part."""
     v = F.col(vector_col)
-    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+    def whole(x):
+        return F.when(F.abs(x) < 2.0 ** 62, F.floor(x).cast("double")).otherwise(x)
+
+    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(scale) * x.cast("double")) < float("inf")))
     return (embeddings.where(F.col(id_col).isNotNull() & v.isNotNull() & good)
-            .select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("v")))
+            .select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: whole(F.lit(scale) * x.cast("double"))).alias("v")))
 
 
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -176,6 +216,6 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: float = 256
     met = blocks.drop("part").select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "*")
     rows = vectors.unionByName(met).repartition(max(wide, 1), "part").sortWithinPartitions("part", "kind")
     hits = rows.mapInPandas(partial(_search, k=k, bands=bands), HIT)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    w = Window.partitionBy("query_id").orderBy(F.col("place").desc(), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
