@@ -13,7 +13,8 @@ names (repeatable after a lost task) and writes the final manifest. Readers foll
 that manifest, so files of lost attempts are never seen.
 
 Defined results: null html is an empty payload; null url is an empty target;
-pages that repeat (id and payload) are one response and revisits of it; a null
+pages that repeat (id and payload) are one response and revisits of it, each record with
+an id of its own; other columns are not read, whatever their names; a null
 page id sorts first and is written without an id; an empty table gives no files.
 """
 
@@ -25,6 +26,7 @@ import hashlib
 import io
 import uuid
 import zlib
+from collections import Counter
 from functools import partial
 
 import pandas as pd
@@ -45,8 +47,9 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_uri(page_id, payload_digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}:{payload_digest}')}>"
+def record_uri(page_id, payload_digest: str, copy: int = 0) -> str:
+    """The name of a record; the ``copy``-th repetition of a page has one of its own."""
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}:{payload_digest}' + (f':{copy}' if copy else ''))}>"
 
 
 def _line(value) -> str:
@@ -54,14 +57,14 @@ def _line(value) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in str(value or ""))
 
 
-def record(page_id, url, payload: bytes, date: str, refers_to=None, refers_digest: str = "") -> bytes:
+def record(page_id, url, payload: bytes, date: str, refers_to=None, refers_digest: str = "", copy: int = 0) -> bytes:
     """One WARC/1.1 record; ``refers_to`` (with the digest) makes it a revisit."""
     digest = digest32(payload)
     revisit = bool(refers_digest)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-            f"WARC-Record-ID: {record_uri(page_id, digest)}", f"WARC-Date: {date}", f"WARC-Target-URI: {_line(url)}",
+            f"WARC-Record-ID: {record_uri(page_id, digest, copy)}", f"WARC-Date: {date}", f"WARC-Target-URI: {_line(url)}",
             "Content-Type: application/http; msgtype=response", f"WARC-Block-Digest: sha1:{digest32(block)}",
             f"WARC-Payload-Digest: sha1:{digest}"]
     if page_id is not None:
@@ -95,7 +98,7 @@ def decide(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 def _write_shards(batches, out: str, date: str, roll_bytes: int, level: int, min_bytes: int):
     shard, seq, sink, size, n, sha, names, rows = None, 0, None, 0, 0, None, None, []
-    targets, at, seen = {}, object(), set()
+    targets, at, seen = {}, object(), Counter()
 
     def close():
         nonlocal sink
@@ -110,7 +113,7 @@ def _write_shards(batches, out: str, date: str, roll_bytes: int, level: int, min
                 close()
                 shard, seq, targets, at = bucket, 0, {}, object()
             if page != at:                       # decisions about a page stand before its records
-                targets, at, seen = {}, page, set()
+                targets, at, seen = {}, page, Counter()
             if kind == 0:
                 targets[sha1] = target
                 continue
@@ -122,8 +125,8 @@ def _write_shards(batches, out: str, date: str, roll_bytes: int, level: int, min
                 refers, refers_digest = int(targets[sha1]), digest
             elif digest in seen and len(payload) >= min_bytes:   # the same page again
                 refers, refers_digest = page_id, digest
-            seen.add(digest)
-            data = _gzip(record(page_id, url, payload, date, refers, refers_digest), level)
+            data = _gzip(record(page_id, url, payload, date, refers, refers_digest, seen[digest]), level)
+            seen[digest] += 1
             if sink is not None and size + len(data) > roll_bytes:
                 close()
                 seq += 1
@@ -161,7 +164,7 @@ def write_warc(pages: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z", r
     notes = moved.select(range_bucket(F.col("page_id"), cut).alias("bucket"), F.lit(0).alias("kind"), "page_id", page, "sha1",
                          F.col("target").cast("string").alias("target"), F.lit(None).cast("string").alias("url"),
                          F.lit(None).cast("string").alias("html"))
-    rows = (full.unionByName(notes).repartitionByRange(shards, "bucket")
+    rows = (full.unionByName(notes).repartitionById(shards, "bucket")            # one task a bucket
             .sortWithinPartitions("bucket", "page_id", "kind", "sha1", "url").drop("page_id"))
     made = rows.mapInPandas(partial(_write_shards, out=out, date=date, roll_bytes=roll_bytes, level=level,
                                     min_bytes=min_bytes), FILES)
