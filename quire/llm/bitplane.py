@@ -16,7 +16,8 @@ Shards come from a range partitioning by document id. A task writes under a name
 of its own attempt and reports it in a manifest, which Spark commits; files of
 lost attempts are in no manifest. Defined results: null text is empty and has
 the end id alone; documents with the same id stand next to each other, ordered by
-a hash of their text; a null id comes first; an empty table gives no files.
+a hash of their text; a null id comes first; other columns are not read, whatever
+their names; an empty table gives no files.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ Words are runs without ASCII white space of the text with A-Z lower-cased. With
 fewer words than ``n`` the whole sequence is the one n-gram. Defined results: no
 words or null text is the empty set, which links with nothing; repeated rows are
 rows of one class; a row's component is the smallest id reachable, its own included
-(null only if all are null); an empty table gives an empty result.
+(null only if all are null); the join reads no other columns, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ rank among the pieces of its length (distributed prefix sums) then names its
 place. Nothing of the table is gathered.
 
 Defined results: null text is empty and has the end id alone; repeated rows are
-pieces of their own; an empty table gives an empty result.
+pieces of their own, and so are those of rows without an id; of a table of documents
+other columns are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

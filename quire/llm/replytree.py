@@ -14,7 +14,8 @@ A role's ``|>`` is escaped the same way.
 
 Defined results: null text or role is the empty string; repeated messages are
 messages of their own; a message whose parent is missing is a root; a tree
-without messages does not exist; an empty table gives an empty result. One
+without messages does not exist; columns that are not named are not read; an empty
+table gives an empty result. One
 formatted conversation is one row, so its length is bounded by Spark's 2 GB a value.
 """
 

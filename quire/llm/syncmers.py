@@ -16,7 +16,8 @@ Defined results: null text is empty; an empty text has the empty fingerprint, an
 two empty ones are alike (1); a text shorter than ``k`` is one anchor, and so is a
 longer one without any syncmer; equal texts have equal fingerprints; documents with one id follow
 each other by a hash of their text; a null id comes after all others; the edited
-text of a lone document borrows from itself; an empty table gives an empty result.
+text of a lone document borrows from itself; other columns are not read, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
