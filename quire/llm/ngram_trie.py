@@ -6,13 +6,12 @@ sets reaches a whole percentage.
 
 Distribution. Documents with equal sets are one class. The sizes of linked sets bound how
 many elements only one of them has; a set is dealt by element hash into more parts than that,
-so linked sets hold at least ``1 + z`` equal parts, where ``z`` is what the parts exceed the
-bound by. Every class announces its parts by their digests, but for the ``z`` that come last
-in an order by number of elements and digest: of the equal parts the first is left out by
-neither side. So linked classes announce a part in common, and it is one of several
-elements that unlinked classes seldom share whole: a common line or passage groups
-nobody. The number of parts follows from a band of sizes; a set whose partners may be in
-the next band announces itself there too. What a part's classes have in common is one
+so linked sets hold equal parts. Every class announces the digests of its parts with the
+most elements, one more than the bound: of the equal parts the first in that order is
+announced by both sides. So linked classes announce a part in common, and it is one of
+several elements that unlinked classes seldom share whole: a common line or passage
+groups nobody. The number of parts follows from a band of sizes; a set whose partners may
+be in the next band announces itself there too. What a part's classes have in common is one
 combinable minimum, however many they are; classes of one minimum form candidate groups
 (connected components of stars, never pairs), and only their sets travel.
 
@@ -21,9 +20,9 @@ trie. A set is joined with the whole trie in one traversal: sets with a common
 beginning share its partial overlap, and a subtree is left as soon as the overlap
 so far and the lengths that remain cannot reach the threshold, or when everything
 below already belongs to the set's component. Groups of several blocks share a few
-of their sets as bridges; where that leaves a group in several components, the
-sets outside its largest one meet all other blocks. No link between components is
-lost, and there is no limit on partners.
+of their sets as bridges; where that leaves a group in several components, the classes
+that share a part across components meet once more, by that part. No link between
+components is lost, and there is no limit on partners.
 
 Words are runs without ASCII white space of the text with A-Z lower-cased. With
 fewer words than ``n`` the whole sequence is the one n-gram. Defined results: no
@@ -88,33 +87,39 @@ def number(node: bytes) -> int:
 
 def bands(n: int, percent: int) -> list[int]:
     """The largest sizes of the bands in which a set of ``n`` meets partners at least as large."""
-    out, top = [], 1
+    out, top = [], 2
     while top < n:
-        top = max(top + 1, top * 3 // 2)
+        top *= 2
     while True:
         out.append(top)
         if top >= 100 * n // percent:
             return out
-        top = max(top + 1, top * 3 // 2)
+        top *= 2
+
+
+def apart(a: int, b: int, percent: int) -> int:
+    """Elements that only one of two linked sets of ``a`` and ``b`` elements can have."""
+    return (a + b) * (100 - percent) // (100 + percent)
 
 
 def parts(h: np.ndarray, percent: int = 90) -> np.ndarray:
-    """Digests of the announced parts of a set. Linked sets of at most ``top`` elements
-    differ in at most ``apart`` elements, so in as many parts; without any they are equal
-    and need no partner."""
-    out = []
-    for top in bands(len(h), percent):
-        apart = 2 * top * (100 - percent) // (100 + percent)
-        if not apart:
+    """Digests of the announced parts of a set, band by band. All sets of a band are dealt
+    into one number of parts. A set and a partner differ in at most ``most`` parts, so of the
+    parts they share, the first in the order by elements and digest is among the first
+    ``most + 1`` of either. Sets that cannot differ are equal and need no partner."""
+    out, n = [], len(h)
+    for top in bands(n, percent):
+        most = apart(n, min(top, 100 * n // percent), percent)
+        if not most:
             continue
-        spare = max(4, (apart + 1) // 3)
-        many = apart + 1 + spare
+        many = apart(top, top, percent) + 1
+        many += max(4, many // 4)
         of = (h % np.uint64(many)).astype(np.int64)
         said = np.zeros(many, np.uint64)
         np.add.at(said, of, mix(h))
         band = np.uint64(top * int(_A[1]) & 0xFFFFFFFFFFFFFFFF)
         said = mix(said + np.arange(many, dtype=np.uint64) * _A[0] + band)
-        out.append(said[np.lexsort((said, np.bincount(of, minlength=many)))[spare:]])
+        out.append(said[np.lexsort((said, np.bincount(of, minlength=many)))[-(most + 1):]])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -294,14 +299,18 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     spark = docs.sparkSession
     ship_package(spark)
     narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    rows = stage(narrow.mapInArrow(partial(_sets, n=n, percent=percent),
-                                   "doc_id string, key long, n int, node binary, h long, parts array<long>"), "ngram_sets")
-    hubs = (rows.select("h", F.explode("parts").alias("g")).groupBy("g").agg(F.min("h").alias("hub"), F.max("h").alias("other"))
+    made = stage(narrow.mapInArrow(partial(_sets, n=n, percent=percent),
+                                   "doc_id string, key long, n int, node binary, h long, parts array<long>"), "ngram_parts")
+    rows = stage(made.drop("parts"), "ngram_sets")
+    hubs = (made.select("h", F.explode("parts").alias("g")).groupBy("g").agg(F.min("h").alias("hub"), F.max("h").alias("other"))
             .where("hub <> other").select("g", "hub"))
     hubs = stage(hubs, "ngram_hubs")
-    shared = rows.where(F.size("parts") > 0).select("h", "parts").mapInArrow(
+    shared = made.where(F.size("parts") > 0).select("h", "parts").mapInArrow(
         partial(_shared, wanted=bitmap_of(hubs.select(F.col("g").alias("h")), "h", 24)), "h long, g long")
-    near = shared.join(hubs, "g").where("h <> hub").select("h", "hub").distinct()
+    met = stage(shared.join(hubs, "g"), "ngram_met")                     # every announcement of a part that classes share
+    for done in (made, hubs):
+        unstage(done)
+    near = met.where("h <> hub").select("h", "hub").distinct()
     group = stage(components(near, "h", "hub").select(F.col("node").alias("h"), "root"), "ngram_groups")
     # every grouped class with its blocks, and the sets made again from the texts the bitmap admits
     large = stage(group.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > block), "ngram_large")
@@ -311,39 +320,45 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     some = rows.select("h", "node", row.alias("row")).join(placed.select("h"), "h", "left_semi").groupBy("node").agg(F.min("row").alias("h"))
     wanted = bitmap_of(some, "h")
     sets = narrow.select(row.alias("row"), "text").mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "h long, node binary, set binary")
-    sized = sets.join(placed, "h").drop("h")
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sized = sets.join(placed, "h").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sized = stage(sized, "ngram_group_sets")      # a class may come twice; tasks drop the second
-    for done in (hubs, group, large, placed):
+    for done in (group, large, placed):
         unstage(done)
     bridge = F.pmod(F.xxhash64("node", F.lit(7)), F.col("members")) < bridges
     places = F.when((F.col("blocks") > 1) & bridge, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = sized.withColumn("to", F.explode(places)).select(
         F.concat(F.hex("root"), F.lit(":"), F.col("to")).alias("task"), "node", "set", F.hex("node").alias("label"), F.lit(False).alias("ask"))
     links = _run(first, percent)
-    # groups of several blocks that are not one component yet: the sets outside the largest meet all blocks
+    # groups of several blocks that are not one component yet: where a part is shared by
+    # classes of different components, they meet; parts of the same classes need one meeting
     many = sized.where("blocks > 1")
     if many.isEmpty():
-        unstage(sized)
+        for done in (sized, met):
+            unstage(done)
         return rows, links
     comp = components(links, "a", "b").select("node", F.col("root").alias("comp"))
-    inside = stage(many.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "ngram_split")
-    sizes = inside.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("root").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"),
-                                     F.max("size").alias("top")).where("all > top")
+    inside = stage(many.join(comp, "node", "left").select("h", "node", F.coalesce("comp", "node").alias("comp")).distinct(), "ngram_inside")
+    held = met.select("h", "g").distinct().join(inside, "h")
+    mixed = held.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+                                  F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    one = mixed.groupBy("n", "x", "y").agg(F.min("g").alias("g")).select("g")
+    held = stage(held.join(one, "g"), "ngram_mixed")
+    sizes = held.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("g").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("top"))
     wide = 2 * block                     # two sides of this size meet in a task
-    split = inside.join(main, "root").withColumn("blocks", F.ceil(F.col("all") / wide).cast("int"))
-    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    split = held.join(main, "g").join(many.select("node", "set"), "node")
+    split = split.withColumn("blocks", F.ceil(F.col("all") / wide).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spots = F.ceil((F.col("all") - F.col("top")) / wide).cast("int")
     spot = F.pmod(F.xxhash64("node", F.lit(11)), spots).cast("int")
-    lone = F.col("comp") != F.col("main")
-    everyone = split.select("root", "node", "set", "comp", "block", F.explode(F.sequence(F.lit(0), spots - 1)).alias("spot"), F.lit(False).alias("ask"))
-    outside = split.where(lone).select("root", "node", "set", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                                       spot.alias("spot"), F.lit(True).alias("ask"))
-    second = everyone.unionByName(outside).select(F.concat(F.hex("root"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")).alias("task"),
+    # up to one block all meet in one trie; beyond it those outside the largest component meet all blocks
+    everyone = split.select("g", "node", "set", "comp", "block", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), spots - 1))
+                                                                           .otherwise(F.array(F.lit(0)))).alias("spot"), F.lit(False).alias("ask"))
+    outside = split.where((F.col("blocks") > 1) & (F.col("comp") != F.col("main"))).select(
+        "g", "node", "set", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), spot.alias("spot"), F.lit(True).alias("ask"))
+    second = everyone.unionByName(outside).select(F.concat(F.hex("g"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")).alias("task"),
                                                   "node", "set", F.hex("comp").alias("label"), "ask")
     more = _run(second, percent)
-    for done in (sized, inside):
+    for done in (sized, met, inside, held):
         unstage(done)
     return rows, links.unionByName(more)
 
