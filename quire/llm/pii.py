@@ -155,19 +155,26 @@ def _contexts(batches, window: int):
 
 
 def _count(batches, wanted):
-    """(term, n) of the terms that the bitmap admits; a null term counts all."""
-    for batch in slices(batches, 1024):
+    """(term, n) of the terms that the bitmap admits, summed over the task; a null term counts all."""
+    def out(rows):
+        return pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["term", "n"])
+
+    total, every = Counter(), 0
+    for batch in slices(batches):
         seen: Counter = Counter()
         for text in batch.column("text").to_pylist():
             if text:
                 seen.update(TERM.findall(text))
-        rows = Counter()
-        for w, n in seen.items():
-            rows[w.lower()] += n
-        terms = list(rows)
-        hit = wanted.admits(np.fromiter((zlib.crc32(t.encode()) for t in terms), np.int64, len(terms)))
-        out = [(t, rows[t]) for t, ok in zip(terms, hit) if ok] + [(None, sum(rows.values()))]
-        yield pa.record_batch([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64())], ["term", "n"])
+        every += sum(seen.values())
+        words = list(seen)
+        hit = wanted.admits(np.fromiter((zlib.crc32(w.lower().encode()) for w in words), np.int64, len(words)))
+        for w, ok in zip(words, hit.tolist()):
+            if ok:
+                total[w.lower()] += seen[w]
+        if len(total) > 200_000:
+            yield out(list(total.items()))
+            total.clear()
+    yield out([*total.items(), (None, every)])
 
 
 def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, min_contexts: int = 3,
