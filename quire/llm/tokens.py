@@ -9,12 +9,18 @@ bytes; a text whose white space does not allow the cut is encoded whole.
 from __future__ import annotations
 
 import re
+import string
 import sys
 from array import array
 
+#: without these, white space stands alone and inside the text: every blank and line break is a cut
+_LOOSE = re.compile(r"\s\s|\A\s|\s\Z")
 #: runs of white space that a piece may span across a blank
 _SPANS_BLANK = re.compile(r"\s (?:\s|\Z)")
-_MARKS = ".,;:!?"
+#: a break between two characters that are not white space is a piece of its own
+_LINE_EDGE = re.compile(r"\s\n|\n\s|\A\n|\n\Z")
+#: punctuation that ends the piece of the letters before it (an apostrophe may begin a contraction)
+_MARKS = "".join(c for c in string.punctuation if c != "'")
 END_ID = 2
 LONG = 64                     # characters of a chunk that is not remembered
 if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -60,32 +66,34 @@ class Encoder:
     """One per Python worker (:func:`encoder`). ``ids(text)`` gives the bytes of
     the text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, vocabulary: str, limit: int = 300_000):
+    def __init__(self, vocabulary: str, limit: int = 500_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(vocabulary)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
         self.tokenize = self.tok.model.tokenize     # the library's merges on one split piece
         self.letters = {b: ord(c) for b, c in enumerate(byte_letters())}
         self.blank = byte_letters()[32]
-        self.bare = _Chunks(self._raw, limit // 8)  # chunks as they stand
+        self.bare = _Chunks(self._bare, limit // 4)     # chunks as they stand
         self.after = _Chunks(self._after_blank, limit)  # chunks with a blank before them
+        self.line = self._raw("\n")
 
     def _raw(self, s: str) -> bytes:
         return array("I", self.tok.encode(s, add_special_tokens=False).ids).tobytes()
 
+    def _bare(self, chunk: str) -> bytes:
+        return self._chunk(chunk, "", "", self.bare)
+
     def _after_blank(self, chunk: str) -> bytes:
-        if chunk.isalpha():                         # a blank and letters are one split piece
-            piece = self.blank + (chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))
+        return self._chunk(chunk, " ", self.blank, self.after)
+
+    def _chunk(self, chunk: str, lead: str, mark: str, same: _Chunks) -> bytes:
+        if chunk.isalpha():                         # letters, and a blank before them, are one split piece
+            piece = mark + (chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))
             return array("I", [t.id for t in self.tokenize(piece)]).tobytes()
-        if "\n" in chunk:
-            lines = chunk.split("\n")
-            # a line break between two characters that are not white space is a piece of its own
-            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-                return self.after[lines[0]] + b"".join(self.bare["\n"] + self.bare[x] for x in lines[1:])
         word = chunk.rstrip(_MARKS)
         if word and len(word) < len(chunk) and word[-1].isalpha():
-            return self.after[word] + self.bare[chunk[len(word):]]
-        return self._raw(" " + chunk)
+            return same[word] + self.bare[chunk[len(word):]]
+        return self._raw(lead + chunk)
 
     def forget(self) -> None:
         """Give the remembered chunks back: at the end of a task the worker goes on to others."""
@@ -96,10 +104,19 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _SPANS_BLANK.search(text):
-            return self._raw(text)
-        first, *rest = text.split(" ")
-        return b"".join([self.bare[first] if first else b"", *map(self.after.__getitem__, rest)])
+        whole = False
+        if _LOOSE.search(text):
+            if _SPANS_BLANK.search(text):
+                return self._raw(text)
+            whole = _LINE_EDGE.search(text) is not None
+        out, after = [], self.after.__getitem__
+        for line in [text] if whole else text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self.line)
+            if first:
+                out.append(self.bare[first])
+            out.extend(map(after, rest))
+        return b"".join(out[1:])
 
 
 _ENCODERS: dict[str, Encoder] = {}
