@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import open_input, open_output, scratch_path, ship_package, shuffle_parts, slices, temp_name
+from quire.llm.common import open_input, open_output, frees_memory, scratch_path, ship_package, shuffle_parts, slices, temp_name
 from quire.llm.tokens import END_ID, default_vocabulary, encoder
 
 MAGIC, TAIL = b"QBP1", b"QBPE"
@@ -160,6 +160,7 @@ class ShardReader:
             yield doc, start, n, pieces
 
 
+@frees_memory
 def _write_shard(batches, out: str, vocabulary: str, unit: str, block: int, level: int):
     enc, end = encoder(vocabulary), np.array([END_ID], dtype="<u4").tobytes()
     shard, w, name = TaskContext.get().partitionId(), None, None

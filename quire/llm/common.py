@@ -3,16 +3,20 @@ running totals over a whole table, connected components, membership bitmaps."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.session import scratch_path, ship_package, stage, unstage
 
-__all__ = ["BitMap", "bitmap_of", "components", "free_name", "open_input", "open_output", "range_bucket", "range_splits", "rename",
+__all__ = ["BitMap", "bitmap_of", "components", "free_name", "frees_memory", "open_input", "open_output", "range_bucket", "range_splits", "rename",
            "running_totals", "scratch_path", "ship_package", "shuffle_parts", "slices", "stage", "table", "unstage"]
 
 
@@ -184,6 +188,22 @@ def free_name(taken, name: str) -> str:
     return name
 
 
+def frees_memory(f):
+    """For a task's generator: when it ends, what it held goes back to the machine - the
+    worker goes on to tasks of other operators and would keep it."""
+    @functools.wraps(f)
+    def run(*args, **kwargs):
+        try:
+            yield from f(*args, **kwargs)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)        # glibc
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def slices(batches: Iterator, rows: int = 256):
     """Short stretches of Arrow batches: the texts of one stretch are all that is
     unpacked in Python at a time, however long a batch is."""

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import free_name, ship_package
+from quire.llm.common import free_name, frees_memory, ship_package
 
 _WORD = re.compile(r"[^\W\d_]")             # letters, and numbers that are no digits
 UNKNOWN = "und"
@@ -114,6 +114,7 @@ class Classifier:
         return self.langs[sizes.index(best)], score, margin
 
 
+@frees_memory
 def _predict(columns: Iterator[pa.Array], model: dict[str, bytes], block: int, level: int, min_margin: float) -> Iterator[pa.Array]:
     """The compressors live as long as the task; texts are unpacked a stretch at a time."""
     c = Classifier(model, block, level)

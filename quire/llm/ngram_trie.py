@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, components, free_name, ship_package, shuffle_parts, slices, stage, unstage
+from quire.llm.common import bitmap_of, components, free_name, frees_memory, ship_package, shuffle_parts, slices, stage, unstage
 from quire.llm.syncmers import mix
 
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -102,6 +102,17 @@ def apart(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
+def dealt(h: np.ndarray, top: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(elements, digests) of the parts into which the sets of a band are dealt."""
+    many = apart(top, top, percent) + 1
+    many += max(4, many // 4)
+    of = (h % np.uint64(many)).astype(np.int64)
+    said = np.zeros(many, np.uint64)
+    np.add.at(said, of, mix(h))
+    band = np.uint64(top * int(_A[1]) & 0xFFFFFFFFFFFFFFFF)
+    return np.bincount(of, minlength=many), mix(said + np.arange(many, dtype=np.uint64) * _A[0] + band)
+
+
 def parts(h: np.ndarray, percent: int = 90) -> np.ndarray:
     """Digests of the announced parts of a set, band by band. All sets of a band are dealt
     into one number of parts. A set and a partner differ in at most ``most`` parts, so of the
@@ -112,17 +123,77 @@ def parts(h: np.ndarray, percent: int = 90) -> np.ndarray:
         most = apart(n, min(top, 100 * n // percent), percent)
         if not most:
             continue
-        many = apart(top, top, percent) + 1
-        many += max(4, many // 4)
-        of = (h % np.uint64(many)).astype(np.int64)
-        said = np.zeros(many, np.uint64)
-        np.add.at(said, of, mix(h))
-        band = np.uint64(top * int(_A[1]) & 0xFFFFFFFFFFFFFFFF)
-        said = mix(said + np.arange(many, dtype=np.uint64) * _A[0] + band)
-        out.append(said[np.lexsort((said, np.bincount(of, minlength=many)))[-(most + 1):]])
+        size, said = dealt(h, top, percent)
+        out.append(said[np.lexsort((said, size))[-(most + 1):]])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def sketch(h: np.ndarray, percent: int = 90) -> dict[int, np.ndarray]:
+    """{band: 32-bit digests of all its parts}: two sets that link differ in no more parts of
+    a band than in elements; equal digests of unlike parts only make them look nearer."""
+    out = {}
+    for top in bands(len(h), percent):
+        _, said = dealt(h, top, percent)
+        out[top] = said.astype(np.uint32)
+    return out
+
+
+def pack_sketch(parts_of: dict[int, np.ndarray]) -> bytes:
+    return b"".join(np.array([top, len(d)], np.uint32).tobytes() + d.tobytes() for top, d in parts_of.items())
+
+
+def unpack_sketch(raw: bytes) -> dict[int, np.ndarray]:
+    x, at, out = np.frombuffer(raw, np.uint32), 0, {}
+    while at < len(x):
+        out[int(x[at])] = x[at + 2:at + 2 + x[at + 1]]
+        at += 2 + int(x[at + 1])
+    return out
+
+
+def near_enough(sizes: list[int], sketches: list[dict[int, np.ndarray]], comps: list, asks: list[bool], percent: int) -> np.ndarray:
+    """Which sets may link with one of another component: the sketches of the larger
+    one's band differ in at most as many parts as linked sets of these sizes can."""
+    n, number = np.array(sizes), {c: i for i, c in enumerate(dict.fromkeys(comps))}
+    comp, ask = np.array([number[c] for c in comps]), np.array(asks)
+    keep = np.zeros(len(n), bool)
+    for top in {min(s) for s in sketches}:
+        here = np.array([i for i, s in enumerate(sketches) if top in s])
+        d = np.stack([sketches[i][top] for i in here])
+        for i in (i for i in here if min(sketches[i]) == top):
+            other = (comp[here] != comp[i]) & (n[here] <= n[i]) & (n[here] * 100 >= n[i] * percent)
+            if ask.any():
+                other &= ask[here] != ask[i]
+            near = here[other][(d[other] != sketches[i][top]).sum(axis=1) <= (n[here[other]] + n[i]) * (100 - percent) // (100 + percent)]
+            if len(near):
+                keep[near] = keep[i] = True
+    return keep
+
+
+@frees_memory
+def _needed(batches, percent: int):
+    """Rows sorted by task: (g, node) of the sets that must be compared."""
+    task, rows = None, []
+
+    def out():
+        if len({r["comp"] for r in rows}) < 2:
+            return []
+        keep = near_enough([r["n"] for r in rows], [unpack_sketch(r["sketch"]) for r in rows], [r["comp"] for r in rows], [r["ask"] for r in rows], percent)
+        return [{"g": r["g"], "node": r["node"]} for r, k in zip(rows, keep) if k]
+
+    schema = pa.schema([("g", pa.int64()), ("node", pa.binary())])
+    for batch in slices(batches):
+        made = []
+        for r in batch.to_pylist():
+            if r["task"] != task:
+                made += out()
+                task, rows = r["task"], []
+            if not rows or (rows[-1]["node"], rows[-1]["ask"]) != (r["node"], r["ask"]):
+                rows.append(r)
+        yield pa.RecordBatch.from_pylist(made, schema)
+    yield pa.RecordBatch.from_pylist(out(), schema)
+
+
+@frees_memory
 def _sets(batches, n: int, percent: int):
     """A row's class (``node``, and its first eight bytes as a number); a task announces a class once."""
     said: set[bytes] = set()
@@ -142,6 +213,7 @@ def _sets(batches, n: int, percent: int):
     _WORDS.clear()                                       # the worker goes on to other tasks
 
 
+@frees_memory
 def _shared(batches, wanted):
     """(h, g): the announced parts that the bitmap admits."""
     for batch in batches:
@@ -152,17 +224,19 @@ def _shared(batches, wanted):
         yield pa.record_batch([pa.array(h[keep].astype(np.int64)), pa.array(flat[keep])], ["h", "g"])
 
 
-def _wanted_sets(batches, n: int, wanted):
+@frees_memory
+def _wanted_sets(batches, n: int, percent: int, wanted):
     for batch in slices(batches):
         keep = wanted.admits(batch.column("row").to_numpy(zero_copy_only=False))
-        nodes, sets = [], []
+        nodes, sets, sketches = [], [], []
         for text in batch.filter(pa.array(keep)).column("text").to_pylist():
             h = ngram_set(text, n)
             if len(h):
                 nodes.append(digest(h))
                 sets.append(h.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(map(number, nodes), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())],
-                                         ["h", "node", "set"])
+                sketches.append(pack_sketch(sketch(h, percent)))
+        yield pa.RecordBatch.from_arrays([pa.array(map(number, nodes), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sets, pa.binary()),
+                                          pa.array(sketches, pa.binary())], ["h", "node", "set", "sketch"])
     _WORDS.clear()
 
 
@@ -261,6 +335,7 @@ def trie_links(sets: list[np.ndarray], labels: list | None = None, percent: int
         mask[here] = False
 
 
+@frees_memory
 def _join(batches, percent: int):
     """Rows sorted by task: one trie a task; memory: the sets of one task. Rows marked
     ``ask`` are joined with the task's other rows only."""
@@ -292,6 +367,22 @@ def _run(rows: DataFrame, percent: int) -> DataFrame:
     return stage(dealt.mapInPandas(partial(_join, percent=percent), "a binary, b binary"), "trie_links")
 
 
+def _meetings(held: DataFrame, main: DataFrame, payload: DataFrame, wide: int, comp: str) -> DataFrame:
+    """``held`` (g, node, comp) dealt into tasks with the ``payload`` of its nodes. Up to ``wide``
+    rows of a part all meet in one task; beyond that, rows marked ``ask`` - those outside
+    the part's largest component - meet its rows block by block."""
+    rows = held.join(main, "g").join(payload, "node")
+    rows = rows.withColumn("blocks", F.ceil(F.col("all") / wide).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spots = F.ceil((F.col("all") - F.col("top")) / wide).cast("int")
+    spot = F.pmod(F.xxhash64("node", F.lit(11)), spots).cast("int")
+    keep = ["g", "node", comp, *[c for c in payload.columns if c != "node"]]
+    everyone = rows.select(*keep, "block", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), spots - 1)).otherwise(F.array(F.lit(0)))).alias("spot"),
+                           F.lit(False).alias("ask"))
+    outside = rows.where((F.col("blocks") > 1) & (F.col(comp) != F.col("main"))).select(
+        *keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), spot.alias("spot"), F.lit(True).alias("ask"))
+    return everyone.unionByName(outside).withColumn("task", F.concat(F.hex("g"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")))
+
+
 def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64, bridges: int = 8, id_col: str = "doc_id",
                  text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, links): per row (doc_id as text, key of its text, n, node), where ``node`` names
@@ -319,7 +410,8 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     row = F.xxhash64("doc_id", "key")
     some = rows.select("h", "node", row.alias("row")).join(placed.select("h"), "h", "left_semi").groupBy("node").agg(F.min("row").alias("h"))
     wanted = bitmap_of(some, "h")
-    sets = narrow.select(row.alias("row"), "text").mapInArrow(partial(_wanted_sets, n=n, wanted=wanted), "h long, node binary, set binary")
+    sets = narrow.select(row.alias("row"), "text").mapInArrow(partial(_wanted_sets, n=n, percent=percent, wanted=wanted),
+                                                                            "h long, node binary, set binary, sketch binary")
     sized = sets.join(placed, "h").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sized = stage(sized, "ngram_group_sets")      # a class may come twice; tasks drop the second
     for done in (group, large, placed):
@@ -346,19 +438,15 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     sizes = held.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("g").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("top"))
     wide = 2 * block                     # two sides of this size meet in a task
-    split = held.join(main, "g").join(many.select("node", "set"), "node")
-    split = split.withColumn("blocks", F.ceil(F.col("all") / wide).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spots = F.ceil((F.col("all") - F.col("top")) / wide).cast("int")
-    spot = F.pmod(F.xxhash64("node", F.lit(11)), spots).cast("int")
-    # up to one block all meet in one trie; beyond it those outside the largest component meet all blocks
-    everyone = split.select("g", "node", "set", "comp", "block", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), spots - 1))
-                                                                           .otherwise(F.array(F.lit(0)))).alias("spot"), F.lit(False).alias("ask"))
-    outside = split.where((F.col("blocks") > 1) & (F.col("comp") != F.col("main"))).select(
-        "g", "node", "set", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), spot.alias("spot"), F.lit(True).alias("ask"))
-    second = everyone.unionByName(outside).select(F.concat(F.hex("g"), F.lit(":"), F.col("block"), F.lit(":"), F.col("spot")).alias("task"),
-                                                  "node", "set", F.hex("comp").alias("label"), "ask")
+    # first their sketches alone, which leave few sets that must be compared
+    some = _meetings(held, main, many.select("node", "sketch", F.expr("length(set) div 8").cast("int").alias("n")), wide, "comp")
+    some = some.repartition(shuffle_parts(spark), "task").sortWithinPartitions("task", "ask", "node")
+    needed = stage(some.select("task", "g", "node", "comp", "ask", "n", "sketch").mapInArrow(partial(_needed, percent=percent), "g long, node binary")
+                   .distinct(), "ngram_needed")
+    second = _meetings(held.join(needed, ["g", "node"], "left_semi"), main, many.select("node", "set"), wide, "comp")
+    second = second.select("task", "node", "set", F.hex("comp").alias("label"), "ask")
     more = _run(second, percent)
-    for done in (sized, met, inside, held):
+    for done in (sized, met, inside, held, needed):
         unstage(done)
     return rows, links.unionByName(more)
 

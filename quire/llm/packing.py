@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import ship_package, slices, stage
+from quire.llm.common import frees_memory, ship_package, slices, stage
 from quire.llm.tokens import END_ID, default_vocabulary, encoder
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
+@frees_memory
 def _cut(batches, vocabulary: str, capacity: int, with_ids: bool):
     enc, end = encoder(vocabulary), END_ID.to_bytes(4, "little")
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids

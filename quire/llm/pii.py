@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap_of, free_name, ship_package, slices, stage
+from quire.llm.common import bitmap_of, free_name, frees_memory, ship_package, slices, stage
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
@@ -129,6 +129,7 @@ def context(free: tuple[list[int], list[int], list[str]], start: int, end: int,
     return terms[max(0, i - window):i] + terms[j:j + window]
 
 
+@frees_memory
 def _contexts(batches, window: int):
     """(entity, term, whole, n): mentions of an entity or kind in a text with the term in their context; a null term counts all."""
     def out(rows):
@@ -154,6 +155,7 @@ def _contexts(batches, window: int):
         yield out(rows)
 
 
+@frees_memory
 def _count(batches, wanted):
     """(term, n) of the terms that the bitmap admits, summed over the task; a null term counts all."""
     def out(rows):
@@ -208,6 +210,7 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, mi
     return stage(out.withColumn("action", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise")), "pii_terms")
 
 
+@frees_memory
 def _find(batches, wanted):
     for batch in slices(batches):
         rows = []
@@ -271,6 +274,7 @@ def clean_text(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
+@frees_memory
 def _clean(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Texts with their spans replaced, unpacked a stretch at a time."""
     for texts, hits in columns:

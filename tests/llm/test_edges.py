@@ -5,10 +5,12 @@ import random
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quire.llm import impact as I
 from quire.llm import langid as L
+from quire.llm import ngram_trie as T
 from quire.llm import pii as P
 from quire.llm import warc as W
 from quire.llm.common import free_name
@@ -164,3 +166,29 @@ def test_word_memory_is_bounded_and_given_back():
     assert len(enc.after) <= 50 and not any(len(c) > LONG for c in [*enc.after, *enc.after.old])
     enc.forget()
     assert not enc.after and not enc.after.old and not enc.bare
+
+
+# --- n-gram join: sketches -----------------------------------------------------------
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_keep_all_that_link(percent):
+    rng = np.random.default_rng(7)
+    sets, comps = [], []
+    for c in range(12):
+        base = np.unique(rng.integers(0, 2 ** 64, int(rng.integers(3, 300)), dtype=np.uint64))
+        for k in range(6):
+            gone, new = rng.integers(0, max(2, len(base) // 12), 2)
+            sets.append(np.unique(np.r_[rng.permutation(base)[gone:], rng.integers(0, 2 ** 64, new, dtype=np.uint64)]))
+            comps.append(c * 10 + k)
+    for asks in ([False] * len(sets), [i % 3 == 0 for i in range(len(sets))]):
+        sketches = [T.unpack_sketch(T.pack_sketch(T.sketch(s, percent))) for s in sets]
+        keep = T.near_enough([len(s) for s in sets], sketches, comps, asks, percent)
+        met = 0
+        for i in range(len(sets)):
+            for j in range(i):
+                x = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * x >= percent * (len(sets[i]) + len(sets[j]) - x) and (not any(asks) or asks[i] != asks[j]):
+                    met += 1
+                    assert keep[i] and keep[j]
+        assert met > 10
+    far = [np.unique(rng.integers(0, 2 ** 64, 200, dtype=np.uint64)) for _ in range(20)]
+    assert not T.near_enough([len(s) for s in far], [T.sketch(s, percent) for s in far], list(range(20)), [False] * 20, percent).any()
