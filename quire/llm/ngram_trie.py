@@ -422,22 +422,32 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
         F.concat(F.hex("root"), F.lit(":"), F.col("to")).alias("task"), "node", "set", F.hex("node").alias("label"), F.lit(False).alias("ask"))
     links = _run(first, percent)
     # groups of several blocks that are not one component yet: where a part is shared by
-    # classes of different components, they meet; parts of the same classes need one meeting
+    # classes of different components, they meet; parts of the same classes need one meeting.
+    # Linked classes share a part, so a group whose parts are not mixed has no link left
     many = sized.where("blocks > 1")
     if many.isEmpty():
         for done in (sized, met):
             unstage(done)
         return rows, links
     comp = components(links, "a", "b").select("node", F.col("root").alias("comp"))
-    inside = stage(many.join(comp, "node", "left").select("h", "node", F.coalesce("comp", "node").alias("comp")).distinct(), "ngram_inside")
+    inside = stage(many.join(comp, "node", "left").select("h", "node", "root", F.coalesce("comp", "node").alias("comp")).distinct(), "ngram_inside")
     held = met.select("h", "g").distinct().join(inside, "h")
     mixed = held.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
                                   F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     one = mixed.groupBy("n", "x", "y").agg(F.min("g").alias("g")).select("g")
-    held = stage(held.join(one, "g"), "ngram_mixed")
+    by_part = stage(held.join(one, "g"), "ngram_mixed")
+    # a group meets as a whole where that is fewer rows (few classes outside its largest component)
+    wide = 2 * block                     # two sides of this size meet in a task
+    whole = (inside.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("size"))
+             .groupBy("root").agg(F.sum("size").alias("all"), F.max("size").alias("top")).where("all > top"))
+    lone = F.col("all") - F.col("top")
+    cost = F.col("all") * F.ceil(lone / wide) + lone * F.ceil(F.col("all") / wide)
+    whole = whole.join(by_part.groupBy("root").agg(F.count(F.lit(1)).alias("rows")), "root").where(cost <= F.col("rows")).select("root")
+    whole = stage(whole, "ngram_whole")
+    held = stage(by_part.join(whole, "root", "left_anti").select("g", "node", "comp")
+                 .unionByName(inside.join(whole, "root", "left_semi").select(F.col("root").alias("g"), "node", "comp")), "ngram_held")
     sizes = held.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("g").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("top"))
-    wide = 2 * block                     # two sides of this size meet in a task
     # first their sketches alone, which leave few sets that must be compared
     some = _meetings(held, main, many.select("node", "sketch", F.expr("length(set) div 8").cast("int").alias("n")), wide, "comp")
     some = some.repartition(shuffle_parts(spark), "task").sortWithinPartitions("task", "ask", "node")
@@ -446,7 +456,7 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     second = _meetings(held.join(needed, ["g", "node"], "left_semi"), main, many.select("node", "set"), wide, "comp")
     second = second.select("task", "node", "set", F.hex("comp").alias("label"), "ask")
     more = _run(second, percent)
-    for done in (sized, met, inside, held, needed):
+    for done in (sized, met, inside, by_part, whole, held, needed):
         unstage(done)
     return rows, links.unionByName(more)
 
