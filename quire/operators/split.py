@@ -176,7 +176,9 @@ def training_steps(df: DataFrame, batch_size: int = 8, grad_accum: int = 4, epoc
 
 def write_shards(plan: DataFrame, path: str, rows_per_shard: int, pos_col: str = "pos") -> None:
     """D8 export: ``shard = pos // rows_per_shard``, written with
-    ``partitionBy("shard")``. Positions are contiguous inside each hash-prefix
-    bucket, so a task writes to only a few shard folders."""
-    (plan.withColumn("shard", F.floor(F.col(pos_col) / int(rows_per_shard)).cast("long"))
+    ``partitionBy("shard")``. The rows come dealt by the hash of their key, so they
+    are dealt again by shard first: one task writes all of a shard, as one file.
+    Files cost more than their few bytes, so the number of tasks is the session's."""
+    parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (plan.withColumn("shard", F.floor(F.col(pos_col) / int(rows_per_shard)).cast("long")).repartition(parts, "shard")
          .write.mode("error").partitionBy("shard").parquet(path))

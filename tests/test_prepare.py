@@ -195,3 +195,12 @@ def test_config_validation():
         PrepConfig.from_dict({"seed": 1, "unknown_key": 2})
     assert PrepConfig.from_dict({"seed": 7}).seed == 7
     assert PrepConfig(seed=1).fingerprint() != PrepConfig(seed=2).fingerprint()
+
+
+def test_a_shard_is_one_file_however_the_rows_are_dealt(spark, tmpdir_path):
+    from quire.operators.split import write_shards
+    plan = spark.range(600).select(F.col("id").alias("row_id"), F.col("id").alias("pos")).repartition(7, F.xxhash64("id"))
+    write_shards(plan, f"{tmpdir_path}/one_file", 64)
+    shards = spark.read.parquet(f"{tmpdir_path}/one_file")
+    assert shards.count() == 600 and shards.where("shard <> pos div 64").isEmpty()
+    assert len(shards.inputFiles()) == 10
