@@ -1,4 +1,4 @@
-"""BLEU tokenisation (mteval-13a) and n-gram extraction as Column expressions."""
+"""BLEU tokenisation (mteval-13a) and the score as Column expressions."""
 
 from __future__ import annotations
 
@@ -21,61 +21,21 @@ TOK13A_REGEX = [
 MAX_ORDER = 4
 # ----------------------------------------------------------------------------
 
-NGRAM_TYPE = "array<struct<n:int,g:string>>"
 
-
-def tokenize_13a(col) -> Column:
-    """13a-tokenised text: tokens separated by single spaces."""
+def spaced_13a(col) -> Column:
+    """The text with its 13a tokens set apart: they are what Python's ``split()`` gives."""
     s = py_rstrip(F.coalesce(_c(col), F.lit("")))
     for a, b in TOK13A_REPLACE:
         s = F.replace(s, F.lit(a), F.lit(b))
     s = F.concat(F.lit(" "), s, F.lit(" "))
     for pat, rep in TOK13A_REGEX:
         s = F.regexp_replace(s, pat, rep)
-    return squeeze_spaces(fold_ws(s))
-
-
-def split_tokens(tokenized) -> Column:
-    """Space-joined tokens -> array (empty text -> empty array). The text is
-    referenced once, so the tokeniser chain is evaluated once per row."""
-    return F.array_remove(F.split(_c(tokenized), " "), "")
-
-
-def ngrams_sql(arr: str, max_order: int = MAX_ORDER, extra: str = "", elem_type: str = NGRAM_TYPE) -> str:
-    """All n-grams of orders 1..max_order, as one SQL expression over the
-    array column ``arr`` (parsed JVM-side in one call instead of one Python
-    round trip per node). ``extra`` appends fields to each struct, e.g.
-    ``", 'sys', 0"``; ``elem_type`` is the resulting array type."""
-    empty = f"CAST(array() AS {elem_type})"
-    parts = []
-    for n in range(1, max_order + 1):
-        parts.append(
-            f"IF(size({arr}) >= {n}, transform(sequence(0, size({arr}) - {n}), "
-            f"i -> named_struct('n', {n}, 'g', array_join(slice({arr}, i + 1, {n}), ' '){extra})), {empty})")
-    return "concat(" + ", ".join(parts) + ")"
+    return s
 
 
-# placeholder for reference tokens outside the hypothesis vocabulary: a tab
-# never occurs inside a 13a token (whitespace is folded away), so it cannot
-# clash with a real token
-OOV = "\t"
-
-
-def oov_pattern(vocab) -> Column:
-    """Per-row regex matching every token of a space-joined token string that
-    is NOT in the array column ``vocab`` (tokens are quoted literally)."""
-    quoted = F.transform(vocab, lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
-                                                   F.lit("\\E")))
-    return F.concat(F.lit("(?<=^| )(?!(?:"), F.array_join(quoted, "|"), F.lit(")(?![^ ]))[^ ]+"))
-
-
-def in_vocab_ngrams(masked, n: int) -> Column:
-    """Overlapping n-grams of a masked token string made only of in-vocabulary
-    tokens (a zero-width lookahead match at every token start)."""
-    body = "[^ \t]+" + "(?: [^ \t]+)" * (n - 1)
-    # token start = start of text or after a space; a negative lookbehind would
-    # also accept a position between the two halves of a surrogate pair
-    return F.regexp_extract_all(_c(masked), F.lit(f"(?<=^| )(?=({body})(?![^ ]))"), F.lit(1))
+def tokenize_13a(col) -> Column:
+    """13a-tokenised text: tokens separated by single spaces."""
+    return squeeze_spaces(fold_ws(spaced_13a(col)))
 
 
 def bleu_from_stats(c: list, t: list, sys_len, ref_len) -> Column:

@@ -3,15 +3,18 @@ throughput (A4-A7)."""
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import partial
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from quire.functions.bleu import (MAX_ORDER, OOV, bleu_from_stats, in_vocab_ngrams, ngrams_sql, oov_pattern,
-                                  split_tokens, tokenize_13a)
+from quire.functions.bleu import MAX_ORDER, bleu_from_stats, spaced_13a
 from quire.functions.text import _c
 from quire.session import ship_package
 
@@ -37,13 +40,10 @@ def per_example(pairs: DataFrame, systems: list[str]) -> DataFrame:
     """One row per example: the reference once and one prediction column per
     system (``p0, p1, ...``; null when that system has no prediction).
 
-    The aggregation hash-partitions on ``example_id``; every later
-    aggregation keyed by ``(example_id, ...)`` is satisfied by it, so the
-    expanded n-gram rows never cross the network, and each reference is
-    tokenised and expanded once however many systems are compared.
+    The aggregation hash-partitions on ``example_id``, so each reference is
+    tokenised once however many systems are compared.
     """
-    # no partition count: the engine sizes this exchange, and what follows is
-    # satisfied by it
+    # no partition count: the engine sizes this exchange
     return pairs.repartition("example_id").groupBy("example_id").agg(
         F.first("reference", ignorenulls=True).alias("reference"),
         *[_one_of(F.col("system") == s, F.col("prediction")).alias(f"p{i}") for i, s in enumerate(systems)])
@@ -83,7 +83,47 @@ def per_example_from(preds: DataFrame, refs: DataFrame, systems: list[str], chec
 
 
 # --- BLEU ---------------------------------------------------------------------
-_TAG = "array<struct<n:int,g:string,sys:int,w:bigint>>"
+_STATS = "array<struct<n:int,sys:int,correct:bigint,total:bigint,ref_len:bigint>>"
+
+
+def _grams(tokens: list[str], n: int) -> list[tuple]:
+    return [tuple(tokens[k:k + n]) for k in range(len(tokens) - n + 1)]
+
+
+def example_stats(ref: list[str], hyps: list[list[str] | None], max_order: int = MAX_ORDER) -> list[tuple]:
+    """One example's ``(n, system, clipped matches, hypothesis n-grams, reference length)``:
+    every order of which a hypothesis has n-grams, and order 0, which counts the systems that
+    predicted. Only n-grams of some hypothesis are counted in the reference, and those of one
+    order are looked for where those of the order before were found."""
+    if all(h is None for h in hyps):
+        return []
+    out = [(0, i, 0, int(h is not None), len(ref) if h is not None else 0) for i, h in enumerate(hyps)]
+    vocab = set().union(*[h for h in hyps if h])
+    spots = [k for k, w in enumerate(ref) if w in vocab]
+    for n in range(1, max_order + 1):
+        said = [Counter(_grams(h or [], n)) for h in hyps]
+        wanted = set().union(*said)
+        if not wanted:
+            break
+        here = [(k, tuple(ref[k:k + n])) for k in spots]
+        spots = [k for k, g in here if g in wanted]
+        found = Counter(g for _, g in here if g in wanted)
+        out += [(n, i, sum(min(c, found[g]) for g, c in grams.items()), grams.total(), 0) for i, grams in enumerate(said)]
+    return out
+
+
+def _stats_of(batches, max_order: int):
+    """Rows (reference, hypotheses), their tokens set apart -> the statistics of each."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):        # what is unpacked at a time
+            rows = zip(*[c.to_pylist() for c in batch.slice(at, 256).columns])
+            texts = [[None if t is None else t.split() for t in row] for row in rows]
+            found = [example_stats(r, hs, max_order) for r, *hs in texts]
+            flat = [x for rows in found for x in rows]
+            types = {"n": pa.int32(), "sys": pa.int32(), "correct": pa.int64(), "total": pa.int64(), "ref_len": pa.int64()}
+            items = pa.StructArray.from_arrays([pa.array([x[k] for x in flat], t) for k, t in enumerate(types.values())], list(types))
+            ends = np.cumsum([0] + [len(rows) for rows in found])
+            yield pa.record_batch([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)], ["stats"])
 
 
 def _gram_stats(pairs: DataFrame | None, max_order: int = MAX_ORDER, systems: list[str] | None = None,
@@ -91,58 +131,21 @@ def _gram_stats(pairs: DataFrame | None, max_order: int = MAX_ORDER, systems: li
     """Per ``(system, n)``: clipped matches, hypothesis and reference n-gram
     totals; order ``n = 0`` counts the examples each system predicted.
 
-    Each example explodes one tagged array - its reference n-grams once
-    (``sys = -1``), each system's hypothesis n-grams (``sys = i``) and one
-    order-0 mark per predicting system weighted by the reference length -
-    and one hash aggregation keyed by ``(example_id, n, gram)`` counts them
-    per system. The key is near-unique (frequent grams spread by example)
-    and co-partitioned with :func:`per_example`, so no exchange sits between
-    the explode and the counts; a small aggregation per ``n`` follows.
+    The texts are tokenised by Column expressions. Clipping needs one example
+    only, so each row of :func:`per_example` gives its few counts itself
+    (:func:`example_stats`): no n-gram becomes a row or a key, a task holds
+    the n-grams of one example at a time, and the sums are one small
+    aggregation.
     """
     systems = systems or systems_of(pairs)
-    k = len(systems)
     wide = wide if wide is not None else per_example(pairs, systems)
-    s13a = wide.select("example_id", tokenize_13a("reference").alias("rs"),
-                       *[F.when(F.col(f"p{i}").isNotNull(), tokenize_13a(f"p{i}")).alias(f"hs{i}") for i in range(k)])
-    toks = s13a.select("example_id", "rs", F.size(split_tokens("rs")).alias("rlen"),
-                       *[F.when(F.col(f"hs{i}").isNotNull(), split_tokens(f"hs{i}")).alias(f"h{i}") for i in range(k)])
-    # A reference n-gram can only be clipped against a hypothesis n-gram when all its
-    # tokens occur in some hypothesis of the example: reference tokens outside that
-    # vocabulary become a tab (one regex pass), and the surviving n-grams are pulled
-    # with zero-width lookahead matches - no per-token lambda over long references.
-    vocab = F.array_distinct(F.concat(*[F.coalesce(F.col(f"h{i}"), F.array().cast("array<string>"))
-                                        for i in range(k)]))
-    masked = toks.select("*", F.regexp_replace("rs", oov_pattern(vocab), OOV).alias("ms"))
-    def as_ref(n):   # one-argument lambda (a two-argument one receives the index)
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(-1).alias("sys"),
-                                  F.lit(1).cast("bigint").alias("w"))
-
-    ref_grams = F.concat(*[F.transform(in_vocab_ngrams("ms", n), as_ref(n)) for n in range(1, max_order + 1)])
-
-    def tag(arr: str, sys_idx: int) -> str:
-        return ngrams_sql(arr, max_order, f", 'sys', {sys_idx}, 'w', CAST(1 AS BIGINT)", _TAG)
-
-    empty = f"CAST(array() AS {_TAG})"
-    hyps = [f"coalesce({tag(f'h{i}', i)}, {empty})" for i in range(k)]
-    # order 0 marks: one per predicting system, weighted by the reference length
-    marks = [f"IF(h{i} IS NULL, {empty}, array(named_struct('n', 0, 'g', '', 'sys', {i}, "
-             f"'w', CAST(rlen AS BIGINT))))" for i in range(k)]
-    tagged = F.concat(ref_grams, F.expr("concat(" + ", ".join([*hyps, *marks]) + ")"))
-    toks = masked
-    e = toks.select("example_id", F.inline(tagged))
-    counts = e.groupBy("example_id", "n", "g").agg(
-        F.count_if(F.col("sys") == -1).alias("r"),
-        *[F.count_if(F.col("sys") == i).alias(f"h{i}") for i in range(k)],
-        *[F.sum(F.when(F.col("sys") == i, F.col("w")).otherwise(0)).alias(f"w{i}") for i in range(k)])
-    # order 0: h_i counts the examples system i predicted, w_i sums their reference lengths
-    per_n = counts.groupBy("n").agg(
-        *[F.sum(F.least(f"h{i}", "r")).cast("long").alias(f"c{i}") for i in range(k)],
-        *[F.sum(f"h{i}").cast("long").alias(f"t{i}") for i in range(k)],
-        *[F.sum(f"w{i}").cast("long").alias(f"rl{i}") for i in range(k)])
-    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("system"), F.col(f"c{i}").alias("correct"),
-                                        F.col(f"t{i}").alias("total"), F.col(f"rl{i}").alias("ref_len"))
-                               for i, s in enumerate(systems)]))
-    return per_n.select("n", rows.alias("x")).select("x.system", "n", "x.correct", "x.total", "x.ref_len")
+    ship_package(wide.sparkSession)
+    toks = wide.select(spaced_13a("reference").alias("r"), *[
+        F.when(F.col(f"p{i}").isNotNull(), spaced_13a(f"p{i}")).alias(f"h{i}") for i in range(len(systems))])
+    rows = toks.mapInArrow(partial(_stats_of, max_order=max_order), f"stats {_STATS}").select(F.inline("stats"))
+    sums = rows.groupBy("n", "sys").agg(*[F.sum(c).cast("long").alias(c) for c in ("correct", "total", "ref_len")])
+    name = F.element_at(F.array(*[F.lit(s) for s in systems]), F.col("sys") + 1)
+    return sums.select(name.alias("system"), "n", "correct", "total", "ref_len")
 
 
 def bleu_stats(pairs: DataFrame, max_order: int = MAX_ORDER, systems: list[str] | None = None) -> DataFrame:

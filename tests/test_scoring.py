@@ -175,3 +175,21 @@ def test_predictions_and_references_union_path(spark):
     orphan = preds.unionByName(spark.createDataFrame([(9, "a", "x y")], "example_id long, system string, prediction string"))
     with pytest.raises(ValueError):
         per_example_from(orphan, rdf, ["a", "b"], check=True)
+
+
+def test_clipping_needs_no_row_per_ngram(spark):
+    """A task's memory must not grow with the n-grams of its examples: each row counts its own."""
+    from quire.operators.scoring import _gram_stats, example_stats
+    df = pairs_frame(spark, ["a b a", "", "c"], ["a b c a b", "a", "c c"])
+    plan = _gram_stats(df)._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[example_id" not in plan[:plan.index("Generate inline")]
+    got = {(r.n, r.system): (r.correct, r.total, r.ref_len) for r in _gram_stats(df).collect()}
+    assert got == {(0, "s"): (0, 3, 8), (1, "s"): (4, 4, 0), (2, "s"): (1, 2, 0), (3, "s"): (0, 1, 0)}
+    rnd = random.Random(4)
+    for _ in range(200):
+        ref, *hyps = ([rnd.choice("abcd") for _ in range(rnd.randint(0, 12))] for _ in range(3))
+        for n, i, c, t, _ in example_stats(ref, hyps):
+            if n:
+                h, r = (["".join(x[k:k + n]) for k in range(len(x) - n + 1)] for x in (hyps[i], ref))
+                assert (c, t) == (sum(min(h.count(g), r.count(g)) for g in set(h)), len(h))
+    assert example_stats(["a"], [None]) == []
