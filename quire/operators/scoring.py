@@ -177,34 +177,44 @@ def corpus_bleu(pairs: DataFrame | None, max_order: int = MAX_ORDER, decimals: i
 
 
 # --- ROUGE-L ------------------------------------------------------------------
+def rouge_text(col) -> Column:
+    """Lower-case, runs of non ``[a-z0-9]`` -> one space."""
+    return F.regexp_replace(F.lower(_c(col)), "[^a-z0-9]++", " ")
+
+
 def rouge_tokens(col) -> Column:
-    """Lower-case, runs of non ``[a-z0-9]`` -> one separator, split."""
-    s = F.regexp_replace(F.lower(_c(col)), "[^a-z0-9]+", " ")
-    return F.filter(F.split(s, " "), lambda x: x != "")
+    """The words of :func:`rouge_text`."""
+    return F.filter(F.split(rouge_text(col), " "), lambda x: x != "")
 
 
 def lcs_length(a, b) -> int:
     """Exact LCS length of two token sequences, bit-parallel (Allison-Dix /
-    Hyyro): one big-int update per token of the shorter sequence."""
+    Hyyro): one big-int update per token of the shorter sequence, over the
+    tokens of the longer one that occur in it."""
     if len(a) > len(b):
         a, b = b, a
-    if not len(a):
+    shared = set(a)
+    spots: dict = {}
+    n = 0
+    for tok in b:
+        if tok in shared:
+            spots.setdefault(tok, []).append(n)
+            n += 1
+    if not n:
         return 0
-    b_arr = np.asarray(b, dtype=object)
     masks = {}
-    for tok in set(a):
-        bits = np.packbits(b_arr == tok, bitorder="little")
-        m = int.from_bytes(bits.tobytes(), "little")
-        if m:
-            masks[tok] = m
-    full = (1 << len(b)) - 1
+    for tok, at in spots.items():
+        bits = np.zeros(n, bool)
+        bits[at] = True
+        masks[tok] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    full = (1 << n) - 1
     v = full
     for tok in a:
         m = masks.get(tok)
         if m:
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return len(b) - v.bit_count()
+    return n - v.bit_count()
 
 
 _LCS_TYPE = T.StructType([T.StructField("lcs", T.IntegerType()), T.StructField("n_pred", T.IntegerType()),
@@ -215,16 +225,17 @@ _LCS_ARRAY = T.ArrayType(_LCS_TYPE)
 
 
 def _lcs_rows(ref: pd.Series, preds: pd.Series, stemmed: bool) -> pd.Series:
-    """Per example: the reference prepared once, then per system the LCS
-    (null entry when the system has no prediction)."""
-    from quire.functions.porter import stem
+    """Texts of :func:`rouge_text`. Per example: the reference prepared once, then
+    per system the LCS (null entry when the system has no prediction)."""
+    from quire.functions.porter import STEMS
 
-    def prep(toks):
-        return [stem(x) if stemmed and len(x) > 3 else x for x in toks]
+    def prep(text):
+        toks = text.split()
+        return [STEMS[x] for x in toks] if stemmed else toks
 
     out = []
     for r, ps in zip(ref, preds):
-        rt = prep(r if r is not None else [])
+        rt = prep(r if r is not None else "")
         row = []
         for p in ps:
             if p is None:
@@ -253,8 +264,8 @@ def rouge_l_rows(pairs: DataFrame | None, systems: list[str] | None = None,
     wide = wide if wide is not None else per_example(pairs, systems)
     ship_package(wide.sparkSession)
     k = len(systems)
-    preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_tokens(f"p{i}")) for i in range(k)])
-    s = wide.select("example_id", F.posexplode((_stem_lcs if stemmed else _plain_lcs)(rouge_tokens("reference"), preds)).alias("i", "s"))
+    preds = F.array(*[F.when(F.col(f"p{i}").isNotNull(), rouge_text(f"p{i}")) for i in range(k)])
+    s = wide.select("example_id", F.posexplode((_stem_lcs if stemmed else _plain_lcs)(rouge_text("reference"), preds)).alias("i", "s"))
     s = s.filter(F.col("s").isNotNull()).withColumn(
         "system", F.element_at(F.array(*[F.lit(x) for x in systems]), F.col("i") + 1))
     p = F.col("s.lcs") / F.col("s.n_pred")

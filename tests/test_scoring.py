@@ -193,3 +193,24 @@ def test_clipping_needs_no_row_per_ngram(spark):
                 h, r = (["".join(x[k:k + n]) for k in range(len(x) - n + 1)] for x in (hyps[i], ref))
                 assert (c, t) == (sum(min(h.count(g), r.count(g)) for g in set(h)), len(h))
     assert example_stats(["a"], [None]) == []
+
+
+def test_rouge_rows_travel_as_text():
+    """References go to the workers as one text each; tokens outside the prediction cost no comparison."""
+    import pandas as pd
+
+    from quire.operators.scoring import _lcs_rows
+    got = _lcs_rows(pd.Series([" the cats were running ", None]), pd.Series([["cat runs", None], ["", "x"]]), True)
+    assert got[0] == [{"lcs": 2, "n_pred": 2, "n_ref": 4}, None]
+    assert [x["lcs"] for x in got[1]] == [0, 0] and got[1][1]["n_ref"] == 0
+
+    class Token(str):
+        asked = 0
+        __hash__ = str.__hash__
+
+        def __eq__(self, other):
+            Token.asked += 1
+            return str.__eq__(self, other)
+
+    far = [Token(f"w{i}") for i in range(5000)]
+    assert lcs_length(["a", "b", "c", "d"], [*far, "d", "a", "c"]) == 2 and Token.asked < 5000
