@@ -194,34 +194,41 @@ def _needed(batches, percent: int):
 
 
 @frees_memory
-def _sets(batches, n: int, percent: int):
-    """A row's class (``node``, and its first eight bytes as a number); a task announces a class once."""
-    said: set[bytes] = set()
+def _sets(batches, n: int):
+    """A row's class (``node``, and its first eight bytes as a number)."""
     for batch in slices(batches):
         rows = []
         for doc, key, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "key", "text")]):
             h = ngram_set(text, n)
             node = digest(h) if len(h) else None
-            announced = parts(h, percent) if node is not None and node not in said else None
-            if node is not None:
-                said.add(node)
-            rows.append((doc, key, len(h), node, number(node) if node else None, announced))
-        if len(said) > 200_000:
-            said.clear()
-        types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
-        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "key", "n", "node", "h", "parts"])
+            rows.append((doc, key, len(h), node, number(node) if node else None))
+        types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
+        yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "key", "n", "node", "h"])
     _WORDS.clear()                                       # the worker goes on to other tasks
 
 
 @frees_memory
-def _shared(batches, wanted):
-    """(h, g): the announced parts that the bitmap admits."""
-    for batch in batches:
-        lists = batch.column("parts")
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        h = np.repeat(batch.column("h").to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        keep = wanted.admits(flat) if len(flat) else np.zeros(0, bool)
-        yield pa.record_batch([pa.array(h[keep].astype(np.int64)), pa.array(flat[keep])], ["h", "g"])
+def _announced(batches, n: int, percent: int, wanted=None):
+    """(h, g): the announced parts of the texts' classes, of ``wanted`` those that the bitmap
+    admits; a task announces a class once."""
+    said: set[bytes] = set()
+    for batch in slices(batches):
+        hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for text in batch.column("text").to_pylist():
+            h = ngram_set(text, n)
+            node = digest(h) if len(h) else None
+            if node is None or node in said:
+                continue
+            said.add(node)
+            g = parts(h, percent)
+            if wanted is not None and len(g):
+                g = g[wanted.admits(g)]
+            hs.append(np.full(len(g), number(node), np.int64))
+            gs.append(g)
+        if len(said) > 200_000:
+            said.clear()
+        yield pa.record_batch([pa.array(np.concatenate(hs)), pa.array(np.concatenate(gs))], ["h", "g"])
+    _WORDS.clear()
 
 
 @frees_memory
@@ -390,17 +397,17 @@ def link_classes(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 64
     spark = docs.sparkSession
     ship_package(spark)
     narrow = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    made = stage(narrow.mapInArrow(partial(_sets, n=n, percent=percent),
-                                   "doc_id string, key long, n int, node binary, h long, parts array<long>"), "ngram_parts")
-    rows = stage(made.drop("parts"), "ngram_sets")
-    hubs = (made.select("h", F.explode("parts").alias("g")).groupBy("g").agg(F.min("h").alias("hub"), F.max("h").alias("other"))
+    rows = stage(narrow.mapInArrow(partial(_sets, n=n), "doc_id string, key long, n int, node binary, h long"), "ngram_sets")
+    # the parts are many times the rest of a row: they are made again from the texts where they
+    # are read, and never kept beside the shuffle that finds the shared ones
+    announced = partial(_announced, n=n, percent=percent)
+    hubs = (narrow.select("text").mapInArrow(announced, "h long, g long").groupBy("g").agg(F.min("h").alias("hub"), F.max("h").alias("other"))
             .where("hub <> other").select("g", "hub"))
     hubs = stage(hubs, "ngram_hubs")
-    shared = made.where(F.size("parts") > 0).select("h", "parts").mapInArrow(
-        partial(_shared, wanted=bitmap_of(hubs.select(F.col("g").alias("h")), "h", 24)), "h long, g long")
+    shared = narrow.select("text").mapInArrow(
+        partial(announced, wanted=bitmap_of(hubs.select(F.col("g").alias("h")), "h", 24)), "h long, g long")
     met = stage(shared.join(hubs, "g"), "ngram_met")                     # every announcement of a part that classes share
-    for done in (made, hubs):
-        unstage(done)
+    unstage(hubs)
     near = met.where("h <> hub").select("h", "hub").distinct()
     group = stage(components(near, "h", "hub").select(F.col("node").alias("h"), "root"), "ngram_groups")
     # every grouped class with its blocks, and the sets made again from the texts the bitmap admits

@@ -378,3 +378,31 @@ def test_early_stop_changes_nothing():
     for j in range(40):
         best = sorted((-int(s), i) for i, s in enumerate(rows @ q[j]))[:5]
         assert [(i, s) for a, i, s in got if a == 1000 + j] == [(i, -s) for s, i in best]
+
+
+def test_announced_parts_are_never_kept_beside_their_shuffle(spark, monkeypatch):
+    """The parts are most of what the join holds: no staged table may hold them before the shared ones are known."""
+    import pyarrow as pa
+    staged = {}
+
+    def noted(df, name, *rest):
+        out = real(df, name, *rest)
+        staged.setdefault(name, out.dtypes)
+        return out
+
+    real = T.stage
+    monkeypatch.setattr(T, "stage", noted)
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:59], "other"])), (3, None), (4, "one two"), (5, "one two")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in T.join_documents(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+    assert not any(t.startswith("array") for types in staged.values() for _, t in types)
+
+    class Odd:
+        def admits(self, h):
+            return h % 2 == 1
+
+    batch = pa.record_batch([pa.array([" ".join(words), None, " ".join(words), ""])], ["text"])
+    every, odd = ([b.column("g").to_numpy() for b in T._announced([batch], 3, 90, w)] for w in (None, Odd()))
+    want = T.parts(T.ngram_set(" ".join(words), 3))
+    assert np.array_equal(np.concatenate(every), want) and np.array_equal(np.concatenate(odd), want[want % 2 == 1])
