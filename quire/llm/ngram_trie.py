@@ -35,6 +35,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 from functools import partial
 
 import numpy as np
@@ -49,30 +50,64 @@ from quire.llm.syncmers import mix
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-class _Words(dict):
-    """Word -> 64-bit hash; emptied when full."""
+_LOW = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)     # the first bytes of eight
+_LONG = 64                                                           # bytes of a word taken eight at a time
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
 
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, 64-bit hashes) of the words of ``data``, which begins with one and ends with eight spaces."""
+    raw = np.frombuffer(data, np.uint8)
+    space = (raw == 32) | (raw - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(raw) - 7, "<u8", data, strides=(1,))      # the eight bytes from every place on
+    h = mix((size.astype(np.uint64) * _A[0] + (eight[start] & _LOW[np.minimum(size, 8)])) * _A[1])
+    rest, done = np.flatnonzero(size > 8), 8
+    while len(rest) and done < _LONG:
+        h[rest] = mix((h[rest] + (eight[start[rest] + done] & _LOW[np.minimum(size[rest] - done, 8)])) * _A[1])
+        done += 8
+        rest = rest[size[rest] > done]
+    for i in rest.tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i]:start[i] + size[i]], digest_size=8).digest(), "little")
+    return start, h
 
-_WORDS = _Words()
+
+def _grams(h: np.ndarray, k: int) -> np.ndarray:
+    x = np.full(len(h) - k + 1, k, np.uint64)
+    for j in range(k):
+        x = mix((x + h[j:len(x) + j]) * _A[j % 3])
+    return x
+
+
+def ngram_sets(texts: Iterable[str | None], n: int = 3, chars: int = 1 << 18):
+    """Of every text in turn, the ascending different hashes of its word n-grams. Texts are
+    taken together up to ``chars`` characters, so that words are found and hashed many at a time."""
+    some, held = [], 0
+    for text in texts:
+        if some and held + len(text or "") > chars:
+            yield from _sets_of(some, n)
+            some, held = [], 0
+        some.append(text or "")
+        held += len(text or "")
+    if some:
+        yield from _sets_of(some, n)
+
+
+def _sets_of(texts: list[str], n: int):
+    raw = [text.encode() for text in texts]
+    start, h = word_hashes(b" " + b" ".join(raw).lower() + b" " * 8)     # bytes: ASCII case and white space only
+    x = _grams(h, n) if len(h) >= n else h[:0]                           # those across two texts are not read
+    lo = 0
+    for hi in np.searchsorted(start, np.cumsum([len(r) + 1 for r in raw])).tolist():
+        own = x[lo:hi - n + 1] if hi - lo >= n else _grams(h[lo:hi], hi - lo) if hi > lo else h[:0]
+        own = np.sort(own)
+        yield own[np.concatenate([own[:1] == own[:1], own[1:] != own[:-1]])]
+        lo = hi
 
 
 def ngram_set(text: str | None, n: int = 3) -> np.ndarray:
     """Ascending different hashes of the word n-grams."""
-    words = text.encode().lower().split() if text else []       # bytes: ASCII case and white space only
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    k = min(n, len(words))
-    x = np.full(len(words) - k + 1, k, np.uint64)
-    for j in range(k):
-        x = mix((x + h[j:len(words) - k + 1 + j]) * _A[j % 3])
-    return np.unique(x)
+    return next(ngram_sets([text], n))
 
 
 def digest(h: np.ndarray) -> bytes:
@@ -198,13 +233,12 @@ def _sets(batches, n: int):
     """A row's class (``node``, and its first eight bytes as a number)."""
     for batch in slices(batches):
         rows = []
-        for doc, key, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "key", "text")]):
-            h = ngram_set(text, n)
+        doc_ids, keys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))
+        for doc, key, h in zip(doc_ids, keys, ngram_sets(texts, n)):
             node = digest(h) if len(h) else None
             rows.append((doc, key, len(h), node, number(node) if node else None))
         types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
         yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "key", "n", "node", "h"])
-    _WORDS.clear()                                       # the worker goes on to other tasks
 
 
 @frees_memory
@@ -214,8 +248,7 @@ def _announced(batches, n: int, percent: int, wanted=None):
     said: set[bytes] = set()
     for batch in slices(batches):
         hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for text in batch.column("text").to_pylist():
-            h = ngram_set(text, n)
+        for h in ngram_sets(batch.column("text").to_pylist(), n):
             node = digest(h) if len(h) else None
             if node is None or node in said:
                 continue
@@ -228,7 +261,6 @@ def _announced(batches, n: int, percent: int, wanted=None):
         if len(said) > 200_000:
             said.clear()
         yield pa.record_batch([pa.array(np.concatenate(hs)), pa.array(np.concatenate(gs))], ["h", "g"])
-    _WORDS.clear()
 
 
 @frees_memory
@@ -236,15 +268,13 @@ def _wanted_sets(batches, n: int, percent: int, wanted):
     for batch in slices(batches):
         keep = wanted.admits(batch.column("row").to_numpy(zero_copy_only=False))
         nodes, sets, sketches = [], [], []
-        for text in batch.filter(pa.array(keep)).column("text").to_pylist():
-            h = ngram_set(text, n)
+        for h in ngram_sets(batch.filter(pa.array(keep)).column("text").to_pylist(), n):
             if len(h):
                 nodes.append(digest(h))
                 sets.append(h.tobytes())
                 sketches.append(pack_sketch(sketch(h, percent)))
         yield pa.RecordBatch.from_arrays([pa.array(map(number, nodes), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sets, pa.binary()),
                                           pa.array(sketches, pa.binary())], ["h", "node", "set", "sketch"])
-    _WORDS.clear()
 
 
 # --- the trie -------------------------------------------------------------------------

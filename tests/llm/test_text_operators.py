@@ -406,3 +406,32 @@ def test_announced_parts_are_never_kept_beside_their_shuffle(spark, monkeypatch)
     every, odd = ([b.column("g").to_numpy() for b in T._announced([batch], 3, 90, w)] for w in (None, Odd()))
     want = T.parts(T.ngram_set(" ".join(words), 3))
     assert np.array_equal(np.concatenate(every), want) and np.array_equal(np.concatenate(odd), want[want % 2 == 1])
+
+
+def test_words_are_hashed_many_at_a_time(monkeypatch):
+    """Only a class's digest and very long words are hashed one by one; texts taken together
+    have the sets each has alone."""
+    import pyarrow as pa
+    rng, calls = random.Random(6), []
+    words = ["".join(rng.choice("abcé\x00字") for _ in range(k)) for k in (1, 2, 3, 7, 8, 9, 15, 16, 17, 24, 25, 40, 41)]
+    words += ["x" * k for k in range(1, 80)] + ["x" * k + "y" for k in range(1, 80)] + ["\x00", "\x00\x00", "É", "é", " ", "a b"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n", "\t\x0b", " \x0c\r"]) for _ in range(rng.randrange(60))) for _ in range(200)]
+    texts += [None, "", " \n ", "one", "ONE", " one\ttwo", "one two three", "b c", None, "字" * 500, "ß" * 40 + " a"]
+    for n in (1, 3, 5):
+        plain = []
+        for t in texts:
+            w = (t or "").encode().lower().split()
+            plain.append({tuple(w[i:i + n]) for i in range(max(len(w) - n + 1, min(len(w), 1)))})
+        for chars in (1, 300, 1 << 18):
+            got = list(T.ngram_sets(texts, n, chars))
+            assert [len(h) for h in got] == [len(p) for p in plain]
+            assert all((h[1:] > h[:-1]).all() and np.array_equal(h, T.ngram_set(t, n)) for h, t in zip(got, texts))
+            for i in range(len(texts)):
+                for j in range(0, i, 7):
+                    assert len(np.intersect1d(got[i], got[j])) == len(plain[i] & plain[j])
+    real = T.hashlib.blake2b
+    monkeypatch.setattr(T.hashlib, "blake2b", lambda *a, **k: calls.append(1) or real(*a, **k))
+    batch = pa.record_batch([pa.array([f"{i}" for i in range(40)]), pa.array(range(40)), pa.array([" ".join(f"w{i}x{j}" for j in range(50)) for i in range(40)])],
+                            ["doc_id", "key", "text"])
+    assert sum(b.num_rows for b in T._sets([batch], 3)) == 40
+    assert len(calls) == 40
