@@ -1,4 +1,5 @@
 """Sanitisation, fingerprints, language ID, n-gram join and top-k search against brute force."""
+import base64
 import hashlib
 import random
 import re
@@ -206,6 +207,26 @@ def test_long_texts_keep_all_anchors_and_match_by_place(spark):
     assert all(0 < r.aligned_next <= r.near_next for r in turned)
 
 
+def test_fingerprints_are_written_in_few_characters_and_read_back(spark):
+    rng = random.Random(8)
+    texts = ["", "x", "eleven char", "ab" * 4000, "aaaa bbbb " * 30 + "héllo 😀 wörld " * 3] + ["".join(rng.choice("abcdefghij klmé😀") for _ in range(n)) for n in (12, 13, 900, 30_000)]
+    rows = {r.doc_id: r for r in S.compare_with_edits(frame(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        for f, got in ((S.sketch(t), rows[i].fingerprint), (S.sketch(S.edited(t, texts[i - 1])), rows[i].edited_fingerprint)):
+            by_place, last, words = sorted(zip(f[1].tolist(), f[0].tolist())), 0, []
+            for at, h in by_place:
+                words.append(base64.b85encode(h.to_bytes(8, "big")).decode() + str(at - last))
+                last = at
+            assert got == " ".join(words)                # one word an anchor, whatever the distances
+            h, at = S.from_text(got)
+            assert h.dtype == f[0].dtype and h.tolist() == f[0].tolist() and at.tolist() == f[1].tolist()
+    long = rows[len(texts) - 1]
+    n = len(S.sketch(texts[-1])[0])
+    assert n > 5000 and len(long.fingerprint) < 12.5 * n       # 22 as hexadecimal hash and place: 12.8 times the table's Parquet
+    edge = (np.array([0, 1, (1 << 32) - 1, 1 << 32, (1 << 64) - 1], np.uint64), np.array([7, 1_000_000, 0, 99, 100]))
+    assert all((a == b).all() for a, b in zip(S.from_text(S.to_text(edge)), edge))
+
+
 # --- language ------------------------------------------------------------------------
 def test_op10_query_held_out_accuracy(spark):
     rows = SPARK_QUERIES["op10_compression_langid"](spark, "/root/testdata/sf0.01").collect()
